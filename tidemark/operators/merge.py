@@ -156,13 +156,14 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
     a = F.col("__a")
     for c in columns:
         tc = F.col(_T + c)
-        sc = F.col(_S + src_of[c]).cast(types[c]) if src_of[c] else F.lit(None).cast(types[c])
-        if stamp and c == created:
-            sc = now.cast(types[c])
-        if stamp and c == processed:
-            sc = now.cast(types[c])
-        upd = tc if c.lower() in keep_on_update else sc
-        if stamp and c == created:
+        if stamp and c in (created, processed):
+            sc = now.cast(types[c])                    # stamped on insert
+            upd = tc if c == created else sc           # created kept, processed renewed
+        elif src_of[c] is not None:
+            sc = F.col(_S + src_of[c]).cast(types[c])
+            upd = tc if c.lower() in keep_on_update else sc
+        else:                                          # target-only column (B7)
+            sc = F.lit(None).cast(types[c])
             upd = tc
         post.append(F.when(a == "insert", sc).when(a == "update", upd).otherwise(tc).alias(f"__post_{c}"))
         pre.append(tc.alias(f"__pre_{c}"))

@@ -11,9 +11,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import (DateType, StringType, StructField, StructType, TimestampNTZType,
+                               TimestampType)
 
 from tidemark.config import ENUM_SCHEMA_DDL
 
@@ -63,13 +64,31 @@ def read_enum_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.options(**ENUM_CSV_OPTIONS).schema(ENUM_SCHEMA_DDL).csv(path)
 
 
+def csv_field(col: Column, data_type) -> Column:
+    """One RFC-4180 field: NULL -> empty, anything else quoted with doubled
+    quotes; timestamps as ISO-8601 text with microseconds and ``Z``."""
+    if isinstance(data_type, (TimestampType, TimestampNTZType)):
+        text = F.date_format(col, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    else:
+        text = col.cast("string")
+    return F.coalesce(F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"')), F.lit(""))
+
+
 def write_entity_csv(df: DataFrame, path: str, partitions: int | None = None) -> None:
-    """Write rows in the export format (header-less, CRLF, doubled quotes,
-    every field quoted).  Used to build landing trees for tests and jobs that
-    re-export."""
-    out = df.repartition(partitions) if partitions else df
-    (out.write.mode("error").option("header", "false").option("quote", '"')
-     .option("escape", '"').option("quoteAll", "true").option("lineSep", "\r\n")
-     .option("emptyValue", "").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-     .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-     .csv(path))
+    """Write rows in the export format: header-less, CRLF row ends, every
+    non-NULL field quoted, quotes doubled, line breaks inside values kept
+    byte-for-byte.  Lines are built with column expressions and written by
+    the text writer (the CSV writer would rewrite embedded line breaks);
+    the part files are then given the ``.csv`` extension."""
+    line = F.concat_ws(",", *[csv_field(F.col(f.name), f.dataType) for f in df.schema.fields])
+    out = df.select(line.alias("value"))
+    out = out.repartition(partitions) if partitions else out
+    out.write.mode("error").option("lineSep", "\r\n").text(path)
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    base = jvm.org.apache.hadoop.fs.Path(path)
+    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for st in fs.listStatus(base):
+        name = st.getPath().getName()
+        if name.endswith(".txt"):
+            fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(base, name[:-4] + ".csv"))
