@@ -17,8 +17,9 @@ update_postimage, delete).
 
 Two physical strategies, same result:
 
-* ``shuffle``: one full outer join (sort-merge; both sides exchange on the
-  key).  Used for large change sets.
+* ``shuffle``: one full outer join on the key.  When the stored table is
+  bucketed by the key, only the change set is exchanged (the join keys are
+  plain equalities; NULL keys go through a separate, tiny null-safe join).
 * ``broadcast``: the change set is small (size checked by the caller or by
   staging it): target LEFT OUTER JOIN broadcast(source) gives keep / unchanged
   / update / delete without shuffling the target; the keys it matched
@@ -80,6 +81,41 @@ class MergeResult:
         return self.actions.groupBy(ACTION).agg(F.count(F.lit(1)).alias("rows"))
 
 
+def _conjunction(conds):
+    out = conds[0]
+    for c in conds[1:]:
+        out = out & c
+    return out
+
+
+def _outer_join(t: DataFrame, s: DataFrame, tk: list[str], sk: list[str], strategy: str,
+                empty_t: list[Column]) -> DataFrame:
+    """Full outer join of target and source on the key, NULL keys matching.
+
+    Rows whose key has no NULL are joined with plain equality, so a target
+    stored bucketed by the key is read bucket by bucket and only the source is
+    exchanged.  Rows with a NULL in the key (at most one group per side after
+    the latest-version step; found through parquet null statistics) are joined
+    separately with null-safe equality.
+    """
+    no_null = lambda cols: _conjunction([F.col(c).isNotNull() for c in cols])
+    eq = _conjunction([F.col(a) == F.col(b) for a, b in zip(tk, sk)])
+    nse = _conjunction([F.col(a).eqNullSafe(F.col(b)) for a, b in zip(tk, sk)])
+    parts = [(t.filter(no_null(tk)), s.filter(no_null(sk)), eq),
+             (t.filter(~no_null(tk)), s.filter(~no_null(sk)), nse)]
+    out = None
+    for tp, sp, cond in parts:
+        if strategy == "shuffle":
+            j = tp.join(sp, cond, "full_outer")
+        else:
+            matched_side = tp.join(F.broadcast(sp), cond, "left_outer")
+            matched_keys = tp.select(*tk).join(F.broadcast(sp.select(*sk)), cond, "left_semi")
+            s_only = sp.join(F.broadcast(matched_keys), cond, "left_anti")
+            j = matched_side.unionByName(s_only.select(*empty_t, *sp.columns))
+        out = j if out is None else out.unionByName(j)
+    return out
+
+
 def evolve(target: DataFrame, source: DataFrame, extra: Sequence[tuple[str, str]] = ()) -> DataFrame:
     """Additive schema evolution: add source columns missing from the target
     (case-insensitive) as typed NULLs.  Nothing is dropped or widened."""
@@ -121,10 +157,8 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
     t = tgt.select(*[F.col(c).alias(_T + c) for c in columns], F.lit(True).alias(_TP))
     s = source.select(*[F.col(c).alias(_S + c) for c in source.columns], F.lit(True).alias(_SP))
-    on = [F.col(_T + k).eqNullSafe(F.col(_S + src_of[k])) for k in key_cols]
-    cond = on[0]
-    for c in on[1:]:
-        cond = cond & c
+    tk = [_T + k for k in key_cols]
+    sk = [_S + src_of[k] for k in key_cols]
 
     compared = compare_columns(source.columns, columns, keys, excluded, ignored)
     pairs = [(F.col(_S + c).try_cast(types[find_column(tgt, c)]) if source.schema[c].dataType != types[find_column(tgt, c)]
@@ -137,17 +171,8 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
               .when(rows_differ(pairs), "update")
               .otherwise("unchanged"))
 
-    if strategy == "shuffle":
-        joined = t.join(s, cond, "full_outer")
-    else:
-        s_b = F.broadcast(s)
-        matched_side = t.join(s_b, cond, "left_outer")
-        key_only = tgt.select(*[F.col(k).alias(_T + k) for k in key_cols])
-        matched_keys = key_only.join(F.broadcast(s.select(*[_S + src_of[k] for k in key_cols])), cond, "left_semi")
-        s_only = s.join(F.broadcast(matched_keys), cond, "left_anti")
-        empty_t = [F.lit(None).cast(types[c]).alias(_T + c) for c in columns] + [F.lit(None).cast("boolean").alias(_TP)]
-        s_only = s_only.select(*empty_t, *[F.col(_S + c) for c in source.columns], F.col(_SP))
-        joined = matched_side.unionByName(s_only)
+    empty_t = [F.lit(None).cast(types[c]).alias(_T + c) for c in columns] + [F.lit(None).cast("boolean").alias(_TP)]
+    joined = _outer_join(t, s, tk, sk, strategy, empty_t)
 
     now = F.current_timestamp()
     created, processed = find_column(columns, CREATED_STAMP), find_column(columns, PROCESSED_STAMP)

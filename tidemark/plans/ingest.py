@@ -82,6 +82,21 @@ def read_changes(spark: SparkSession, cfg: LandingConfig, table: str, paths: lis
     return latest.drop(FOLDER_COLUMN, *cfg.excluded_meta)
 
 
+def _bucketing(spark: SparkSession, cfg: LandingConfig, source: DataFrame,
+               staged_path: str) -> tuple[str | None, int | None]:
+    """Bucket column and count for a full load (single-column keys only)."""
+    if not cfg.bucketed or len(cfg.key) != 1:
+        return None, None
+    key = find_column(source, cfg.key[0])
+    if cfg.buckets:
+        return key, cfg.buckets
+    need = max(1, -(-path_size_bytes(spark, staged_path) // cfg.bucket_bytes))
+    n = 8
+    while n < need and n < cfg.max_buckets:
+        n *= 2
+    return key, n
+
+
 def _stamp_new(df: DataFrame) -> DataFrame:
     now = F.current_timestamp()
     return df.withColumns({CREATED_STAMP: now, PROCESSED_STAMP: now})
@@ -102,7 +117,9 @@ def ingest_table(spark: SparkSession, cfg: LandingConfig, table: str, reload: bo
         return _run_row(table, "skipped")
     folders = sorted({f for f, _ in files})
     paths = [p for _, p in files]
-    enums = store.read(ENUM_TABLE) if store.exists(ENUM_TABLE) else None
+    enum_snap = store.current(ENUM_TABLE)
+    enums = store.read(ENUM_TABLE, enum_snap) if enum_snap else None
+    current = None if reload else store.current(table)
 
     changes = read_changes(spark, cfg, table, paths, enums)
     staged_path = scratch_path(spark, f"{table}-changes")
@@ -114,15 +131,16 @@ def ingest_table(spark: SparkSession, cfg: LandingConfig, table: str, reload: bo
     common = dict(folder_from=folders[0], folder_to=folders[-1], files=len(paths),
                   source_rows=source_rows, run_id=run_id)
 
-    if reload or not store.exists(table):
+    if current is None:
         state = source.filter(~is_delete(F.col(flag))) if flag else source
         if cfg.stamp_rows:
             state = _stamp_new(state)
-        snapshot = store.write_snapshot(table, state, run_id)
-        written = spark.read.parquet(snapshot)
-        feed = store.write_changes(table, written.withColumn("_change_type", F.lit("insert")), run_id)
-        rows_after = written.count()
-        store.commit(table, snapshot, folders[-1], run_id, "replace", rows_after, feed)
+        bucket_key, buckets = _bucketing(spark, cfg, source, staged_path)
+        if buckets:
+            state = state.repartition(buckets, F.col(bucket_key))
+        snapshot = store.write_snapshot(table, state, run_id, bucket_key, buckets)
+        rows_after = spark.read.parquet(snapshot).count()
+        store.commit(table, snapshot, folders[-1], run_id, "replace", rows_after, None, buckets, bucket_key)
         drop_path(spark, staged_path)
         return _run_row(table, "loaded", strategy="replace", inserted=rows_after,
                         rows_after=rows_after, **common)
@@ -130,18 +148,19 @@ def ingest_table(spark: SparkSession, cfg: LandingConfig, table: str, reload: bo
     small = (source_rows <= cfg.broadcast_source_rows
              and path_size_bytes(spark, staged_path) <= cfg.broadcast_source_bytes)
     strategy = "broadcast" if small else "shuffle"
-    result = merge(store.read(table), source, cfg.key, cfg.delete_flag, cfg.excluded_meta,
+    result = merge(store.read(table, current), source, cfg.key, cfg.delete_flag, cfg.excluded_meta,
                    cfg.ignored_compare, strategy=strategy, stamp=cfg.stamp_rows)
     # Three outputs read the joined frame: keep it (recomputable from lineage).
     actions = result.actions.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        snapshot = store.write_snapshot(table, result.state, run_id)
+        snapshot = store.write_snapshot(table, result.state, run_id, current.bucket_key, current.buckets)
         feed = store.write_changes(table, result.changes, run_id)
         counts = {r[ACTION]: r["rows"] for r in result.action_counts().collect()}
     finally:
         actions.unpersist()
     rows_after = sum(counts.get(a, 0) for a in ("keep", "unchanged", "update", "insert"))
-    store.commit(table, snapshot, folders[-1], run_id, "merge", rows_after, feed)
+    store.commit(table, snapshot, folders[-1], run_id, "merge", rows_after, feed,
+                 current.buckets, current.bucket_key)
     drop_path(spark, staged_path)
     return _run_row(table, "merged", strategy=strategy, inserted=counts.get("insert", 0),
                     updated=counts.get("update", 0), deleted=counts.get("delete", 0),

@@ -16,6 +16,8 @@ the same time.
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
+import re
 import uuid
 from dataclasses import dataclass
 
@@ -24,7 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 LOG_DDL = ("snapshot STRING, changes STRING, lastload STRING, "
-           "_sysProcessDateTime TIMESTAMP, run_id STRING, mode STRING, rows BIGINT")
+           "_sysProcessDateTime TIMESTAMP, run_id STRING, mode STRING, rows BIGINT, "
+           "buckets INT, bucket_key STRING")
 
 
 def new_run_id() -> str:
@@ -38,6 +41,8 @@ class Snapshot:
     path: str
     lastload: str | None
     run_id: str
+    buckets: int | None = None
+    bucket_key: str | None = None
 
 
 class TableStore:
@@ -46,6 +51,8 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._tag = hashlib.sha1(self.root.encode()).hexdigest()[:10]
+        self._registered: dict[str, str] = {}
 
     # -- paths --------------------------------------------------------------
     def _log_dir(self, table: str) -> str:
@@ -65,7 +72,7 @@ class TableStore:
         """
         try:
             rows = (self.spark.read.schema(LOG_DDL).parquet(self._log_dir(table))
-                    .agg(F.max_by(F.struct("snapshot", "lastload", "run_id"),
+                    .agg(F.max_by(F.struct("snapshot", "lastload", "run_id", "buckets", "bucket_key"),
                                   F.struct("_sysProcessDateTime", "run_id")).alias("r"))
                     .select("r.*").collect())
         except AnalysisException as e:
@@ -75,7 +82,7 @@ class TableStore:
         if not rows or rows[0]["snapshot"] is None:
             return None
         r = rows[0]
-        return Snapshot(table, r["snapshot"], r["lastload"], r["run_id"])
+        return Snapshot(table, r["snapshot"], r["lastload"], r["run_id"], r["buckets"], r["bucket_key"])
 
     def exists(self, table: str) -> bool:
         return self.current(table) is not None
@@ -84,21 +91,69 @@ class TableStore:
         snap = self.current(table)
         return snap.lastload if snap else None
 
-    def read(self, table: str) -> DataFrame:
-        snap = self.current(table)
+    def read(self, table: str, snapshot: Snapshot | None = None) -> DataFrame:
+        """Current state of ``table``.  A bucketed snapshot is read through a
+        catalog table declaring its bucketing, so joins and aggregations on
+        the key use the stored layout instead of shuffling it."""
+        snap = snapshot or self.current(table)
         if snap is None:
             raise ValueError(f"table {table!r} has no snapshot in {self.root}")
-        return self.spark.read.parquet(snap.path)
+        if not snap.buckets:
+            return self.spark.read.parquet(snap.path)
+        name = f"tidemark_{self._tag}_{re.sub(r'[^0-9A-Za-z_]', '_', table)}"
+        if self._registered.get(name) != snap.path:
+            schema = self.spark.read.parquet(snap.path).schema
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            self.spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY (`{snap.bucket_key}`) "
+                           f"SORTED BY (`{snap.bucket_key}`) INTO {int(snap.buckets)} BUCKETS "
+                           f"LOCATION '{snap.path}'")
+            self._registered[name] = snap.path
+        return self.spark.table(name)
 
     def changes(self, table: str) -> DataFrame:
-        """Change feed rows of every load (``_run_id`` names the load)."""
-        return (self.spark.read.option("recursiveFileLookup", "false")
-                .parquet(f"{self.root}/{table}/_changes/*"))
+        """Change feed of every load, oldest first (``_run_id`` names the load).
+
+        A full load's feed is its snapshot read as inserts (nothing is copied);
+        a merge's feed was written next to its snapshot."""
+        try:
+            loads = (self.spark.read.schema(LOG_DDL).parquet(self._log_dir(table))
+                     .select("snapshot", "changes", "mode", "run_id", "_sysProcessDateTime")
+                     .orderBy("_sysProcessDateTime", "run_id").collect())
+        except AnalysisException:
+            loads = []
+        frames = []
+        for r in loads:
+            if r["changes"]:
+                frames.append(self.spark.read.parquet(r["changes"]))
+            elif r["mode"] == "replace":
+                frames.append(self.spark.read.parquet(r["snapshot"])
+                              .withColumn("_change_type", F.lit("insert"))
+                              .withColumn("_run_id", F.lit(r["run_id"])))
+        if not frames:
+            raise ValueError(f"table {table!r} has no loads in {self.root}")
+        out = frames[0]
+        for f in frames[1:]:
+            out = out.unionByName(f, allowMissingColumns=True)
+        return out
 
     # -- writes -------------------------------------------------------------
-    def write_snapshot(self, table: str, df: DataFrame, run_id: str) -> str:
+    def write_snapshot(self, table: str, df: DataFrame, run_id: str,
+                       bucket_key: str | None = None, buckets: int | None = None) -> str:
+        """Write a new snapshot folder; bucketed by ``bucket_key`` when given.
+
+        A bucketed write keeps each task's rows per bucket; rows already hash
+        partitioned by the key into ``buckets`` partitions give one file per
+        bucket.  The catalog entry used for writing is dropped right after
+        (the table is external: only its metadata goes)."""
         path = f"{self.root}/{table}/{run_id}"
-        df.write.mode("error").parquet(path)
+        if bucket_key and buckets:
+            name = f"tidemark_w_{uuid.uuid4().hex[:16]}"
+            (df.write.format("parquet").bucketBy(int(buckets), bucket_key).sortBy(bucket_key)
+             .option("path", path).saveAsTable(name))
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        else:
+            df.write.mode("error").parquet(path)
         return path
 
     def write_changes(self, table: str, df: DataFrame, run_id: str) -> str:
@@ -107,10 +162,11 @@ class TableStore:
         return path
 
     def commit(self, table: str, snapshot: str, lastload: str | None, run_id: str,
-               mode: str, rows: int | None, changes: str | None = None) -> None:
+               mode: str, rows: int | None, changes: str | None = None,
+               buckets: int | None = None, bucket_key: str | None = None) -> None:
         """Append the log row that makes ``snapshot`` current."""
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        row = [(snapshot, changes, lastload, now, run_id, mode, rows)]
+        row = [(snapshot, changes, lastload, now, run_id, mode, rows, buckets, bucket_key)]
         (self.spark.createDataFrame(row, LOG_DDL).coalesce(1)
          .write.mode("append").parquet(self._log_dir(table)))
 
