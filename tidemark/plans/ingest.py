@@ -69,11 +69,19 @@ def plan_tables(spark: SparkSession, cfg: LandingConfig, store: TableStore,
 
 def read_changes(spark: SparkSession, cfg: LandingConfig, table: str, paths: list[str],
                  enums: DataFrame | None) -> DataFrame:
-    """Scan -> key repair -> sink timestamps -> enum decode -> latest per key
-    -> drop meta columns.  Delete markers take part in the ranking and are
-    kept (the merge needs them)."""
-    schema = entity_schema(schema_catalog(model_attributes(read_model(spark, cfg.model_path))), table)
-    rows = read_entity_csv(spark, paths, schema)
+    """Scan the CSV files of one table, then ``prepare_changes``."""
+    rows = read_entity_csv(spark, paths, table_schema(spark, cfg, table))
+    return prepare_changes(rows, cfg, table, enums)
+
+
+def table_schema(spark: SparkSession, cfg: LandingConfig, table: str):
+    return entity_schema(schema_catalog(model_attributes(read_model(spark, cfg.model_path))), table)
+
+
+def prepare_changes(rows: DataFrame, cfg: LandingConfig, table: str, enums: DataFrame | None) -> DataFrame:
+    """Key repair -> sink timestamps -> enum decode -> latest per key -> drop
+    meta columns.  Delete markers take part in the ranking and are kept (the
+    merge needs them)."""
     rows = repair_keys(rows)
     rows = parse_sink_columns(rows)
     if enums is not None:
@@ -117,18 +125,28 @@ def ingest_table(spark: SparkSession, cfg: LandingConfig, table: str, reload: bo
         return _run_row(table, "skipped")
     folders = sorted({f for f, _ in files})
     paths = [p for _, p in files]
-    enum_snap = store.current(ENUM_TABLE)
-    enums = store.read(ENUM_TABLE, enum_snap) if enum_snap else None
-    current = None if reload else store.current(table)
+    changes = read_changes(spark, cfg, table, paths, enum_table(store))
+    return apply_changes(spark, cfg, store, table, changes, folders[0], folders[-1], len(paths), reload)
 
-    changes = read_changes(spark, cfg, table, paths, enums)
+
+def enum_table(store: TableStore) -> DataFrame | None:
+    snap = store.current(ENUM_TABLE)
+    return store.read(ENUM_TABLE, snap) if snap else None
+
+
+def apply_changes(spark: SparkSession, cfg: LandingConfig, store: TableStore, table: str,
+                  changes: DataFrame, folder_from: str | None, folder_to: str | None,
+                  files: int | None = None, reload: bool = False) -> dict:
+    """Stage the latest change per key, then replace (first load / reload) or
+    merge into the stored table, and commit snapshot + high-water mark."""
+    current = None if reload else store.current(table)
     staged_path = scratch_path(spark, f"{table}-changes")
     changes.write.mode("error").parquet(staged_path)
     source = spark.read.parquet(staged_path)
     source_rows = source.count()
     flag = find_column(source, cfg.delete_flag)
     run_id = new_run_id()
-    common = dict(folder_from=folders[0], folder_to=folders[-1], files=len(paths),
+    common = dict(folder_from=folder_from, folder_to=folder_to, files=files,
                   source_rows=source_rows, run_id=run_id)
 
     if current is None:
@@ -140,7 +158,7 @@ def ingest_table(spark: SparkSession, cfg: LandingConfig, table: str, reload: bo
             state = state.repartition(buckets, F.col(bucket_key))
         snapshot = store.write_snapshot(table, state, run_id, bucket_key, buckets)
         rows_after = spark.read.parquet(snapshot).count()
-        store.commit(table, snapshot, folders[-1], run_id, "replace", rows_after, None, buckets, bucket_key)
+        store.commit(table, snapshot, folder_to, run_id, "replace", rows_after, None, buckets, bucket_key)
         drop_path(spark, staged_path)
         return _run_row(table, "loaded", strategy="replace", inserted=rows_after,
                         rows_after=rows_after, **common)
@@ -148,6 +166,8 @@ def ingest_table(spark: SparkSession, cfg: LandingConfig, table: str, reload: bo
     small = (source_rows <= cfg.broadcast_source_rows
              and path_size_bytes(spark, staged_path) <= cfg.broadcast_source_bytes)
     strategy = "broadcast" if small else "shuffle"
+    # The staged source carries no partitioning, so against a bucketed target
+    # only the source is exchanged (into the target's bucket count).
     result = merge(store.read(table, current), source, cfg.key, cfg.delete_flag, cfg.excluded_meta,
                    cfg.ignored_compare, strategy=strategy, stamp=cfg.stamp_rows)
     # Three outputs read the joined frame: keep it (recomputable from lineage).
@@ -159,8 +179,8 @@ def ingest_table(spark: SparkSession, cfg: LandingConfig, table: str, reload: bo
     finally:
         actions.unpersist()
     rows_after = sum(counts.get(a, 0) for a in ("keep", "unchanged", "update", "insert"))
-    store.commit(table, snapshot, folders[-1], run_id, "merge", rows_after, feed,
-                 current.buckets, current.bucket_key)
+    store.commit(table, snapshot, folder_to if folder_to is not None else current.lastload, run_id,
+                 "merge", rows_after, feed, current.buckets, current.bucket_key)
     drop_path(spark, staged_path)
     return _run_row(table, "merged", strategy=strategy, inserted=counts.get("insert", 0),
                     updated=counts.get("update", 0), deleted=counts.get("delete", 0),

@@ -40,6 +40,13 @@ def _as_text(schema: StructType) -> StructType:
                        else StructField(f.name, f.dataType, True) for f in schema.fields])
 
 
+def cast_text_columns(df: DataFrame, schema: StructType) -> DataFrame:
+    """Cast the timestamp / date columns read as text to their model type."""
+    casts = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields
+             if isinstance(f.dataType, (TimestampType, DateType))}
+    return df.withColumns(casts) if casts else df
+
+
 def read_entity_csv(spark: SparkSession, paths: Sequence[str] | str, schema: StructType,
                     with_folder: bool = True) -> DataFrame:
     """A1: read change rows with the model schema.
@@ -49,10 +56,7 @@ def read_entity_csv(spark: SparkSession, paths: Sequence[str] | str, schema: Str
     """
     df = spark.read.options(**ENTITY_CSV_OPTIONS).schema(_as_text(schema)).csv(
         list(paths) if not isinstance(paths, str) else paths)
-    casts = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields
-             if isinstance(f.dataType, (TimestampType, DateType))}
-    if casts:
-        df = df.withColumns(casts)
+    df = cast_text_columns(df, schema)
     if with_folder:
         parts = F.split(F.col("_metadata.file_path"), "/")
         df = df.withColumn(FOLDER_COLUMN, F.element_at(parts, -3))
