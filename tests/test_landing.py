@@ -49,3 +49,16 @@ def test_changelog_latest_and_empty(spark, tmp_dir):
     touch(f"{tmp_dir}/empty/Changelog/changelog.info", b"")
     assert changelog_head(spark, f"{tmp_dir}/empty/Changelog/changelog.info") is None
     assert changelog_latest(spark, f"{tmp_dir}/empty/Changelog/changelog.info") is None
+
+
+def test_listing_only_new_folders(spark, tmp_dir):
+    from tidemark.sources.landing import candidate_folders
+    build(tmp_dir)
+    got = candidate_folders(spark, tmp_dir, {"cust": "2024-01-02T00.00.00Z", "group": "2024-01-01T00.00.00Z"},
+                            "2024-01-04T00.00.00Z")
+    assert got == ["2024-01-02T00.00.00Z", "2024-01-03T00.00.00Z"]
+    assert candidate_folders(spark, tmp_dir, {"cust": None}, "2024-01-03T00.00.00Z") == \
+        ["2024-01-01T00.00.00Z", "2024-01-02T00.00.00Z"]
+    files = landing_files(spark, tmp_dir, ["2024-01-03T00.00.00Z"])
+    assert sorted(r["file_name"] for r in files.collect()) == ["c.csv", "g.csv"]
+    assert files.first()["folder"] == "2024-01-03T00.00.00Z"

@@ -33,7 +33,8 @@ from tidemark.operators.merge import ACTION, merge
 from tidemark.session import drop_path, path_size_bytes, scratch_path
 from tidemark.sinks.store import TableStore, new_run_id
 from tidemark.sources.csvscan import FOLDER_COLUMN, read_enum_csv, read_entity_csv
-from tidemark.sources.landing import changelog_head, changelog_latest, landing_files, plan_loads
+from tidemark.sources.landing import (candidate_folders, changelog_head, changelog_latest,
+                                      landing_files, plan_loads)
 from tidemark.sources.model import entity_schema, model_attributes, read_model, schema_catalog
 from tidemark.sources.tables import select_tables
 
@@ -60,8 +61,11 @@ def plan_tables(spark: SparkSession, cfg: LandingConfig, store: TableStore,
     tables = list(tables)
     latest = changelog_head(spark, cfg.changelog_path)
     marks = {t: (None if reload else store.watermark(t)) for t in tables}
-    plan = plan_loads(landing_files(spark, cfg.landing_root), marks, latest, tables=tables)
     out: dict[str, list[tuple[str, str]]] = {t: [] for t in tables}
+    folders = candidate_folders(spark, cfg.landing_root, marks, latest)
+    if not folders:
+        return out
+    plan = plan_loads(landing_files(spark, cfg.landing_root, folders), marks, latest, tables=tables)
     for r in plan.collect():
         out[r["table"]].append((r["folder"], r["path"]))
     return out

@@ -27,18 +27,42 @@ def qualify(spark: SparkSession, path: str) -> str:
     return str(fs.makeQualified(p)).rstrip("/")
 
 
-def landing_files(spark: SparkSession, root: str) -> DataFrame:
-    """Every file below ``root``: ``path, folder, table, file_name, length``.
+def list_folders(spark: SparkSession, root: str) -> list[str]:
+    """Names of the entries directly below ``root`` (one metadata call)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(root)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
+
+
+def landing_files(spark: SparkSession, root: str, folders: list[str] | None = None) -> DataFrame:
+    """Every file below ``root`` (or below the given top-level ``folders``):
+    ``path, folder, table, file_name, length``.
 
     ``folder`` is the first path level below the root, ``table`` the second
-    (NULL for files directly inside a folder).  Only file metadata is read.
+    (NULL for files directly inside a folder).  Only file metadata is read;
+    with many paths Spark lists them in parallel.
     """
     base = qualify(spark, root)
+    paths = [root] if folders is None else [f"{root.rstrip('/')}/{f}" for f in folders]
+    if not paths:
+        return spark.createDataFrame([], "path STRING, folder STRING, table STRING, file_name STRING, length BIGINT")
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .load(root).select("path", "length"))
+             .load(paths).select("path", "length"))
     return files_from_paths(files, base)
 
 
+def candidate_folders(spark: SparkSession, root: str, marks: Mapping[str, str | None],
+                      latest: str | None) -> list[str]:
+    """Top-level folders that may hold loadable files for any of the tables:
+    the folder rules applied to names with the lowest mark.  Bounds the file
+    listing by the folders not yet loaded instead of the whole history."""
+    lowest = None if not marks or any(v is None for v in marks.values()) else min(marks.values())
+    return [f for f in list_folders(spark, root)
+            if f not in SYSTEM_FOLDERS and (lowest is None or f > lowest)
+            and (latest is None or f < latest)]
+
+
 def files_from_paths(files: DataFrame, base: str) -> DataFrame:
     """Split listed paths below ``base`` into folder / table / file name."""
     rel = F.substring(F.col("path"), len(base) + 2, 1 << 20)

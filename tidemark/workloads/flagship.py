@@ -45,9 +45,14 @@ OUTPUT = ("recid", "SinkCreatedOn", "SinkModifiedOn", "IsDelete", "recversion",
           "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority", "dataareaid")
 
 
-def export_rows(o: DataFrame, folder: str, key: Column, version: int, recversion: int,
+def _col(v) -> Column:
+    return v if isinstance(v, Column) else F.lit(v)
+
+
+def export_rows(o: DataFrame, folder: str, key: Column, version, recversion,
                 price: Column, delete: Column, repair_recid: bool = False) -> DataFrame:
     """Orders rows in model column order, as the exporter writes them."""
+    version, recversion = _col(version), _col(recversion)
     return o.select(
         guid_from_ids(F.lit(TABLE_ID).cast("bigint"), key).alias("Id"),
         F.lit(SINK_TIME[F1]).alias("SinkCreatedOn"),
@@ -55,8 +60,8 @@ def export_rows(o: DataFrame, folder: str, key: Column, version: int, recversion
         delete.alias("IsDelete"),
         (F.when(F.col("o_orderstatus") != "F", key) if repair_recid else key).alias("recid"),
         F.lit(None).cast("bigint").alias("tableid"),
-        F.lit(version).cast("bigint").alias("versionnumber"),
-        F.lit(recversion).cast("bigint").alias("recversion"),
+        version.cast("bigint").alias("versionnumber"),
+        recversion.cast("bigint").alias("recversion"),
         F.lit(0).cast("bigint").alias("createdtransactionid"),
         F.lit(0).cast("bigint").alias("modifiedtransactionid"),
         "o_custkey", "o_orderstatus", price.alias("o_totalprice"), "o_orderdate",
@@ -72,14 +77,19 @@ def build_landing(spark: SparkSession, orders: DataFrame, root: str, files: int)
     live = F.when(pr == "4-NOT SPECIFIED", F.lit(None).cast("boolean")).otherwise(F.lit(False))
     write_model(spark, root, {TABLE: ORDERS_MODEL})
     write_folder(export_rows(o, F1, k, 1, 1, price, live, repair_recid=True), root, F1, TABLE, files)
-    f2 = (export_rows(o.filter(st == "O"), F2, k, 2, 2, price + 1, live)
-          .unionByName(export_rows(o.filter((st == "O") & (pr == "2-HIGH")), F2, k, 3, 3, price + 2, live))
-          .unionByName(export_rows(o.filter(st == "P"), F2, k, 2, 2, price, F.lit(True)))
-          .unionByName(export_rows(o.filter((st == "F") & (pr == "1-URGENT")), F2, k + NEW_KEY_OFFSET, 1, 1,
-                                   price, F.lit(False)))
-          .unionByName(export_rows(o.filter((st == "F") & (pr == "5-LOW")), F2, k + UNKNOWN_KEY_OFFSET, 2, 2,
-                                   price, F.lit(True)))
-          .unionByName(export_rows(o.filter((st == "F") & (pr == "3-MEDIUM")), F2, k, 2, 1, price, live)))
+    # Folder F2 in one scan: each order yields zero, one or two change rows.
+    def change(cond, key, version, recversion, new_price, delete):
+        return F.when(cond, F.struct(key.alias("k"), F.lit(version).alias("v"), F.lit(recversion).alias("rv"),
+                                     new_price.alias("p"), delete.cast("boolean").alias("d")))
+    variants = F.array(
+        change(st == "O", k, 2, 2, price + 1, live),
+        change((st == "O") & (pr == "2-HIGH"), k, 3, 3, price + 2, live),
+        change(st == "P", k, 2, 2, price, F.lit(True)),
+        change((st == "F") & (pr == "1-URGENT"), k + NEW_KEY_OFFSET, 1, 1, price, F.lit(False)),
+        change((st == "F") & (pr == "5-LOW"), k + UNKNOWN_KEY_OFFSET, 2, 2, price, F.lit(True)),
+        change((st == "F") & (pr == "3-MEDIUM"), k, 2, 1, price, live))
+    c = o.select("*", F.explode(F.filter(variants, lambda x: x.isNotNull())).alias("c"))
+    f2 = export_rows(c, F2, F.col("c.k"), F.col("c.v"), F.col("c.rv"), F.col("c.p"), F.col("c.d"))
     write_folder(f2, root, F2, TABLE, files)
     write_folder(export_rows(o, F3, k, 9, 9, price, F.lit(True)), root, F3, TABLE, files)
     enums = (o.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n")).select(
