@@ -83,7 +83,9 @@ def write_entity_csv(df: DataFrame, path: str, partitions: int | None = None) ->
     non-NULL field quoted, quotes doubled, line breaks inside values kept
     byte-for-byte.  Lines are built with column expressions and written by
     the text writer (the CSV writer would rewrite embedded line breaks);
-    the part files are then given the ``.csv`` extension."""
+    the part files are then given the ``.csv`` extension.  Without
+    ``partitions`` each input partition becomes one file (multi-line CSV is
+    read one file per task, so files should stay split-sized)."""
     line = F.concat_ws(",", *[csv_field(F.col(f.name), f.dataType) for f in df.schema.fields])
     out = df.select(line.alias("value"))
     out = out.repartition(partitions) if partitions else out

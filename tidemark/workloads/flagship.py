@@ -69,7 +69,9 @@ def export_rows(o: DataFrame, folder: str, key: Column, version, recversion,
         F.lit("dat").alias("dataareaid"))
 
 
-def build_landing(spark: SparkSession, orders: DataFrame, root: str, files: int) -> None:
+def build_landing(spark: SparkSession, orders: DataFrame, root: str, files: int | None = None) -> None:
+    """Write the three folders; ``files``: files per folder (default: one per
+    scan split, so file sizes follow the input split size at any scale)."""
     o = orders
     k = F.col("o_orderkey")
     price = F.col("o_totalprice").cast("decimal(15,2)")
@@ -106,7 +108,7 @@ def two_run_load(spark: SparkSession, orders: DataFrame) -> DataFrame:
     """Build the landing tree, run two incremental loads, return the state."""
     root = scratch_path(spark, "landing")
     cfg = LandingConfig(landing_root=root, store_root=scratch_path(spark, "bronze"))
-    build_landing(spark, orders, root, max(2, spark.sparkContext.defaultParallelism))
+    build_landing(spark, orders, root)
     config = spark.createDataFrame([(TABLE, "pg_daily")], "table_name STRING, processing_group STRING")
     store = TableStore(spark, cfg.store_root)
     for changelog in (F2, F3):
