@@ -119,5 +119,9 @@ def two_run_load(spark: SparkSession, orders: DataFrame) -> DataFrame:
         if bad:
             raise RuntimeError(f"load failed: {bad[0]['error']}")
     state = store.read(TABLE)
-    casts = {c: F.col(c).cast("timestamp_ntz") for c in ("SinkCreatedOn", "SinkModifiedOn", "o_orderdate")}
+    # Sink times are zone-less text (session wall clock); the order date was
+    # exported with 'Z' (UTC), so its UTC wall clock is taken explicitly.
+    tz = spark.conf.get("spark.sql.session.timeZone")
+    casts = {c: F.col(c).cast("timestamp_ntz") for c in ("SinkCreatedOn", "SinkModifiedOn")}
+    casts["o_orderdate"] = F.to_utc_timestamp(F.col("o_orderdate"), tz).cast("timestamp_ntz")
     return state.withColumns(casts).select(*OUTPUT)
