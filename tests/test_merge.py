@@ -88,3 +88,10 @@ def test_broadcast_strategy_never_shuffles_target(spark):
     s = spark.createDataFrame([(1, "y", None)], "RECID BIGINT, v STRING, IsDelete BOOLEAN")
     plan = merge(t, s, ["RECID"], strategy="broadcast").state._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_strategy_needs_both_limits():
+    from tidemark.operators.merge import choose_strategy
+    assert choose_strategy(10, 1000, 100, 10_000) == "broadcast"
+    assert choose_strategy(1000, 1000, 100, 10_000) == "shuffle"
+    assert choose_strategy(10, 100_000, 100, 10_000) == "shuffle"

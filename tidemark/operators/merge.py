@@ -81,6 +81,12 @@ class MergeResult:
         return self.actions.groupBy(ACTION).agg(F.count(F.lit(1)).alias("rows"))
 
 
+def choose_strategy(rows: int, size_bytes: int, max_rows: int, max_bytes: int) -> str:
+    """``broadcast`` only for a change set whose staged size is known to be
+    under both limits; ``shuffle`` otherwise."""
+    return "broadcast" if rows <= max_rows and size_bytes <= max_bytes else "shuffle"
+
+
 def _conjunction(conds):
     out = conds[0]
     for c in conds[1:]:

@@ -29,8 +29,8 @@ from tidemark.functions.keys import repair_keys
 from tidemark.functions.predicates import is_delete
 from tidemark.functions.timestamps import parse_sink_columns
 from tidemark.operators.latest import latest_change
-from tidemark.operators.merge import ACTION, merge
-from tidemark.session import drop_path, path_size_bytes, scratch_path
+from tidemark.operators.merge import ACTION, choose_strategy, merge
+from tidemark.session import drop_path, stage_measured
 from tidemark.sinks.store import TableStore, new_run_id
 from tidemark.sources.csvscan import FOLDER_COLUMN, read_enum_csv, read_entity_csv
 from tidemark.sources.landing import (candidate_folders, changelog_head, changelog_latest,
@@ -94,15 +94,14 @@ def prepare_changes(rows: DataFrame, cfg: LandingConfig, table: str, enums: Data
     return latest.drop(FOLDER_COLUMN, *cfg.excluded_meta)
 
 
-def _bucketing(spark: SparkSession, cfg: LandingConfig, source: DataFrame,
-               staged_path: str) -> tuple[str | None, int | None]:
+def _bucketing(cfg: LandingConfig, source: DataFrame, staged_bytes: int) -> tuple[str | None, int | None]:
     """Bucket column and count for a full load (single-column keys only)."""
     if not cfg.bucketed or len(cfg.key) != 1:
         return None, None
     key = find_column(source, cfg.key[0])
     if cfg.buckets:
         return key, cfg.buckets
-    need = max(1, -(-path_size_bytes(spark, staged_path) // cfg.bucket_bytes))
+    need = max(1, -(-staged_bytes // cfg.bucket_bytes))
     n = 8
     while n < need and n < cfg.max_buckets:
         n *= 2
@@ -144,10 +143,7 @@ def apply_changes(spark: SparkSession, cfg: LandingConfig, store: TableStore, ta
     """Stage the latest change per key, then replace (first load / reload) or
     merge into the stored table, and commit snapshot + high-water mark."""
     current = None if reload else store.current(table)
-    staged_path = scratch_path(spark, f"{table}-changes")
-    changes.write.mode("error").parquet(staged_path)
-    source = spark.read.parquet(staged_path)
-    source_rows = source.count()
+    source, staged_path, source_rows, staged_bytes = stage_measured(changes, f"{table}-changes")
     flag = find_column(source, cfg.delete_flag)
     run_id = new_run_id()
     common = dict(folder_from=folder_from, folder_to=folder_to, files=files,
@@ -157,7 +153,7 @@ def apply_changes(spark: SparkSession, cfg: LandingConfig, store: TableStore, ta
         state = source.filter(~is_delete(F.col(flag))) if flag else source
         if cfg.stamp_rows:
             state = _stamp_new(state)
-        bucket_key, buckets = _bucketing(spark, cfg, source, staged_path)
+        bucket_key, buckets = _bucketing(cfg, source, staged_bytes)
         if buckets:
             state = state.repartition(buckets, F.col(bucket_key))
         snapshot = store.write_snapshot(table, state, run_id, bucket_key, buckets)
@@ -167,9 +163,7 @@ def apply_changes(spark: SparkSession, cfg: LandingConfig, store: TableStore, ta
         return _run_row(table, "loaded", strategy="replace", inserted=rows_after,
                         rows_after=rows_after, **common)
 
-    small = (source_rows <= cfg.broadcast_source_rows
-             and path_size_bytes(spark, staged_path) <= cfg.broadcast_source_bytes)
-    strategy = "broadcast" if small else "shuffle"
+    strategy = choose_strategy(source_rows, staged_bytes, cfg.broadcast_source_rows, cfg.broadcast_source_bytes)
     # The staged source carries no partitioning, so against a bucketed target
     # only the source is exchanged (into the target's bucket count).
     result = merge(store.read(table, current), source, cfg.key, cfg.delete_flag, cfg.excluded_meta,

@@ -75,6 +75,15 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def stage_measured(df: DataFrame, label: str) -> tuple[DataFrame, str, int, int]:
+    """``stage`` plus its row count (parquet metadata) and stored bytes."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.mode("error").parquet(path)
+    staged = spark.read.parquet(path)
+    return staged, path, staged.count(), path_size_bytes(spark, path)
+
+
 def path_size_bytes(spark: SparkSession, path: str) -> int:
     """Total bytes stored under ``path`` (Hadoop FileSystem content summary)."""
     jvm = spark.sparkContext._jvm
@@ -96,4 +105,4 @@ def local_path(path: str) -> str:
 
 
 __all__ = ["local_session", "ensure_checkpoint_dir", "scratch_path", "stage",
-           "path_size_bytes", "drop_path", "local_path"]
+           "stage_measured", "path_size_bytes", "drop_path", "local_path"]

@@ -15,7 +15,7 @@ from tidemark.functions.keys import guid_from_ids, record_id_from_guid, repair_k
 from tidemark.functions.predicates import is_delete
 from tidemark.functions.timestamps import parse_sink_timestamp
 from tidemark.operators.latest import latest_change, latest_version
-from tidemark.operators.merge import ACTION, merge
+from tidemark.operators.merge import ACTION, choose_strategy, merge
 from tidemark.operators.silver import (invoice_header_profile, invoice_line_profile,
                                        silver_customer as _silver_customer,
                                        silver_sales_invoice as _silver_sales_invoice, violations)
@@ -24,7 +24,7 @@ from tidemark.sources.landing import (changelog_folders, files_from_paths, plan_
                                       table_folders, folder_is_open)
 from tidemark.sources.model import schema_catalog as _schema_catalog
 from tidemark.sources.tables import select_tables
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, stage_measured
 from tidemark.workloads import derive as d
 
 EXCLUDED = ("versionnumber",)
@@ -71,7 +71,14 @@ def merge_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merge_state_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _merge(spark, sf_dir, "broadcast").state
+    """The size-checked path of the load job: the change set is staged in the
+    shared folder, measured, and broadcast only under the configured limits
+    (larger change sets fall back to the shuffle join)."""
+    ch = _changes(spark, sf_dir)
+    cfg = LandingConfig(landing_root="", store_root="")
+    source, _, rows, size = stage_measured(_source(d.second_batch(ch)), "merge-source")
+    strategy = choose_strategy(rows, size, cfg.broadcast_source_rows, cfg.broadcast_source_bytes)
+    return merge(_initial(d.first_batch(ch)), source, d.CHANGE_KEY, strategy=strategy).state
 
 
 def merge_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
