@@ -95,3 +95,21 @@ def test_strategy_needs_both_limits():
     assert choose_strategy(10, 1000, 100, 10_000) == "broadcast"
     assert choose_strategy(1000, 1000, 100, 10_000) == "shuffle"
     assert choose_strategy(10, 100_000, 100, 10_000) == "shuffle"
+
+
+def test_bucketed_target_is_not_exchanged(spark, tmp_dir):
+    from tidemark.session import stage_measured
+    from tidemark.sinks.store import TableStore
+    store = TableStore(spark, tmp_dir)
+    t = spark.range(0, 5000).select(F.col("id").alias("RECID"), (F.col("id") % 7).alias("a"))
+    path = store.write_snapshot("t", t.repartition(8, "RECID"), "r1", "RECID", 8)
+    store.commit("t", path, "f1", "r1", "replace", 5000, None, 8, "RECID")
+    src = spark.createDataFrame([(1, 9, None), (7000, 1, None), (None, 1, None)],
+                                "RECID BIGINT, a BIGINT, IsDelete BOOLEAN")
+    staged, _, _, _ = stage_measured(src, "test-src")
+    res = merge(store.read("t"), staged, ["RECID"], strategy="shuffle")
+    plan = res.state._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan
+    assert "Exchange hashpartitioning(__t_RECID" not in plan      # only the change set moves
+    state = {r["RECID"]: r["a"] for r in res.state.collect()}
+    assert len(state) == 5002 and state[1] == 9 and state[7000] == 1 and state[None] == 1
