@@ -1,7 +1,6 @@
 import json
 import os
 
-from pyspark.sql import functions as F
 
 from tidemark.config import LandingConfig
 from tidemark.plans.ingest import ingest_all, ingest_table, load_enums, run_outcome
