@@ -141,13 +141,15 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
           ignored: Sequence[str] = IGNORED_COMPARE_COLUMNS,
           preserve: Sequence[str] = (CREATED_STAMP,),
           strategy: str = "shuffle",
-          stamp: bool = False) -> MergeResult:
+          stamp: bool = False, load_time=None) -> MergeResult:
     """Plan the merge of ``source`` (one row per key) into ``target``.
 
     ``strategy`` is ``shuffle`` or ``broadcast``; choose ``broadcast`` only
     for a source whose size has been checked (see ``plans.ingest``).
     ``stamp`` adds ``_sysCreatedDateTime`` (set on insert, preserved
-    afterwards) and ``_sysProcessedDateTime`` (set on every written row).
+    afterwards) and ``_sysProcessedDateTime`` (set on every written row);
+    ``load_time`` (a datetime) makes the stamp a literal, so separate passes
+    over the merge, and recomputed partitions, stamp identically.
     """
     if strategy not in ("shuffle", "broadcast"):
         raise ValueError(f"unknown merge strategy {strategy!r}")
@@ -180,7 +182,7 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
     empty_t = [F.lit(None).cast(types[c]).alias(_T + c) for c in columns] + [F.lit(None).cast("boolean").alias(_TP)]
     joined = _outer_join(t, s, tk, sk, strategy, empty_t)
 
-    now = F.current_timestamp()
+    now = F.lit(load_time) if load_time is not None else F.current_timestamp()
     created, processed = find_column(columns, CREATED_STAMP), find_column(columns, PROCESSED_STAMP)
     keep_on_update = {c.lower() for c in [*keys, *preserve]}
     post, pre = [], []

@@ -14,10 +14,10 @@ current together with its high-water mark by one log row.
 from __future__ import annotations
 
 import concurrent.futures as cf
+import datetime as _dt
 import traceback
 from collections.abc import Iterable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,7 +29,7 @@ from tidemark.functions.keys import repair_keys
 from tidemark.functions.predicates import is_delete
 from tidemark.functions.timestamps import parse_sink_columns
 from tidemark.operators.latest import latest_change
-from tidemark.operators.merge import ACTION, choose_strategy, merge
+from tidemark.operators.merge import choose_strategy, merge
 from tidemark.session import drop_path, stage_measured
 from tidemark.sinks.store import TableStore, new_run_id
 from tidemark.sources.csvscan import FOLDER_COLUMN, read_enum_csv, read_entity_csv
@@ -108,6 +108,18 @@ def _bucketing(cfg: LandingConfig, source: DataFrame, staged_bytes: int) -> tupl
     return key, n
 
 
+def _action_counts(spark: SparkSession, feed_path: str, source: DataFrame, flag: str | None) -> dict:
+    """Rows per merge action from the written change feed and the staged
+    change set (both small next to the stored table)."""
+    feed = {r["_change_type"]: r["n"] for r in spark.read.parquet(feed_path)
+            .groupBy("_change_type").agg(F.count(F.lit(1)).alias("n")).collect()}
+    markers = source.filter(is_delete(F.col(flag))).count() if flag else 0
+    src = source.count()
+    ins, upd, dele = feed.get("insert", 0), feed.get("update_postimage", 0), feed.get("delete", 0)
+    return {"insert": ins, "update": upd, "delete": dele, "ignore": markers - dele,
+            "unchanged": src - markers - ins - upd}
+
+
 def _stamp_new(df: DataFrame) -> DataFrame:
     now = F.current_timestamp()
     return df.withColumns({CREATED_STAMP: now, PROCESSED_STAMP: now})
@@ -166,17 +178,16 @@ def apply_changes(spark: SparkSession, cfg: LandingConfig, store: TableStore, ta
     strategy = choose_strategy(source_rows, staged_bytes, cfg.broadcast_source_rows, cfg.broadcast_source_bytes)
     # The staged source carries no partitioning, so against a bucketed target
     # only the source is exchanged (into the target's bucket count).
+    load_time = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     result = merge(store.read(table, current), source, cfg.key, cfg.delete_flag, cfg.excluded_meta,
-                   cfg.ignored_compare, strategy=strategy, stamp=cfg.stamp_rows)
-    # Three outputs read the joined frame: keep it (recomputable from lineage).
-    actions = result.actions.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        snapshot = store.write_snapshot(table, result.state, run_id, current.bucket_key, current.buckets)
-        feed = store.write_changes(table, result.changes, run_id)
-        counts = {r[ACTION]: r["rows"] for r in result.action_counts().collect()}
-    finally:
-        actions.unpersist()
-    rows_after = sum(counts.get(a, 0) for a in ("keep", "unchanged", "update", "insert"))
+                   cfg.ignored_compare, strategy=strategy, stamp=cfg.stamp_rows, load_time=load_time)
+    # Two passes over the join instead of caching it (the cache would hold
+    # both images of every stored row): the new state, then the change feed,
+    # which only holds changed keys.  Counts come from the feed and the source.
+    snapshot = store.write_snapshot(table, result.state, run_id, current.bucket_key, current.buckets)
+    feed = store.write_changes(table, result.changes, run_id)
+    counts = _action_counts(spark, feed, source, flag)
+    rows_after = spark.read.parquet(snapshot).count()
     store.commit(table, snapshot, folder_to if folder_to is not None else current.lastload, run_id,
                  "merge", rows_after, feed, current.buckets, current.bucket_key)
     drop_path(spark, staged_path)
