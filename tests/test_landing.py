@@ -62,3 +62,15 @@ def test_listing_only_new_folders(spark, tmp_dir):
     files = landing_files(spark, tmp_dir, ["2024-01-03T00.00.00Z"])
     assert sorted(r["file_name"] for r in files.collect()) == ["c.csv", "g.csv"]
     assert files.first()["folder"] == "2024-01-03T00.00.00Z"
+
+
+def test_current_all_reads_log_once(spark, tmp_dir):
+    from tidemark.sinks.store import TableStore
+    store = TableStore(spark, tmp_dir)
+    store.commit("a", "/p/a1", "f1", "r1", "replace", 1)
+    store.commit("a", "/p/a2", "f2", "r2", "merge", 1)
+    store.commit("b", "/p/b1", "f9", "r3", "replace", 1)
+    got = {t: (s.path, s.lastload) for t, s in store.current_all().items()}
+    assert got == {"a": ("/p/a2", "f2"), "b": ("/p/b1", "f9")}
+    assert set(store.current_all(["b", "zz"])) == {"b"}
+    assert store.current("a").lastload == "f2" and store.current("zz") is None

@@ -60,7 +60,8 @@ def plan_tables(spark: SparkSession, cfg: LandingConfig, store: TableStore,
     """
     tables = list(tables)
     latest = changelog_head(spark, cfg.changelog_path)
-    marks = {t: (None if reload else store.watermark(t)) for t in tables}
+    snaps = {} if reload else store.current_all(tables)
+    marks = {t: (snaps[t].lastload if t in snaps else None) for t in tables}
     out: dict[str, list[tuple[str, str]]] = {t: [] for t in tables}
     folders = candidate_folders(spark, cfg.landing_root, marks, latest)
     if not folders:

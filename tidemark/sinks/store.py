@@ -84,6 +84,19 @@ class TableStore:
         r = rows[0]
         return Snapshot(table, r["snapshot"], r["lastload"], r["run_id"], r["buckets"], r["bucket_key"])
 
+    def current_all(self, tables=None) -> dict[str, Snapshot]:
+        """Latest committed snapshot of every table (or of ``tables``) from one
+        read of the whole load log: one job however many tables there are."""
+        log = self.log()
+        if tables is not None:
+            log = log.filter(F.col("table").isin(*list(tables)))
+        rows = (log.groupBy("table")
+                .agg(F.max_by(F.struct("snapshot", "lastload", "run_id", "buckets", "bucket_key"),
+                              F.struct("_sysProcessDateTime", "run_id")).alias("r"))
+                .select("table", "r.*").collect())
+        return {r["table"]: Snapshot(r["table"], r["snapshot"], r["lastload"], r["run_id"],
+                                     r["buckets"], r["bucket_key"]) for r in rows if r["snapshot"]}
+
     def exists(self, table: str) -> bool:
         return self.current(table) is not None
 
