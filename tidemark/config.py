@@ -66,6 +66,9 @@ class LandingConfig:
     broadcast_source_bytes: int = 256 * 1024 * 1024
     # Enum lookup rows at or under which decoding broadcasts the lookup.
     broadcast_enum_rows: int = 1_000_000
+    # Export files at or above this size are read split by split (records
+    # found by a parallel quote-parity scan) instead of one task per file.
+    split_file_bytes: int = 512 * 1024 * 1024
     # Write load-time stamps into stored rows.
     stamp_rows: bool = True
     # Store single-key tables bucketed by the key (merges then exchange only

@@ -51,8 +51,8 @@ def _run_row(table: str, status: str, **kw) -> dict:
 
 
 def plan_tables(spark: SparkSession, cfg: LandingConfig, store: TableStore,
-                tables: Iterable[str], reload: bool = False) -> dict[str, list[tuple[str, str]]]:
-    """Files to load per table: ``{table: [(folder, path), ...]}``.
+                tables: Iterable[str], reload: bool = False) -> dict[str, list[tuple[str, str, int]]]:
+    """Files to load per table: ``{table: [(folder, path, bytes), ...]}``.
 
     One listing of the landing tree and one job for all tables.  The result
     names files (metadata), not rows, so collecting it is bounded by the file
@@ -62,20 +62,21 @@ def plan_tables(spark: SparkSession, cfg: LandingConfig, store: TableStore,
     latest = changelog_head(spark, cfg.changelog_path)
     snaps = {} if reload else store.current_all(tables)
     marks = {t: (snaps[t].lastload if t in snaps else None) for t in tables}
-    out: dict[str, list[tuple[str, str]]] = {t: [] for t in tables}
+    out: dict[str, list[tuple[str, str, int]]] = {t: [] for t in tables}
     folders = candidate_folders(spark, cfg.landing_root, marks, latest)
     if not folders:
         return out
     plan = plan_loads(landing_files(spark, cfg.landing_root, folders), marks, latest, tables=tables)
     for r in plan.collect():
-        out[r["table"]].append((r["folder"], r["path"]))
+        out[r["table"]].append((r["folder"], r["path"], r["length"]))
     return out
 
 
 def read_changes(spark: SparkSession, cfg: LandingConfig, table: str, paths: list[str],
-                 enums: DataFrame | None) -> DataFrame:
-    """Scan the CSV files of one table, then ``prepare_changes``."""
-    rows = read_entity_csv(spark, paths, table_schema(spark, cfg, table))
+                 enums: DataFrame | None, large_paths: Iterable[str] = ()) -> DataFrame:
+    """Scan the CSV files of one table (``large_paths`` split-wise), then
+    ``prepare_changes``."""
+    rows = read_entity_csv(spark, paths, table_schema(spark, cfg, table), large_paths=list(large_paths))
     return prepare_changes(rows, cfg, table, enums)
 
 
@@ -139,9 +140,10 @@ def ingest_table(spark: SparkSession, cfg: LandingConfig, table: str, reload: bo
         files = plan_tables(spark, cfg, store, [table], reload)[table]
     if not files:
         return _run_row(table, "skipped")
-    folders = sorted({f for f, _ in files})
-    paths = [p for _, p in files]
-    changes = read_changes(spark, cfg, table, paths, enum_table(store))
+    folders = sorted({f[0] for f in files})
+    paths = [f[1] for f in files]
+    large = [f[1] for f in files if len(f) > 2 and f[2] is not None and f[2] >= cfg.split_file_bytes]
+    changes = read_changes(spark, cfg, table, paths, enum_table(store), large)
     return apply_changes(spark, cfg, store, table, changes, folders[0], folders[-1], len(paths), reload)
 
 

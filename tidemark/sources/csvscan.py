@@ -48,19 +48,32 @@ def cast_text_columns(df: DataFrame, schema: StructType) -> DataFrame:
 
 
 def read_entity_csv(spark: SparkSession, paths: Sequence[str] | str, schema: StructType,
-                    with_folder: bool = True) -> DataFrame:
+                    with_folder: bool = True, large_paths: Sequence[str] = ()) -> DataFrame:
     """A1: read change rows with the model schema.
 
-    ``paths`` are files (or globs).  With ``with_folder`` the landing folder
-    of each row (second-to-last parent folder) is added as ``_folder``.
+    ``paths`` are files (or globs).  Files in ``large_paths`` are read split
+    by split (``splitcsv``) instead of one task per file; the rows are the
+    same.  With ``with_folder`` the landing folder of each row
+    (second-to-last parent folder) is added as ``_folder``.
     """
-    df = spark.read.options(**ENTITY_CSV_OPTIONS).schema(_as_text(schema)).csv(
-        list(paths) if not isinstance(paths, str) else paths)
+    from tidemark.sources.splitcsv import read_split_csv
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    large = [p for p in paths if p in set(large_paths)]
+    small = [p for p in paths if p not in set(large)]
+    text = _as_text(schema)
+    parts = []
+    if small:
+        df = spark.read.options(**ENTITY_CSV_OPTIONS).schema(text).csv(small)
+        parts.append(df.withColumn("_source_path", F.col("_metadata.file_path")))
+    if large:
+        parts.append(read_split_csv(spark, large, text))
+    df = parts[0]
+    for p in parts[1:]:
+        df = df.unionByName(p)
     df = cast_text_columns(df, schema)
     if with_folder:
-        parts = F.split(F.col("_metadata.file_path"), "/")
-        df = df.withColumn(FOLDER_COLUMN, F.element_at(parts, -3))
-    return df
+        df = df.withColumn(FOLDER_COLUMN, F.element_at(F.split(F.col("_source_path"), "/"), -3))
+    return df.drop("_source_path")
 
 
 def read_enum_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -124,7 +124,7 @@ def plan_loads(files: DataFrame, marks: DataFrame | Mapping[str, str | None] | N
         m = files.sparkSession.createDataFrame(rows, "table STRING, lastload STRING")
         f = f.join(F.broadcast(m), "table", "left")
     return (f.filter(folder_is_open(F.col("folder"), F.col("lastload"), latest))
-            .select("table", "folder", "path"))
+            .select("table", "folder", "path", *(["length"] if "length" in files.columns else [])))
 
 
 def changelog_head(spark: SparkSession, path: str) -> str | None:

@@ -1,0 +1,137 @@
+"""Splittable scan of large export CSV files.
+
+A multi-line CSV file cannot be cut at an arbitrary line break: a quoted
+value may contain row separators.  Read whole, one file is one task, so a
+file holding a third of the rows would be one straggler.  This scan reads
+such files split by split and finds the record boundaries in parallel:
+
+1. read lines (``\\r\\n`` separated) split-wise; per line the parity of its
+   quote characters (doubled quotes count twice, so they cancel);
+2. per split, in scan order (vectorized per Arrow batch): total parity, and
+   for either possible quote state at the split start, the last line that
+   would start a record;
+3. per file, over its splits ordered by offset (a tiny table): the actual
+   quote state at each split start (prefix XOR) and the record still open
+   there (last record start of the earlier splits);
+4. per line: the record it belongs to.  A line starting and ending outside
+   quotes is a whole record and is parsed in place; only lines of multi-line
+   records are grouped (by record, bounded by that record's size) and joined
+   with the separator they were split on;
+5. ``from_csv`` parses each record with the same options as the file reader.
+
+Rows come out as the file reader produces them (same NULL, trimming and
+short/extra-field behavior); empty lines outside quotes are skipped, as the
+reader does.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator, Sequence
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+SEP = "\r\n"
+PARSE_OPTIONS = {"quote": '"', "escape": '"', "ignoreTrailingWhiteSpace": "true", "mode": "PERMISSIVE"}
+SUMMARY_DDL = "f STRING, b BIGINT, p INT, l0 BIGINT, l1 BIGINT"
+LINE_DDL = "value STRING, f STRING, i BIGINT, k BIGINT, single BOOLEAN"
+
+
+def _lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    return (spark.read.option("lineSep", SEP).text(list(paths))
+            .select("value", F.col("_metadata.file_path").alias("f"),
+                    F.col("_metadata.file_block_start").alias("b"),
+                    F.monotonically_increasing_id().alias("i"),
+                    (quotes % 2).cast("int").alias("q")))
+
+
+def _runs(pdf: pd.DataFrame):
+    """Consecutive row ranges of one split (scan order is kept)."""
+    key = pdf["f"].astype(str) + "\x00" + pdf["b"].astype(str)
+    cut = np.flatnonzero(key.to_numpy()[1:] != key.to_numpy()[:-1]) + 1
+    bounds = np.concatenate([[0], cut, [len(pdf)]])
+    for s, e in zip(bounds[:-1], bounds[1:]):
+        yield s, e
+
+
+def _summaries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    acc: dict[tuple, list] = {}        # (f, b) -> [parity, last start if state 0, if state 1]
+    order: list[tuple] = []
+    for pdf in batches:
+        for s, e in _runs(pdf):
+            g = pdf.iloc[s:e]
+            q, i = g["q"].to_numpy(), g["i"].to_numpy()
+            before = (np.cumsum(q) - q) % 2                      # parity of earlier lines in this run
+            last = [i[before == st].max() if (before == st).any() else None for st in (0, 1)]
+            k = (g["f"].iat[0], int(g["b"].iat[0]))
+            if k not in acc:
+                acc[k] = [0, None, None]
+                order.append(k)
+            p0, a0, a1 = acc[k]
+            # a start state st at the split start is st ^ p0 at this run's start
+            for st in (0, 1):
+                run_last = last[st ^ p0]
+                if run_last is not None:
+                    acc[k][1 + st] = int(run_last)
+            acc[k][0] = (p0 + int(q.sum())) % 2
+    if order:
+        yield pd.DataFrame([(f, b, *acc[(f, b)]) for f, b in order], columns=["f", "b", "p", "l0", "l1"])
+
+
+def _assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    state: dict[tuple, tuple] = {}     # (f, b) -> (quote state, open record) carried across batches
+    for pdf in batches:
+        out_k = np.empty(len(pdf), dtype=object)
+        out_single = np.zeros(len(pdf), dtype=bool)
+        for s, e in _runs(pdf):
+            g = pdf.iloc[s:e]
+            k = (g["f"].iat[0], int(g["b"].iat[0]))
+            st0, open_rec = state.get(k, (int(g["start"].iat[0]), g["carried"].iat[0]))
+            q, i = g["q"].to_numpy(), g["i"].to_numpy()
+            before = (st0 + np.cumsum(q) - q) % 2
+            after = (before + q) % 2
+            starts = before == 0
+            rec = pd.Series(np.where(starts, i, np.nan)).ffill().to_numpy()
+            if open_rec is not None and not pd.isna(open_rec):
+                rec = np.where(np.isnan(rec), float(open_rec), rec)
+            out_k[s:e] = [None if np.isnan(x) else int(x) for x in rec]
+            out_single[s:e] = starts & (after == 0)
+            last_open = rec[-1] if len(rec) and not np.isnan(rec[-1]) else open_rec
+            state[k] = (int(after[-1]) if len(after) else st0, last_open)
+        yield pd.DataFrame({"value": pdf["value"], "f": pdf["f"], "i": pdf["i"],
+                            "k": pd.array([None if x is None else x for x in out_k], dtype="Int64"),
+                            "single": out_single})
+
+
+def read_split_csv(spark: SparkSession, paths: Sequence[str], text_schema: StructType,
+                   broadcast_splits: int = 500_000) -> DataFrame:
+    """Rows of the given CSV files (``text_schema``: the reader schema), plus
+    ``_source_path``.  See the module doc for the method."""
+    lines = _lines(spark, paths)
+    summary = lines.select("f", "b", "i", "q").mapInPandas(_summaries, SUMMARY_DDL)
+    w = Window.partitionBy("f").orderBy("b")
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    splits = (summary.groupBy("f", "b")          # a split may span several scan tasks' batches: never, but be safe
+              .agg(F.first("p").alias("p"), F.first("l0").alias("l0"), F.first("l1").alias("l1"))
+              .withColumn("start", (F.coalesce(F.sum("p").over(before), F.lit(0)) % 2).cast("int")))
+    splits = splits.withColumn("own", F.when(F.col("start") == 0, F.col("l0")).otherwise(F.col("l1")))
+    splits = splits.withColumn("carried", F.last("own", ignorenulls=True).over(before)).select(
+        "f", "b", "start", "carried")
+    n_splits = splits.count()
+    side = F.broadcast(splits) if n_splits <= broadcast_splits else splits
+    tagged = (lines.join(side, ["f", "b"], "left")
+              .select("value", "f", "b", "i", "q", "start", "carried")
+              .mapInPandas(_assign, LINE_DDL))
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in text_schema.fields)
+    whole = (tagged.filter(F.col("single") & (F.col("value") != ""))
+             .select(F.from_csv("value", ddl, PARSE_OPTIONS).alias("r"), F.col("f").alias("_source_path")))
+    multi = (tagged.filter(~F.col("single") & F.col("k").isNotNull())
+             .groupBy("f", "k")
+             .agg(F.sort_array(F.collect_list(F.struct("i", "value"))).alias("parts"))
+             .select(F.from_csv(F.array_join(F.expr("transform(parts, x -> x.value)"), SEP), ddl,
+                                PARSE_OPTIONS).alias("r"), F.col("f").alias("_source_path")))
+    return whole.unionByName(multi).select("r.*", "_source_path")
