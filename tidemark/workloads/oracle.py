@@ -296,5 +296,7 @@ def oracle() -> dict[str, str]:
             f"SELECT * FROM ({_customer('CASE WHEN p.c_acctbal >= 0 THEN p.c_name END')}) v "
             "WHERE NOT coalesce(customername <> '', false)"),
         "csv_round_trip": "SELECT doc_id, text, lang, source, n_chars FROM documents",
+        "csv_split_scan": ("SELECT doc_id, replace(text, chr(10), chr(13) || chr(10)) AS text, lang, source, "
+                           "n_chars FROM documents"),
         "ingest_two_runs": TWO_RUNS,
     }

@@ -261,6 +261,17 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_entity_csv(spark, f"{path}/*.csv", docs.schema, with_folder=False)
 
 
+def csv_split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents exported with CRLF line breaks inside the texts (multi-line
+    records), read back through the splittable large-file scan."""
+    docs = d.table(spark, sf_dir, "documents")
+    crlf = docs.withColumn("text", F.regexp_replace("text", "\n", "\r\n"))
+    path = scratch_path(spark, "csv-split-scan")
+    write_entity_csv(crlf, path)
+    files = f"{path}/*.csv"
+    return read_entity_csv(spark, [files], docs.schema, with_folder=False, large_paths=[files])
+
+
 # --- M1-M6 end to end -------------------------------------------------------
 def ingest_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.workloads.flagship import two_run_load
@@ -295,6 +306,7 @@ QUERIES = {
     "invoice_line_profile": invoice_line_profile_q,
     "name_check_violations": name_check_violations,
     "csv_round_trip": csv_round_trip,
+    "csv_split_scan": csv_split_scan,
     "ingest_two_runs": ingest_two_runs,
 }
 
