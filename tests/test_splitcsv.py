@@ -29,8 +29,8 @@ def make_file(path, n, seed):
         f.write(("\r\n".join(rows) + "\r\n").encode())
 
 
-@pytest.mark.parametrize("split_bytes", [257, 4096])
-def test_split_scan_equals_whole_file_reader(spark, tmp_dir, split_bytes):
+@pytest.mark.parametrize("split_bytes,broadcast_splits", [(257, 500_000), (4096, 500_000), (257, 0)])
+def test_split_scan_equals_whole_file_reader(spark, tmp_dir, split_bytes, broadcast_splits):
     for k in range(3):
         make_file(f"{tmp_dir}/f{k}.csv", 700, seed=k)
     paths = [f"{tmp_dir}/f{k}.csv" for k in range(3)]
@@ -42,7 +42,7 @@ def test_split_scan_equals_whole_file_reader(spark, tmp_dir, split_bytes):
         from tidemark.sources.splitcsv import _lines
         if split_bytes < 1000:
             assert _lines(spark, paths).select("f", "b").distinct().count() > 100   # records cross splits
-        df = read_split_csv(spark, paths, SCHEMA)
+        df = read_split_csv(spark, paths, SCHEMA, broadcast_splits=broadcast_splits)
         got = sorted((tuple(r[:3]) for r in df.collect()), key=repr)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)

@@ -71,8 +71,8 @@ def _summaries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if k not in acc:
                 acc[k] = [0, None, None]
                 order.append(k)
-            p0, a0, a1 = acc[k]
-            # a start state st at the split start is st ^ p0 at this run's start
+            p0 = acc[k][0]
+            # a quote state st at the split start is st ^ p0 at this run's start
             for st in (0, 1):
                 run_last = last[st ^ p0]
                 if run_last is not None:
@@ -115,16 +115,19 @@ def read_split_csv(spark: SparkSession, paths: Sequence[str], text_schema: Struc
     summary = lines.select("f", "b", "i", "q").mapInPandas(_summaries, SUMMARY_DDL)
     w = Window.partitionBy("f").orderBy("b")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
-    splits = (summary.groupBy("f", "b")          # a split may span several scan tasks' batches: never, but be safe
-              .agg(F.first("p").alias("p"), F.first("l0").alias("l0"), F.first("l1").alias("l1"))
-              .withColumn("start", (F.coalesce(F.sum("p").over(before), F.lit(0)) % 2).cast("int")))
+    # one summary row per split (a split is read by exactly one scan task)
+    splits = summary.withColumn("start", (F.coalesce(F.sum("p").over(before), F.lit(0)) % 2).cast("int"))
     splits = splits.withColumn("own", F.when(F.col("start") == 0, F.col("l0")).otherwise(F.col("l1")))
     splits = splits.withColumn("carried", F.last("own", ignorenulls=True).over(before)).select(
         "f", "b", "start", "carried")
     n_splits = splits.count()
-    side = F.broadcast(splits) if n_splits <= broadcast_splits else splits
-    tagged = (lines.join(side, ["f", "b"], "left")
-              .select("value", "f", "b", "i", "q", "start", "carried")
+    if n_splits <= broadcast_splits:
+        # broadcast join: each scan task keeps its lines in scan order
+        joined = lines.join(F.broadcast(splits), ["f", "b"], "left")
+    else:
+        # shuffle join: all lines of a split meet in one task; restore line order
+        joined = lines.join(splits, ["f", "b"], "left").sortWithinPartitions("f", "b", "i")
+    tagged = (joined.select("value", "f", "b", "i", "q", "start", "carried")
               .mapInPandas(_assign, LINE_DDL))
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in text_schema.fields)
     whole = (tagged.filter(F.col("single") & (F.col("value") != ""))
