@@ -51,8 +51,9 @@ _TP, _SP = "__t_present", "__s_present"
 @dataclass
 class MergeResult:
     """Lazy outputs of one merge.  ``actions`` holds one row per joined key
-    with both images and ``_action``; persist it when more than one output
-    is materialized."""
+    with both images and ``_action``; ``state`` and ``changes`` are separate
+    projections of it (the load job writes them as two passes rather than
+    caching a frame twice the table's width)."""
 
     actions: DataFrame
     columns: list[str]

@@ -2,9 +2,10 @@
 
 The landing root holds timestamp-named export folders, each with one
 sub-folder per table holding CSV files.  Instead of one storage call per
-folder and table, the whole tree is listed once as a DataFrame of file paths
-and every planning rule is a filter / aggregate over it, for all tables in
-one job.  Folder names compare as strings; both bounds are strict: a folder
+folder and table, the root's folder names are read once, the folders that
+can still hold unloaded files are kept, and only those are listed (in
+parallel) as a DataFrame of file paths; every planning rule is a filter /
+join over it, for all tables in one job.  Folder names compare as strings; both bounds are strict: a folder
 equal to the high-water mark was loaded, and the folder named by the
 changelog is still being written.
 """
