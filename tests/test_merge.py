@@ -113,3 +113,19 @@ def test_bucketed_target_is_not_exchanged(spark, tmp_dir):
     assert "Exchange hashpartitioning(__t_RECID" not in plan      # only the change set moves
     state = {r["RECID"]: r["a"] for r in res.state.collect()}
     assert len(state) == 5002 and state[1] == 9 and state[7000] == 1 and state[None] == 1
+
+
+def test_broadcast_merge_writes_one_insert_file_per_bucket(spark, tmp_dir):
+    import glob
+    from tidemark.sinks.store import TableStore
+    store = TableStore(spark, tmp_dir)
+    t = spark.range(0, 4000).select(F.col("id").alias("RECID"), F.lit("x").alias("v"))
+    path = store.write_snapshot("t", t.repartition(4, "RECID"), "r1", "RECID", 4)
+    store.commit("t", path, "f1", "r1", "replace", 4000, None, 4, "RECID")
+    src = spark.range(10000, 12000).select(F.col("id").alias("RECID"), F.lit("y").alias("v"),
+                                           F.lit(None).cast("boolean").alias("IsDelete")).repartition(16)
+    res = merge(store.read("t"), src, ["RECID"], strategy="broadcast", buckets=4)
+    out = store.write_snapshot("t", res.state, "r2", "RECID", 4)
+    files = glob.glob(out.replace("file:", "") + "/*.parquet")
+    assert len(files) <= 2 * 4 + 1                 # target side + inserts (+ NULL-key branch), per bucket
+    assert spark.read.parquet(out).count() == 6000

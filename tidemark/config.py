@@ -77,7 +77,7 @@ class LandingConfig:
     bucketed: bool = True
     buckets: int = 0
     bucket_bytes: int = 128 * 1024 * 1024
-    max_buckets: int = 16384
+    max_buckets: int = 65536
 
     @property
     def model_path(self) -> str:

@@ -96,7 +96,7 @@ def _conjunction(conds):
 
 
 def _outer_join(t: DataFrame, s: DataFrame, tk: list[str], sk: list[str], strategy: str,
-                empty_t: list[Column]) -> DataFrame:
+                empty_t: list[Column], buckets: int | None = None) -> DataFrame:
     """Full outer join of target and source on the key, NULL keys matching.
 
     Rows whose key has no NULL are joined with plain equality, so a target
@@ -118,6 +118,9 @@ def _outer_join(t: DataFrame, s: DataFrame, tk: list[str], sk: list[str], strate
             matched_side = tp.join(F.broadcast(sp), cond, "left_outer")
             matched_keys = tp.select(*tk).join(F.broadcast(sp.select(*sk)), cond, "left_semi")
             s_only = sp.join(F.broadcast(matched_keys), cond, "left_anti")
+            if buckets:
+                # inserts follow the stored bucket layout: one file per bucket
+                s_only = s_only.repartition(int(buckets), *[F.col(c) for c in sk])
             j = matched_side.unionByName(s_only.select(*empty_t, *sp.columns))
         out = j if out is None else out.unionByName(j)
     return out
@@ -142,7 +145,7 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
           ignored: Sequence[str] = IGNORED_COMPARE_COLUMNS,
           preserve: Sequence[str] = (CREATED_STAMP,),
           strategy: str = "shuffle",
-          stamp: bool = False, load_time=None) -> MergeResult:
+          stamp: bool = False, load_time=None, buckets: int | None = None) -> MergeResult:
     """Plan the merge of ``source`` (one row per key) into ``target``.
 
     ``strategy`` is ``shuffle`` or ``broadcast``; choose ``broadcast`` only
@@ -151,6 +154,8 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
     afterwards) and ``_sysProcessedDateTime`` (set on every written row);
     ``load_time`` (a datetime) makes the stamp a literal, so separate passes
     over the merge, and recomputed partitions, stamp identically.
+    ``buckets``: bucket count of a target stored bucketed by the key; the
+    broadcast strategy then lays inserted rows out by bucket as well.
     """
     if strategy not in ("shuffle", "broadcast"):
         raise ValueError(f"unknown merge strategy {strategy!r}")
@@ -181,7 +186,7 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
               .otherwise("unchanged"))
 
     empty_t = [F.lit(None).cast(types[c]).alias(_T + c) for c in columns] + [F.lit(None).cast("boolean").alias(_TP)]
-    joined = _outer_join(t, s, tk, sk, strategy, empty_t)
+    joined = _outer_join(t, s, tk, sk, strategy, empty_t, buckets)
 
     now = F.lit(load_time) if load_time is not None else F.current_timestamp()
     created, processed = find_column(columns, CREATED_STAMP), find_column(columns, PROCESSED_STAMP)

@@ -183,7 +183,8 @@ def apply_changes(spark: SparkSession, cfg: LandingConfig, store: TableStore, ta
     # only the source is exchanged (into the target's bucket count).
     load_time = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     result = merge(store.read(table, current), source, cfg.key, cfg.delete_flag, cfg.excluded_meta,
-                   cfg.ignored_compare, strategy=strategy, stamp=cfg.stamp_rows, load_time=load_time)
+                   cfg.ignored_compare, strategy=strategy, stamp=cfg.stamp_rows, load_time=load_time,
+                   buckets=current.buckets)
     # Two passes over the join instead of caching it (the cache would hold
     # both images of every stored row): the new state, then the change feed,
     # which only holds changed keys.  Counts come from the feed and the source.
