@@ -128,7 +128,7 @@ def _stamp_new(df: DataFrame) -> DataFrame:
 
 
 def ingest_table(spark: SparkSession, cfg: LandingConfig, table: str, reload: bool = False,
-                 store: TableStore | None = None, files: list[tuple[str, str]] | None = None) -> dict:
+                 store: TableStore | None = None, files: list[tuple] | None = None) -> dict:
     """M1/M2: load one table; returns its run-log row (a dict).
 
     ``reload`` ignores the high-water mark, reads every closed folder and
@@ -159,6 +159,15 @@ def apply_changes(spark: SparkSession, cfg: LandingConfig, store: TableStore, ta
     merge into the stored table, and commit snapshot + high-water mark."""
     current = None if reload else store.current(table)
     source, staged_path, source_rows, staged_bytes = stage_measured(changes, f"{table}-changes")
+    try:
+        return _replace_or_merge(spark, cfg, store, table, current, source, source_rows, staged_bytes,
+                                 folder_from, folder_to, files)
+    finally:
+        drop_path(spark, staged_path)
+
+
+def _replace_or_merge(spark, cfg, store, table, current, source, source_rows, staged_bytes,
+                      folder_from, folder_to, files) -> dict:
     flag = find_column(source, cfg.delete_flag)
     run_id = new_run_id()
     common = dict(folder_from=folder_from, folder_to=folder_to, files=files,
@@ -174,7 +183,6 @@ def apply_changes(spark: SparkSession, cfg: LandingConfig, store: TableStore, ta
         snapshot = store.write_snapshot(table, state, run_id, bucket_key, buckets)
         rows_after = spark.read.parquet(snapshot).count()
         store.commit(table, snapshot, folder_to, run_id, "replace", rows_after, None, buckets, bucket_key)
-        drop_path(spark, staged_path)
         return _run_row(table, "loaded", strategy="replace", inserted=rows_after,
                         rows_after=rows_after, **common)
 
@@ -194,7 +202,6 @@ def apply_changes(spark: SparkSession, cfg: LandingConfig, store: TableStore, ta
     rows_after = spark.read.parquet(snapshot).count()
     store.commit(table, snapshot, folder_to if folder_to is not None else current.lastload, run_id,
                  "merge", rows_after, feed, current.buckets, current.bucket_key)
-    drop_path(spark, staged_path)
     return _run_row(table, "merged", strategy=strategy, inserted=counts.get("insert", 0),
                     updated=counts.get("update", 0), deleted=counts.get("delete", 0),
                     unchanged=counts.get("unchanged", 0), ignored=counts.get("ignore", 0),
