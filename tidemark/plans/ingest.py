@@ -210,7 +210,7 @@ def _replace_or_merge(spark, cfg, store, table, current, source, source_rows, st
 
 def ingest_all(spark: SparkSession, cfg: LandingConfig, config: DataFrame,
                processing_group: str | None = None, table_names=None, reload: bool = False,
-               parallelism: int = 1) -> DataFrame:
+               parallelism: int = 4) -> DataFrame:
     """M3/M4/M5: load every selected table; a failure is recorded, not raised.
 
     Tables are independent Spark jobs; with ``parallelism`` > 1 they are
