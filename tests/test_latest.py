@@ -31,3 +31,31 @@ def test_partial_top1_before_shuffle(spark):
     df = spark.range(0, 1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
     plan = latest_version(df, ["k"], ["v"])._jdf.queryExecution().executedPlan().toString()
     assert "Partial" in plan and "WindowGroupLimit" in plan
+
+
+def _shuffle_records(df):
+    """Records written by the exchanges of an executed adaptive plan."""
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.finalPhysicalPlan() if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec" else plan
+    total, todo = 0, [plan]
+    while todo:
+        p = todo.pop()
+        if p.getClass().getSimpleName() == "ShuffleQueryStageExec":
+            p = p.plan()
+        if "Exchange" in p.getClass().getSimpleName() and p.metrics().contains("shuffleRecordsWritten"):
+            total += p.metrics().apply("shuffleRecordsWritten").value()
+        it = p.children().iterator()
+        while it.hasNext():
+            todo.append(it.next())
+    return total
+
+
+def test_hot_key_crosses_the_shuffle_once_per_map_task(spark):
+    """One key holds a third of the rows: each map task forwards one row of it."""
+    n, parts = 30000, 6
+    df = spark.range(0, n, 1, parts).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    out = latest_version(df, ["k"], ["v"])
+    out.write.format("noop").mode("overwrite").save()
+    assert _shuffle_records(out) == 2 * n // 3 + parts
+    assert out.filter(F.col("k") == 0).first()["v"] == n - 3
