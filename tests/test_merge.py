@@ -113,6 +113,10 @@ def test_bucketed_target_is_not_exchanged(spark, tmp_dir):
     assert "Exchange hashpartitioning(__t_RECID" not in plan      # only the change set moves
     state = {r["RECID"]: r["a"] for r in res.state.collect()}
     assert len(state) == 5002 and state[1] == 9 and state[7000] == 1 and state[None] == 1
+    from test_latest import _shuffle_records
+    out = res.state
+    out.write.format("noop").mode("overwrite").save()
+    assert _shuffle_records(out) <= 3 + 1          # the change set (+ the NULL-key row), not the 5000 stored rows
 
 
 def test_broadcast_merge_writes_one_insert_file_per_bucket(spark, tmp_dir):
