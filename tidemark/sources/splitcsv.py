@@ -28,8 +28,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -49,70 +47,79 @@ def _lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
                     (quotes % 2).cast("int").alias("q")))
 
 
-def _runs(pdf: pd.DataFrame):
-    """Consecutive row ranges of one split (scan order is kept)."""
-    key = pdf["f"].astype(str) + "\x00" + pdf["b"].astype(str)
-    cut = np.flatnonzero(key.to_numpy()[1:] != key.to_numpy()[:-1]) + 1
-    bounds = np.concatenate([[0], cut, [len(pdf)]])
-    for s, e in zip(bounds[:-1], bounds[1:]):
-        yield s, e
-
-
-def _summaries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    acc: dict[tuple, list] = {}        # (f, b) -> [parity, last start if state 0, if state 1]
-    order: list[tuple] = []
-    for pdf in batches:
-        for s, e in _runs(pdf):
-            g = pdf.iloc[s:e]
-            q, i = g["q"].to_numpy(), g["i"].to_numpy()
-            before = (np.cumsum(q) - q) % 2                      # parity of earlier lines in this run
-            last = [i[before == st].max() if (before == st).any() else None for st in (0, 1)]
-            k = (g["f"].iat[0], int(g["b"].iat[0]))
-            if k not in acc:
-                acc[k] = [0, None, None]
-                order.append(k)
-            p0 = acc[k][0]
-            # a quote state st at the split start is st ^ p0 at this run's start
-            for st in (0, 1):
-                run_last = last[st ^ p0]
-                if run_last is not None:
-                    acc[k][1 + st] = int(run_last)
-            acc[k][0] = (p0 + int(q.sum())) % 2
-    if order:
-        yield pd.DataFrame([(f, b, *acc[(f, b)]) for f, b in order], columns=["f", "b", "p", "l0", "l1"])
-
-
-def _assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    state: dict[tuple, tuple] = {}     # (f, b) -> (quote state, open record) carried across batches
-    for pdf in batches:
-        out_k = np.empty(len(pdf), dtype=object)
-        out_single = np.zeros(len(pdf), dtype=bool)
-        for s, e in _runs(pdf):
-            g = pdf.iloc[s:e]
-            k = (g["f"].iat[0], int(g["b"].iat[0]))
-            st0, open_rec = state.get(k, (int(g["start"].iat[0]), g["carried"].iat[0]))
-            q, i = g["q"].to_numpy(), g["i"].to_numpy()
-            before = (st0 + np.cumsum(q) - q) % 2
-            after = (before + q) % 2
-            starts = before == 0
-            rec = pd.Series(np.where(starts, i, np.nan)).ffill().to_numpy()
-            if open_rec is not None and not pd.isna(open_rec):
-                rec = np.where(np.isnan(rec), float(open_rec), rec)
-            out_k[s:e] = [None if np.isnan(x) else int(x) for x in rec]
-            out_single[s:e] = starts & (after == 0)
-            last_open = rec[-1] if len(rec) and not np.isnan(rec[-1]) else open_rec
-            state[k] = (int(after[-1]) if len(after) else st0, last_open)
-        yield pd.DataFrame({"value": pdf["value"], "f": pdf["f"], "i": pdf["i"],
-                            "k": pd.array([None if x is None else x for x in out_k], dtype="Int64"),
-                            "single": out_single})
+def _batch_functions():
+    """The per-batch steps, built as closures: cloudpickle ships closures by
+    value, so Python workers need no access to this package."""
+    import numpy as np
+    import pandas as pd
+
+    def _runs(pdf: pd.DataFrame):
+        """Consecutive row ranges of one split (scan order is kept)."""
+        key = pdf["f"].astype(str) + "\x00" + pdf["b"].astype(str)
+        cut = np.flatnonzero(key.to_numpy()[1:] != key.to_numpy()[:-1]) + 1
+        bounds = np.concatenate([[0], cut, [len(pdf)]])
+        for s, e in zip(bounds[:-1], bounds[1:]):
+            yield s, e
+
+
+    def _summaries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        acc: dict[tuple, list] = {}        # (f, b) -> [parity, last start if state 0, if state 1]
+        order: list[tuple] = []
+        for pdf in batches:
+            for s, e in _runs(pdf):
+                g = pdf.iloc[s:e]
+                q, i = g["q"].to_numpy(), g["i"].to_numpy()
+                before = (np.cumsum(q) - q) % 2                      # parity of earlier lines in this run
+                last = [i[before == st].max() if (before == st).any() else None for st in (0, 1)]
+                k = (g["f"].iat[0], int(g["b"].iat[0]))
+                if k not in acc:
+                    acc[k] = [0, None, None]
+                    order.append(k)
+                p0 = acc[k][0]
+                # a quote state st at the split start is st ^ p0 at this run's start
+                for st in (0, 1):
+                    run_last = last[st ^ p0]
+                    if run_last is not None:
+                        acc[k][1 + st] = int(run_last)
+                acc[k][0] = (p0 + int(q.sum())) % 2
+        if order:
+            yield pd.DataFrame([(f, b, *acc[(f, b)]) for f, b in order], columns=["f", "b", "p", "l0", "l1"])
+
+
+    def _assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        state: dict[tuple, tuple] = {}     # (f, b) -> (quote state, open record) carried across batches
+        for pdf in batches:
+            out_k = np.empty(len(pdf), dtype=object)
+            out_single = np.zeros(len(pdf), dtype=bool)
+            for s, e in _runs(pdf):
+                g = pdf.iloc[s:e]
+                k = (g["f"].iat[0], int(g["b"].iat[0]))
+                st0, open_rec = state.get(k, (int(g["start"].iat[0]), g["carried"].iat[0]))
+                q, i = g["q"].to_numpy(), g["i"].to_numpy()
+                before = (st0 + np.cumsum(q) - q) % 2
+                after = (before + q) % 2
+                starts = before == 0
+                rec = pd.Series(np.where(starts, i, np.nan)).ffill().to_numpy()
+                if open_rec is not None and not pd.isna(open_rec):
+                    rec = np.where(np.isnan(rec), float(open_rec), rec)
+                out_k[s:e] = [None if np.isnan(x) else int(x) for x in rec]
+                out_single[s:e] = starts & (after == 0)
+                last_open = rec[-1] if len(rec) and not np.isnan(rec[-1]) else open_rec
+                state[k] = (int(after[-1]) if len(after) else st0, last_open)
+            yield pd.DataFrame({"value": pdf["value"], "f": pdf["f"], "i": pdf["i"],
+                                "k": pd.array([None if x is None else x for x in out_k], dtype="Int64"),
+                                "single": out_single})
+
+    return _summaries, _assign
 
 
 def read_split_csv(spark: SparkSession, paths: Sequence[str], text_schema: StructType,
                    broadcast_splits: int = 500_000) -> DataFrame:
     """Rows of the given CSV files (``text_schema``: the reader schema), plus
     ``_source_path``.  See the module doc for the method."""
+    summaries, assign = _batch_functions()
     lines = _lines(spark, paths)
-    summary = lines.select("f", "b", "i", "q").mapInPandas(_summaries, SUMMARY_DDL)
+    summary = lines.select("f", "b", "i", "q").mapInPandas(summaries, SUMMARY_DDL)
     w = Window.partitionBy("f").orderBy("b")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     # one summary row per split (a split is read by exactly one scan task)
@@ -128,7 +135,7 @@ def read_split_csv(spark: SparkSession, paths: Sequence[str], text_schema: Struc
         # shuffle join: all lines of a split meet in one task; restore line order
         joined = lines.join(splits, ["f", "b"], "left").sortWithinPartitions("f", "b", "i")
     tagged = (joined.select("value", "f", "b", "i", "q", "start", "carried")
-              .mapInPandas(_assign, LINE_DDL))
+              .mapInPandas(assign, LINE_DDL))
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in text_schema.fields)
     whole = (tagged.filter(F.col("single") & (F.col("value") != ""))
              .select(F.from_csv("value", ddl, PARSE_OPTIONS).alias("r"), F.col("f").alias("_source_path")))
