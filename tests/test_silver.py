@@ -49,3 +49,18 @@ def test_invoice_join_and_line_profile(spark):
     assert len(out) == 1 and out[0]["line_currencycode"] == "USD" and out[0]["n"] == 1
     assert invoice_line_profile(l).columns == ["invoiceid", "invoicedate", "currencycode", "salesid", "n", "dataareaid"]
     assert invoice_line_profile(l, distinct_names=False).columns.count("invoiceid") == 2
+
+
+def test_silver_job_from_bronze_store(spark, tmp_dir):
+    from tidemark.plans.silver import build_silver_views
+    bronze, silver = TableStore(spark, f"{tmp_dir}/bronze"), TableStore(spark, f"{tmp_dir}/silver")
+    cust, group, party = frames(spark, [(1, "Ann"), (2, "Bob"), (3, "Cy")])
+    for name, df in (("custtable", cust), ("custgroup", group), ("dirpartytable", party)):
+        bronze.replace(name, df)
+    built = build_silver_views(spark, bronze, silver)
+    assert built["silver_sales_invoice"] is None                      # its bronze tables are absent
+    assert sorted(r["accountnum"] for r in silver.read("silver_customer").collect()) == ["A", "B"]
+    bronze.replace("dirpartytable", spark.createDataFrame([(1, None), (2, "Bob")], PARTY))
+    with pytest.raises(Exception, match="name_check"):
+        build_silver_views(spark, bronze, silver, refresh=True)
+    assert sorted(r["accountnum"] for r in silver.read("silver_customer").collect()) == ["A", "B"]  # unchanged

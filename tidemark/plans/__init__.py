@@ -3,5 +3,7 @@
 from tidemark.plans.ingest import (RUN_LOG_DDL, ingest_all, ingest_table, load_enums,
                                    plan_tables, read_changes, run_outcome)
 
-__all__ = ["RUN_LOG_DDL", "ingest_all", "ingest_table", "load_enums", "plan_tables",
+from tidemark.plans.silver import build_silver_views
+
+__all__ = ["build_silver_views", "RUN_LOG_DDL", "ingest_all", "ingest_table", "load_enums", "plan_tables",
            "read_changes", "run_outcome"]
