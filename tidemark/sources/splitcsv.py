@@ -13,10 +13,10 @@ such files split by split and finds the record boundaries in parallel:
 3. per file, over its splits ordered by offset (a tiny table): the actual
    quote state at each split start (prefix XOR) and the record still open
    there (last record start of the earlier splits);
-4. per line: the record it belongs to.  A line starting and ending outside
-   quotes is a whole record and is parsed in place; only lines of multi-line
-   records are grouped (by record, bounded by that record's size) and joined
-   with the separator they were split on;
+4. per line: the record it belongs to.  Records that start and end within
+   one scan run are joined in place (with the separator they were split
+   on); only lines of records crossing a split or batch boundary are grouped
+   by Spark (per record, bounded by that record's size);
 5. ``from_csv`` parses each record with the same options as the file reader.
 
 Rows come out as the file reader produces them (same NULL, trimming and
@@ -32,10 +32,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.session import stage
+
 SEP = "\r\n"
 PARSE_OPTIONS = {"quote": '"', "escape": '"', "ignoreTrailingWhiteSpace": "true", "mode": "PERMISSIVE"}
 SUMMARY_DDL = "f STRING, b BIGINT, p INT, l0 BIGINT, l1 BIGINT"
-LINE_DDL = "value STRING, f STRING, i BIGINT, k BIGINT, single BOOLEAN"
+LINE_DDL = "value STRING, f STRING, i BIGINT, k BIGINT, done BOOLEAN"
 
 
 def _lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -55,8 +57,8 @@ def _batch_functions():
 
     def _runs(pdf: pd.DataFrame):
         """Consecutive row ranges of one split (scan order is kept)."""
-        key = pdf["f"].astype(str) + "\x00" + pdf["b"].astype(str)
-        cut = np.flatnonzero(key.to_numpy()[1:] != key.to_numpy()[:-1]) + 1
+        f, b = pdf["f"].to_numpy(), pdf["b"].to_numpy()
+        cut = np.flatnonzero((f[1:] != f[:-1]) | (b[1:] != b[:-1])) + 1
         bounds = np.concatenate([[0], cut, [len(pdf)]])
         for s, e in zip(bounds[:-1], bounds[1:]):
             yield s, e
@@ -87,28 +89,41 @@ def _batch_functions():
 
 
     def _assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        state: dict[tuple, tuple] = {}     # (f, b) -> (quote state, open record) carried across batches
+        """Records that start and end inside one run are joined here; lines of
+        records crossing a run boundary are emitted as fragments keyed by the
+        record's first line, to be grouped by Spark."""
+        state: dict[tuple, tuple] = {}     # (f, b) -> (quote state, open record) across batches
         for pdf in batches:
-            out_k = np.empty(len(pdf), dtype=object)
-            out_single = np.zeros(len(pdf), dtype=bool)
+            out_v, out_f, out_i, out_k, out_done = [], [], [], [], []
+
+            def emit(values, f, ids, k, done):
+                out_v.extend(values)
+                out_f.extend([f] * len(values))
+                out_i.extend(ids)
+                out_k.extend([k] * len(values))
+                out_done.extend([done] * len(values))
+
             for s, e in _runs(pdf):
                 g = pdf.iloc[s:e]
-                k = (g["f"].iat[0], int(g["b"].iat[0]))
-                st0, open_rec = state.get(k, (int(g["start"].iat[0]), g["carried"].iat[0]))
-                q, i = g["q"].to_numpy(), g["i"].to_numpy()
+                f, b = g["f"].iat[0], int(g["b"].iat[0])
+                st0, open_rec = state.get((f, b), (int(g["start"].iat[0]), g["carried"].iat[0]))
+                q, i, vals = g["q"].to_numpy(), g["i"].to_numpy(), g["value"].to_numpy()
                 before = (st0 + np.cumsum(q) - q) % 2
                 after = (before + q) % 2
-                starts = before == 0
-                rec = pd.Series(np.where(starts, i, np.nan)).ffill().to_numpy()
-                if open_rec is not None and not pd.isna(open_rec):
-                    rec = np.where(np.isnan(rec), float(open_rec), rec)
-                out_k[s:e] = [None if np.isnan(x) else int(x) for x in rec]
-                out_single[s:e] = starts & (after == 0)
-                last_open = rec[-1] if len(rec) and not np.isnan(rec[-1]) else open_rec
-                state[k] = (int(after[-1]) if len(after) else st0, last_open)
-            yield pd.DataFrame({"value": pdf["value"], "f": pdf["f"], "i": pdf["i"],
-                                "k": pd.array([None if x is None else x for x in out_k], dtype="Int64"),
-                                "single": out_single})
+                first = np.flatnonzero(before == 0)               # lines that start a record
+                n = len(g)
+                lead = first[0] if len(first) else n              # lines continuing an earlier record
+                if lead and open_rec is not None and not pd.isna(open_rec):
+                    emit(list(vals[:lead]), f, list(i[:lead]), int(open_rec), False)
+                for a, z in zip(first, np.append(first[1:], n)):
+                    if z == n and after[-1] == 1:                 # still open at the run's end
+                        emit(list(vals[a:z]), f, list(i[a:z]), int(i[a]), False)
+                    else:
+                        emit(["\r\n".join(vals[a:z])], f, [int(i[a])], int(i[a]), True)
+                state[(f, b)] = (int(after[-1]) if n else st0, int(i[first[-1]]) if len(first) else open_rec)
+            yield pd.DataFrame({"value": pd.Series(out_v, dtype=object), "f": pd.Series(out_f, dtype=object),
+                                "i": pd.Series(out_i, dtype="int64"), "k": pd.Series(out_k, dtype="int64"),
+                                "done": pd.Series(out_done, dtype=bool)})
 
     return _summaries, _assign
 
@@ -127,6 +142,7 @@ def read_split_csv(spark: SparkSession, paths: Sequence[str], text_schema: Struc
     splits = splits.withColumn("own", F.when(F.col("start") == 0, F.col("l0")).otherwise(F.col("l1")))
     splits = splits.withColumn("carried", F.last("own", ignorenulls=True).over(before)).select(
         "f", "b", "start", "carried")
+    splits = stage(splits, "csv-splits")                    # tiny; computed once
     n_splits = splits.count()
     if n_splits <= broadcast_splits:
         # broadcast join: each scan task keeps its lines in scan order
@@ -137,11 +153,11 @@ def read_split_csv(spark: SparkSession, paths: Sequence[str], text_schema: Struc
     tagged = (joined.select("value", "f", "b", "i", "q", "start", "carried")
               .mapInPandas(assign, LINE_DDL))
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in text_schema.fields)
-    whole = (tagged.filter(F.col("single") & (F.col("value") != ""))
+    whole = (tagged.filter(F.col("done") & (F.col("value") != ""))
              .select(F.from_csv("value", ddl, PARSE_OPTIONS).alias("r"), F.col("f").alias("_source_path")))
-    multi = (tagged.filter(~F.col("single") & F.col("k").isNotNull())
-             .groupBy("f", "k")
-             .agg(F.sort_array(F.collect_list(F.struct("i", "value"))).alias("parts"))
-             .select(F.from_csv(F.array_join(F.expr("transform(parts, x -> x.value)"), SEP), ddl,
-                                PARSE_OPTIONS).alias("r"), F.col("f").alias("_source_path")))
-    return whole.unionByName(multi).select("r.*", "_source_path")
+    pieces = (tagged.filter(~F.col("done"))
+              .groupBy("f", "k")
+              .agg(F.sort_array(F.collect_list(F.struct("i", "value"))).alias("parts"))
+              .select(F.from_csv(F.array_join(F.expr("transform(parts, x -> x.value)"), SEP), ddl,
+                                 PARSE_OPTIONS).alias("r"), F.col("f").alias("_source_path")))
+    return whole.unionByName(pieces).select("r.*", "_source_path")
