@@ -164,6 +164,9 @@ LANDING_BASE = "/landing"
 
 
 def _listing(ev: DataFrame) -> DataFrame:
+    """A landing listing derived from ``events``: one file per (day folder,
+    event type as table, user); the extension cycles through .csv, .CSV and
+    .json, so some table folders hold no CSV file."""
     ext = F.element_at(F.array(F.lit(".csv"), F.lit(".CSV"), F.lit(".json")),
                        (F.pmod("event_id", F.lit(3)) + 1).cast("int"))
     path = F.concat(F.lit(LANDING_BASE + "/"), d.folder_of(F.col("ts")), F.lit("/"), F.col("event_type"),
@@ -172,6 +175,7 @@ def _listing(ev: DataFrame) -> DataFrame:
 
 
 def _latest_folder(ev: DataFrame) -> str:
+    """The folder the changelog names as open (a scalar, as the job reads it)."""
     return changelog_folders(_changelog_text(ev)).agg(F.max("folder_name")).head()[0]
 
 
@@ -182,6 +186,8 @@ def closed_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _marks(ev: DataFrame) -> DataFrame:
+    """A load log derived from ``events``: each table's high-water mark is the
+    folder of its first event plus as many days as its name has letters."""
     first = ev.groupBy("event_type").agg(F.min("ts").alias("t0"))
     return first.select(F.col("event_type").alias("tableName"),
                         d.folder_of(F.expr("t0 + make_interval(0, 0, 0, length(event_type))")).alias("lastload"))
