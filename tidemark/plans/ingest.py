@@ -110,13 +110,13 @@ def _bucketing(cfg: LandingConfig, source: DataFrame, staged_bytes: int) -> tupl
     return key, n
 
 
-def _action_counts(spark: SparkSession, feed_path: str, source: DataFrame, flag: str | None) -> dict:
+def _action_counts(spark: SparkSession, feed_path: str, source: DataFrame, src: int,
+                   flag: str | None) -> dict:
     """Rows per merge action from the written change feed and the staged
-    change set (both small next to the stored table)."""
+    change set of ``src`` rows (both small next to the stored table)."""
     feed = {r["_change_type"]: r["n"] for r in spark.read.parquet(feed_path)
             .groupBy("_change_type").agg(F.count(F.lit(1)).alias("n")).collect()}
     markers = source.filter(is_delete(F.col(flag))).count() if flag else 0
-    src = source.count()
     ins, upd, dele = feed.get("insert", 0), feed.get("update_postimage", 0), feed.get("delete", 0)
     return {"insert": ins, "update": upd, "delete": dele, "ignore": markers - dele,
             "unchanged": src - markers - ins - upd}
@@ -198,7 +198,7 @@ def _replace_or_merge(spark, cfg, store, table, current, source, source_rows, st
     # which only holds changed keys.  Counts come from the feed and the source.
     snapshot = store.write_snapshot(table, result.state, run_id, current.bucket_key, current.buckets)
     feed = store.write_changes(table, result.changes, run_id)
-    counts = _action_counts(spark, feed, source, flag)
+    counts = _action_counts(spark, feed, source, source_rows, flag)
     rows_after = spark.read.parquet(snapshot).count()
     store.commit(table, snapshot, folder_to if folder_to is not None else current.lastload, run_id,
                  "merge", rows_after, feed, current.buckets, current.bucket_key)
