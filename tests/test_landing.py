@@ -74,3 +74,15 @@ def test_current_all_reads_log_once(spark, tmp_dir):
     assert got == {"a": ("/p/a2", "f2"), "b": ("/p/b1", "f9")}
     assert set(store.current_all(["b", "zz"])) == {"b"}
     assert store.current("a").lastload == "f2" and store.current("zz") is None
+
+
+def test_unreadable_load_log_is_an_error_not_a_missing_mark(spark, tmp_dir):
+    """Only "no log yet" means no high-water mark; a broken log must not
+    silently turn the next load into a full reload."""
+    import pytest
+    from tidemark.sinks.store import TableStore
+    store = TableStore(spark, tmp_dir)
+    assert store.current("t") is None                        # no log yet
+    touch(f"{tmp_dir}/_log/table=t/part-0.parquet", b"not parquet")
+    with pytest.raises(Exception):
+        store.current("t")
