@@ -133,3 +133,23 @@ def test_broadcast_merge_writes_one_insert_file_per_bucket(spark, tmp_dir):
     files = glob.glob(out.replace("file:", "") + "/*.parquet")
     assert len(files) <= 2 * 4 + 1                 # target side + inserts (+ NULL-key branch), per bucket
     assert spark.read.parquet(out).count() == 6000
+
+
+def test_composite_key_bucketed_target_is_not_exchanged(spark, tmp_dir):
+    from test_latest import _shuffle_records
+    from tidemark.session import stage_measured
+    from tidemark.sinks.store import TableStore
+    store = TableStore(spark, tmp_dir)
+    t = spark.range(0, 4000).select((F.col("id") % 100).alias("k1"), (F.col("id") / 100).cast("bigint").alias("k2"),
+                                    F.lit("x").alias("v"))
+    path = store.write_snapshot("t", t.repartition(8, "k1", "k2"), "r1", "k1,k2", 8)
+    store.commit("t", path, "f1", "r1", "replace", 4000, None, 8, "k1,k2")
+    src = spark.createDataFrame([(1, 0, "y", None), (5, 999, "z", None), (2, 0, None, True)],
+                                "k1 BIGINT, k2 BIGINT, v STRING, IsDelete BOOLEAN")
+    staged, _, _, _ = stage_measured(src, "test-src2")
+    res = merge(store.read("t"), staged, ["k1", "k2"], strategy="shuffle")
+    out = res.state
+    out.write.format("noop").mode("overwrite").save()
+    assert _shuffle_records(out) <= 3
+    got = {(r["k1"], r["k2"]): r["v"] for r in out.collect()}
+    assert len(got) == 4000 and got[(1, 0)] == "y" and got[(5, 999)] == "z" and (2, 0) not in got

@@ -71,8 +71,8 @@ class LandingConfig:
     split_file_bytes: int = 512 * 1024 * 1024
     # Write load-time stamps into stored rows.
     stamp_rows: bool = True
-    # Store single-key tables bucketed by the key (merges then exchange only
-    # the change set).  ``buckets`` = 0 sizes the bucket count at full load:
+    # Store tables bucketed by the record key columns (merges then exchange
+    # only the change set).  ``buckets`` = 0 sizes the bucket count at full load:
     # a power of two giving about ``bucket_bytes`` of staged data per bucket.
     bucketed: bool = True
     buckets: int = 0

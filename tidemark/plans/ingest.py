@@ -97,10 +97,11 @@ def prepare_changes(rows: DataFrame, cfg: LandingConfig, table: str, enums: Data
 
 
 def _bucketing(cfg: LandingConfig, source: DataFrame, staged_bytes: int) -> tuple[str | None, int | None]:
-    """Bucket column and count for a full load (single-column keys only)."""
-    if not cfg.bucketed or len(cfg.key) != 1:
+    """Bucket columns (the record key, comma-joined) and count for a full load."""
+    keys = [find_column(source, k) for k in cfg.key]
+    if not cfg.bucketed or None in keys:
         return None, None
-    key = find_column(source, cfg.key[0])
+    key = ",".join(keys)
     if cfg.buckets:
         return key, cfg.buckets
     need = max(1, -(-staged_bytes // cfg.bucket_bytes))
@@ -179,7 +180,7 @@ def _replace_or_merge(spark, cfg, store, table, current, source, source_rows, st
             state = _stamp_new(state)
         bucket_key, buckets = _bucketing(cfg, source, staged_bytes)
         if buckets:
-            state = state.repartition(buckets, F.col(bucket_key))
+            state = state.repartition(buckets, *[F.col(k) for k in bucket_key.split(",")])
         snapshot = store.write_snapshot(table, state, run_id, bucket_key, buckets)
         rows_after = spark.read.parquet(snapshot).count()
         store.commit(table, snapshot, folder_to, run_id, "replace", rows_after, None, buckets, bucket_key)

@@ -118,9 +118,9 @@ class TableStore:
             schema = self.spark.read.parquet(snap.path).schema
             cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-            self.spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY (`{snap.bucket_key}`) "
-                           f"SORTED BY (`{snap.bucket_key}`) INTO {int(snap.buckets)} BUCKETS "
-                           f"LOCATION '{snap.path}'")
+            keys = ", ".join(f"`{k}`" for k in snap.bucket_key.split(","))
+            self.spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY ({keys}) "
+                           f"SORTED BY ({keys}) INTO {int(snap.buckets)} BUCKETS LOCATION '{snap.path}'")
             self._registered[name] = snap.path
         return self.spark.table(name)
 
@@ -153,7 +153,8 @@ class TableStore:
     # -- writes -------------------------------------------------------------
     def write_snapshot(self, table: str, df: DataFrame, run_id: str,
                        bucket_key: str | None = None, buckets: int | None = None) -> str:
-        """Write a new snapshot folder; bucketed by ``bucket_key`` when given.
+        """Write a new snapshot folder; bucketed by ``bucket_key`` (one column,
+        or several joined by commas) when given.
 
         A bucketed write keeps each task's rows per bucket; rows already hash
         partitioned by the key into ``buckets`` partitions give one file per
@@ -162,7 +163,8 @@ class TableStore:
         path = f"{self.root}/{table}/{run_id}"
         if bucket_key and buckets:
             name = f"tidemark_w_{uuid.uuid4().hex[:16]}"
-            (df.write.format("parquet").bucketBy(int(buckets), bucket_key).sortBy(bucket_key)
+            keys = bucket_key.split(",")
+            (df.write.format("parquet").bucketBy(int(buckets), keys[0], *keys[1:]).sortBy(keys[0], *keys[1:])
              .option("path", path).saveAsTable(name))
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         else:
