@@ -42,6 +42,7 @@ RUN_LOG_DDL = ("table STRING, status STRING, strategy STRING, folder_from STRING
                "files BIGINT, source_rows BIGINT, inserted BIGINT, updated BIGINT, deleted BIGINT, "
                "unchanged BIGINT, ignored BIGINT, rows_after BIGINT, run_id STRING, error STRING")
 RUN_LOG_FIELDS = [f.split(" ")[0] for f in RUN_LOG_DDL.split(", ")]
+_UNSET = object()
 
 
 def _run_row(table: str, status: str, **kw) -> dict:
@@ -51,16 +52,20 @@ def _run_row(table: str, status: str, **kw) -> dict:
 
 
 def plan_tables(spark: SparkSession, cfg: LandingConfig, store: TableStore,
-                tables: Iterable[str], reload: bool = False) -> dict[str, list[tuple[str, str, int]]]:
+                tables: Iterable[str], reload: bool = False,
+                snapshots: dict | None = None) -> dict[str, list[tuple[str, str, int]]]:
     """Files to load per table: ``{table: [(folder, path, bytes), ...]}``.
 
+    ``snapshots``: current snapshots per table if already read (one job for
+    all tables otherwise).
+
     One listing of the landing tree and one job for all tables.  The result
     names files (metadata), not rows, so collecting it is bounded by the file
     count of the window being loaded.
     """
     tables = list(tables)
     latest = changelog_head(spark, cfg.changelog_path)
-    snaps = {} if reload else store.current_all(tables)
+    snaps = {} if reload else (snapshots if snapshots is not None else store.current_all(tables))
     marks = {t: (snaps[t].lastload if t in snaps else None) for t in tables}
     out: dict[str, list[tuple[str, str, int]]] = {t: [] for t in tables}
     folders = candidate_folders(spark, cfg.landing_root, marks, latest)
@@ -129,7 +134,8 @@ def _stamp_new(df: DataFrame) -> DataFrame:
 
 
 def ingest_table(spark: SparkSession, cfg: LandingConfig, table: str, reload: bool = False,
-                 store: TableStore | None = None, files: list[tuple] | None = None) -> dict:
+                 store: TableStore | None = None, files: list[tuple] | None = None,
+                 current=_UNSET, enums=_UNSET) -> dict:
     """M1/M2: load one table; returns its run-log row (a dict).
 
     ``reload`` ignores the high-water mark, reads every closed folder and
@@ -144,8 +150,11 @@ def ingest_table(spark: SparkSession, cfg: LandingConfig, table: str, reload: bo
     folders = sorted({f[0] for f in files})
     paths = [f[1] for f in files]
     large = [f[1] for f in files if len(f) > 2 and f[2] is not None and f[2] >= cfg.split_file_bytes]
-    changes = read_changes(spark, cfg, table, paths, enum_table(store), large)
-    return apply_changes(spark, cfg, store, table, changes, folders[0], folders[-1], len(paths), reload)
+    if enums is _UNSET:
+        enums = enum_table(store)
+    changes = read_changes(spark, cfg, table, paths, enums, large)
+    return apply_changes(spark, cfg, store, table, changes, folders[0], folders[-1], len(paths), reload,
+                         current)
 
 
 def enum_table(store: TableStore) -> DataFrame | None:
@@ -155,10 +164,14 @@ def enum_table(store: TableStore) -> DataFrame | None:
 
 def apply_changes(spark: SparkSession, cfg: LandingConfig, store: TableStore, table: str,
                   changes: DataFrame, folder_from: str | None, folder_to: str | None,
-                  files: int | None = None, reload: bool = False) -> dict:
+                  files: int | None = None, reload: bool = False, current=_UNSET) -> dict:
     """Stage the latest change per key, then replace (first load / reload) or
-    merge into the stored table, and commit snapshot + high-water mark."""
-    current = None if reload else store.current(table)
+    merge into the stored table, and commit snapshot + high-water mark.
+    ``current``: the table's current snapshot if already read."""
+    if reload:
+        current = None
+    elif current is _UNSET:
+        current = store.current(table)
     source, staged_path, source_rows, staged_bytes = stage_measured(changes, f"{table}-changes")
     try:
         return _replace_or_merge(spark, cfg, store, table, current, source, source_rows, staged_bytes,
@@ -220,11 +233,13 @@ def ingest_all(spark: SparkSession, cfg: LandingConfig, config: DataFrame,
     store = TableStore(spark, cfg.store_root)
     selected = select_tables(config, processing_group, table_names)
     tables = sorted({r["table_name"] for r in selected.select("table_name").distinct().collect()})
-    plan = plan_tables(spark, cfg, store, tables, reload) if tables else {}
+    snaps = store.current_all(tables) if tables and not reload else {}
+    plan = plan_tables(spark, cfg, store, tables, reload, snaps) if tables else {}
+    enums = enum_table(store) if tables else None
 
     def one(t: str) -> dict:
         try:
-            return ingest_table(spark, cfg, t, reload, store, plan.get(t, []))
+            return ingest_table(spark, cfg, t, reload, store, plan.get(t, []), snaps.get(t), enums)
         except Exception as e:  # noqa: BLE001 - the run log carries the failure
             return _run_row(t, "failed", error=f"{type(e).__name__}: {e}"[:2000]
                             + "\n" + traceback.format_exc(limit=3)[-1000:])
