@@ -35,7 +35,8 @@ from tidemark.sinks.store import TableStore, new_run_id
 from tidemark.sources.csvscan import FOLDER_COLUMN, read_enum_csv, read_entity_csv
 from tidemark.sources.landing import (candidate_folders, changelog_head, changelog_latest,
                                       landing_files, plan_loads)
-from tidemark.sources.model import entity_schema, model_attributes, read_model, schema_catalog
+from tidemark.sources.model import (entity_schema, entity_schemas, model_attributes, read_model,
+                                    schema_catalog)
 from tidemark.sources.tables import select_tables
 
 RUN_LOG_DDL = ("table STRING, status STRING, strategy STRING, folder_from STRING, folder_to STRING, "
@@ -78,15 +79,20 @@ def plan_tables(spark: SparkSession, cfg: LandingConfig, store: TableStore,
 
 
 def read_changes(spark: SparkSession, cfg: LandingConfig, table: str, paths: list[str],
-                 enums: DataFrame | None, large_paths: Iterable[str] = ()) -> DataFrame:
+                 enums: DataFrame | None, large_paths: Iterable[str] = (), schema=None) -> DataFrame:
     """Scan the CSV files of one table (``large_paths`` split-wise), then
-    ``prepare_changes``."""
-    rows = read_entity_csv(spark, paths, table_schema(spark, cfg, table), large_paths=list(large_paths))
+    ``prepare_changes``.  ``schema``: the table's model schema if known."""
+    schema = schema if schema is not None else table_schema(spark, cfg, table)
+    rows = read_entity_csv(spark, paths, schema, large_paths=list(large_paths))
     return prepare_changes(rows, cfg, table, enums)
 
 
+def _catalog(spark: SparkSession, cfg: LandingConfig) -> DataFrame:
+    return schema_catalog(model_attributes(read_model(spark, cfg.model_path)))
+
+
 def table_schema(spark: SparkSession, cfg: LandingConfig, table: str):
-    return entity_schema(schema_catalog(model_attributes(read_model(spark, cfg.model_path))), table)
+    return entity_schema(_catalog(spark, cfg), table)
 
 
 def prepare_changes(rows: DataFrame, cfg: LandingConfig, table: str, enums: DataFrame | None) -> DataFrame:
@@ -135,7 +141,7 @@ def _stamp_new(df: DataFrame) -> DataFrame:
 
 def ingest_table(spark: SparkSession, cfg: LandingConfig, table: str, reload: bool = False,
                  store: TableStore | None = None, files: list[tuple] | None = None,
-                 current=_UNSET, enums=_UNSET) -> dict:
+                 current=_UNSET, enums=_UNSET, schema=None) -> dict:
     """M1/M2: load one table; returns its run-log row (a dict).
 
     ``reload`` ignores the high-water mark, reads every closed folder and
@@ -152,7 +158,9 @@ def ingest_table(spark: SparkSession, cfg: LandingConfig, table: str, reload: bo
     large = [f[1] for f in files if len(f) > 2 and f[2] is not None and f[2] >= cfg.split_file_bytes]
     if enums is _UNSET:
         enums = enum_table(store)
-    changes = read_changes(spark, cfg, table, paths, enums, large)
+    if isinstance(schema, Exception):
+        raise schema
+    changes = read_changes(spark, cfg, table, paths, enums, large, schema)
     return apply_changes(spark, cfg, store, table, changes, folders[0], folders[-1], len(paths), reload,
                          current)
 
@@ -236,10 +244,13 @@ def ingest_all(spark: SparkSession, cfg: LandingConfig, config: DataFrame,
     snaps = store.current_all(tables) if tables and not reload else {}
     plan = plan_tables(spark, cfg, store, tables, reload, snaps) if tables else {}
     enums = enum_table(store) if tables else None
+    with_files = [t for t in tables if plan.get(t)]
+    schemas = entity_schemas(_catalog(spark, cfg), with_files) if with_files else {}
 
     def one(t: str) -> dict:
         try:
-            return ingest_table(spark, cfg, t, reload, store, plan.get(t, []), snaps.get(t), enums)
+            return ingest_table(spark, cfg, t, reload, store, plan.get(t, []), snaps.get(t), enums,
+                                schemas.get(t))
         except Exception as e:  # noqa: BLE001 - the run log carries the failure
             return _run_row(t, "failed", error=f"{type(e).__name__}: {e}"[:2000]
                             + "\n" + traceback.format_exc(limit=3)[-1000:])

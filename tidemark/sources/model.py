@@ -105,17 +105,10 @@ def schema_catalog(attributes: DataFrame) -> DataFrame:
     return out.withColumn("duplicate", dup > 1)
 
 
-def entity_schema(catalog: DataFrame, entity: str, allow_duplicates: bool = False) -> StructType:
-    """The StructType of one entity (D1: exact-case name match).
-
-    Collects one entity's catalog rows, which are bounded by its attribute
-    count.  Raises if the entity is absent or (T9) a name repeats.
-    """
-    rows = (catalog.filter(F.col("entity") == entity)
-            .select("ordinal", "column_name", "spark_type", "duplicate", "known_type", "data_type")
-            .orderBy("ordinal").collect())
+def _to_struct(entity: str, rows, allow_duplicates: bool) -> StructType:
     if not rows:
         raise ValueError(f"entity {entity!r} is not in the model")
+    rows = sorted(rows, key=lambda r: r["ordinal"])
     dups = sorted({r["column_name"] for r in rows if r["duplicate"]})
     if dups and not allow_duplicates:
         raise ValueError(f"entity {entity!r}: renamed attributes collide: {dups}")
@@ -123,6 +116,32 @@ def entity_schema(catalog: DataFrame, entity: str, allow_duplicates: bool = Fals
                        for r in rows])
 
 
+def entity_schema(catalog: DataFrame, entity: str, allow_duplicates: bool = False) -> StructType:
+    """The StructType of one entity (D1: exact-case name match).
+
+    Collects one entity's catalog rows, which are bounded by its attribute
+    count.  Raises if the entity is absent or (T9) a name repeats.
+    """
+    rows = (catalog.filter(F.col("entity") == entity)
+            .select("ordinal", "column_name", "spark_type", "duplicate").collect())
+    return _to_struct(entity, rows, allow_duplicates)
+
+
+def entity_schemas(catalog: DataFrame, entities, allow_duplicates: bool = False) -> dict:
+    """``{entity: StructType or the ValueError it raises}`` for several
+    entities from one job (rows bounded by their attribute counts)."""
+    entities = list(entities)
+    rows = (catalog.filter(F.col("entity").isin(*entities))
+            .select("entity", "ordinal", "column_name", "spark_type", "duplicate").collect())
+    out = {}
+    for e in entities:
+        try:
+            out[e] = _to_struct(e, [r for r in rows if r["entity"] == e], allow_duplicates)
+        except ValueError as err:
+            out[e] = err
+    return out
+
+
 def unknown_types(catalog: DataFrame) -> DataFrame:
     """Attributes whose type name is not recognised (read as string)."""
     return catalog.filter(~F.col("known_type")).select("entity", "source_name", "data_type")
