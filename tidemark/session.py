@@ -43,8 +43,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting one only if it is unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (distributed FS)
-    folder and is used as is.  Only when nothing is configured (local tests)
-    a folder under the system temp dir is created.
+    folder and is used as is; without one the call fails rather than stage
+    on machine-local disks.  Only in local mode with nothing configured
+    (tests) a folder under the system temp dir is created.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -52,6 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: change sets are staged there")
         conf = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
