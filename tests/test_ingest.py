@@ -169,3 +169,18 @@ def test_split_scan_load_equals_whole_file_load(spark, tmp_dir):
         states.append(sorted(tuple(r[c] for c in ("recid", "accountnum", "blocked", "createdon"))
                              for r in store.read("custtable").collect()))
     assert states[0] == states[1] and [s[0] for s in states[0]] == [101, 103, 105, 106]
+
+
+def test_nothing_to_load_leaves_store_untouched(spark, tmp_dir):
+    root, store_root = f"{tmp_dir}/landing", f"{tmp_dir}/bronze"
+    landing(root)
+    changelog(root, F1)                                     # only the open folder exists before it
+    cfg = LandingConfig(landing_root=root, store_root=store_root)
+    store = TableStore(spark, store_root)
+    assert ingest_table(spark, cfg, "custtable", store=store)["status"] == "skipped"
+    assert store.current("custtable") is None and store.watermark("custtable") is None
+    write(f"{root}/Changelog/changelog.info", [""])
+    os.makedirs(f"{tmp_dir}/empty", exist_ok=True)
+    empty_cfg = LandingConfig(landing_root=f"{tmp_dir}/empty", store_root=store_root)
+    write(f"{tmp_dir}/empty/Changelog/changelog.info", [])
+    assert load_enums(spark, empty_cfg, store) is None     # empty changelog: no enum folder
