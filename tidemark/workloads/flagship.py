@@ -17,6 +17,8 @@ Run 1 sees changelog ``F2`` and loads ``F1``; run 2 sees ``F3`` and loads
 
 from __future__ import annotations
 
+import concurrent.futures as cf
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,8 +79,7 @@ def build_landing(spark: SparkSession, orders: DataFrame, root: str, files: int
     price = F.col("o_totalprice").cast("decimal(15,2)")
     st, pr = F.col("o_orderstatus"), F.col("o_orderpriority")
     live = F.when(pr == "4-NOT SPECIFIED", F.lit(None).cast("boolean")).otherwise(F.lit(False))
-    write_model(spark, root, {TABLE: ORDERS_MODEL})
-    write_folder(export_rows(o, F1, k, 1, 1, price, live, repair_recid=True), root, F1, TABLE, files)
+    f1 = export_rows(o, F1, k, 1, 1, price, live, repair_recid=True)
     # Folder F2 in one scan: each order yields zero, one or two change rows.
     def change(cond, key, version, recversion, new_price, delete):
         return F.when(cond, F.struct(key.alias("k"), F.lit(version).alias("v"), F.lit(recversion).alias("rv"),
@@ -92,16 +93,23 @@ def build_landing(spark: SparkSession, orders: DataFrame, root: str, files: int
         change((st == "F") & (pr == "3-MEDIUM"), k, 2, 1, price, live))
     c = o.select("*", F.explode(F.filter(variants, lambda x: x.isNotNull())).alias("c"))
     f2 = export_rows(c, F2, F.col("c.k"), F.col("c.v"), F.col("c.rv"), F.col("c.p"), F.col("c.d"))
-    write_folder(f2, root, F2, TABLE, files)
-    write_folder(export_rows(o, F3, k, 9, 9, price, F.lit(True)), root, F3, TABLE, files)
+    f3 = export_rows(o, F3, k, 9, 9, price, F.lit(True))
     enums = (o.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n")).select(
         F.lit("o_orderpriority").alias("OptionSetName"),
         F.substring("o_orderpriority", 1, 1).cast("bigint").alias("Option"),
         F.lit(False).alias("IsUserLocalizedLabel"), F.lit(1033).cast("bigint").alias("LocalizedLabelLanguageCode"),
         F.col("o_orderpriority").alias("LocalizedLabel"), F.lit("priority").alias("GlobalOptionSetName"),
         F.lit(TABLE).alias("EntityName"), F.col("o_orderpriority").alias("OptionName")))
-    for folder in (F2, F3):
-        write_enums(enums, root, folder)
+    # independent outputs: submitted as concurrent Spark jobs
+    writes = [lambda: write_model(spark, root, {TABLE: ORDERS_MODEL}),
+              lambda: write_folder(f1, root, F1, TABLE, files),
+              lambda: write_folder(f2, root, F2, TABLE, files),
+              lambda: write_folder(f3, root, F3, TABLE, files),
+              lambda: write_enums(enums, root, F2),
+              lambda: write_enums(enums, root, F3)]
+    with cf.ThreadPoolExecutor(max_workers=len(writes)) as pool:
+        for fut in [pool.submit(w) for w in writes]:
+            fut.result()
 
 
 def two_run_load(spark: SparkSession, orders: DataFrame) -> DataFrame:
