@@ -184,3 +184,16 @@ def test_nothing_to_load_leaves_store_untouched(spark, tmp_dir):
     empty_cfg = LandingConfig(landing_root=f"{tmp_dir}/empty", store_root=store_root)
     write(f"{tmp_dir}/empty/Changelog/changelog.info", [])
     assert load_enums(spark, empty_cfg, store) is None     # empty changelog: no enum folder
+
+
+def test_command_line_run(spark, tmp_dir, capsys):
+    from tidemark.__main__ import main
+    root = f"{tmp_dir}/landing"
+    landing(root)
+    changelog(root, F2)
+    spark.createDataFrame([("custtable", "daily")], "table_name STRING, processing_group STRING") \
+        .write.parquet(f"{tmp_dir}/cfg")
+    code = main(["--landing", root, "--store", f"{tmp_dir}/bronze", "--config", f"{tmp_dir}/cfg",
+                 "--group", "daily"], spark=spark)
+    out = capsys.readouterr().out
+    assert code == 0 and "custtable: loaded" in out and "PASS: 0 error(s)" in out
