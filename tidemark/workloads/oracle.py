@@ -8,6 +8,7 @@ full outer join with ``IS NOT DISTINCT FROM`` keys.
 
 from __future__ import annotations
 
+from tidemark.config import SYSTEM_FOLDERS
 from tidemark.workloads import derive as d
 
 FMT = "'%Y-%m-%dT%H.%M.%SZ'"
@@ -132,7 +133,7 @@ EVENTS_FILES = f"""SELECT *, {_folder('ts')} AS folder,
   ['.csv', '.CSV', '.json'][(event_id % 3) + 1] AS ext FROM events"""
 LATEST = (f"SELECT max(f) AS l FROM (SELECT unnest(string_split({_folder('ts - INTERVAL 1 DAY')} || ',' || "
           f"{_folder('ts')}, ',')) AS f FROM events) c")
-SYSTEM = "('Changelog', 'EntitySyncFailure', 'Microsoft.Athena.TrickleFeedService', 'model.json')"
+SYSTEM = "(" + ", ".join(f"'{name}'" for name in SYSTEM_FOLDERS) + ")"
 PLAN = f"""WITH ev AS ({EVENTS_FILES}),
 files AS (SELECT DISTINCT folder, event_type AS tbl, ext, user_id FROM ev),
 marks AS (SELECT event_type AS tbl, {_folder('min(ts) + to_days(CAST(length(event_type) AS INTEGER))')} AS lastload
