@@ -56,13 +56,13 @@ def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  shingle: int = 3, seed: int = 42) -> DataFrame:
-    """``doc_id``, ``fp`` (signed long) of every row; a null text counts as empty."""
+    """``doc_id``, ``th`` (xxhash64 of the text), ``fp`` (signed long) of every row; a null text counts as empty."""
     def run(batch):
-        texts = batch.column(1).to_pylist()
-        yield {"doc_id": batch.column(0), "fp": [fingerprint(t, shingle, seed) for t in texts]}
+        yield {"doc_id": batch.column("doc_id"), "th": batch.column("th"),
+               "fp": [fingerprint(t, shingle, seed) for t in batch.column("text").to_pylist()]}
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), as_bytes(text_col).alias("text"))
-    return map_arrow(rows, run, "doc_id long, fp long")
+    return map_arrow(rows.select("doc_id", F.xxhash64("text").alias("th"), "text"), run, "doc_id long, th long, fp long")
 
 
 def block_keys(fp, max_distance: int = 2):
@@ -111,7 +111,7 @@ def links(classes: DataFrame, max_distance: int = 2) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = 3, max_distance: int = 2, seed: int = 42) -> DataFrame:
-    """One row per input row: ``doc_id``, ``fp``, ``component_id``.
+    """One row per input row: ``doc_id``, ``th``, ``fp``, ``component_id``, ``root`` (a fingerprint that names the component).
 
     ``component_id`` is the smallest doc_id reachable over links of at most
     ``max_distance`` differing bits, itself included; it is null where all reachable ids are
@@ -124,5 +124,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rooted = (classes.join(roots, F.col("fp") == F.col("node"), "left")
               .select("fp", "first", F.coalesce("root", "fp").alias("root")))
     ids = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    found = stage(rooted.join(ids, "root").select("fp", "component_id"), "simhash-components")
-    return marked.join(found, "fp").select("doc_id", "fp", "component_id")
+    found = stage(rooted.join(ids, "root").select("fp", "component_id", "root"), "simhash-components")
+    return marked.join(found, "fp").select("doc_id", "th", "fp", "component_id", "root")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             shingle: int = 3, max_distance: int = 2, seed: int = 42) -> DataFrame:
+    """The rows of ``docs``, all columns, that stand for their component: one of each.
+
+    That is the row with the smallest id (rows without id come last, and equal ids are ordered by text hash);
+    of rows equal in id and text any one.
+    """
+    found = stage(near_duplicates(docs, id_col, text_col, shingle, max_distance, seed).select("doc_id", "th", "root"),
+                  "simhash-found")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")
+    chosen = found.groupBy("root").agg(F.min(order).alias("r")).select(F.col("r.doc_id").alias("k_id"),
+                                                                        F.col("r.th").alias("k_th"))
+    repeated = not found.groupBy("doc_id", "th").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+    mark = "__text_hash"
+    while mark in docs.columns:
+        mark += "_"
+    hashed = docs.withColumn(mark, F.xxhash64(as_bytes(text_col)))
+    kept = hashed.join(chosen, (F.col(mark) == F.col("k_th")) & F.col(id_col).cast("long").eqNullSafe(F.col("k_id")),
+                       "left_semi")
+    return (kept.dropDuplicates([id_col, mark]) if repeated else kept).drop(mark)

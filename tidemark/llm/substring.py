@@ -248,3 +248,27 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     F.when(gone, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
                     F.when(gone, F.lit(empty)).otherwise(F.coalesce("new_sha", "sha")).alias("kept_sha256"),
                     F.when(gone, F.lit("")).otherwise(F.col("kept")).alias("kept")))
+
+
+def cut_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_col: str | None = "n_chars",
+              window: int = 50, phrase: int = 8) -> DataFrame:
+    """All rows of ``docs``, all columns; a text that loses words becomes its kept words joined by one space.
+
+    ``size_col``, where there is such a column, is set to the new length.  Texts that lose nothing stay as they are,
+    and a row that loses all its words stays with an empty text.
+    """
+    found = deduplicate(docs, id_col, text_col, window, phrase)
+    changed = (found.where("kept is not null").select(F.col("doc_id").alias("k_id"), F.col("th").alias("k_th"), "kept")
+               .dropDuplicates(["k_id", "k_th"]).withColumnRenamed("kept", "__kept_words"))
+    hashed = F.xxhash64(as_bytes(text_col))
+    joined = docs.join(changed, (F.col(id_col).cast("long") == F.col("k_id")) & (hashed == F.col("k_th")), "left")
+    new = F.col("__kept_words")
+    columns = []
+    for c in docs.columns:
+        own = docs[c]
+        if c == text_col:
+            own = F.coalesce(new, own)
+        elif size_col is not None and c == size_col:
+            own = F.when(new.isNull(), own).otherwise(F.length(new)).cast(docs.schema[c].dataType)
+        columns.append(own.alias(c))
+    return joined.select(*columns)
