@@ -84,13 +84,13 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(total, -30, 30))))
 
 
-def ftrl(rows: list[np.ndarray], labels: np.ndarray, alpha: float = 0.1, beta: float = 1.0, l1: float = 1.5,
+def ftrl(rows: list[np.ndarray], labels: np.ndarray, alpha: float = 2.0, beta: float = 1.0, l1: float = 4.0,
          l2: float = 1.0, epochs: int = 4, min_rows: int = 3, seed: int = 0) -> Model:
     """FTRL-proximal over rows of distinct feature hashes; features in under ``min_rows`` rows are left out."""
     counts = np.zeros(1 << 22, np.int32)
     low = np.uint64((1 << 22) - 1)
     for r in rows:
-        np.add.at(counts, r & low, 1)
+        counts[r & low] += 1
     rows = [r[counts[r & low] >= min_rows] for r in rows]
     hashes = np.unique(np.concatenate(rows)) if rows else np.zeros(0, np.uint64)
     rows = [np.searchsorted(hashes, r) for r in rows]
