@@ -1,6 +1,7 @@
 import json
 import os
 
+import pytest
 
 from tidemark.config import LandingConfig
 from tidemark.plans.ingest import ingest_all, ingest_table, load_enums, run_outcome
@@ -120,6 +121,7 @@ def test_ingest_all_records_failures(spark, tmp_dir):
     write(f"{root}/{F1}/notinmodel/x.csv", ["1,2"])
     changelog(root, F2)
     cfg = LandingConfig(landing_root=root, store_root=store_root)
+    load_enums(spark, cfg)
     config = spark.createDataFrame([("custtable", "daily"), ("notinmodel", "daily"), ("other", "weekly")],
                                    "table_name STRING, processing_group STRING")
     run_log = ingest_all(spark, cfg, config, processing_group="daily", parallelism=2)
@@ -141,10 +143,11 @@ def test_replay_is_idempotent_and_older_change_wins_later(spark, tmp_dir):
     changelog(root, F2)
     cfg = LandingConfig(landing_root=root, store_root=store_root)
     store = TableStore(spark, store_root)
+    load_enums(spark, cfg, store)
     ingest_table(spark, cfg, "custtable", store=store)
     before = sorted(tuple(r[c] for c in ("recid", "accountnum", "blocked")) for r in store.read("custtable").collect())
-    files = plan_tables(spark, cfg, store, ["custtable"], reload=True)["custtable"]
-    again = read_changes(spark, cfg, "custtable", [f[1] for f in files], enum_table(store))
+    folders = plan_tables(spark, cfg, store, ["custtable"], reload=True)["custtable"]
+    again = read_changes(spark, cfg, "custtable", folders, enum_table(store))
     r = apply_changes(spark, cfg, store, "custtable", again, F1, F1)
     assert (r["inserted"], r["updated"], r["deleted"]) == (0, 0, 0) and r["unchanged"] == 4
     after = sorted(tuple(r[c] for c in ("recid", "accountnum", "blocked")) for r in store.read("custtable").collect())
@@ -156,19 +159,50 @@ def test_replay_is_idempotent_and_older_change_wins_later(spark, tmp_dir):
     assert {r["recid"]: r["accountnum"] for r in store.read("custtable").collect()}[106] == "F-stale"
 
 
-def test_split_scan_load_equals_whole_file_load(spark, tmp_dir):
+def test_enum_metadata_must_be_loaded(spark, tmp_dir):
     root = f"{tmp_dir}/landing"
     landing(root)
+    changelog(root, F2)
+    cfg = LandingConfig(landing_root=root, store_root=f"{tmp_dir}/bronze")
+    store = TableStore(spark, cfg.store_root)
+    with pytest.raises(ValueError, match="_enum_translations"):
+        ingest_table(spark, cfg, "custtable", store=store)
+    assert store.current("custtable") is None
+    # Codes only, on request; labels that arrive later don't fit the stored codes and need a reload.
+    codes = LandingConfig(landing_root=root, store_root=cfg.store_root, decode_enums=False)
+    assert ingest_table(spark, codes, "custtable", store=store)["status"] == "loaded"
+    assert state(store)[101]["blocked"] == 1
+    load_enums(spark, cfg, store)
     changelog(root, F3)
-    states = []
-    for i, split in enumerate((512 * 1024 * 1024, 1)):
-        cfg = LandingConfig(landing_root=root, store_root=f"{tmp_dir}/bronze{i}", split_file_bytes=split)
-        store = TableStore(spark, cfg.store_root)
-        load_enums(spark, cfg, store)
-        assert ingest_table(spark, cfg, "custtable", store=store)["status"] == "loaded"
-        states.append(sorted(tuple(r[c] for c in ("recid", "accountnum", "blocked", "createdon"))
-                             for r in store.read("custtable").collect()))
-    assert states[0] == states[1] and [s[0] for s in states[0]] == [101, 103, 105, 106]
+    with pytest.raises(ValueError, match="blocked: string into int"):
+        ingest_table(spark, cfg, "custtable", store=store)
+    assert store.watermark("custtable") == F1
+    assert ingest_table(spark, cfg, "custtable", reload=True, store=store)["status"] == "loaded"
+    assert state(store)[101]["blocked"] == "Nein"
+
+
+def test_late_file_of_an_older_folder_does_not_move_the_mark_back(spark, tmp_dir):
+    from tidemark.plans.ingest import apply_changes
+    cfg = LandingConfig(landing_root="", store_root=tmp_dir, version_order=("v",))
+    store = TableStore(spark, tmp_dir)
+    rows = lambda *r: spark.createDataFrame(r, "RECID BIGINT, v INT, IsDelete BOOLEAN")
+    apply_changes(spark, cfg, store, "t", rows((1, 1, None)), F2, F2)
+    apply_changes(spark, cfg, store, "t", rows((2, 1, None)), F1, F1)
+    assert store.watermark("t") == F2 and store.read("t").count() == 2
+
+
+def test_unknown_types_are_reported(spark, tmp_dir):
+    root = f"{tmp_dir}/landing"
+    landing(root)
+    doc = json.load(open(f"{root}/model.json"))
+    doc["entities"][0]["attributes"][10]["dataType"] = "money"
+    json.dump(doc, open(f"{root}/model.json", "w"))
+    changelog(root, F2)
+    cfg = LandingConfig(landing_root=root, store_root=f"{tmp_dir}/bronze")
+    load_enums(spark, cfg)
+    config = spark.createDataFrame([("custtable", "g")], "table_name STRING, processing_group STRING")
+    r = ingest_all(spark, cfg, config).first()
+    assert r["status"] == "loaded" and r["warning"] == "unknown types read as string: accountnum: money"
 
 
 def test_nothing_to_load_leaves_store_untouched(spark, tmp_dir):

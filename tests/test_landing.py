@@ -51,17 +51,28 @@ def test_changelog_latest_and_empty(spark, tmp_dir):
     assert changelog_latest(spark, f"{tmp_dir}/empty/Changelog/changelog.info") is None
 
 
-def test_listing_only_new_folders(spark, tmp_dir):
-    from tidemark.sources.landing import candidate_folders
+def test_load_listing_follows_each_tables_mark(spark, tmp_dir):
+    from tidemark.sources.landing import loadable_folders
     build(tmp_dir)
-    got = candidate_folders(spark, tmp_dir, {"cust": "2024-01-02T00.00.00Z", "group": "2024-01-01T00.00.00Z"},
-                            "2024-01-04T00.00.00Z")
-    assert got == ["2024-01-02T00.00.00Z", "2024-01-03T00.00.00Z"]
-    assert candidate_folders(spark, tmp_dir, {"cust": None}, "2024-01-03T00.00.00Z") == \
-        ["2024-01-01T00.00.00Z", "2024-01-02T00.00.00Z"]
-    files = landing_files(spark, tmp_dir, ["2024-01-03T00.00.00Z"])
-    assert sorted(r["file_name"] for r in files.collect()) == ["c.csv", "g.csv"]
-    assert files.first()["folder"] == "2024-01-03T00.00.00Z"
+    d = "2024-01-0{}T00.00.00Z".format
+    marks = {"cust": d(2), "group": None, "absent": None}
+    assert loadable_folders(spark, tmp_dir, marks, d(4)) == {"cust": [d(3)], "group": [d(3)], "absent": []}
+    assert loadable_folders(spark, tmp_dir, {"cust": None}, d(3)) == {"cust": [d(1), d(2)]}      # .CSV counts
+    assert loadable_folders(spark, tmp_dir, {"cust": None}, None)["cust"] == [d(1), d(2), d(3), d(4)]
+
+
+def test_a_new_table_does_not_list_other_tables_history(spark, tmp_dir):
+    """Only <folder>/<table> past the table's own mark is looked into, and no Spark task lists files."""
+    import shutil
+    from tidemark.sources.landing import loadable_folders
+    build(tmp_dir)
+    shutil.rmtree(f"{tmp_dir}/2024-01-01T00.00.00Z/cust")
+    touch(f"{tmp_dir}/2024-01-01T00.00.00Z/cust")             # a file where old history was: listing it would fail
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    marks = {"cust": "2024-01-03T00.00.00Z", "group": None}
+    assert loadable_folders(spark, tmp_dir, marks, None) == {
+        "cust": ["2024-01-04T00.00.00Z"], "group": ["2024-01-03T00.00.00Z"]}
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == jobs
 
 
 def test_current_all_reads_log_once(spark, tmp_dir):
@@ -84,5 +95,6 @@ def test_unreadable_load_log_is_an_error_not_a_missing_mark(spark, tmp_dir):
     store = TableStore(spark, tmp_dir)
     assert store.current("t") is None                        # no log yet
     touch(f"{tmp_dir}/_log/table=t/part-0.parquet", b"not parquet")
-    with pytest.raises(Exception):
-        store.current("t")
+    for read in (lambda: store.current("t"), lambda: store.current_all(["t"]), lambda: store.changes("t")):
+        with pytest.raises(Exception):
+            read()

@@ -106,7 +106,7 @@ def test_bucketed_target_is_not_exchanged(spark, tmp_dir):
     store.commit("t", path, "f1", "r1", "replace", 5000, None, 8, "RECID")
     src = spark.createDataFrame([(1, 9, None), (7000, 1, None), (None, 1, None)],
                                 "RECID BIGINT, a BIGINT, IsDelete BOOLEAN")
-    staged, _, _, _ = stage_measured(src, "test-src")
+    staged = stage_measured(src, "test-src")[0]
     res = merge(store.read("t"), staged, ["RECID"], strategy="shuffle")
     plan = res.state._jdf.queryExecution().executedPlan().toString()
     assert "Bucketed: true" in plan
@@ -119,20 +119,125 @@ def test_bucketed_target_is_not_exchanged(spark, tmp_dir):
     assert _shuffle_records(out) <= 3 + 1          # the change set (+ the NULL-key row), not the 5000 stored rows
 
 
-def test_broadcast_merge_writes_one_insert_file_per_bucket(spark, tmp_dir):
-    import glob
+def loader(spark, tmp_dir, **kw):
+    from tidemark.config import LandingConfig
+    from tidemark.plans.ingest import apply_changes
     from tidemark.sinks.store import TableStore
+    cfg = LandingConfig(landing_root="", store_root=tmp_dir, version_order=("a",), excluded_meta=(), **kw)
     store = TableStore(spark, tmp_dir)
-    t = spark.range(0, 4000).select(F.col("id").alias("RECID"), F.lit("x").alias("v"))
-    path = store.write_snapshot("t", t.repartition(4, "RECID"), "r1", "RECID", 4)
-    store.commit("t", path, "f1", "r1", "replace", 4000, None, 4, "RECID")
-    src = spark.range(10000, 12000).select(F.col("id").alias("RECID"), F.lit("y").alias("v"),
-                                           F.lit(None).cast("boolean").alias("IsDelete")).repartition(16)
-    res = merge(store.read("t"), src, ["RECID"], strategy="broadcast", buckets=4)
-    out = store.write_snapshot("t", res.state, "r2", "RECID", 4)
-    files = glob.glob(out.replace("file:", "") + "/*.parquet")
-    assert len(files) <= 2 * 4 + 1                 # target side + inserts (+ NULL-key branch), per bucket
-    assert spark.read.parquet(out).count() == 6000
+    return store, lambda rows, folder: apply_changes(spark, cfg, store, "t", rows, folder, folder)
+
+
+def state_files(store):
+    import glob
+    return glob.glob(store.current("t").path.replace("file:", "") + "/*.parquet")
+
+
+def test_merges_keep_one_file_per_bucket_and_join_once(spark, tmp_dir, monkeypatch):
+    from tidemark.plans import ingest
+    store, load = loader(spark, tmp_dir)
+    rows = spark.range(4000).select(F.col("id").alias("RECID"), F.lit(0).alias("a"), F.lit(None).cast("boolean").alias("IsDelete"))
+    load(rows, "f0")
+    joins = []
+    real = ingest.merge
+    monkeypatch.setattr(ingest, "merge", lambda *a, **k: joins.append(1) or real(*a, **k))
+    for k in range(1, 11):
+        some = spark.range(k * 100, k * 100 + 300).select(
+            F.when(F.col("id") % 150 != 0, F.col("id") + F.when(F.col("id") % 3 == 0, 10000).otherwise(0)).alias("RECID"),
+            F.lit(k).alias("a"), (F.col("id") % 7 == 0).alias("IsDelete")).dropDuplicates(["RECID"])
+        row = load(some, f"f{k:02d}")
+        assert row["source_rows"] == row["inserted"] + row["updated"] + row["deleted"] + row["unchanged"] + row["ignored"]
+        assert row["rows_after"] == store.read("t").count() == store.current("t").rows
+        assert len(state_files(store)) <= 8 + 1
+    assert len(joins) == 10 and store.current("t").seq == 11 and store.current("t").lastload == "f10"
+    feed = {r["_run_id"] for r in store.changes("t").collect()}
+    assert len(feed) == 11
+
+
+def test_bucket_count_follows_the_table(spark, tmp_dir):
+    store, load = loader(spark, tmp_dir, bucket_bytes=2000)
+    rows = lambda a, b, v: spark.range(a, b).select(F.col("id").alias("RECID"), F.lit(v).alias("a"),
+                                                    F.sha2(F.col("id").cast("string"), 256).alias("text"),
+                                                    F.lit(False).alias("IsDelete"))
+    load(rows(0, 50, 1), "f1")
+    small = store.current("t").buckets
+    load(rows(50, 2000, 1), "f2")
+    load(rows(2000, 2010, 1), "f3")
+    grown = store.current("t")
+    assert small == 8 and grown.buckets > 32 and len(state_files(store)) <= grown.buckets + 1
+    assert store.read("t").count() == 2010
+    assert store.read("t").select("RECID").distinct().count() == 2010
+
+
+def test_table_that_loses_all_rows(spark, tmp_dir):
+    store, load = loader(spark, tmp_dir)
+    ddl = "RECID BIGINT, a INT, IsDelete BOOLEAN"
+    load(spark.createDataFrame([(1, 1, None), (None, 1, None)], ddl), "f1")
+    row = load(spark.createDataFrame([(1, 2, True), (None, 2, True)], ddl), "f2")
+    assert row["deleted"] == 2 and store.read("t").count() == 0
+    load(spark.createDataFrame([(5, 3, None)], ddl), "f3")
+    assert [r["RECID"] for r in store.read("t").collect()] == [5]
+    assert sorted((r["RECID"] or 0, r["_change_type"]) for r in store.changes("t").collect()) == [
+        (0, "delete"), (0, "insert"), (1, "delete"), (1, "insert"), (5, "insert")]
+
+
+def test_types_that_do_not_fit_are_named_before_the_load(spark, tmp_dir):
+    store, load = loader(spark, tmp_dir)
+    load(spark.createDataFrame([(1, 1, 5, None)], "RECID BIGINT, a INT, code BIGINT, IsDelete BOOLEAN"), "f1")
+    with pytest.raises(ValueError, match="code: string into bigint"):
+        load(spark.createDataFrame([(1, 1, "label", None)], "RECID BIGINT, a INT, code STRING, IsDelete BOOLEAN"), "f2")
+    assert store.watermark("t") == "f1"
+    load(spark.createDataFrame([(1, 1, 7, None)], "RECID BIGINT, a INT, code INT, IsDelete BOOLEAN"), "f3")
+    assert store.read("t").first()["code"] == 7
+
+
+def test_two_stores_on_one_root_read_the_current_snapshot(spark, tmp_dir):
+    from tidemark.sinks.store import TableStore
+    a, load = loader(spark, tmp_dir)
+    ddl = "RECID BIGINT, a INT, IsDelete BOOLEAN"
+    load(spark.createDataFrame([(1, 1, None)], ddl), "f1")
+    old = a.current("t")
+    load(spark.createDataFrame([(2, 1, None)], ddl), "f2")
+    b = TableStore(spark, tmp_dir)
+    assert a.read("t").count() == 2
+    assert b.read("t", old).count() == 1
+    assert a.read("t").count() == 2 and b.read("t").count() == 2
+
+
+def test_stamps_and_commit_order_in_any_clock_zone(spark, tmp_dir, monkeypatch):
+    """Driver in New York across the change from winter to summer time: the later commit stays current."""
+    import datetime as dt
+    import time
+
+    from tidemark.sinks import store as module
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        store, load = loader(spark, tmp_dir)
+        clock = iter([dt.datetime(2026, 3, 8, 2, 30, tzinfo=dt.timezone.utc), dt.datetime(2026, 3, 8, 3, 10, tzinfo=dt.timezone.utc),
+                      dt.datetime(2026, 3, 8, 1, 0, tzinfo=dt.timezone.utc)])
+
+        class Clock(dt.datetime):
+            @classmethod
+            def now(cls, tz=None):
+                return next(clock)
+        monkeypatch.setattr(module._dt, "datetime", Clock)
+        for path in ("/p/1", "/p/2", "/p/3"):
+            store.commit("c", path, path, "r", "merge", 1)
+            assert store.current("c").path == path and store.current_all(["c"])["c"].path == path
+        monkeypatch.undo()
+        monkeypatch.setenv("TZ", "America/New_York")
+        time.tzset()
+        ddl = "RECID BIGINT, a INT, IsDelete BOOLEAN"
+        begun = time.time()
+        load(spark.createDataFrame([(1, 1, None)], ddl), "f1")
+        load(spark.createDataFrame([(1, 2, None), (2, 1, None)], ddl), "f2")
+        ended = time.time()
+        stamps = store.read("t").selectExpr("cast(_sysCreatedDateTime as double) c", "cast(_sysProcessedDateTime as double) p").collect()
+        assert all(begun - 1 <= r["c"] <= r["p"] <= ended + 1 for r in stamps)
+    finally:
+        monkeypatch.undo()
+        time.tzset()
 
 
 def test_composite_key_bucketed_target_is_not_exchanged(spark, tmp_dir):
@@ -146,7 +251,7 @@ def test_composite_key_bucketed_target_is_not_exchanged(spark, tmp_dir):
     store.commit("t", path, "f1", "r1", "replace", 4000, None, 8, "k1,k2")
     src = spark.createDataFrame([(1, 0, "y", None), (5, 999, "z", None), (2, 0, None, True)],
                                 "k1 BIGINT, k2 BIGINT, v STRING, IsDelete BOOLEAN")
-    staged, _, _, _ = stage_measured(src, "test-src2")
+    staged = stage_measured(src, "test-src2")[0]
     res = merge(store.read("t"), staged, ["k1", "k2"], strategy="shuffle")
     out = res.state
     out.write.format("noop").mode("overwrite").save()

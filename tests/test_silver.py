@@ -30,6 +30,16 @@ def test_check_fails_on_null_name_after_default(spark):
     assert [(r["accountnum"], r["customername"]) for r in bad] == [("A", "")]
 
 
+def test_check_looks_at_view_rows_only(spark):
+    """A party that no customer refers to may be blank, however the joins are planned."""
+    parts = frames(spark, [(1, "Ann"), (2, "Bob"), (77, None), (78, "")])
+    out = silver_customer(*parts)
+    assert out.count() == 2 and {r["customername"] for r in out.filter("customername like '%n%'").collect()} == {"Ann"}
+    assert out.select("accountnum").distinct().count() == 2
+    with pytest.raises(Exception, match="name_check"):
+        silver_customer(*frames(spark, [(1, None), (2, "Bob")])).select("accountnum").count()
+
+
 def test_build_view_skips_existing(spark, tmp_dir):
     store = TableStore(spark, tmp_dir)
     df = silver_customer(*frames(spark, [(1, "Ann"), (2, "Bob")]))
@@ -60,6 +70,14 @@ def test_silver_job_from_bronze_store(spark, tmp_dir):
     built = build_silver_views(spark, bronze, silver)
     assert built["silver_sales_invoice"] is None                      # its bronze tables are absent
     assert sorted(r["accountnum"] for r in silver.read("silver_customer").collect()) == ["A", "B"]
+    h = "invoiceid STRING, invoicedate STRING, dataareaid STRING, currencycode STRING, invoiceaccount STRING"
+    bronze.replace("custinvoicejour", spark.createDataFrame([("I1", "d", "c1", "USD", "A"), ("I2", "d", "c9", "USD", "A")], h))
+    bronze.replace("custinvoicetrans", spark.createDataFrame([("I1", "d", "c1", 5), ("I2", "d", "c9", 6)],
+                                                            "invoiceid STRING, invoicedate STRING, dataareaid STRING, n INT"))
+    bronze.replace("dirpartytable", spark.createDataFrame([(1, "Ann"), (2, "Bob")], PARTY))
+    build_silver_views(spark, bronze, silver)
+    invoice = silver.read("silver_sales_invoice").collect()
+    assert [(r["invoiceid"], r["customername"], r["n"]) for r in invoice] == [("I1", "Ann", 5)]
     bronze.replace("dirpartytable", spark.createDataFrame([(1, None), (2, "Bob")], PARTY))
     with pytest.raises(Exception, match="name_check"):
         build_silver_views(spark, bronze, silver, refresh=True)

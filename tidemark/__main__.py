@@ -35,14 +35,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     a = p.parse_args(argv)
     spark = spark or SparkSession.builder.appName("tidemark").getOrCreate()
     ensure_checkpoint_dir(spark)
-    cfg = LandingConfig(landing_root=a.landing, store_root=a.store)
+    cfg = LandingConfig(landing_root=a.landing, store_root=a.store, decode_enums=not a.no_enums)
     if not a.no_enums:
         load_enums(spark, cfg)
     config = read_config(spark, a.config, a.config_format)
     log = ingest_all(spark, cfg, config, a.group, a.tables, a.reload, a.parallelism)
     for r in log.collect():
         print(f"{r['table']}: {r['status']} {r['strategy'] or ''} rows={r['rows_after']} "
-              f"folders={r['folder_from']}..{r['folder_to']} {r['error'] or ''}".rstrip())
+              f"folders={r['folder_from']}..{r['folder_to']} {r['error'] or r['warning'] or ''}".rstrip())
     outcome = run_outcome(log)
     print(f"{outcome['result']}: {outcome['errors']} error(s)")
     return 1 if outcome["result"] == "FAIL" else 0

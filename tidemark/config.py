@@ -59,21 +59,18 @@ class LandingConfig:
     rename: dict = field(default_factory=lambda: dict(RENAME_COLUMNS))
     excluded_meta: tuple[str, ...] = EXCLUDED_META_COLUMNS
     ignored_compare: tuple[str, ...] = IGNORED_COMPARE_COLUMNS
-    # Source row count at or under which the merge broadcasts the change set
-    # instead of shuffling the stored table (checked on the staged source).
-    broadcast_source_rows: int = 2_000_000
-    # Bytes at or under which the staged change set may be broadcast.
-    broadcast_source_bytes: int = 256 * 1024 * 1024
-    # Enum lookup rows at or under which decoding broadcasts the lookup.
-    broadcast_enum_rows: int = 1_000_000
-    # Export files at or above this size are read split by split (records
-    # found by a parallel quote-parity scan) instead of one task per file.
-    split_file_bytes: int = 512 * 1024 * 1024
+    # Decode enum columns; a load then needs the enum metadata table.
+    decode_enums: bool = True
+    # Codes of one enum attribute up to which its labels are part of the
+    # projection; an attribute with more is decoded by a join.
+    inline_enum_codes: int = 1_000
     # Write load-time stamps into stored rows.
     stamp_rows: bool = True
     # Store tables bucketed by the record key columns (merges then exchange
-    # only the change set).  ``buckets`` = 0 sizes the bucket count at full load:
-    # a power of two giving about ``bucket_bytes`` of staged data per bucket.
+    # only the change set).  ``buckets`` = 0 sizes the bucket count at every load:
+    # a power of two giving about ``bucket_bytes`` of stored data per bucket; a
+    # merge changes it when it is off by a factor of two.  ``max_buckets`` stays
+    # below Spark's own limit (spark.sql.sources.bucketing.maxBuckets).
     bucketed: bool = True
     buckets: int = 0
     bucket_bytes: int = 128 * 1024 * 1024

@@ -6,9 +6,9 @@ table.  A code not listed decodes to NULL.  When one code has several labels
 depend on row order.  Attributes listed in the metadata but absent from the
 table are skipped.
 
-Decoding is a left join per enum attribute against a de-duplicated lookup;
-the lookup is broadcast when its row count (checked first) is under a
-limit, otherwise it is a regular shuffle join.  No per-row Python.
+Labels of attributes with few codes are literals of one projection; an
+attribute with more codes than the limit is a left join against the
+de-duplicated lookup.  No per-row Python.
 """
 
 from __future__ import annotations
@@ -28,24 +28,32 @@ def enum_lookup(enums: DataFrame, entity: str | None = None) -> DataFrame:
             .agg(F.min("OptionName").alias("label")))
 
 
-def decode_enums(df: DataFrame, enums: DataFrame, entity: str,
-                 broadcast_rows: int = 1_000_000) -> DataFrame:
-    """Replace each enum column of ``entity`` by its label (type string)."""
+def decode_enums(df: DataFrame, enums: DataFrame, entity: str, inline_codes: int = 1_000) -> DataFrame:
+    """Replace each enum column of ``entity`` by its label (type string).
+
+    One small job collects the labels of attributes with at most ``inline_codes``
+    codes; all their columns are then decoded in one projection.
+    """
     lookup = enum_lookup(enums, entity)
-    # One small job: which attributes this entity has, and how many codes each.
-    sizes = lookup.groupBy("attribute").agg(F.count(F.lit(1)).alias("n")).collect()
-    out = df
-    for i, r in enumerate(sorted(sizes, key=lambda r: r["attribute"])):
-        col = find_column(out, r["attribute"])
-        if col is None:
-            continue
-        code, label = f"__enum_code_{i}", f"__enum_label_{i}"
-        side = lookup.filter(F.col("attribute") == r["attribute"]).select(
-            F.col("code").alias(code), F.col("label").alias(label))
-        if r["n"] <= broadcast_rows:
-            side = F.broadcast(side)
-        joined = out.join(side, F.col(col) == F.col(code), "left")
-        out = joined.select(*[F.col(label).alias(c) if c == col else F.col(c) for c in out.columns])
+    pairs = F.collect_list(F.struct("code", "label"))
+    found = (lookup.groupBy("attribute")
+             .agg(F.count(F.lit(1)).alias("n"), pairs.alias("labels"))  # metadata of one attribute
+             .select("attribute", "n", F.when(F.col("n") <= inline_codes, F.col("labels")).alias("labels")).collect())
+    columns = {find_column(df, r["attribute"]): r for r in found if find_column(df, r["attribute"]) is not None}
+    decoded = {}
+    for name, r in columns.items():
+        if r["labels"] is not None:
+            labels = [F.lit(x) for p in r["labels"] if p["code"] is not None for x in (p["code"], p["label"])]
+            decoded[name] = (F.try_element_at(F.create_map(*labels), F.col(name).cast("bigint")) if labels
+                             else F.lit(None).cast("string"))
+    out = df.withColumns(decoded) if decoded else df
+    for i, (name, r) in enumerate(columns.items()):
+        if r["labels"] is None:
+            code, label = f"__enum_code_{i}", f"__enum_label_{i}"
+            side = lookup.filter(F.col("attribute") == r["attribute"]).select(
+                F.col("code").alias(code), F.col("label").alias(label))
+            joined = out.join(side, F.col(name) == F.col(code), "left")
+            out = joined.select(*[F.col(label).alias(c) if c == name else F.col(c) for c in out.columns])
     return out
 
 

@@ -12,10 +12,11 @@ join of target and source on the key (NULL-safe), with one action per row:
     ignore     delete marker for an unknown key
 
 New state = keep + unchanged + update + insert.  The change feed is derived
-from the same frame in the same pass (insert, update_preimage,
-update_postimage, delete).
+from the same frame (insert, update_preimage, update_postimage, delete);
+``outputs`` has both in one frame, so a load runs the join once.
 
-Two physical strategies, same result:
+Two physical strategies, same result (the load job always takes ``shuffle``,
+which keeps the stored layout):
 
 * ``shuffle``: one full outer join on the key.  When the stored table is
   bucketed by the key, only the change set is exchanged (the join keys are
@@ -35,6 +36,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, DecimalType, MapType, StructType
 
 from tidemark.config import (CREATED_STAMP, DELETE_FLAG, IGNORED_COMPARE_COLUMNS,
                              PROCESSED_STAMP)
@@ -43,6 +45,8 @@ from tidemark.functions.predicates import compare_columns, is_delete, rows_diffe
 
 ACTION = "_action"
 CHANGE_TYPE = "_change_type"
+KIND = "_kind"
+ACTIONS = ("keep", "unchanged", "update", "insert", "delete", "ignore")
 STATE_ACTIONS = ("keep", "unchanged", "update", "insert")
 _T, _S = "__t_", "__s_"
 _TP, _SP = "__t_present", "__s_present"
@@ -52,8 +56,7 @@ _TP, _SP = "__t_present", "__s_present"
 class MergeResult:
     """Lazy outputs of one merge.  ``actions`` holds one row per joined key
     with both images and ``_action``; ``state`` and ``changes`` are separate
-    projections of it (the load job writes them as two passes rather than
-    caching a frame twice the table's width)."""
+    projections of it, ``outputs`` is both in one pass."""
 
     actions: DataFrame
     columns: list[str]
@@ -78,6 +81,22 @@ class MergeResult:
         return (self.actions.filter(a.isin("insert", "update", "delete"))
                 .select(F.inline(images)))
 
+    @property
+    def outputs(self) -> DataFrame:
+        """State and feed rows in one frame: the state columns, ``_change_type``
+        (NULL for state rows) and ``KIND``."""
+        def image(prefix: str, change: str | None) -> Column:
+            return F.struct(*[F.col(f"{prefix}{c}").alias(c) for c in self.columns],
+                            F.lit(change).cast("string").alias(CHANGE_TYPE),
+                            F.lit("state" if change is None else "changes").alias(KIND))
+        a, now = F.col(ACTION), image("__post_", None)
+        images = (F.when(a.isin("keep", "unchanged"), F.array(now))
+                  .when(a == "insert", F.array(now, image("__post_", "insert")))
+                  .when(a == "update", F.array(now, image("__pre_", "update_preimage"),
+                                               image("__post_", "update_postimage")))
+                  .when(a == "delete", F.array(image("__pre_", "delete"))))
+        return self.actions.filter(a != "ignore").select(F.inline(images))
+
     def action_counts(self) -> DataFrame:
         return self.actions.groupBy(ACTION).agg(F.count(F.lit(1)).alias("rows"))
 
@@ -96,7 +115,7 @@ def _conjunction(conds):
 
 
 def _outer_join(t: DataFrame, s: DataFrame, tk: list[str], sk: list[str], strategy: str,
-                empty_t: list[Column], buckets: int | None = None) -> DataFrame:
+                empty_t: list[Column]) -> DataFrame:
     """Full outer join of target and source on the key, NULL keys matching.
 
     Rows whose key has no NULL are joined with plain equality, so a target
@@ -118,14 +137,29 @@ def _outer_join(t: DataFrame, s: DataFrame, tk: list[str], sk: list[str], strate
             matched_side = tp.join(F.broadcast(sp), cond, "left_outer")
             matched_keys = tp.select(*tk).join(F.broadcast(sp.select(*sk)), cond, "left_semi")
             s_only = sp.join(F.broadcast(matched_keys), cond, "left_anti")
-            if buckets:
-                # inserts follow the stored bucket layout: one file per bucket
-                s_only = s_only.repartition(int(buckets), *[F.col(c) for c in sk])
             j = matched_side.unionByName(s_only.select(*empty_t, *sp.columns))
         out = j if out is None else out.unionByName(j)
     return out
 
 
+_INTEGRAL = ("tinyint", "smallint", "int", "bigint")
+
+
+def can_hold(stored: DataType, new: DataType) -> bool:
+    """Whether every value of type ``new`` fits a stored column of type ``stored``."""
+    old, src = stored.simpleString(), new.simpleString()
+    if old == src or src == "void" or old == "string" and not isinstance(new, (ArrayType, MapType, StructType)):
+        return True
+    if src in _INTEGRAL and old in _INTEGRAL:
+        return _INTEGRAL.index(src) <= _INTEGRAL.index(old)
+    if isinstance(stored, DecimalType):
+        if isinstance(new, DecimalType):
+            return stored.scale >= new.scale and stored.precision - stored.scale >= new.precision - new.scale
+        return src in _INTEGRAL and stored.precision - stored.scale >= (3, 5, 10, 19)[_INTEGRAL.index(src)]
+    return (src, old) in (("float", "double"), ("int", "double"), ("smallint", "float"), ("smallint", "double"),
+                          ("tinyint", "float"), ("tinyint", "double"), ("date", "timestamp"), ("date", "timestamp_ntz"))
+
+
 def evolve(target: DataFrame, source: DataFrame, extra: Sequence[tuple[str, str]] = ()) -> DataFrame:
     """Additive schema evolution: add source columns missing from the target
     (case-insensitive) as typed NULLs.  Nothing is dropped or widened."""
@@ -145,17 +179,17 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
           ignored: Sequence[str] = IGNORED_COMPARE_COLUMNS,
           preserve: Sequence[str] = (CREATED_STAMP,),
           strategy: str = "shuffle",
-          stamp: bool = False, load_time=None, buckets: int | None = None) -> MergeResult:
+          stamp: bool = False, load_time=None) -> MergeResult:
     """Plan the merge of ``source`` (one row per key) into ``target``.
 
     ``strategy`` is ``shuffle`` or ``broadcast``; choose ``broadcast`` only
-    for a source whose size has been checked (see ``plans.ingest``).
+    for a source whose size has been checked (``choose_strategy``).  A source type
+    that a stored column cannot hold without loss is an error before any row is read.
     ``stamp`` adds ``_sysCreatedDateTime`` (set on insert, preserved
     afterwards) and ``_sysProcessedDateTime`` (set on every written row);
     ``load_time`` (a datetime) makes the stamp a literal, so separate passes
-    over the merge, and recomputed partitions, stamp identically.
-    ``buckets``: bucket count of a target stored bucketed by the key; the
-    broadcast strategy then lays inserted rows out by bucket as well.
+    over the merge, and recomputed partitions, stamp identically; give it a
+    zone, as a datetime without one is the driver's local time.
     """
     if strategy not in ("shuffle", "broadcast"):
         raise ValueError(f"unknown merge strategy {strategy!r}")
@@ -168,6 +202,10 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
     if None in key_cols or any(src_of[k] is None for k in key_cols):
         raise ValueError(f"merge keys {keys} must exist on both sides")
     flag = find_column(source, delete_flag) if delete_flag else None
+    unfit = [f"{c}: {source.schema[src_of[c]].dataType.simpleString()} into {types[c].simpleString()}"
+             for c in columns if src_of[c] is not None and not can_hold(types[c], source.schema[src_of[c]].dataType)]
+    if unfit:
+        raise ValueError("the stored columns cannot hold the new types (reload the table): " + "; ".join(unfit))
 
     t = tgt.select(*[F.col(c).alias(_T + c) for c in columns], F.lit(True).alias(_TP))
     s = source.select(*[F.col(c).alias(_S + c) for c in source.columns], F.lit(True).alias(_SP))
@@ -175,8 +213,7 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
     sk = [_S + src_of[k] for k in key_cols]
 
     compared = compare_columns(source.columns, columns, keys, excluded, ignored)
-    pairs = [(F.col(_S + c).try_cast(types[find_column(tgt, c)]) if source.schema[c].dataType != types[find_column(tgt, c)]
-              else F.col(_S + c), F.col(_T + find_column(tgt, c))) for c in compared]
+    pairs = [(F.col(_S + c).cast(types[find_column(tgt, c)]), F.col(_T + find_column(tgt, c))) for c in compared]
     deleting = is_delete(F.col(_S + flag)) if flag else F.lit(False)
     t_in, s_in = F.col(_TP).isNotNull(), F.col(_SP).isNotNull()
     action = (F.when(~s_in, "keep")
@@ -186,7 +223,7 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
               .otherwise("unchanged"))
 
     empty_t = [F.lit(None).cast(types[c]).alias(_T + c) for c in columns] + [F.lit(None).cast("boolean").alias(_TP)]
-    joined = _outer_join(t, s, tk, sk, strategy, empty_t, buckets)
+    joined = _outer_join(t, s, tk, sk, strategy, empty_t)
 
     now = F.lit(load_time) if load_time is not None else F.current_timestamp()
     created, processed = find_column(columns, CREATED_STAMP), find_column(columns, PROCESSED_STAMP)

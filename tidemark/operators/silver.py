@@ -23,9 +23,12 @@ def name_check() -> tuple[str, Column]:
 def enforce(df: DataFrame, name: str, condition: Column) -> DataFrame:
     """Fail the query on the first row where ``condition`` is not true.
 
-    The assertion is a filter predicate, so column pruning cannot remove it.
+    The check is a filter, so column pruning cannot remove it, and its message
+    shows the whole row: as it refers to columns of all joined sides, it can't
+    be moved below the joins onto rows that never reach the view.
     """
-    return df.filter(F.assert_true(check_passes(condition), F.lit(f"CHECK {name} violated")).isNull())
+    message = F.concat(F.lit(f"CHECK {name} violated: "), F.to_json(F.struct(*df.columns)))
+    return df.filter(F.when(check_passes(condition), F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
 
 
 def violations(df: DataFrame, condition: Column) -> DataFrame:
@@ -36,19 +39,31 @@ def violations(df: DataFrame, condition: Column) -> DataFrame:
 def silver_customer(cust: DataFrame, custgroup: DataFrame, dirparty: DataFrame,
                     check: bool = True) -> DataFrame:
     """M7: customer x group (two keys: group, company) x party (one key)."""
+    out = customer_rows(cust, custgroup, dirparty).select(*CUSTOMER_COLUMNS)
+    return enforce(out, *name_check()) if check else out
+
+
+def customer_rows(cust: DataFrame, custgroup: DataFrame, dirparty: DataFrame) -> DataFrame:
+    """The customer view's rows, unchecked, with their company ``dataareaid``."""
     c, g, p = cust.alias("cust"), custgroup.alias("custgroup"), dirparty.alias("dirparty")
-    out = (c.join(g, (F.col("custgroup.custgroup") == F.col("cust.custgroup"))
+    return (c.join(g, (F.col("custgroup.custgroup") == F.col("cust.custgroup"))
                   & (F.col("custgroup.dataareaid") == F.col("cust.dataareaid")), "inner")
            .join(p, F.col("dirparty.recid") == F.col("cust.party"), "inner")
            .select(F.col("cust.accountnum"), F.col("cust.custgroup"), F.col("cust.dlvterm"),
                    F.col("cust.party"), F.col("custgroup.name").alias("customergroup"),
-                   F.coalesce(F.col("dirparty.name"), F.lit("")).alias("customername")))
-    return enforce(out, *name_check()) if check else out
+                   F.coalesce(F.col("dirparty.name"), F.lit("")).alias("customername"),
+                   F.col("cust.dataareaid").alias("dataareaid")))
 
 
-def silver_sales_invoice(header: DataFrame, lines: DataFrame) -> DataFrame:
+def silver_sales_invoice(header: DataFrame, lines: DataFrame, customers: DataFrame | None = None,
+                         check: bool = True) -> DataFrame:
     """M8 (as intended): invoice header x invoice lines on
-    (invoiceid, invoicedate, dataareaid); header columns then line columns."""
+    (invoiceid, invoicedate, dataareaid); header columns then line columns.
+
+    With ``customers`` (the unchecked customer view with its company, see
+    ``customer_rows``) each invoice also carries the columns of its invoice
+    account, and the view's row check holds.
+    """
     h, l = header.alias("cij"), lines.alias("cit")
     keys = ("invoiceid", "invoicedate", "dataareaid")
     cond = None
@@ -57,9 +72,19 @@ def silver_sales_invoice(header: DataFrame, lines: DataFrame) -> DataFrame:
         cond = c if cond is None else cond & c
     line_cols = [F.col(f"cit.{c}").alias(f"line_{c}") for c in lines.columns if c not in keys and c in header.columns]
     line_cols += [F.col(f"cit.{c}") for c in lines.columns if c not in keys and c not in header.columns]
-    return h.join(l, cond, "inner").select(*[F.col(f"cij.{c}") for c in header.columns], *line_cols)
+    joined = h.join(l, cond, "inner")
+    if customers is None:
+        return joined.select(*[F.col(f"cij.{c}") for c in header.columns], *line_cols)
+    cust = customers.alias("customer")
+    joined = joined.join(cust, (F.col("customer.accountnum") == F.col("cij.invoiceaccount"))
+                         & (F.col("customer.dataareaid") == F.col("cij.dataareaid")), "inner")
+    out = joined.select(*[F.col(f"customer.{c}") for c in CUSTOMER_COLUMNS],
+                        *[F.col(f"cij.{c}") for c in header.columns], *line_cols)
+    return enforce(out, *name_check()) if check else out
 
 
+# Columns of the customer view, and of the profiles below.
+CUSTOMER_COLUMNS = ("accountnum", "custgroup", "dlvterm", "party", "customergroup", "customername")
 HEADER_PROFILE = ("invoiceid", "invoicedate", "orderaccount", "invoiceaccount", "currencycode",
                   "ledgervoucher", "invoiceamount", "invoiceamountmst", "sumtax", "sumtaxmst",
                   "dataareaid")

@@ -6,9 +6,9 @@
 
 One table load is a single lazy plan from the CSV scan to the latest row per
 key; that change set is staged once in the shared checkpoint folder (cuts
-lineage, gives an exact size), then merged into the stored table with a
-strategy picked from the staged size, written as a new snapshot, and made
-current together with its high-water mark by one log row.
+lineage, gives an exact size), then joined once with the stored table.  The
+new snapshot and the change feed are written by one pass over that join, and
+made current together with the high-water mark by one log row.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ import datetime as _dt
 import traceback
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import (CREATED_STAMP, ENUM_FILE, ENUM_TABLE, PROCESSED_STAMP,
@@ -29,19 +29,18 @@ from tidemark.functions.keys import repair_keys
 from tidemark.functions.predicates import is_delete
 from tidemark.functions.timestamps import parse_sink_columns
 from tidemark.operators.latest import latest_change
-from tidemark.operators.merge import choose_strategy, merge
-from tidemark.session import drop_path, stage_measured
-from tidemark.sinks.store import TableStore, new_run_id
+from tidemark.operators.merge import ACTION, ACTIONS, merge
+from tidemark.session import drop_path, path_size_bytes, stage_measured
+from tidemark.sinks.store import Snapshot, TableStore, new_run_id
 from tidemark.sources.csvscan import FOLDER_COLUMN, read_enum_csv, read_entity_csv
-from tidemark.sources.landing import (candidate_folders, changelog_head, changelog_latest,
-                                      landing_files, plan_loads)
-from tidemark.sources.model import (entity_schema, entity_schemas, model_attributes, read_model,
+from tidemark.sources.landing import changelog_head, changelog_latest, loadable_folders
+from tidemark.sources.model import (entity_schemas_and_unknown, model_attributes, read_model,
                                     schema_catalog)
 from tidemark.sources.tables import select_tables
 
 RUN_LOG_DDL = ("table STRING, status STRING, strategy STRING, folder_from STRING, folder_to STRING, "
-               "files BIGINT, source_rows BIGINT, inserted BIGINT, updated BIGINT, deleted BIGINT, "
-               "unchanged BIGINT, ignored BIGINT, rows_after BIGINT, run_id STRING, error STRING")
+               "folders BIGINT, source_rows BIGINT, inserted BIGINT, updated BIGINT, deleted BIGINT, "
+               "unchanged BIGINT, ignored BIGINT, rows_after BIGINT, run_id STRING, error STRING, warning STRING")
 RUN_LOG_FIELDS = [f.split(" ")[0] for f in RUN_LOG_DDL.split(", ")]
 _UNSET = object()
 
@@ -54,45 +53,42 @@ def _run_row(table: str, status: str, **kw) -> dict:
 
 def plan_tables(spark: SparkSession, cfg: LandingConfig, store: TableStore,
                 tables: Iterable[str], reload: bool = False,
-                snapshots: dict | None = None) -> dict[str, list[tuple[str, str, int]]]:
-    """Files to load per table: ``{table: [(folder, path, bytes), ...]}``.
+                snapshots: dict | None = None) -> dict[str, list[str]]:
+    """Folders to load per table, in order: ``{table: [folder, ...]}``.
 
     ``snapshots``: current snapshots per table if already read (one job for
     all tables otherwise).
-
-    One listing of the landing tree and one job for all tables.  The result
-    names files (metadata), not rows, so collecting it is bounded by the file
-    count of the window being loaded.
     """
     tables = list(tables)
     latest = changelog_head(spark, cfg.changelog_path)
     snaps = {} if reload else (snapshots if snapshots is not None else store.current_all(tables))
     marks = {t: (snaps[t].lastload if t in snaps else None) for t in tables}
-    out: dict[str, list[tuple[str, str, int]]] = {t: [] for t in tables}
-    folders = candidate_folders(spark, cfg.landing_root, marks, latest)
-    if not folders:
-        return out
-    plan = plan_loads(landing_files(spark, cfg.landing_root, folders), marks, latest, tables=tables)
-    for r in plan.collect():
-        out[r["table"]].append((r["folder"], r["path"], r["length"]))
-    return out
+    return loadable_folders(spark, cfg.landing_root, marks, latest)
 
 
-def read_changes(spark: SparkSession, cfg: LandingConfig, table: str, paths: list[str],
-                 enums: DataFrame | None, large_paths: Iterable[str] = (), schema=None) -> DataFrame:
-    """Scan the CSV files of one table (``large_paths`` split-wise), then
+def read_changes(spark: SparkSession, cfg: LandingConfig, table: str, folders: list[str],
+                 enums: DataFrame | None, schema=None) -> DataFrame:
+    """Scan one table's CSV files of the given landing folders, then
     ``prepare_changes``.  ``schema``: the table's model schema if known."""
     schema = schema if schema is not None else table_schema(spark, cfg, table)
-    rows = read_entity_csv(spark, paths, schema, large_paths=list(large_paths))
+    root = cfg.landing_root.rstrip("/")
+    rows = read_entity_csv(spark, [f"{root}/{f}/{table}" for f in folders], schema)
     return prepare_changes(rows, cfg, table, enums)
 
 
-def _catalog(spark: SparkSession, cfg: LandingConfig) -> DataFrame:
-    return schema_catalog(model_attributes(read_model(spark, cfg.model_path)))
+def table_schemas(spark: SparkSession, cfg: LandingConfig, tables: list[str]) -> tuple[dict, dict[str, str]]:
+    """Model schema of each table (an exception where it has none), and a warning
+    for each table with attribute types the model doesn't define (read as string)."""
+    catalog = schema_catalog(model_attributes(read_model(spark, cfg.model_path)))
+    schemas, unknown = entity_schemas_and_unknown(catalog, tables)
+    return schemas, {t: "unknown types read as string: " + ", ".join(v) for t, v in unknown.items()}
 
 
 def table_schema(spark: SparkSession, cfg: LandingConfig, table: str):
-    return entity_schema(_catalog(spark, cfg), table)
+    schema = table_schemas(spark, cfg, [table])[0][table]
+    if isinstance(schema, Exception):
+        raise schema
+    return schema
 
 
 def prepare_changes(rows: DataFrame, cfg: LandingConfig, table: str, enums: DataFrame | None) -> DataFrame:
@@ -102,67 +98,57 @@ def prepare_changes(rows: DataFrame, cfg: LandingConfig, table: str, enums: Data
     rows = repair_keys(rows)
     rows = parse_sink_columns(rows)
     if enums is not None:
-        rows = decode_enums(rows, enums, table, cfg.broadcast_enum_rows)
+        rows = decode_enums(rows, enums, table, cfg.inline_enum_codes)
     latest = latest_change(rows, cfg.key, cfg.version_order, extra_order=[FOLDER_COLUMN])
     return latest.drop(FOLDER_COLUMN, *cfg.excluded_meta)
 
 
-def _bucketing(cfg: LandingConfig, source: DataFrame, staged_bytes: int) -> tuple[str | None, int | None]:
-    """Bucket columns (the record key, comma-joined) and count for a full load."""
+def _bucketing(cfg: LandingConfig, source: DataFrame, stored_bytes: int) -> tuple[str | None, int | None]:
+    """Bucket columns (the record key, comma-joined) and count for ``stored_bytes``."""
     keys = [find_column(source, k) for k in cfg.key]
     if not cfg.bucketed or None in keys:
         return None, None
     key = ",".join(keys)
     if cfg.buckets:
         return key, cfg.buckets
-    need = max(1, -(-staged_bytes // cfg.bucket_bytes))
+    need = max(1, -(-stored_bytes // cfg.bucket_bytes))
     n = 8
     while n < need and n < cfg.max_buckets:
         n *= 2
     return key, n
 
 
-def _action_counts(spark: SparkSession, feed_path: str, source: DataFrame, src: int,
-                   flag: str | None) -> dict:
-    """Rows per merge action from the written change feed and the staged
-    change set of ``src`` rows (both small next to the stored table)."""
-    feed = {r["_change_type"]: r["n"] for r in spark.read.parquet(feed_path)
-            .groupBy("_change_type").agg(F.count(F.lit(1)).alias("n")).collect()}
-    markers = source.filter(is_delete(F.col(flag))).count() if flag else 0
-    ins, upd, dele = feed.get("insert", 0), feed.get("update_postimage", 0), feed.get("delete", 0)
-    return {"insert": ins, "update": upd, "delete": dele, "ignore": markers - dele,
-            "unchanged": src - markers - ins - upd}
-
-
-def _stamp_new(df: DataFrame) -> DataFrame:
-    now = F.current_timestamp()
-    return df.withColumns({CREATED_STAMP: now, PROCESSED_STAMP: now})
+def _by_key(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    return df.repartition(buckets, *[F.col(k) for k in key.split(",")])
 
 
 def ingest_table(spark: SparkSession, cfg: LandingConfig, table: str, reload: bool = False,
-                 store: TableStore | None = None, files: list[tuple] | None = None,
-                 current=_UNSET, enums=_UNSET, schema=None) -> dict:
+                 store: TableStore | None = None, folders: list[str] | None = None,
+                 current=_UNSET, enums=_UNSET, schema=None, warning: str | None = None) -> dict:
     """M1/M2: load one table; returns its run-log row (a dict).
 
     ``reload`` ignores the high-water mark, reads every closed folder and
     replaces the table.  With no folder to load the table and its mark are
-    left alone (status ``skipped``).
+    left alone (status ``skipped``).  A load that decodes enums fails where the
+    enum metadata was never loaded.
     """
     store = store or TableStore(spark, cfg.store_root)
-    if files is None:
-        files = plan_tables(spark, cfg, store, [table], reload)[table]
-    if not files:
+    if folders is None:
+        folders = plan_tables(spark, cfg, store, [table], reload)[table]
+    if not folders:
         return _run_row(table, "skipped")
-    folders = sorted({f[0] for f in files})
-    paths = [f[1] for f in files]
-    large = [f[1] for f in files if len(f) > 2 and f[2] is not None and f[2] >= cfg.split_file_bytes]
     if enums is _UNSET:
-        enums = enum_table(store)
+        enums = enum_table(store) if cfg.decode_enums else None
+    if cfg.decode_enums and enums is None:
+        raise ValueError(f"{ENUM_TABLE} has not been loaded; load the enum metadata first, or load without enums")
+    if schema is None:
+        schemas, warnings = table_schemas(spark, cfg, [table])
+        schema, warning = schemas[table], warnings.get(table)
     if isinstance(schema, Exception):
         raise schema
-    changes = read_changes(spark, cfg, table, paths, enums, large, schema)
-    return apply_changes(spark, cfg, store, table, changes, folders[0], folders[-1], len(paths), reload,
-                         current)
+    changes = read_changes(spark, cfg, table, folders, enums, schema)
+    row = apply_changes(spark, cfg, store, table, changes, folders[0], folders[-1], len(folders), reload, current)
+    return row | {"warning": warning}
 
 
 def enum_table(store: TableStore) -> DataFrame | None:
@@ -172,62 +158,74 @@ def enum_table(store: TableStore) -> DataFrame | None:
 
 def apply_changes(spark: SparkSession, cfg: LandingConfig, store: TableStore, table: str,
                   changes: DataFrame, folder_from: str | None, folder_to: str | None,
-                  files: int | None = None, reload: bool = False, current=_UNSET) -> dict:
+                  folders: int | None = None, reload: bool = False, current=_UNSET) -> dict:
     """Stage the latest change per key, then replace (first load / reload) or
     merge into the stored table, and commit snapshot + high-water mark.
     ``current``: the table's current snapshot if already read."""
-    if reload:
-        current = None
-    elif current is _UNSET:
-        current = store.current(table)
-    source, staged_path, source_rows, staged_bytes = stage_measured(changes, f"{table}-changes")
+    before = store.current(table) if current is _UNSET else current
+    source, staged_path, seen, staged_bytes = stage_measured(changes, f"{table}-changes")
     try:
-        return _replace_or_merge(spark, cfg, store, table, current, source, source_rows, staged_bytes,
-                                 folder_from, folder_to, files)
+        load = _replace if before is None or reload else _merge
+        return load(spark, cfg, store, table, before, source, staged_bytes,
+                    dict(folder_from=folder_from, folder_to=folder_to, folders=folders, source_rows=seen["rows"],
+                         run_id=new_run_id()))
     finally:
         drop_path(spark, staged_path)
 
 
-def _replace_or_merge(spark, cfg, store, table, current, source, source_rows, staged_bytes,
-                      folder_from, folder_to, files) -> dict:
+def _replace(spark: SparkSession, cfg: LandingConfig, store: TableStore, table: str, before: Snapshot | None,
+             source: DataFrame, staged_bytes: int, common: dict) -> dict:
     flag = find_column(source, cfg.delete_flag)
-    run_id = new_run_id()
-    common = dict(folder_from=folder_from, folder_to=folder_to, files=files,
-                  source_rows=source_rows, run_id=run_id)
-
-    if current is None:
-        state = source.filter(~is_delete(F.col(flag))) if flag else source
-        if cfg.stamp_rows:
-            state = _stamp_new(state)
-        bucket_key, buckets = _bucketing(cfg, source, staged_bytes)
-        if buckets:
-            state = state.repartition(buckets, *[F.col(k) for k in bucket_key.split(",")])
-        snapshot = store.write_snapshot(table, state, run_id, bucket_key, buckets)
-        rows_after = spark.read.parquet(snapshot).count()
-        store.commit(table, snapshot, folder_to, run_id, "replace", rows_after, None, buckets, bucket_key)
-        return _run_row(table, "loaded", strategy="replace", inserted=rows_after,
-                        rows_after=rows_after, **common)
-
-    strategy = choose_strategy(source_rows, staged_bytes, cfg.broadcast_source_rows, cfg.broadcast_source_bytes)
-    # The staged source carries no partitioning, so against a bucketed target
-    # only the source is exchanged (into the target's bucket count).
-    load_time = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    result = merge(store.read(table, current), source, cfg.key, cfg.delete_flag, cfg.excluded_meta,
-                   cfg.ignored_compare, strategy=strategy, stamp=cfg.stamp_rows, load_time=load_time,
-                   buckets=current.buckets)
-    # Two passes over the join instead of caching it (the cache would hold
-    # both images of every stored row): the new state, then the change feed,
-    # which only holds changed keys.  Counts come from the feed and the source.
-    snapshot = store.write_snapshot(table, result.state, run_id, current.bucket_key, current.buckets)
-    feed = store.write_changes(table, result.changes, run_id)
-    counts = _action_counts(spark, feed, source, source_rows, flag)
-    rows_after = spark.read.parquet(snapshot).count()
-    store.commit(table, snapshot, folder_to if folder_to is not None else current.lastload, run_id,
-                 "merge", rows_after, feed, current.buckets, current.bucket_key)
-    return _run_row(table, "merged", strategy=strategy, inserted=counts.get("insert", 0),
-                    updated=counts.get("update", 0), deleted=counts.get("delete", 0),
-                    unchanged=counts.get("unchanged", 0), ignored=counts.get("ignore", 0),
-                    rows_after=rows_after, **common)
+    state = source.filter(~is_delete(F.col(flag))) if flag else source
+    if cfg.stamp_rows:
+        now = F.lit(_dt.datetime.now(_dt.timezone.utc))
+        state = state.withColumns({CREATED_STAMP: now, PROCESSED_STAMP: now})
+    seen = Observation()
+    state = state.observe(seen, F.count(F.lit(1)).alias("rows"))
+    key, buckets = _bucketing(cfg, source, staged_bytes)
+    if buckets:
+        state = _by_key(state, key, buckets)
+    run_id = common["run_id"]
+    snapshot = store.write_snapshot(table, state, run_id, key, buckets)
+    rows = seen.get["rows"]
+    store.commit(table, snapshot, common["folder_to"], run_id, "replace", rows, None, buckets, key, after=before)
+    return _run_row(table, "loaded", strategy="replace", inserted=rows, rows_after=rows, **common)
+
+
+def _merge(spark: SparkSession, cfg: LandingConfig, store: TableStore, table: str, before: Snapshot,
+           source: DataFrame, staged_bytes: int, common: dict) -> dict:
+    """The staged source carries no partitioning, so against a bucketed target
+    only the source is exchanged (into the target's bucket count).  State and feed
+    are one pass over one join, and the counts are observed by that pass."""
+    result = merge(store.read(table, before), source, cfg.key, cfg.delete_flag, cfg.excluded_meta,
+                   cfg.ignored_compare, stamp=cfg.stamp_rows, load_time=_dt.datetime.now(_dt.timezone.utc))
+    key, buckets = before.bucket_key, before.buckets
+    want_key, want = _bucketing(cfg, source, path_size_bytes(spark, before.path) + staged_bytes)
+    moves = bool(want) and (key != want_key or not max(want, 1) / 2 < (buckets or 0) < 2 * want)
+    seen = Observation()
+    result.actions = result.actions.observe(
+        seen, *[F.count_if(F.col(ACTION) == a).alias(a) for a in ACTIONS])
+    outputs = result.outputs
+    if moves:
+        key, buckets = want_key, want
+        outputs = _by_key(outputs, key, buckets)
+    run_id = common["run_id"]
+    snapshot, feed = store.write_merge(table, outputs, run_id, key, buckets)
+    n = {a: seen.get[a] for a in ACTIONS}
+    rows = n["keep"] + n["unchanged"] + n["update"] + n["insert"]
+    # A late file of an older folder never moves the mark back.
+    mark = max((m for m in (common["folder_to"], before.lastload) if m is not None), default=None)
+    snapshot = snapshot if rows else _empty_state(store, table, outputs, run_id)
+    changed = n["insert"] + n["update"] + n["delete"] > 0
+    store.commit(table, snapshot, mark, run_id, "merge", rows, feed if changed else None,
+                 buckets if rows else None, key if rows else None, after=before)
+    return _run_row(table, "merged", strategy="shuffle", inserted=n["insert"], updated=n["update"], deleted=n["delete"],
+                    unchanged=n["unchanged"], ignored=n["ignore"], rows_after=rows, **common)
+
+
+def _empty_state(store: TableStore, table: str, outputs: DataFrame, run_id: str) -> str:
+    """A snapshot folder for a table that lost its last row (a partitioned write of no rows makes none)."""
+    return store.write_snapshot(table, TableStore.state_columns(outputs).limit(0), f"{run_id}-empty")
 
 
 def ingest_all(spark: SparkSession, cfg: LandingConfig, config: DataFrame,
@@ -241,19 +239,18 @@ def ingest_all(spark: SparkSession, cfg: LandingConfig, config: DataFrame,
     store = TableStore(spark, cfg.store_root)
     selected = select_tables(config, processing_group, table_names)
     tables = sorted({r["table_name"] for r in selected.select("table_name").distinct().collect()})
-    snaps = store.current_all(tables) if tables and not reload else {}
+    snaps = store.current_all(tables) if tables else {}
     plan = plan_tables(spark, cfg, store, tables, reload, snaps) if tables else {}
-    enums = enum_table(store) if tables else None
+    enums = enum_table(store) if tables and cfg.decode_enums else None
     with_files = [t for t in tables if plan.get(t)]
-    schemas = entity_schemas(_catalog(spark, cfg), with_files) if with_files else {}
+    schemas, warnings = table_schemas(spark, cfg, with_files) if with_files else ({}, {})
 
     def one(t: str) -> dict:
         try:
             return ingest_table(spark, cfg, t, reload, store, plan.get(t, []), snaps.get(t), enums,
-                                schemas.get(t))
+                                schemas.get(t), warnings.get(t))
         except Exception as e:  # noqa: BLE001 - the run log carries the failure
-            return _run_row(t, "failed", error=f"{type(e).__name__}: {e}"[:2000]
-                            + "\n" + traceback.format_exc(limit=3)[-1000:])
+            return _run_row(t, "failed", error=f"{type(e).__name__}: {e}\n{traceback.format_exc()}")
 
     if parallelism > 1 and len(tables) > 1:
         with cf.ThreadPoolExecutor(max_workers=parallelism) as pool:

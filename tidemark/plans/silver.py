@@ -3,15 +3,15 @@
 Reads the bronze tables from the store (bucketed tables keep their layout:
 a join on a table's record key, such as party -> ``dirpartytable.recid``,
 then exchanges only the other side) and materialises each view unless it
-already exists (or on ``refresh``).  The customer view fails on a row whose
-customer name is empty after defaulting.
+already exists (or on ``refresh``).  Both views fail on a row whose customer
+name is empty after defaulting; the stored view is then left as it was.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from tidemark.operators.silver import build_view, silver_customer, silver_sales_invoice
+from tidemark.operators.silver import build_view, customer_rows, silver_customer, silver_sales_invoice
 from tidemark.sinks.store import Snapshot, TableStore
 
 # Bronze tables the views read.
@@ -30,10 +30,11 @@ def build_silver_views(spark: SparkSession, bronze: TableStore, silver: TableSto
         out["silver_customer"] = build_view(silver, "silver_customer", silver_customer(cust, group, party), refresh)
     else:
         out["silver_customer"] = None
-    if all(t in have for t in INVOICE_TABLES):
+    if all(t in have for t in INVOICE_TABLES + CUSTOMER_TABLES):
         header, lines = (bronze.read(t, have[t]) for t in INVOICE_TABLES)
+        customers = customer_rows(*(bronze.read(t, have[t]) for t in CUSTOMER_TABLES))
         out["silver_sales_invoice"] = build_view(silver, "silver_sales_invoice",
-                                                 silver_sales_invoice(header, lines), refresh)
+                                                 silver_sales_invoice(header, lines, customers), refresh)
     else:
         out["silver_sales_invoice"] = None
     return out

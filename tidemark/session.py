@@ -6,10 +6,12 @@ except filling in a checkpoint folder when none is configured (tests).
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Settings we rely on for exact semantics, applied to sessions we build.
 SEMANTIC_CONF = {
@@ -53,7 +55,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
-        if not sc.master.startswith("local"):
+        if not re.match(r"local(\[|$)", sc.master):  # not local-cluster
             raise RuntimeError("set spark.checkpoint.dir to a shared folder: change sets are staged there")
         conf = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     sc.setCheckpointDir(conf)
@@ -78,13 +80,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def stage_measured(df: DataFrame, label: str) -> tuple[DataFrame, str, int, int]:
-    """``stage`` plus its row count (parquet metadata) and stored bytes."""
+def stage_measured(df: DataFrame, label: str, **metrics: Column) -> tuple[DataFrame, str, dict, int]:
+    """``stage`` plus metrics observed by the write (``rows`` always) and stored bytes."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.mode("error").parquet(path)
-    staged = spark.read.parquet(path)
-    return staged, path, staged.count(), path_size_bytes(spark, path)
+    seen = Observation()
+    (df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in metrics.items()])
+     .write.mode("error").parquet(path))
+    return spark.read.schema(df.schema).parquet(path), path, seen.get, path_size_bytes(spark, path)
 
 
 def path_size_bytes(spark: SparkSession, path: str) -> int:

@@ -2,9 +2,10 @@
 
 Layout below ``root`` (a shared folder on a cluster)::
 
-    <table>/<run_id>/            one parquet snapshot per successful load
-    <table>/_changes/<run_id>/   change feed rows of that load
-    _log/table=<table>/          one parquet row per load
+    <table>/<run_id>/                  snapshot of a full load
+    <table>/<run_id>/_kind=state/      snapshot of a merge
+    <table>/<run_id>/_kind=changes/    change feed rows of that merge
+    _log/table=<table>/                one parquet row per load
 
 A load writes a *new* snapshot folder first and appends its log row last, so
 readers see either the old snapshot with the old high-water mark or the new
@@ -21,13 +22,17 @@ import re
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql.types import StructType
+
+from tidemark.operators.merge import KIND
 
 LOG_DDL = ("snapshot STRING, changes STRING, lastload STRING, "
            "_sysProcessDateTime TIMESTAMP, run_id STRING, mode STRING, rows BIGINT, "
-           "buckets INT, bucket_key STRING")
+           "buckets INT, bucket_key STRING, seq BIGINT")
+_UNKNOWN = object()
 
 
 def new_run_id() -> str:
@@ -43,6 +48,8 @@ class Snapshot:
     run_id: str
     buckets: int | None = None
     bucket_key: str | None = None
+    rows: int | None = None
+    seq: int = 0
 
 
 class TableStore:
@@ -51,38 +58,41 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._tag = hashlib.sha1(self.root.encode()).hexdigest()[:10]
-        self._registered: dict[str, str] = {}
 
     # -- paths --------------------------------------------------------------
     def _log_dir(self, table: str) -> str:
         return f"{self.root}/_log/table={table}"
 
-    def log(self) -> DataFrame:
-        """All load-log rows (``table`` comes from the folder name)."""
-        try:
-            return self.spark.read.schema(LOG_DDL + ", table STRING").parquet(f"{self.root}/_log")
-        except AnalysisException:
-            return self.spark.createDataFrame([], LOG_DDL + ", table STRING")
-
-    def current(self, table: str) -> Snapshot | None:
-        """Latest committed snapshot of ``table`` (A7/A13); None if never loaded.
-
-        Only "no log yet" means no snapshot; other read errors propagate.
-        """
+    def _read_log(self, path: str, ddl: str) -> DataFrame | None:
+        """Log rows below ``path``; None only where there is no log yet, other errors propagate."""
         try:
-            rows = (self.spark.read.schema(LOG_DDL).parquet(self._log_dir(table))
-                    .agg(F.max_by(F.struct("snapshot", "lastload", "run_id", "buckets", "bucket_key"),
-                                  F.struct("_sysProcessDateTime", "run_id")).alias("r"))
-                    .select("r.*").collect())
+            return self.spark.read.schema(ddl).parquet(path)
         except AnalysisException as e:
-            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e).lower():
+            if e.getCondition() == "PATH_NOT_FOUND":
                 return None
             raise
-        if not rows or rows[0]["snapshot"] is None:
-            return None
-        r = rows[0]
-        return Snapshot(table, r["snapshot"], r["lastload"], r["run_id"], r["buckets"], r["bucket_key"])
+
+    def log(self) -> DataFrame:
+        """All load-log rows (``table`` comes from the folder name)."""
+        found = self._read_log(f"{self.root}/_log", LOG_DDL + ", table STRING")
+        return found if found is not None else self.spark.createDataFrame([], LOG_DDL + ", table STRING")
+
+    @staticmethod
+    def _latest() -> Column:
+        """The log row of the last commit: commits are numbered, clocks are not trusted."""
+        return F.max_by(F.struct("snapshot", "lastload", "run_id", "buckets", "bucket_key", "rows", "seq"),
+                        F.struct(F.coalesce("seq", F.lit(0)), "run_id")).alias("r")
+
+    @staticmethod
+    def _snapshot(table: str, r: Row) -> Snapshot:
+        return Snapshot(table, r["snapshot"], r["lastload"], r["run_id"], r["buckets"], r["bucket_key"], r["rows"],
+                        r["seq"] or 0)
+
+    def current(self, table: str) -> Snapshot | None:
+        """Latest committed snapshot of ``table`` (A7/A13); None if never loaded."""
+        log = self._read_log(self._log_dir(table), LOG_DDL)
+        r = log.agg(self._latest()).select("r.*").head() if log is not None else None
+        return self._snapshot(table, r) if r is not None and r["snapshot"] is not None else None
 
     def current_all(self, tables=None) -> dict[str, Snapshot]:
         """Latest committed snapshot of every table (or of ``tables``) from one
@@ -90,12 +100,8 @@ class TableStore:
         log = self.log()
         if tables is not None:
             log = log.filter(F.col("table").isin(*list(tables)))
-        rows = (log.groupBy("table")
-                .agg(F.max_by(F.struct("snapshot", "lastload", "run_id", "buckets", "bucket_key"),
-                              F.struct("_sysProcessDateTime", "run_id")).alias("r"))
-                .select("table", "r.*").collect())
-        return {r["table"]: Snapshot(r["table"], r["snapshot"], r["lastload"], r["run_id"],
-                                     r["buckets"], r["bucket_key"]) for r in rows if r["snapshot"]}
+        rows = log.groupBy("table").agg(self._latest()).select("table", "r.*").collect()
+        return {r["table"]: self._snapshot(r["table"], r) for r in rows if r["snapshot"]}
 
     def exists(self, table: str) -> bool:
         return self.current(table) is not None
@@ -104,7 +110,7 @@ class TableStore:
         snap = self.current(table)
         return snap.lastload if snap else None
 
-    def read(self, table: str, snapshot: Snapshot | None = None) -> DataFrame:
+    def read(self, table: str, snapshot: Snapshot | None = None, schema: StructType | None = None) -> DataFrame:
         """Current state of ``table``.  A bucketed snapshot is read through a
         catalog table declaring its bucketing, so joins and aggregations on
         the key use the stored layout instead of shuffling it."""
@@ -112,37 +118,40 @@ class TableStore:
         if snap is None:
             raise ValueError(f"table {table!r} has no snapshot in {self.root}")
         if not snap.buckets:
-            return self.spark.read.parquet(snap.path)
-        name = f"tidemark_{self._tag}_{re.sub(r'[^0-9A-Za-z_]', '_', table)}"
-        if self._registered.get(name) != snap.path:
-            schema = self.spark.read.parquet(snap.path).schema
+            return self.state_columns(self.spark.read.parquet(snap.path))
+        # A name belongs to one snapshot folder for good, so no session or store can be shown another.
+        name = (f"tidemark_{re.sub(r'[^0-9A-Za-z_]', '_', table)}_"
+                f"{hashlib.sha1(snap.path.encode()).hexdigest()[:16]}")
+        if not self.spark.catalog.tableExists(name):
+            schema = schema if schema is not None else self.spark.read.parquet(snap.path).schema
             cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
             keys = ", ".join(f"`{k}`" for k in snap.bucket_key.split(","))
-            self.spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY ({keys}) "
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet CLUSTERED BY ({keys}) "
                            f"SORTED BY ({keys}) INTO {int(snap.buckets)} BUCKETS LOCATION '{snap.path}'")
-            self._registered[name] = snap.path
-        return self.spark.table(name)
+        return self.state_columns(self.spark.table(name))
+
+    @staticmethod
+    def state_columns(df: DataFrame) -> DataFrame:
+        """Without the feed's columns, which a merge's snapshot files hold as well."""
+        return df.drop("_change_type", "_run_id", KIND)
 
     def changes(self, table: str) -> DataFrame:
-        """Change feed of every load, oldest first (``_run_id`` names the load).
+        """Change feed of every load (``_run_id`` names the load).
 
         A full load's feed is its snapshot read as inserts (nothing is copied);
-        a merge's feed was written next to its snapshot."""
-        try:
-            loads = (self.spark.read.schema(LOG_DDL).parquet(self._log_dir(table))
-                     .select("snapshot", "changes", "mode", "run_id", "_sysProcessDateTime")
-                     .orderBy("_sysProcessDateTime", "run_id").collect())
-        except AnalysisException:
-            loads = []
-        frames = []
-        for r in loads:
-            if r["changes"]:
-                frames.append(self.spark.read.parquet(r["changes"]))
-            elif r["mode"] == "replace":
-                frames.append(self.spark.read.parquet(r["snapshot"])
-                              .withColumn("_change_type", F.lit("insert"))
-                              .withColumn("_run_id", F.lit(r["run_id"])))
+        a merge's feed was written beside its snapshot.  However many loads
+        there are, the plan has one scan of each kind; columns added later
+        are NULL in earlier feeds."""
+        log = self._read_log(self._log_dir(table), LOG_DDL)
+        loads = log.select("snapshot", "changes", "mode", "run_id").collect() if log is not None else []
+        feeds = [r["changes"] for r in loads if r["changes"]]
+        full = {r["snapshot"]: r["run_id"] for r in loads if not r["changes"] and r["mode"] == "replace"}
+        merged = self.spark.read.option("mergeSchema", "true")
+        frames = [merged.parquet(*feeds)] if feeds else []
+        if full:
+            folder = F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)(?:/_kind=state)?/[^/]+$", 1)
+            frames.append(merged.parquet(*full).withColumn("_change_type", F.lit("insert"))
+                          .withColumn("_run_id", folder))
         if not frames:
             raise ValueError(f"table {table!r} has no loads in {self.root}")
         out = frames[0]
@@ -171,25 +180,42 @@ class TableStore:
             df.write.mode("error").parquet(path)
         return path
 
-    def write_changes(self, table: str, df: DataFrame, run_id: str) -> str:
-        path = f"{self.root}/{table}/_changes/{run_id}"
-        df.withColumn("_run_id", F.lit(run_id)).write.mode("error").parquet(path)
-        return path
+    def write_merge(self, table: str, df: DataFrame, run_id: str,
+                    bucket_key: str | None = None, buckets: int | None = None) -> tuple[str, str]:
+        """Write state and change feed of one merge (``MergeResult.outputs``) in one
+        pass; returns the folders of the snapshot and of the feed."""
+        path = f"{self.root}/{table}/{run_id}"
+        writer = df.withColumn("_run_id", F.lit(run_id)).write.partitionBy(KIND)
+        if bucket_key and buckets:
+            name = f"tidemark_w_{uuid.uuid4().hex[:16]}"
+            keys = bucket_key.split(",")
+            (writer.format("parquet").bucketBy(int(buckets), keys[0], *keys[1:]).sortBy(keys[0], *keys[1:])
+             .option("path", path).saveAsTable(name))
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        else:
+            writer.mode("error").parquet(path)
+        return f"{path}/{KIND}=state", f"{path}/{KIND}=changes"
 
     def commit(self, table: str, snapshot: str, lastload: str | None, run_id: str,
                mode: str, rows: int | None, changes: str | None = None,
-               buckets: int | None = None, bucket_key: str | None = None) -> None:
-        """Append the log row that makes ``snapshot`` current."""
-        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        row = [(snapshot, changes, lastload, now, run_id, mode, rows, buckets, bucket_key)]
+               buckets: int | None = None, bucket_key: str | None = None, after=_UNKNOWN) -> None:
+        """Append the log row that makes ``snapshot`` current.
+
+        Commits of a table are numbered; ``after`` is the snapshot this load
+        started from (None for the first), read from the log if not given.
+        """
+        before = self.current(table) if after is _UNKNOWN else after
+        seq = (before.seq if before is not None else 0) + 1
+        now = _dt.datetime.now(_dt.timezone.utc)
+        row = [(snapshot, changes, lastload, now, run_id, mode, rows, buckets, bucket_key, seq)]
         (self.spark.createDataFrame(row, LOG_DDL).coalesce(1)
          .write.mode("append").parquet(self._log_dir(table)))
 
     def replace(self, table: str, df: DataFrame, lastload: str | None = None,
                 mode: str = "replace") -> Snapshot:
         """Full replace (B1/B2): write a new snapshot and make it current."""
-        run_id = new_run_id()
-        path = self.write_snapshot(table, df, run_id)
-        rows = self.spark.read.parquet(path).count()
-        self.commit(table, path, lastload, run_id, mode, rows)
-        return Snapshot(table, path, lastload, run_id)
+        run_id, before, seen = new_run_id(), self.current(table), Observation()
+        path = self.write_snapshot(table, df.observe(seen, F.count(F.lit(1)).alias("rows")), run_id)
+        rows = seen.get["rows"]
+        self.commit(table, path, lastload, run_id, mode, rows, after=before)
+        return Snapshot(table, path, lastload, run_id, rows=rows, seq=(before.seq if before else 0) + 1)

@@ -32,6 +32,7 @@ ENTITY_CSV_OPTIONS = {
 ENUM_CSV_OPTIONS = {k: v for k, v in ENTITY_CSV_OPTIONS.items() if k != "lineSep"}
 
 FOLDER_COLUMN = "_folder"
+CSV_GLOB = "*.[cC][sS][vV]"
 
 
 def _as_text(schema: StructType) -> StructType:
@@ -48,32 +49,20 @@ def cast_text_columns(df: DataFrame, schema: StructType) -> DataFrame:
 
 
 def read_entity_csv(spark: SparkSession, paths: Sequence[str] | str, schema: StructType,
-                    with_folder: bool = True, large_paths: Sequence[str] = ()) -> DataFrame:
+                    with_folder: bool = True) -> DataFrame:
     """A1: read change rows with the model schema.
 
-    ``paths`` are files (or globs).  Files in ``large_paths`` are read split
-    by split (``splitcsv``) instead of one task per file; the rows are the
-    same.  With ``with_folder`` the landing folder of each row
+    ``paths`` are table folders, files or globs; in folders only CSV files (any
+    case of the extension) are read.  Files of every size go through Spark's
+    multi-line reader.  With ``with_folder`` the landing folder of each row
     (second-to-last parent folder) is added as ``_folder``.
     """
-    from tidemark.sources.splitcsv import read_split_csv
     paths = [paths] if isinstance(paths, str) else list(paths)
-    large = [p for p in paths if p in set(large_paths)]
-    small = [p for p in paths if p not in set(large)]
-    text = _as_text(schema)
-    parts = []
-    if small:
-        df = spark.read.options(**ENTITY_CSV_OPTIONS).schema(text).csv(small)
-        parts.append(df.withColumn("_source_path", F.col("_metadata.file_path")))
-    if large:
-        parts.append(read_split_csv(spark, large, text))
-    df = parts[0]
-    for p in parts[1:]:
-        df = df.unionByName(p)
-    df = cast_text_columns(df, schema)
+    df = (spark.read.options(**ENTITY_CSV_OPTIONS).option("pathGlobFilter", CSV_GLOB)
+          .schema(_as_text(schema)).csv(paths))
     if with_folder:
-        df = df.withColumn(FOLDER_COLUMN, F.element_at(F.split(F.col("_source_path"), "/"), -3))
-    return df.drop("_source_path")
+        df = df.withColumn(FOLDER_COLUMN, F.element_at(F.split(F.col("_metadata.file_path"), "/"), -3))
+    return cast_text_columns(df, schema)
 
 
 def read_enum_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -83,7 +72,10 @@ def read_enum_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def csv_field(col: Column, data_type) -> Column:
     """One RFC-4180 field: NULL -> empty, anything else quoted with doubled
-    quotes; timestamps as ISO-8601 text with microseconds and ``Z``."""
+    quotes; timestamps as ISO-8601 text in UTC with microseconds and ``Z``
+    (timestamps without a zone are taken as UTC)."""
+    if isinstance(data_type, TimestampType):
+        col = F.convert_timezone(None, F.lit("UTC"), col.cast("timestamp_ntz"))
     if isinstance(data_type, (TimestampType, TimestampNTZType)):
         text = F.date_format(col, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
     else:

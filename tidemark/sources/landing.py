@@ -2,16 +2,18 @@
 
 The landing root holds timestamp-named export folders, each with one
 sub-folder per table holding CSV files.  Instead of one storage call per
-folder and table, the root's folder names are read once, the folders that
-can still hold unloaded files are kept, and only those are listed (in
-parallel) as a DataFrame of file paths; every planning rule is a filter /
-join over it, for all tables in one job.  Folder names compare as strings; both bounds are strict: a folder
-equal to the high-water mark was loaded, and the folder named by the
-changelog is still being written.
+folder and table over the whole history, the load job reads the root's folder
+names once and looks only into ``<folder>/<table>`` of the selected tables past
+their own marks; the CSV reader then gets table folders, not files.  The same
+rules over a DataFrame of file paths are filters and joins (``plan_loads``).
+Folder names compare as strings; both bounds are strict: a folder equal to the
+high-water mark was loaded, and the folder named by the changelog is still
+being written.
 """
 
 from __future__ import annotations
 
+import concurrent.futures as cf
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,15 +55,43 @@ def landing_files(spark: SparkSession, root: str, folders: list[str] | None = No
     return files_from_paths(files, base)
 
 
-def candidate_folders(spark: SparkSession, root: str, marks: Mapping[str, str | None],
-                      latest: str | None) -> list[str]:
-    """Top-level folders that may hold loadable files for any of the tables:
-    the folder rules applied to names with the lowest mark.  Bounds the file
-    listing by the folders not yet loaded instead of the whole history."""
-    lowest = None if not marks or any(v is None for v in marks.values()) else min(marks.values())
-    return [f for f in list_folders(spark, root)
-            if f not in SYSTEM_FOLDERS and (lowest is None or f > lowest)
-            and (latest is None or f < latest)]
+def name_is_open(folder: str, mark: str | None, latest: str | None) -> bool:
+    """``folder_is_open`` of one name."""
+    return folder not in SYSTEM_FOLDERS and (mark is None or folder > mark) and (latest is None or folder < latest)
+
+
+def loadable_folders(spark: SparkSession, root: str, marks: Mapping[str, str | None],
+                     latest: str | None, threads: int = 16) -> dict[str, list[str]]:
+    """A8-A10 for the load job: ``{table: [folder, ...]}`` in folder order.
+
+    Only ``<folder>/<table>`` of the given tables is looked at, for folders past
+    that table's own mark, and only until a CSV file shows up.  The listing
+    calls are metadata requests of the driver; their number is (tables x folders
+    not yet loaded), whatever the files hold and however old the history is.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    names = list_folders(spark, root)
+    pairs = [(t, f) for t, mark in marks.items() for f in names if name_is_open(f, mark, latest)]
+
+    def has_csv(pair: tuple[str, str]) -> bool:
+        path = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{pair[1]}/{pair[0]}")
+        fs = path.getFileSystem(conf)
+        if not fs.exists(path):
+            return False
+        entries = fs.listStatusIterator(path)
+        while entries.hasNext():
+            entry = entries.next()
+            if entry.isFile() and entry.getPath().getName().lower().endswith(".csv"):
+                return True
+        return False
+
+    out: dict[str, list[str]] = {t: [] for t in marks}
+    with cf.ThreadPoolExecutor(max_workers=threads) as pool:
+        for (table, folder), found in zip(pairs, pool.map(has_csv, pairs)):
+            if found:
+                out[table].append(folder)
+    return out
 
 
 def files_from_paths(files: DataFrame, base: str) -> DataFrame:

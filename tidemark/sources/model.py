@@ -130,16 +130,26 @@ def entity_schema(catalog: DataFrame, entity: str, allow_duplicates: bool = Fals
 def entity_schemas(catalog: DataFrame, entities, allow_duplicates: bool = False) -> dict:
     """``{entity: StructType or the ValueError it raises}`` for several
     entities from one job (rows bounded by their attribute counts)."""
+    return entity_schemas_and_unknown(catalog, entities, allow_duplicates)[0]
+
+
+def entity_schemas_and_unknown(catalog: DataFrame, entities, allow_duplicates: bool = False) -> tuple[dict, dict]:
+    """``entity_schemas``, and ``{entity: ["attribute: type", ...]}`` of the type names not
+    recognised (read as string), from the same job."""
     entities = list(entities)
     rows = (catalog.filter(F.col("entity").isin(*entities))
-            .select("entity", "ordinal", "column_name", "spark_type", "duplicate").collect())
-    out = {}
+            .select("entity", "ordinal", "source_name", "column_name", "data_type", "spark_type", "known_type",
+                    "duplicate").collect())
+    out, unknown = {}, {}
     for e in entities:
+        own = [r for r in rows if r["entity"] == e]
         try:
-            out[e] = _to_struct(e, [r for r in rows if r["entity"] == e], allow_duplicates)
+            out[e] = _to_struct(e, own, allow_duplicates)
         except ValueError as err:
             out[e] = err
-    return out
+        if odd := sorted(f"{r['source_name']}: {r['data_type']}" for r in own if not r["known_type"]):
+            unknown[e] = odd
+    return out, unknown
 
 
 def unknown_types(catalog: DataFrame) -> DataFrame:

@@ -28,6 +28,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.config import SYSTEM_FOLDERS, LandingConfig
 from tidemark.plans.ingest import apply_changes, enum_table, prepare_changes, table_schema
+from tidemark.session import drop_path, stage_measured
 from tidemark.sinks.store import TableStore
 from tidemark.sources.csvscan import ENTITY_CSV_OPTIONS, FOLDER_COLUMN, _as_text, cast_text_columns
 
@@ -49,14 +50,18 @@ def stream_table(spark: SparkSession, cfg: LandingConfig, table: str,
     ``table`` and stops.  ``checkpoint`` defaults to a folder in the store."""
     store = store or TableStore(spark, cfg.store_root)
     checkpoint = checkpoint or f"{store.root}/_streams/{table}"
-    enums = enum_table(store)
+    enums = enum_table(store) if cfg.decode_enums else None
+    if cfg.decode_enums and enums is None:
+        raise ValueError("the enum metadata has not been loaded")
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
-        bounds = batch.agg(F.min(FOLDER_COLUMN).alias("lo"), F.max(FOLDER_COLUMN).alias("hi")).first()
-        if bounds["hi"] is None:
-            return
-        changes = prepare_changes(batch, cfg, table, enums)
-        apply_changes(spark, cfg, store, table, changes, bounds["lo"], bounds["hi"])
+        # The batch is written once; bounds and changes come from that copy.
+        rows, path, seen, _ = stage_measured(batch, f"{table}-batch", lo=F.min(FOLDER_COLUMN), hi=F.max(FOLDER_COLUMN))
+        try:
+            if seen["hi"] is not None:
+                apply_changes(spark, cfg, store, table, prepare_changes(rows, cfg, table, enums), seen["lo"], seen["hi"])
+        finally:
+            drop_path(spark, path)
 
     return (table_stream(spark, cfg, table).writeStream.foreachBatch(load_batch)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

@@ -6,7 +6,8 @@ The test tables stand in for the exporter's entities:
   (line numbers are below 10), version = ship year (NULL for open lines),
   sink-modified time = ship date, row version = supplier key, and the return
   flag marks deletes (``R``), live rows (``A``) or leaves the flag NULL (``N``).
-  Changes shipped before ``CUTOFF`` form the first load, the rest the second.
+  Changes shipped before ``CUTOFF`` form the first load; the rest, and some
+  of the first sent again unchanged, the second.
 * ``orders`` feeds the landing-tree load; ``customer``/``nation`` the enum and
   silver views; ``events`` the folder planning.
 """
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 # Fixed parameters of the derived scenarios.
 CUTOFF = "1998-06-01 00:00:00"
+RESENT = 25
 COMPANY = "dat"
 FOLDER_FORMAT = "yyyy-MM-dd'T'HH.mm.ss'Z'"
 FIRST_MARK = "2024-01-05T00.00.00Z"
@@ -53,7 +55,9 @@ def first_batch(changes: DataFrame) -> DataFrame:
 
 
 def second_batch(changes: DataFrame) -> DataFrame:
-    return changes.filter(F.col("SinkModifiedOn") >= F.lit(CUTOFF).cast("timestamp_ntz"))
+    """Later changes, and earlier ones sent again as they were (one supplier in ``RESENT``)."""
+    return changes.filter((F.col("SinkModifiedOn") >= F.lit(CUTOFF).cast("timestamp_ntz"))
+                          | (F.col("recversion") % RESENT == 0))
 
 
 def folder_of(ts: Column) -> Column:
@@ -65,7 +69,8 @@ def nation_enums(nation: DataFrame) -> DataFrame:
     """Enum metadata rows derived from ``nation`` (fixed eight-column layout):
     customer nation codes of four regions (codes of the fifth are unlisted),
     a second-language label for region 0, another entity's attribute, and an
-    attribute the customer table does not have."""
+    attribute the customer table does not have.  ``c_state`` and ``c_tier`` are
+    further attributes of the customers."""
     def rows(attr: str, entity: str, lang: int, label: Column, cond: Column) -> DataFrame:
         return nation.filter(cond).select(
             F.lit(attr).alias("OptionSetName"), F.col("n_nationkey").cast("bigint").alias("Option"),
@@ -76,7 +81,9 @@ def nation_enums(nation: DataFrame) -> DataFrame:
     return (rows("c_nationkey", "customer", 1033, F.col("n_name"), r != 4)
             .unionByName(rows("c_nationkey", "customer", 1031, F.lower("n_name"), r == 0))
             .unionByName(rows("s_nationkey", "supplier", 1033, F.col("n_name"), F.lit(True)))
-            .unionByName(rows("c_missing", "customer", 1033, F.col("n_name"), r == 1)))
+            .unionByName(rows("c_missing", "customer", 1033, F.col("n_name"), r == 1))
+            .unionByName(rows("c_state", "customer", 1033, F.upper("n_name"), F.col("n_nationkey") < 10))
+            .unionByName(rows("c_tier", "customer", 1033, F.concat(F.lit("it's "), "n_name"), r == 3)))
 
 
 # Attribute names and type names of the derived model

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tidemark.config import LandingConfig
 from tidemark.functions.keys import guid_from_ids
 from tidemark.plans.ingest import ingest_all, load_enums
-from tidemark.session import scratch_path
+from tidemark.session import drop_path, scratch_path
 from tidemark.sinks.store import TableStore
 from tidemark.sources.export import write_changelog, write_enums, write_folder, write_model
 
@@ -43,6 +43,7 @@ ORDERS_MODEL = (
     ("o_custkey", "int64"), ("o_orderstatus", "string"), ("o_totalprice", "decimal"),
     ("o_orderdate", "datetime"), ("o_orderpriority", "int32"), ("dataareaid", "string"),
 )
+LOGGED = ("table", "status", "source_rows", "inserted", "updated", "deleted", "unchanged", "ignored", "rows_after")
 OUTPUT = ("recid", "SinkCreatedOn", "SinkModifiedOn", "IsDelete", "recversion", "o_custkey",
           "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority", "dataareaid")
 
@@ -112,24 +113,55 @@ def build_landing(spark: SparkSession, orders: DataFrame, root: str, files: int
             fut.result()
 
 
-def two_run_load(spark: SparkSession, orders: DataFrame) -> DataFrame:
-    """Build the landing tree, run two incremental loads, return the state."""
+def _set_up(spark: SparkSession, orders: DataFrame) -> tuple[LandingConfig, TableStore]:
     root = scratch_path(spark, "landing")
     cfg = LandingConfig(landing_root=root, store_root=scratch_path(spark, "bronze"))
     build_landing(spark, orders, root)
-    config = spark.createDataFrame([(TABLE, "pg_daily")], "table_name STRING, processing_group STRING")
-    store = TableStore(spark, cfg.store_root)
-    for changelog in (F2, F3):
-        write_changelog(spark, root, changelog)
-        load_enums(spark, cfg, store)
-        log = ingest_all(spark, cfg, config, processing_group="pg_daily").collect()
-        bad = [r for r in log if r["status"] == "failed"]
-        if bad:
-            raise RuntimeError(f"load failed: {bad[0]['error']}")
-    state = store.read(TABLE)
+    return cfg, TableStore(spark, cfg.store_root)
+
+
+def _run(spark: SparkSession, cfg: LandingConfig, store: TableStore, changelog: str, tables=(TABLE,),
+         reload: bool = False) -> list:
+    """One run of the master job; returns its run log."""
+    config = spark.createDataFrame([(t, "pg_daily") for t in tables], "table_name STRING, processing_group STRING")
+    write_changelog(spark, cfg.landing_root, changelog)
+    load_enums(spark, cfg, store)
+    return ingest_all(spark, cfg, config, processing_group="pg_daily", reload=reload).collect()
+
+
+def _state(spark: SparkSession, cfg: LandingConfig, store: TableStore, log: list) -> DataFrame:
+    bad = [r for r in log if r["status"] == "failed"]
+    if bad:
+        raise RuntimeError(f"load failed: {bad[0]['error']}")
+    drop_path(spark, cfg.landing_root)  # loaded: only the stored table is read from here on
     # Sink times are zone-less text (session wall clock); the order date was
     # exported with 'Z' (UTC), so its UTC wall clock is taken explicitly.
     tz = spark.conf.get("spark.sql.session.timeZone")
     casts = {c: F.col(c).cast("timestamp_ntz") for c in ("SinkCreatedOn", "SinkModifiedOn")}
     casts["o_orderdate"] = F.to_utc_timestamp(F.col("o_orderdate"), tz).cast("timestamp_ntz")
-    return state.withColumns(casts).select(*OUTPUT)
+    return store.read(TABLE).withColumns(casts).select(*OUTPUT)
+
+
+def two_run_load(spark: SparkSession, orders: DataFrame) -> DataFrame:
+    """Build the landing tree, run two incremental loads, return the state."""
+    cfg, store = _set_up(spark, orders)
+    log = [r for changelog in (F2, F3) for r in _run(spark, cfg, store, changelog)]
+    return _state(spark, cfg, store, log)
+
+
+def reload_load(spark: SparkSession, orders: DataFrame) -> DataFrame:
+    """A first load, then a reload of all closed folders; returns the state."""
+    cfg, store = _set_up(spark, orders)
+    log = _run(spark, cfg, store, F2) + _run(spark, cfg, store, F3, reload=True)
+    return _state(spark, cfg, store, log)
+
+
+def two_run_logs(spark: SparkSession, orders: DataFrame) -> DataFrame:
+    """Run logs of two runs over ``orders``, a table without folders and one that is not in the model."""
+    cfg, store = _set_up(spark, orders)
+    for folder in (F1, F2):
+        write_folder(orders.select("o_orderkey"), cfg.landing_root, folder, "unmodelled")
+    logs = [(run, *[r[f] for f in LOGGED]) for run, changelog in ((1, F2), (2, F3))
+            for r in _run(spark, cfg, store, changelog, (TABLE, "absent", "unmodelled"))]
+    return spark.createDataFrame(logs, "run INT, table STRING, status STRING, source_rows BIGINT, inserted BIGINT, "
+                                       "updated BIGINT, deleted BIGINT, unchanged BIGINT, ignored BIGINT, rows_after BIGINT")

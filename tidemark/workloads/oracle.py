@@ -35,7 +35,7 @@ FROM lineitem"""
 
 RANK = f"row_number() OVER (PARTITION BY recid ORDER BY {_desc(['versionnumber', 'SinkModifiedOn', 'recversion', *TIE])})"
 FIRST = f"SinkModifiedOn < TIMESTAMP '{d.CUTOFF}'"
-SECOND = f"SinkModifiedOn >= TIMESTAMP '{d.CUTOFF}'"
+SECOND = f"(SinkModifiedOn >= TIMESTAMP '{d.CUTOFF}' OR recversion % {d.RESENT} = 0)"
 
 
 def latest_sql(ch: str, where: str = "TRUE", cols=STATE_COLS, live_only=False) -> str:
@@ -118,7 +118,9 @@ def _nation_enums() -> str:
         rows("c_nationkey", "customer", 1033, "n_name", "n_regionkey <> 4"),
         rows("c_nationkey", "customer", 1031, "lower(n_name)", "n_regionkey = 0"),
         rows("s_nationkey", "supplier", 1033, "n_name", "true"),
-        rows("c_missing", "customer", 1033, "n_name", "n_regionkey = 1")])
+        rows("c_missing", "customer", 1033, "n_name", "n_regionkey = 1"),
+        rows("c_state", "customer", 1033, "upper(n_name)", "n_nationkey < 10"),
+        rows("c_tier", "customer", 1033, "'it''s ' || n_name", "n_regionkey = 3")])
 
 
 LOOKUP = ("SELECT EntityName AS entity, OptionSetName AS attribute, Option AS code, min(OptionName) AS label "
@@ -225,6 +227,18 @@ SELECT o_orderkey + 1000000000, {F1_TS}, {F2_TS}, false, CAST(1 AS BIGINT), o_cu
   CAST({PRICE} AS DECIMAL(38,6)), o_orderdate, o_orderpriority, 'dat'
 FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'"""
 
+_IF = "count(*) FILTER (o_orderstatus = '{}' AND o_orderpriority LIKE '{}')"
+RUN_LOG = f"""SELECT 1 AS run, 'orders' AS "table", 'loaded' AS status, count(*) AS source_rows, count(*) AS inserted,
+  CAST(NULL AS BIGINT) AS updated, CAST(NULL AS BIGINT) AS deleted, CAST(NULL AS BIGINT) AS unchanged,
+  CAST(NULL AS BIGINT) AS ignored, count(*) AS rows_after FROM orders
+UNION ALL SELECT 2, 'orders', 'merged', {_IF.format('O', '%')} + {_IF.format('P', '%')} + {_IF.format('F', '1%')}
+    + {_IF.format('F', '3%')} + {_IF.format('F', '5%')}, {_IF.format('F', '1%')}, {_IF.format('O', '%')},
+  {_IF.format('P', '%')}, {_IF.format('F', '3%')}, {_IF.format('F', '5%')},
+  count(*) - {_IF.format('P', '%')} + {_IF.format('F', '1%')} FROM orders
+UNION ALL SELECT r, t, s, NULL, NULL, NULL, NULL, NULL, NULL, NULL
+FROM (VALUES (1, 'absent', 'skipped'), (2, 'absent', 'skipped'), (1, 'unmodelled', 'failed'), (2, 'unmodelled', 'failed')) v(r, t, s)
+"""
+
 
 def oracle() -> dict[str, str]:
     li_tie = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
@@ -248,9 +262,12 @@ def oracle() -> dict[str, str]:
         "merge_null_key": _std_merge("state", null_key="l_discount = 0"),
         "changed_rows": _changed_rows(),
         "enum_decode": (
-            f"WITH lk AS ({LOOKUP}) SELECT c.c_custkey, c.c_name, l.label AS c_nationkey, c.c_acctbal, "
-            "c.c_mktsegment FROM customer c LEFT JOIN lk l ON l.entity = 'customer' AND "
-            "l.attribute = 'c_nationkey' AND c.c_nationkey = l.code"),
+            f"WITH lk AS (SELECT * FROM ({LOOKUP}) l WHERE entity = 'customer') "
+            "SELECT c.c_custkey, c.c_name, l.label AS c_nationkey, c.c_acctbal, "
+            "c.c_mktsegment, s.label AS c_state, t.label AS c_tier FROM customer c "
+            "LEFT JOIN lk l ON l.attribute = 'c_nationkey' AND c.c_nationkey = l.code "
+            "LEFT JOIN lk s ON s.attribute = 'c_state' AND c.c_custkey % 12 = s.code "
+            "LEFT JOIN lk t ON t.attribute = 'c_tier' AND c.c_custkey % 25 = t.code"),
         "enum_case_list": (
             f"WITH lk AS ({LOOKUP}) SELECT entity, attribute, string_agg('when ' || CAST(code AS VARCHAR) || "
             "' then ''' || replace(label, '''', '''''') || '''', ' ' ORDER BY code) AS case_text "
@@ -283,10 +300,16 @@ def oracle() -> dict[str, str]:
             "OR lower(s_name) IN ('supplier#000000001', 'supplier#000000002')"),
         "schema_catalog": SCHEMA_CATALOG,
         "silver_customer": _customer("p.c_name"),
+        "silver_customer_unmatched_party": _customer("p.c_name"),
+        "silver_view_build": _customer("p.c_name"),
         "silver_sales_invoice": (
-            f"{INVOICES} SELECT h.*, l.currencycode AS line_currencycode, l.salesid, l.linenum, l.itemid, "
+            f"{INVOICES} SELECT CAST(c.c_custkey AS VARCHAR) AS accountnum, c.c_nationkey AS custgroup, "
+            "c.c_mktsegment AS dlvterm, c.c_custkey AS party, n.n_name AS customergroup, c.c_name AS customername, "
+            "h.*, l.currencycode AS line_currencycode, l.salesid, l.linenum, l.itemid, "
             "l.qty, l.lineamount FROM header h JOIN lines l ON h.invoiceid = l.invoiceid AND "
-            "h.invoicedate = l.invoicedate AND h.dataareaid = l.dataareaid"),
+            "h.invoicedate = l.invoicedate AND h.dataareaid = l.dataareaid "
+            "JOIN customer c ON CAST(c.c_custkey AS VARCHAR) = h.invoiceaccount "
+            "JOIN nation n ON n.n_nationkey = c.c_nationkey"),
         "invoice_header_profile": (
             f"{INVOICES} SELECT invoiceid, invoicedate, orderaccount, invoiceaccount, currencycode, "
             "ledgervoucher, invoiceamount, invoiceamountmst, sumtax, sumtaxmst, dataareaid FROM header"),
@@ -296,8 +319,23 @@ def oracle() -> dict[str, str]:
         "name_check_violations": (
             f"SELECT * FROM ({_customer('CASE WHEN p.c_acctbal >= 0 THEN p.c_name END')}) v "
             "WHERE NOT coalesce(customername <> '', false)"),
-        "csv_round_trip": "SELECT doc_id, text, lang, source, n_chars FROM documents",
-        "csv_split_scan": ("SELECT doc_id, replace(text, chr(10), chr(13) || chr(10)) AS text, lang, source, "
-                           "n_chars FROM documents"),
+        "csv_round_trip": ("SELECT doc_id, CASE WHEN doc_id % 2 = 1 THEN replace(text, chr(10), chr(13) || chr(10)) "
+                           "ELSE text END AS text, lang, source, n_chars FROM documents"),
+        "config_scan": (
+            "SELECT lower(s_name) AS table_name, 'pg_' || lower(n_name) AS processing_group FROM supplier "
+            "JOIN nation ON s_nationkey = n_nationkey WHERE 'pg_' || lower(n_name) = 'pg_nation_3'"),
+        "merge_stored_table": _std_merge("state"),
+        "stored_change_feed": (
+            f"SELECT {', '.join(STATE_COLS)}, 'insert' AS _change_type FROM ({latest_sql(ch, FIRST, live_only=True)}) i "
+            f"UNION ALL SELECT {', '.join(STATE_COLS)}, _change_type FROM ({_std_merge('changes')}) c"),
+        "stored_added_column": _added_column(),
+        "load_stamps": (
+            "SELECT recid, true AS created_first, true AS within_run, CASE WHEN action = 'insert' THEN 'insert' "
+            f"WHEN action = 'update' THEN 'update' ELSE 'keep' END AS written FROM ({_std_merge('joined')}) j "
+            "WHERE action IN ('keep', 'unchanged', 'update', 'insert')"),
         "ingest_two_runs": TWO_RUNS,
+        "reload_state": TWO_RUNS.replace(
+            f"CASE WHEN o_orderstatus = 'O' THEN {F2_TS}",
+            f"CASE WHEN o_orderstatus = 'O' OR (o_orderstatus = 'F' AND o_orderpriority = '3-MEDIUM') THEN {F2_TS}"),
+        "run_log": RUN_LOG,
     }

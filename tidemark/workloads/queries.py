@@ -6,6 +6,8 @@ column names equal those of the matching oracle SQL (``oracle.py``).
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,8 +25,11 @@ from tidemark.sources.csvscan import read_entity_csv, write_entity_csv
 from tidemark.sources.landing import (changelog_folders, files_from_paths, plan_loads,
                                       table_folders, folder_is_open)
 from tidemark.sources.model import schema_catalog as _schema_catalog
-from tidemark.sources.tables import select_tables
+from tidemark.operators.silver import build_view, customer_rows
+from tidemark.plans.ingest import apply_changes
 from tidemark.session import scratch_path, stage_measured
+from tidemark.sinks.store import TableStore
+from tidemark.sources.tables import read_config, select_tables
 from tidemark.workloads import derive as d
 
 EXCLUDED = ("versionnumber",)
@@ -71,13 +76,12 @@ def merge_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merge_state_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The size-checked path of the load job: the change set is staged in the
-    shared folder, measured, and broadcast only under the configured limits
-    (larger change sets fall back to the shuffle join)."""
+    """The size-checked merge into a table that isn't stored bucketed: the
+    change set is staged in the shared folder, measured, and broadcast only
+    under the limits (larger change sets fall back to the shuffle join)."""
     ch = _changes(spark, sf_dir)
-    cfg = LandingConfig(landing_root="", store_root="")
-    source, _, rows, size = stage_measured(_source(d.second_batch(ch)), "merge-source")
-    strategy = choose_strategy(rows, size, cfg.broadcast_source_rows, cfg.broadcast_source_bytes)
+    source, _, seen, size = stage_measured(_source(d.second_batch(ch)), "merge-source")
+    strategy = choose_strategy(seen["rows"], size, max_rows=100_000, max_bytes=4 << 20)
     return merge(_initial(d.first_batch(ch)), source, d.CHANGE_KEY, strategy=strategy).state
 
 
@@ -111,10 +115,57 @@ def changed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.col("__post_recid").alias("recid"), F.col(ACTION)))
 
 
+# --- through the store --------------------------------------------------------
+STAMPS = ("_sysCreatedDateTime", "_sysProcessedDateTime")
+
+
+def _stored(spark, first: DataFrame, second: DataFrame) -> tuple[TableStore, list[dt.datetime]]:
+    """A store with table ``lineitem`` after a full load and a merge; the times before, between and after them."""
+    cfg = LandingConfig(landing_root="", store_root=scratch_path(spark, "store"), key=d.CHANGE_KEY,
+                        version_order=d.CHANGE_ORDER, excluded_meta=EXCLUDED)
+    store, times = TableStore(spark, cfg.store_root), [dt.datetime.now(dt.timezone.utc)]
+    for folder, changes in (("f1", first), ("f2", second)):
+        apply_changes(spark, cfg, store, "lineitem", _source(changes), folder, folder)
+        times.append(dt.datetime.now(dt.timezone.utc))
+    return store, times
+
+
+def merge_stored_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A merge into a stored, bucketed snapshot, read back."""
+    ch = _changes(spark, sf_dir)
+    return _stored(spark, d.first_batch(ch), d.second_batch(ch))[0].read("lineitem").drop(*STAMPS)
+
+
+def stored_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B8 through the store: the feed of both loads."""
+    ch = _changes(spark, sf_dir)
+    return _stored(spark, d.first_batch(ch), d.second_batch(ch))[0].changes("lineitem").drop(*STAMPS, "_run_id")
+
+
+def stored_added_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B6/B7 through the store: a column that only the stored table has, one that only the changes have."""
+    ch = _changes(spark, sf_dir)
+    first = d.first_batch(ch).drop("l_tax").withColumn("l_shipyear", F.year("SinkModifiedOn"))
+    return _stored(spark, first, d.second_batch(ch))[0].read("lineitem").drop(*STAMPS)
+
+
+def load_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per stored row whether its stamps are in order and within the run, and what they say happened to it."""
+    ch = _changes(spark, sf_dir)
+    store, times = _stored(spark, d.first_batch(ch), d.second_batch(ch))
+    begun, between, ended = map(F.lit, times)
+    created, processed = (F.col(c) for c in STAMPS)
+    return store.read("lineitem").select(
+        "recid", (created <= processed).alias("created_first"),
+        (created.between(begun, ended) & processed.between(begun, ended)).alias("within_run"),
+        F.when(created < processed, "update").when(created > between, "insert").otherwise("keep").alias("written"))
+
+
 # --- J7 / F1 ----------------------------------------------------------------
 def enum_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     enums = d.nation_enums(d.table(spark, sf_dir, "nation"))
-    cust = d.table(spark, sf_dir, "customer")
+    cust = d.table(spark, sf_dir, "customer").withColumns(
+        {"c_state": F.pmod("c_custkey", F.lit(12)), "c_tier": F.pmod("c_custkey", F.lit(25)).cast("int")})
     return decode_enums(cust, enums, "customer")
 
 
@@ -217,6 +268,16 @@ def table_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select_tables(config, "pg_nation_7", "supplier#000000001, supplier#000000002")
 
 
+def config_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The config table read from where it is stored, then selected by group."""
+    s, n = d.table(spark, sf_dir, "supplier"), d.table(spark, sf_dir, "nation")
+    path = scratch_path(spark, "config")
+    (s.join(n, s.s_nationkey == n.n_nationkey)
+     .select(F.lower("s_name").alias("table_name"), F.concat(F.lit("pg_"), F.lower("n_name")).alias("processing_group"))
+     .write.parquet(path))
+    return select_tables(read_config(spark, path, "parquet"), "pg_nation_3", None)
+
+
 # --- A3 / C1-C4 -------------------------------------------------------------
 def schema_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _schema_catalog(d.model_attributes_from_lineitem(d.table(spark, sf_dir, "lineitem")))
@@ -238,6 +299,22 @@ def silver_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _silver_customer(*_customer_parts(spark, sf_dir, F.col("c_name")))
 
 
+def silver_customer_unmatched_party(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parties that no customer refers to may have blank names."""
+    cust, group, party = _customer_parts(spark, sf_dir, F.col("c_name"))
+    blank = party.select((-F.col("recid") - 1).alias("recid"), F.lit(None).cast("string").alias("name"))
+    return _silver_customer(cust, group, party.unionByName(blank))
+
+
+def silver_view_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The view is stored once; building it again leaves it as it is."""
+    store = TableStore(spark, scratch_path(spark, "silver"))
+    view = _silver_customer(*_customer_parts(spark, sf_dir, F.col("c_name")))
+    build_view(store, "silver_customer", view)
+    build_view(store, "silver_customer", view.filter("party % 2 = 0"))
+    return store.read("silver_customer")
+
+
 def name_check_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = _customer_parts(spark, sf_dir, F.when(F.col("c_acctbal") >= 0, F.col("c_name")))
     return violations(_silver_customer(*parts, check=False), F.col("customername") != F.lit(""))
@@ -248,7 +325,9 @@ def _invoices(spark, sf_dir):
 
 
 def silver_sales_invoice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _silver_sales_invoice(*_invoices(spark, sf_dir))
+    cust, group, party = _customer_parts(spark, sf_dir, F.col("c_name"))
+    customers = customer_rows(cust.withColumn("accountnum", F.col("party").cast("string")), group, party)
+    return _silver_sales_invoice(*_invoices(spark, sf_dir), customers)
 
 
 def invoice_header_profile_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -261,29 +340,33 @@ def invoice_line_profile_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- A1 round trip ----------------------------------------------------------
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, half of them with CRLF line breaks inside their texts, exported and read back."""
     docs = d.table(spark, sf_dir, "documents")
+    docs = docs.withColumn("text", F.when(F.col("doc_id") % 2 == 1, F.regexp_replace("text", "\n", "\r\n"))
+                           .otherwise(F.col("text")))
     path = scratch_path(spark, "csv-round-trip")
     write_entity_csv(docs, path)          # one file per scan split
     return read_entity_csv(spark, f"{path}/*.csv", docs.schema, with_folder=False)
 
 
-def csv_split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents exported with CRLF line breaks inside the texts (multi-line
-    records), read back through the splittable large-file scan."""
-    docs = d.table(spark, sf_dir, "documents")
-    crlf = docs.withColumn("text", F.regexp_replace("text", "\n", "\r\n"))
-    path = scratch_path(spark, "csv-split-scan")
-    write_entity_csv(crlf, path)
-    files = f"{path}/*.csv"
-    return read_entity_csv(spark, [files], docs.schema, with_folder=False, large_paths=[files])
-
-
 # --- M1-M6 end to end -------------------------------------------------------
 def ingest_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.workloads.flagship import two_run_load
     return two_run_load(spark, d.table(spark, sf_dir, "orders"))
 
 
+def reload_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2: a reload after the first load reads every closed folder afresh."""
+    from tidemark.workloads.flagship import reload_load
+    return reload_load(spark, d.table(spark, sf_dir, "orders"))
+
+
+def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3/M5: run logs of two runs over three tables, one without folders (A11) and one that fails."""
+    from tidemark.workloads.flagship import two_run_logs
+    return two_run_logs(spark, d.table(spark, sf_dir, "orders"))
+
+
 QUERIES = {
     "latest_event_per_user": latest_event_per_user,
     "latest_lineitem": latest_lineitem,
@@ -312,8 +395,16 @@ QUERIES = {
     "invoice_line_profile": invoice_line_profile_q,
     "name_check_violations": name_check_violations,
     "csv_round_trip": csv_round_trip,
-    "csv_split_scan": csv_split_scan,
     "ingest_two_runs": ingest_two_runs,
+    "config_scan": config_scan,
+    "load_stamps": load_stamps,
+    "merge_stored_table": merge_stored_table,
+    "reload_state": reload_state,
+    "run_log": run_log,
+    "silver_customer_unmatched_party": silver_customer_unmatched_party,
+    "silver_view_build": silver_view_build,
+    "stored_added_column": stored_added_column,
+    "stored_change_feed": stored_change_feed,
 }
 
 __all__ = ["QUERIES", "LandingConfig"]
