@@ -35,15 +35,17 @@ def decode_enums(df: DataFrame, enums: DataFrame, entity: str, inline_codes: int
     codes; all their columns are then decoded in one projection.
     """
     lookup = enum_lookup(enums, entity)
-    pairs = F.collect_list(F.struct("code", "label"))
-    found = (lookup.groupBy("attribute")
-             .agg(F.count(F.lit(1)).alias("n"), pairs.alias("labels"))  # metadata of one attribute
-             .select("attribute", "n", F.when(F.col("n") <= inline_codes, F.col("labels")).alias("labels")).collect())
+    own = enums.filter((F.col("EntityName") == entity) & F.col("OptionName").isNotNull())
+    codes, pairs = F.collect_set("Option"), F.collect_set(F.struct("Option", "OptionName"))  # of one attribute
+    found = (own.groupBy(F.col("OptionSetName").alias("attribute"))
+             .agg(F.when(F.size(codes) <= inline_codes, pairs).alias("labels")).collect())
     columns = {find_column(df, r["attribute"]): r for r in found if find_column(df, r["attribute"]) is not None}
     decoded = {}
     for name, r in columns.items():
         if r["labels"] is not None:
-            labels = [F.lit(x) for p in r["labels"] if p["code"] is not None for x in (p["code"], p["label"])]
+            least = dict(sorted(((p["Option"], p["OptionName"]) for p in r["labels"] if p["Option"] is not None),
+                                key=lambda p: p[1], reverse=True))  # of several labels the smallest stays
+            labels = [F.lit(x) for p in least.items() for x in p]
             decoded[name] = (F.try_element_at(F.create_map(*labels), F.col(name).cast("bigint")) if labels
                              else F.lit(None).cast("string"))
     out = df.withColumns(decoded) if decoded else df

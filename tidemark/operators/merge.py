@@ -115,14 +115,14 @@ def _conjunction(conds):
 
 
 def _outer_join(t: DataFrame, s: DataFrame, tk: list[str], sk: list[str], strategy: str,
-                empty_t: list[Column]) -> DataFrame:
+                empty_t: list[Column], empty_s: list[Column], null_keys: bool) -> DataFrame:
     """Full outer join of target and source on the key, NULL keys matching.
 
     Rows whose key has no NULL are joined with plain equality, so a target
     stored bucketed by the key is read bucket by bucket and only the source is
     exchanged.  Rows with a NULL in the key (at most one group per side after
     the latest-version step; found through parquet null statistics) are joined
-    separately with null-safe equality.
+    separately with null-safe equality, or kept where the source has none.
     """
     no_null = lambda cols: _conjunction([F.col(c).isNotNull() for c in cols])
     eq = _conjunction([F.col(a) == F.col(b) for a, b in zip(tk, sk)])
@@ -131,7 +131,9 @@ def _outer_join(t: DataFrame, s: DataFrame, tk: list[str], sk: list[str], strate
              (t.filter(~no_null(tk)), s.filter(~no_null(sk)), nse)]
     out = None
     for tp, sp, cond in parts:
-        if strategy == "shuffle":
+        if cond is nse and not null_keys:
+            j = tp.select(*tp.columns, *empty_s)
+        elif strategy == "shuffle":
             j = tp.join(sp, cond, "full_outer")
         else:
             matched_side = tp.join(F.broadcast(sp), cond, "left_outer")
@@ -179,7 +181,7 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
           ignored: Sequence[str] = IGNORED_COMPARE_COLUMNS,
           preserve: Sequence[str] = (CREATED_STAMP,),
           strategy: str = "shuffle",
-          stamp: bool = False, load_time=None) -> MergeResult:
+          stamp: bool = False, load_time=None, null_keys: bool = True) -> MergeResult:
     """Plan the merge of ``source`` (one row per key) into ``target``.
 
     ``strategy`` is ``shuffle`` or ``broadcast``; choose ``broadcast`` only
@@ -190,6 +192,7 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
     ``load_time`` (a datetime) makes the stamp a literal, so separate passes
     over the merge, and recomputed partitions, stamp identically; give it a
     zone, as a datetime without one is the driver's local time.
+    ``null_keys``: False if the source is known to have no NULL in its keys.
     """
     if strategy not in ("shuffle", "broadcast"):
         raise ValueError(f"unknown merge strategy {strategy!r}")
@@ -223,7 +226,8 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
               .otherwise("unchanged"))
 
     empty_t = [F.lit(None).cast(types[c]).alias(_T + c) for c in columns] + [F.lit(None).cast("boolean").alias(_TP)]
-    joined = _outer_join(t, s, tk, sk, strategy, empty_t)
+    empty_s = [F.lit(None).cast(f.dataType).alias(f.name) for f in s.schema.fields]
+    joined = _outer_join(t, s, tk, sk, strategy, empty_t, empty_s, null_keys)
 
     now = F.lit(load_time) if load_time is not None else F.current_timestamp()
     created, processed = find_column(columns, CREATED_STAMP), find_column(columns, PROCESSED_STAMP)

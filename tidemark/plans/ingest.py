@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import concurrent.futures as cf
 import datetime as _dt
+import functools
+import operator
 import traceback
 from collections.abc import Iterable
 
@@ -79,7 +81,8 @@ def read_changes(spark: SparkSession, cfg: LandingConfig, table: str, folders: l
 def table_schemas(spark: SparkSession, cfg: LandingConfig, tables: list[str]) -> tuple[dict, dict[str, str]]:
     """Model schema of each table (an exception where it has none), and a warning
     for each table with attribute types the model doesn't define (read as string)."""
-    catalog = schema_catalog(model_attributes(read_model(spark, cfg.model_path)))
+    # The model is one JSON document, so its attributes are in one partition anyway.
+    catalog = schema_catalog(model_attributes(read_model(spark, cfg.model_path)).coalesce(1))
     schemas, unknown = entity_schemas_and_unknown(catalog, tables)
     return schemas, {t: "unknown types read as string: " + ", ".join(v) for t, v in unknown.items()}
 
@@ -163,10 +166,12 @@ def apply_changes(spark: SparkSession, cfg: LandingConfig, store: TableStore, ta
     merge into the stored table, and commit snapshot + high-water mark.
     ``current``: the table's current snapshot if already read."""
     before = store.current(table) if current is _UNSET else current
-    source, staged_path, seen, staged_bytes = stage_measured(changes, f"{table}-changes")
+    keys = [find_column(changes, k) for k in cfg.key]
+    no_key = functools.reduce(operator.or_, [F.col(k).isNull() for k in keys if k is not None], F.lit(False))
+    source, staged_path, seen, staged_bytes = stage_measured(changes, f"{table}-changes", null_keys=F.count_if(no_key))
     try:
         load = _replace if before is None or reload else _merge
-        return load(spark, cfg, store, table, before, source, staged_bytes,
+        return load(spark, cfg, store, table, before, source, seen, staged_bytes,
                     dict(folder_from=folder_from, folder_to=folder_to, folders=folders, source_rows=seen["rows"],
                          run_id=new_run_id()))
     finally:
@@ -174,7 +179,7 @@ def apply_changes(spark: SparkSession, cfg: LandingConfig, store: TableStore, ta
 
 
 def _replace(spark: SparkSession, cfg: LandingConfig, store: TableStore, table: str, before: Snapshot | None,
-             source: DataFrame, staged_bytes: int, common: dict) -> dict:
+             source: DataFrame, staged: dict, staged_bytes: int, common: dict) -> dict:
     flag = find_column(source, cfg.delete_flag)
     state = source.filter(~is_delete(F.col(flag))) if flag else source
     if cfg.stamp_rows:
@@ -188,17 +193,19 @@ def _replace(spark: SparkSession, cfg: LandingConfig, store: TableStore, table:
     run_id = common["run_id"]
     snapshot = store.write_snapshot(table, state, run_id, key, buckets)
     rows = seen.get["rows"]
-    store.commit(table, snapshot, common["folder_to"], run_id, "replace", rows, None, buckets, key, after=before)
+    store.commit(table, snapshot, common["folder_to"], run_id, "replace", rows, None, buckets, key, after=before,
+                 schema=state.schema)
     return _run_row(table, "loaded", strategy="replace", inserted=rows, rows_after=rows, **common)
 
 
 def _merge(spark: SparkSession, cfg: LandingConfig, store: TableStore, table: str, before: Snapshot,
-           source: DataFrame, staged_bytes: int, common: dict) -> dict:
+           source: DataFrame, staged: dict, staged_bytes: int, common: dict) -> dict:
     """The staged source carries no partitioning, so against a bucketed target
     only the source is exchanged (into the target's bucket count).  State and feed
     are one pass over one join, and the counts are observed by that pass."""
     result = merge(store.read(table, before), source, cfg.key, cfg.delete_flag, cfg.excluded_meta,
-                   cfg.ignored_compare, stamp=cfg.stamp_rows, load_time=_dt.datetime.now(_dt.timezone.utc))
+                   cfg.ignored_compare, stamp=cfg.stamp_rows, load_time=_dt.datetime.now(_dt.timezone.utc),
+                   null_keys=staged["null_keys"] > 0)
     key, buckets = before.bucket_key, before.buckets
     want_key, want = _bucketing(cfg, source, path_size_bytes(spark, before.path) + staged_bytes)
     moves = bool(want) and (key != want_key or not max(want, 1) / 2 < (buckets or 0) < 2 * want)
@@ -218,7 +225,8 @@ def _merge(spark: SparkSession, cfg: LandingConfig, store: TableStore, table: st
     snapshot = snapshot if rows else _empty_state(store, table, outputs, run_id)
     changed = n["insert"] + n["update"] + n["delete"] > 0
     store.commit(table, snapshot, mark, run_id, "merge", rows, feed if changed else None,
-                 buckets if rows else None, key if rows else None, after=before)
+                 buckets if rows else None, key if rows else None, after=before,
+                 schema=TableStore.state_columns(outputs).schema)
     return _run_row(table, "merged", strategy="shuffle", inserted=n["insert"], updated=n["update"], deleted=n["delete"],
                     unchanged=n["unchanged"], ignored=n["ignore"], rows_after=rows, **common)
 
@@ -238,10 +246,10 @@ def ingest_all(spark: SparkSession, cfg: LandingConfig, config: DataFrame,
     """
     store = TableStore(spark, cfg.store_root)
     selected = select_tables(config, processing_group, table_names)
-    tables = sorted({r["table_name"] for r in selected.select("table_name").distinct().collect()})
-    snaps = store.current_all(tables) if tables else {}
+    tables = sorted({r["table_name"] for r in selected.select("table_name").collect()})
+    snaps = store.current_all([*tables, ENUM_TABLE]) if tables else {}
     plan = plan_tables(spark, cfg, store, tables, reload, snaps) if tables else {}
-    enums = enum_table(store) if tables and cfg.decode_enums else None
+    enums = store.read(ENUM_TABLE, snaps[ENUM_TABLE]) if cfg.decode_enums and ENUM_TABLE in snaps else None
     with_files = [t for t in tables if plan.get(t)]
     schemas, warnings = table_schemas(spark, cfg, with_files) if with_files else ({}, {})
 

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import hashlib
+import json
 import re
 import uuid
 from dataclasses import dataclass
@@ -31,7 +32,7 @@ from tidemark.operators.merge import KIND
 
 LOG_DDL = ("snapshot STRING, changes STRING, lastload STRING, "
            "_sysProcessDateTime TIMESTAMP, run_id STRING, mode STRING, rows BIGINT, "
-           "buckets INT, bucket_key STRING, seq BIGINT")
+           "buckets INT, bucket_key STRING, seq BIGINT, schema STRING")
 _UNKNOWN = object()
 
 
@@ -50,6 +51,7 @@ class Snapshot:
     bucket_key: str | None = None
     rows: int | None = None
     seq: int = 0
+    schema: str | None = None  # of its rows, as JSON
 
 
 class TableStore:
@@ -80,18 +82,19 @@ class TableStore:
     @staticmethod
     def _latest() -> Column:
         """The log row of the last commit: commits are numbered, clocks are not trusted."""
-        return F.max_by(F.struct("snapshot", "lastload", "run_id", "buckets", "bucket_key", "rows", "seq"),
+        return F.max_by(F.struct("snapshot", "lastload", "run_id", "buckets", "bucket_key", "rows", "seq", "schema"),
                         F.struct(F.coalesce("seq", F.lit(0)), "run_id")).alias("r")
 
     @staticmethod
     def _snapshot(table: str, r: Row) -> Snapshot:
         return Snapshot(table, r["snapshot"], r["lastload"], r["run_id"], r["buckets"], r["bucket_key"], r["rows"],
-                        r["seq"] or 0)
+                        r["seq"] or 0, r["schema"])
 
     def current(self, table: str) -> Snapshot | None:
         """Latest committed snapshot of ``table`` (A7/A13); None if never loaded."""
         log = self._read_log(self._log_dir(table), LOG_DDL)
-        r = log.agg(self._latest()).select("r.*").head() if log is not None else None
+        # One table's loads, a row each: no shuffle for them.
+        r = log.coalesce(1).agg(self._latest()).select("r.*").head() if log is not None else None
         return self._snapshot(table, r) if r is not None and r["snapshot"] is not None else None
 
     def current_all(self, tables=None) -> dict[str, Snapshot]:
@@ -110,15 +113,17 @@ class TableStore:
         snap = self.current(table)
         return snap.lastload if snap else None
 
-    def read(self, table: str, snapshot: Snapshot | None = None, schema: StructType | None = None) -> DataFrame:
+    def read(self, table: str, snapshot: Snapshot | None = None) -> DataFrame:
         """Current state of ``table``.  A bucketed snapshot is read through a
         catalog table declaring its bucketing, so joins and aggregations on
         the key use the stored layout instead of shuffling it."""
         snap = snapshot or self.current(table)
         if snap is None:
             raise ValueError(f"table {table!r} has no snapshot in {self.root}")
+        schema = StructType.fromJson(json.loads(snap.schema)) if snap.schema else None
         if not snap.buckets:
-            return self.state_columns(self.spark.read.parquet(snap.path))
+            reader = self.spark.read.schema(schema) if schema is not None else self.spark.read
+            return self.state_columns(reader.parquet(snap.path))
         # A name belongs to one snapshot folder for good, so no session or store can be shown another.
         name = (f"tidemark_{re.sub(r'[^0-9A-Za-z_]', '_', table)}_"
                 f"{hashlib.sha1(snap.path.encode()).hexdigest()[:16]}")
@@ -198,16 +203,19 @@ class TableStore:
 
     def commit(self, table: str, snapshot: str, lastload: str | None, run_id: str,
                mode: str, rows: int | None, changes: str | None = None,
-               buckets: int | None = None, bucket_key: str | None = None, after=_UNKNOWN) -> None:
+               buckets: int | None = None, bucket_key: str | None = None, after=_UNKNOWN,
+               schema: StructType | None = None) -> None:
         """Append the log row that makes ``snapshot`` current.
 
         Commits of a table are numbered; ``after`` is the snapshot this load
         started from (None for the first), read from the log if not given.
+        ``schema`` is that of the snapshot's rows; readers then needn't look for it in files.
         """
         before = self.current(table) if after is _UNKNOWN else after
         seq = (before.seq if before is not None else 0) + 1
         now = _dt.datetime.now(_dt.timezone.utc)
-        row = [(snapshot, changes, lastload, now, run_id, mode, rows, buckets, bucket_key, seq)]
+        row = [(snapshot, changes, lastload, now, run_id, mode, rows, buckets, bucket_key, seq,
+                schema.json() if schema is not None else None)]
         (self.spark.createDataFrame(row, LOG_DDL).coalesce(1)
          .write.mode("append").parquet(self._log_dir(table)))
 
@@ -217,5 +225,6 @@ class TableStore:
         run_id, before, seen = new_run_id(), self.current(table), Observation()
         path = self.write_snapshot(table, df.observe(seen, F.count(F.lit(1)).alias("rows")), run_id)
         rows = seen.get["rows"]
-        self.commit(table, path, lastload, run_id, mode, rows, after=before)
-        return Snapshot(table, path, lastload, run_id, rows=rows, seq=(before.seq if before else 0) + 1)
+        self.commit(table, path, lastload, run_id, mode, rows, after=before, schema=df.schema)
+        return Snapshot(table, path, lastload, run_id, rows=rows, seq=(before.seq if before else 0) + 1,
+                        schema=df.schema.json())

@@ -173,6 +173,6 @@ def changelog_folders(text: DataFrame) -> DataFrame:
 def changelog_latest(spark: SparkSession, path: str) -> str | None:
     """Greatest folder name listed in the changelog; None if none
     (blank names, e.g. an empty line, are not folder names)."""
-    names = changelog_folders(spark.read.text(path)).filter(F.trim("folder_name") != "")
+    names = changelog_folders(spark.read.text(path).coalesce(1)).filter(F.trim("folder_name") != "")  # one small file
     row = names.agg(F.max("folder_name").alias("m")).head()
     return row["m"] if row else None
