@@ -44,6 +44,8 @@ ASIDE_WORDS = frozenset("""ad ads advert adverts advertisement advertising banne
     subscribe toolbar widget""".split())
 ARTICLE_WORDS = frozenset("article content entry main post story".split())
 ASIDE_ROLES = frozenset("banner navigation complementary contentinfo search form dialog alert alertdialog menu menubar".split())
+LEAVES = frozenset("""address blockquote caption dd dl dt figcaption h1 h2 h3 h4 h5 h6 hgroup legend li ol option p pre
+    summary table tbody td tfoot th thead tr ul""".split())
 CLOSES_P = BLOCKS - frozenset("br body html head title caption tbody td tfoot th thead tr option".split())
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -150,24 +152,25 @@ def walk(source: str):
 
 
 def tokens(source: str) -> list[tuple[str, int, int, bool, bool]]:
-    """Distinct element paths of a page: (path, occurrences, characters of article text under it, apart, article).
+    """Distinct element paths of a page: (path, occurrences, characters of article text under it, barred, article).
 
-    Characters count under every path around them, but not inside links or elements that stand apart.
+    Characters count under every path around them (the whole page's path is empty), but not inside links or elements
+    that stand apart.  Elements that stand apart, and single blocks of text, are barred from being the article.
     """
-    seen: Counter[tuple[str, ...]] = Counter()
+    seen: Counter[tuple[str, ...]] = Counter({(): 1})
     chars: Counter[tuple[str, ...]] = Counter()
     kind: dict[tuple[str, ...], tuple[bool, bool]] = {}
     for event, path, apart, article, text, link in walk(source):
         if event == "open":
             seen[path] += 1
-            was = kind.get(path, (False, False))
+            was = kind.get(path, (path[-1].partition(".")[0] in LEAVES, False))
             kind[path] = (was[0] or apart, was[1] or article)
         elif event == "text" and not apart and not link:
             size = len(_SPACE.sub(" ", text).strip())
             if size:
-                for i in range(len(path)):
-                    chars[path[:i + 1]] += size
-    return [("/".join(p), k, chars[p], *kind[p]) for p, k in seen.items()]
+                for i in range(len(path) + 1):
+                    chars[path[:i]] += size
+    return [("/".join(p), k, chars[p], *kind.get(p, (False, False))) for p, k in seen.items()]
 
 
 def main_text(source: str, main: str | None) -> str:
@@ -176,12 +179,9 @@ def main_text(source: str, main: str | None) -> str:
     ``main`` is the path of the article in the host's template; a page without it uses its own best
     element.  White space in a block becomes one space, and character references are decoded.
     """
-    if main is None or not any(e == "open" and "/".join(p) == main for e, p, *_ in walk(source)):
+    if main is None or main and not any(e == "open" and "/".join(p) == main for e, p, *_ in walk(source)):
         main = own_main(tokens(source))
-    if main is None:
-        root: tuple[str, ...] = ()
-    else:
-        root = tuple(main.split("/"))
+    root = tuple(main.split("/")) if main else ()
     blocks, current = [], []
 
     def flush() -> None:
@@ -199,11 +199,11 @@ def main_text(source: str, main: str | None) -> str:
     return "\n".join(blocks)
 
 
-def own_main(found: list[tuple[str, int, int, bool, bool]]) -> str | None:
-    """The article path by one page alone: the deepest that calls itself one, or else holds most of the text."""
-    usable = [(p, k, c, article) for p, k, c, apart, article in found if not apart and c]
+def own_main(found: list[tuple[str, int, int, bool, bool]]) -> str:
+    """The article path by one page alone: the largest that calls itself one, or else the deepest with most of the text."""
+    usable = [(p, k, c, article) for p, k, c, barred, article in found if not barred and c]
     if not usable:
-        return None
+        return ""
     most = max(c for _, _, c, _ in usable)
     named = [x for x in usable if x[3] and x[2] >= MAIN_SHARE / 2 * most]
     large = named or [x for x in usable if x[2] >= MAIN_SHARE * most]
@@ -221,21 +221,21 @@ def templates(pages: DataFrame) -> DataFrame:
     ``pages`` has host and html (bytes).
     """
     def run(batch):
-        out = {k: [] for k in ("host", "path", "count", "chars", "apart", "article", "vector")}
+        out = {k: [] for k in ("host", "path", "count", "chars", "barred", "article", "vector")}
         for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
             page = xxhash.xxh64_intdigest(source, 3)
-            for path, count, chars, apart, article in tokens(source.decode("utf-8", "replace")):
-                for k, v in (("host", host), ("path", path), ("count", count), ("chars", chars), ("apart", apart),
+            for path, count, chars, barred, article in tokens(source.decode("utf-8", "replace")):
+                for k, v in (("host", host), ("path", path), ("count", count), ("chars", chars), ("barred", barred),
                              ("article", article),
                              ("vector", np.uint64(xxhash.xxh64_intdigest(count.to_bytes(4, "little"), page) >> 16))):
                     out[k].append(v)
         yield out
 
     found = map_arrow(pages.select("host", "html"), run, "host string, path string, count int, chars long, "
-                                                         "apart boolean, article boolean, vector long")
+                                                         "barred boolean, article boolean, vector long")
     token = found.groupBy("host", "path").agg(
         F.count(F.lit(1)).alias("pages"), F.count_if(F.col("count") == 1).alias("once"), F.sum("chars").alias("chars"),
-        F.bool_or("apart").alias("apart"), F.bool_or("article").alias("article"), F.sum("vector").alias("vector"))
+        F.bool_or("barred").alias("barred"), F.bool_or("article").alias("article"), F.sum("vector").alias("vector"))
     token = stage(token, "html-tokens")
     hosts = token.groupBy("host").agg(F.max("pages").alias("n"))
     # Equivalence classes: tokens of one host whose vectors are the same.
@@ -253,7 +253,7 @@ def templates(pages: DataFrame) -> DataFrame:
         "host", F.filter("valid", lambda p: F.forall(around(p), lambda q: F.array_contains("valid", q))).alias("template"))
     template = stage(template, "html-nested")
     slots = (token.join(template, "host").where(F.expr("array_contains(template, path)"))
-             .where("not apart and chars > 0").drop("template"))
+             .where("not barred and chars > 0").drop("template"))
     most = slots.groupBy("host").agg(F.max("chars").alias("most"))
     rated = slots.join(most, "host").withColumn(
         "rank", F.when(F.col("article") & (F.col("chars") >= MAIN_SHARE / 2 * F.col("most")),
