@@ -13,3 +13,14 @@ def test_config_sources_and_selection(spark, tmp_dir):
         assert names(select_tables(cfg, table_names="dirpartytable, custtable")) == ["custtable", "dirpartytable"]
         assert names(select_tables(cfg, "pg_weekly", ["custgroup"])) == ["custgroup", "dirpartytable"]
         assert names(select_tables(cfg, table_names="")) == ["custgroup", "custtable", "dirpartytable"]
+
+
+def test_scratch_folders_can_be_removed(spark):
+    import glob
+
+    from tidemark.session import clear_scratch, ensure_checkpoint_dir, local_path, stage
+    assert stage(spark.range(3), "test-clear").count() == 3
+    pattern = f"{local_path(ensure_checkpoint_dir(spark))}/tidemark-test-clear-*"
+    assert glob.glob(pattern)
+    clear_scratch(spark)
+    assert not glob.glob(pattern)

@@ -6,7 +6,9 @@ except filling in a checkpoint folder when none is configured (tests).
 
 from __future__ import annotations
 
+import atexit
 import re
+import shutil
 import tempfile
 import uuid
 
@@ -58,14 +60,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not re.match(r"local(\[|$)", sc.master):  # not local-cluster
             raise RuntimeError("set spark.checkpoint.dir to a shared folder: change sets are staged there")
         conf = tempfile.mkdtemp(prefix="tidemark-ckpt-")
+        atexit.register(shutil.rmtree, conf, ignore_errors=True)
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tidemark-{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/tidemark-{label}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove every scratch folder of this process.
+
+    A lazy result still reads what was staged for it, so call this when
+    results have been written or are no longer needed.
+    """
+    while _SCRATCH:
+        drop_path(spark, _SCRATCH.pop())
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -110,5 +128,5 @@ def local_path(path: str) -> str:
     return path[5:] if path.startswith("file:") else path
 
 
-__all__ = ["local_session", "ensure_checkpoint_dir", "scratch_path", "stage",
+__all__ = ["clear_scratch", "local_session", "ensure_checkpoint_dir", "scratch_path", "stage",
            "stage_measured", "path_size_bytes", "drop_path", "local_path"]
