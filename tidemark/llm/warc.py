@@ -3,7 +3,9 @@
 The reader deals byte ranges of the archives to tasks.  A task looks for the gzip magic in its range, takes a
 candidate for a record only if it inflates to a WARC version line and header, and
 owns the records that start inside its range, reading on past its end to finish the last.  After a record
-it goes on at the member's end, so bytes inside a record are never taken for another.
+it goes on at the member's end.  Only a range that begins inside a record whose payload itself holds a whole
+gzip member with a WARC record, kept as it is by the compressor, could take that for a record of its own; payloads
+written here are UTF-8 text, in which the magic can't occur.
 
 Archives are written and read through ``pyarrow.fs``, by URI, so the folder may be any store that
 knows (``file:``, ``hdfs:``, ``s3:``, ``gs:``).  Each task attempt writes a file of its own name and reports
