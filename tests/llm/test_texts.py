@@ -162,7 +162,7 @@ def test_best_fit_and_bounds():
 
 def test_packing(spark, monkeypatch):
     from tokenizers import Tokenizer
-    monkeypatch.setattr(packing, "BUCKET_ROWS", 24)
+    monkeypatch.setattr(packing, "BUCKET_ROWS", 64)
     rng = random.Random(3)
     rows = [(i, " ".join(rng.choice(["alpha", "beta", "x", "y1", "..."]) for _ in range(rng.randrange(1, 40)))) for i in range(300)]
     rows += [(400, None), (401, ""), (None, "no id"), (5, rows[5][1]), (402, "long " * 1000)]
@@ -184,7 +184,7 @@ def test_packing(spark, monkeypatch):
         spans.sort()
         assert [o for o, _ in spans] == [0, *np.cumsum([n for _, n in spans])[:-1]] and sum(n for _, n in spans) <= 32
     bound = packing.lower_bound(np.bincount([w[3] for w in want], minlength=33))
-    assert bound <= len(places) <= bound + 2
+    assert bound <= len(places) <= 1.01 * bound + 1  # each bucket, and then the whole, is near its bound
     placed = spark.createDataFrame(got)
     built = packing.sequences(placed, packing.pieces(docs, BYTE_BPE, 32, keep_ids=True)).collect()
     assert len(built) == len(places) and sum(len(r.ids) for r in built) == sum(w[3] for w in want)
@@ -193,7 +193,7 @@ def test_packing(spark, monkeypatch):
 
 def test_imatch(spark):
     rng = random.Random(8)
-    words = [f"{a}{b}{c}" for a in "bcdfgk" for b in ("an", "or", "ist", "el") for c in ("", "en", "ly")]
+    words = [f"{a}{b}{c}{d}" for a in "bcdfgklmnp" for b in ("an", "or", "ist", "el", "um") for c in ("", "en", "ly", "a") for d in "xyzw"]
     rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(30, 200)))) for i in range(60)]
     rows += [(100, rows[3][1]), (101, None), (102, ""), (103, "é漢 \U0001f600"), (None, "no id"), (104, rows[4][1]), (104, rows[4][1]),
              (200, " ".join(words * 300))]
@@ -227,4 +227,4 @@ def test_imatch_fingerprint_is_of_sorted_distinct_terms(spark):
     rows = [(i, f"common w{i % 7} x{i % 5} y{i % 3} z{i}") for i in range(40)]
     rows += [(50, "common w1 x1 y1 rare"), (51, "Y1, x1 w1! x1 COMMON other")]
     got = {r.doc_id: r.fingerprint for r in imatch.fingerprint_documents(frame(spark, rows), band=(0.5, 3.0)).collect()}
-    assert got[50] == got[51] != got[1]
+    assert got[50] == got[51] != got[2]

@@ -5,7 +5,8 @@ Dual-feasible functions give a lower bound on the bins a bucket needs: a bucket
 more is certified.  Buckets with a gap give out the documents of their bins that aren't full, and
 certified ones the documents of their emptiest bin (rounding slack, as the bounds of parts
 add up to more than the bound of the whole); these are dealt anew to fewer buckets and packed
-again.  That ends when the total meets the bound over all pieces, or a round saves no bin.
+again.  That ends when the total meets the bound over all pieces, or when even one bucket of all that
+was given out saves no bin.
 Only lengths and ids move; every piece's tokens stay where they are until sequences are built.
 """
 
@@ -14,7 +15,6 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -25,19 +25,36 @@ from .common import map_arrow, ship, stage
 
 #: Pieces in a bucket, about.
 BUCKET_ROWS = 2048
-#: Rounds of exchange at most; a round needs a saved bin to be followed by another.
+#: Rounds of exchange at most.  A round has half as many buckets as the one before, or fewer, so buckets stay bounded.
 MAX_ROUNDS = 8
 #: Chunks of text whose ids a task remembers.
-CHUNK_CACHE = 1 << 19
+CHUNK_CACHE = 1 << 20
 
 #: One space between two characters that aren't white space: the tokenizer never joins what
 #: stands before it to what follows, so a text may be encoded in these pieces.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_SPACES = re.compile(r"\s\s|\A\s|\s\Z")
+_PAIRS = ("  ", "\n\n", " \n", "\n ")
+_OTHER_SPACE = tuple(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")
+
+
+class _Chunks(dict):
+    """Numbers of chunks; a new one gets the next, and waits to be encoded."""
+
+    def __init__(self):
+        self.waiting: list = []
+
+    def __missing__(self, chunk):
+        self[chunk] = k = len(self)
+        self.waiting.append(chunk)
+        return k
 
 
 class ChunkTokenizer:
-    """Token ids of texts by a byte-level BPE file, remembering the ids of chunks between spaces."""
+    """Token ids of texts by a byte-level BPE file, remembering the ids of chunks between spaces.
+
+    The tokenizer splits a text before it merges, and never across the places used here: before a single
+    space, on both sides of a single line feed, and between a letter or digit and a comma or full stop.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -45,35 +62,91 @@ class ChunkTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # in a text their strings are ordinary text
+        self.feed = self._ids("\n")[0]
+        self.marks = {c: np.array(self._ids(c), np.uint32) for c in ",."}
         self._forget()
 
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
     def _forget(self) -> None:
-        self.at: dict[str | tuple[str], int] = {}
-        self.ids, self.ends = array("I"), array("q", [0])
+        self.at = _Chunks()
+        self.ids = np.zeros(0, np.uint32)
+        self.first = self.size = np.zeros(0, np.int64)
+
+    @staticmethod
+    def _cut(text: str) -> list:
+        """Chunks of a text: a tuple for one that stands behind no space, and a line feed in front of one behind it."""
+        if not text:
+            return []
+        plain = not (text[0].isspace() or text[-1].isspace() or any(pair in text for pair in _PAIRS)
+                     or any(c in text for c in _OTHER_SPACE))
+        # Otherwise there is white space that isn't one space or line feed at a time.
+        chunks = text.replace("\n", " \n").split(" ") if plain else _CUT.split(text)
+        chunks[0] = (chunks[0],)
+        return chunks
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
         if len(self.at) > CHUNK_CACHE:
             self._forget()
-        cut = [(_CUT.split(t) if _SPACES.search(t) else t.split(" ")) if t else [] for t in texts]
-        # All chunks but a text's first, kept as a tuple, stand behind a space.
-        cut = [[(c[0],), *c[1:]] if c else c for c in cut]
-        new = list({c for chunks in cut for c in chunks if c not in self.at})
-        encoded = self.tokenizer.encode_batch_fast([c[0] if isinstance(c, tuple) else " " + c for c in new],
-                                                   add_special_tokens=False)
-        for c, e in zip(new, encoded):
-            self.at[c] = len(self.ends) - 1
-            self.ids.extend(e.ids)
-            self.ends.append(len(self.ids))
-        ids, ends = np.frombuffer(self.ids, np.uint32) if self.ids else np.zeros(0, np.uint32), np.array(self.ends)
+        number = self.at.__getitem__
+        cut = [np.fromiter(map(number, chunks), np.int64, len(chunks)) for chunks in map(self._cut, texts)]
+        self._encode_waiting()
         out = []
-        for chunks in cut:
-            k = np.fromiter(map(self.at.__getitem__, chunks), np.int64, len(chunks))
-            first, size = ends[k], ends[k + 1] - ends[k]
+        for k in cut:
+            first, size = self.first[k], self.size[k]
             place = np.cumsum(size) - size
-            out.append(ids[np.repeat(first - place, size) + np.arange(size.sum())])
+            out.append(self.ids[np.repeat(first - place, size) + np.arange(size.sum())])
         return out
 
+    def _encode_waiting(self) -> None:
+        """Give ids to the chunks that wait: put together from parts, or encoded many at once, a line each."""
+        known, done = len(self.first), 0
+        lines, line_of, apart = [], [], []
+        made: dict[int, tuple] = {}  # chunks that are a part and a mark behind it, or a line feed and a part
+        while done < len(self.at.waiting):
+            chunk = self.at.waiting[done]
+            k, done = known + done, done + 1
+            text = chunk[0] if isinstance(chunk, tuple) else chunk
+            if len(text) > 1 and text[-1] in self.marks and text[-2].isalnum():
+                rest = text[:-1]
+                made[k] = (self.at[(rest,) if isinstance(chunk, tuple) else rest], text[-1])
+            elif text[:1] == "\n" and not isinstance(chunk, tuple) and text[1:] and not text[1:2].isspace():
+                made[k] = (self.at[(text[1:],)], None)
+            elif "\n" in text or text[:1].isspace() or not text:
+                apart.append((k, text if isinstance(chunk, tuple) else " " + text))
+            else:
+                lines.append(text if isinstance(chunk, tuple) else " " + text)
+                line_of.append(k)
+        total = known + done
+        found: list[np.ndarray] = [None] * (total - known)
+        if lines:
+            ids = np.array(self._ids("\n".join(lines)), np.uint32)
+            ends = np.append(np.flatnonzero(ids == self.feed), len(ids)).tolist()
+            for k, a, b in zip(line_of, [0, *[e + 1 for e in ends]], ends):
+                found[k - known] = ids[a:b]
+        for k, text in apart:
+            found[k - known] = np.array(self._ids(text), np.uint32)
+
+        feed = np.array([self.feed], np.uint32)
+
+        def of(k: int) -> np.ndarray:
+            if k < known:
+                return self.ids[self.first[k]:self.first[k] + self.size[k]]
+            if found[k - known] is None:
+                part, mark = made[k]
+                found[k - known] = np.concatenate((of(part), self.marks[mark]) if mark else (feed, of(part)))
+            return found[k - known]
+
+        for k in made:
+            of(k)
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        self.first = np.concatenate((self.first, len(self.ids) + np.cumsum(sizes) - sizes))
+        self.size = np.concatenate((self.size, sizes))
+        self.ids = np.concatenate((self.ids, *found)).astype(np.uint32)
+        self.at.waiting.clear()
+
 
 _TOKENIZERS: dict[str, ChunkTokenizer] = {}
 
@@ -207,15 +280,17 @@ def pack(rows: DataFrame, capacity: int = 2048) -> DataFrame:
             break
         given = pool.where("gives")
         n, used = given.agg(F.count(F.lit(1)), F.count_if(F.col("offset") == 0)).head()
-        fewer = min(-(-n // BUCKET_ROWS), max(1, buckets // 2))
         if not n:
             break
+        fewer = min(-(-n // BUCKET_ROWS), max(1, buckets // 2))
         again = stage(_pack(given.select(*columns[:5]), capacity, fewer, turn), "packing")
         saved = used - again.agg(F.count_if(F.col("offset") == 0)).head()[0]
-        if saved <= 0:
-            break
-        done.append(pool.where("not gives"))
-        pool, buckets, total = again, fewer, total - saved
+        if saved > 0:
+            done.append(pool.where("not gives"))
+            pool, total = again, total - saved
+        elif fewer == 1:
+            break  # all that was given out, packed as one, needs as many bins
+        buckets = fewer
     for part in done:
         pool = pool.unionByName(part)
     return pool.select(*columns)
