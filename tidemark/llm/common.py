@@ -68,9 +68,19 @@ def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(i, rows)
 
 
+_CACHE: list = []
+
+
+def only_cache(name: object, forget: Callable[[], None]) -> None:
+    """Says which cache a task uses now; the one that another operator left in this worker is forgotten."""
+    if _CACHE and _CACHE[0] != name:
+        _CACHE[1]()
+    _CACHE[:] = [name, forget]
+
+
 def as_bytes(name: str) -> Column:
     """A text column as UTF-8 bytes, null as empty."""
     return F.coalesce(F.col(name).cast("string").cast("binary"), F.lit(b""))
 
 
-__all__ = ["BATCH_BYTES", "as_bytes", "map_arrow", "ship", "slices", "stage", "table"]
+__all__ = ["BATCH_BYTES", "as_bytes", "map_arrow", "only_cache", "ship", "slices", "stage", "table"]

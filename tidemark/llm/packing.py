@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, ship, stage
+from .common import map_arrow, only_cache, ship, stage
 
 #: Pieces in a bucket, about.
 BUCKET_ROWS = 2048
@@ -155,6 +155,7 @@ def tokenizer(path: str) -> ChunkTokenizer:
     """The task's tokenizer for a file."""
     if path not in _TOKENIZERS:
         _TOKENIZERS[path] = ChunkTokenizer(path)
+    only_cache(("packing", path), _TOKENIZERS[path]._forget)
     return _TOKENIZERS[path]
 
 

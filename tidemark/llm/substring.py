@@ -30,13 +30,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, map_arrow, stage
+from .common import as_bytes, map_arrow, only_cache, stage
 
 #: Odd base of the polynomial hashes (mod 2**64) and its inverse.
 BASE = 0x9E3779B97F4A7C15
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
 #: Distinct words whose hashes a task remembers.
-WORD_CACHE = 1 << 20
+WORD_CACHE = 1 << 18
 
 
 class WordHashes(dict):
@@ -55,6 +55,12 @@ class WordHashes(dict):
 _HASHES = WordHashes()
 
 
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """Hashes of words by the worker's own cache (a task's closure would hold a copy of it)."""
+    only_cache("substring", _HASHES.clear)
+    return _HASHES.of(words)
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     """A second, well spread hash of 64-bit values."""
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -111,7 +117,7 @@ def scan(docs: DataFrame, window: int, phrase: int) -> DataFrame:
             words = text.split()
             counts.append(len(words))
             shas.append(hashlib.sha256(b" ".join(words)).hexdigest())
-            at, grams = anchor_positions(_HASHES.of(words), window, phrase) if len(words) >= window else ([], None)
+            at, grams = anchor_positions(word_hashes(words), window, phrase) if len(words) >= window else ([], None)
             anchors.append(np.unique(_signed(grams[np.unique(at)])) if len(at) else [])
         yield {"doc_id": batch.column("doc_id"), "th": batch.column("th"), "n_words": counts, "sha": shas,
                "anchors": anchors}
@@ -126,7 +132,7 @@ def locate(docs: DataFrame, window: int, phrase: int) -> DataFrame:
     """
     def run(batch):
         texts = [t.split() for t in batch.column("text").to_pylist()]
-        hashed = [_HASHES.of(words) for words in texts]
+        hashed = [word_hashes(words) for words in texts]
         found = [anchor_positions(v, window, phrase) for v in hashed]
         automaton = ahocorasick.Automaton()
         for words, (at, grams), wanted in zip(texts, found, batch.column("recurring").to_pylist()):

@@ -22,12 +22,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import only_cache, ship
 
 WORD = re.compile(r"[^\W_]+")
 STEM = 4
 #: Words whose hashes a task remembers.
-WORD_CACHE = 1 << 19
+WORD_CACHE = 1 << 18
 #: Size of the table that sorts out most features without a weight before the exact look-up.
 SIEVE = 1 << 20
 #: A text is toxic from this score on.
@@ -47,6 +47,11 @@ class _Hashes(dict):
 _HASHES = _Hashes()
 
 
+def _use_cache() -> None:
+    """A module's function, so that tasks mean the worker's own cache and not a copy in their closure."""
+    only_cache("toxicity", _HASHES.clear)
+
+
 def features(text: str | None) -> np.ndarray:
     """Hashed features of a text, with repeats; none for a null or wordless text."""
     words = WORD.findall((text or "").lower())
@@ -135,15 +140,21 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if len(sizes) < 2:
         share = (sizes.get(1, 0) + 1) / (sum(sizes.values()) + 2)
         return Model(np.zeros(0, np.uint64), np.zeros(0), float(np.log(share / (1 - share))))
-    rank = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = known.withColumn("rank", rank).where(F.col("rank") <= class_rows)  # at most 2 * class_rows rows
+    # The ids with the smallest hashes: about twice as many pass the bound as are taken, whatever the labels' number.
+    place = F.shiftrightunsigned(F.xxhash64("doc_id"), 1)
+    near = F.lit(False)
+    for y, n in sizes.items():
+        near = near | ((F.col("y") == y) & (place <= int((1 << 63) * min(1.0, 2 * class_rows / n)) - 1))
+    rank = F.row_number().over(Window.partitionBy("y").orderBy(place, "doc_id"))
+    chosen = known.where(near).withColumn("rank", rank).where(F.col("rank") <= class_rows)  # at most 2 * class_rows rows
     sample = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-              .join(F.broadcast(chosen), "doc_id")
-              .orderBy(F.xxhash64("doc_id"), "doc_id", "text").select("text", "y").coalesce(1))
+              .join(F.broadcast(chosen), "doc_id").repartition(1)
+              .sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "text").select("text", "y"))
 
     rows, labels_of = [], []
 
     def train(batches):
+        _use_cache()
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 rows.append(np.unique(features(text)))
@@ -168,6 +179,7 @@ def scorer(df: DataFrame, model: Model):
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
+        _use_cache()
         m = sent.value
         sieve = m.sieve()
         return pd.Series([m.score(t, sieve) for t in texts], dtype="float64")
