@@ -23,13 +23,25 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow
+from .common import map_arrow, only_cache
 
 SPACE = "▁"
 #: A character that is no piece scores this much less than the lowest that is one.
 UNKNOWN_PENALTY = 10.0
 #: Words whose lattices a task remembers.
-WORD_CACHE = 1 << 19
+WORD_CACHE = 1 << 20
+
+
+class _Words(dict):
+    """Numbers of words; a new one gets the next and is learned."""
+
+    def __init__(self, learn):
+        self.learn = learn
+
+    def __missing__(self, word: str) -> int:
+        self[word] = k = len(self)
+        self.learn(word)
+        return k
 
 
 class Vocabulary:
@@ -44,8 +56,8 @@ class Vocabulary:
         self.byte_of = {i: b for b, i in self.bytes.items()}
         self.special = {i for i in range(len(self.pieces)) if sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)}
         self.automaton = ahocorasick.Automaton()
-        self.shown = [bytes([self.byte_of[i]]) if i in self.byte_of else b"" if i in self.special
-                      else p.replace(SPACE, " ").encode() for i, p in enumerate(self.pieces)]
+        self.shown = np.array([bytes([self.byte_of[i]]) if i in self.byte_of else b"" if i in self.special
+                               else p.replace(SPACE, " ").encode() for i, p in enumerate(self.pieces)], object)
         self.dummy = sp.normalize("a") == SPACE + "a"
         self.single, scores = set(), []
         for i, piece in enumerate(self.pieces):
@@ -65,7 +77,7 @@ class Vocabulary:
         self._forget()
 
     def _forget(self) -> None:
-        self.at: dict[str, int] = {}
+        self.at = _Words(self.learn)
         self.ids, self.ends, self.best, self.loss = array("i"), array("q", [0]), array("d"), array("d")
 
     def edges(self, word: str) -> list[tuple[int, int, tuple[int, ...], float]]:
@@ -89,29 +101,32 @@ class Vocabulary:
                 score[e[1]], last[e[1]] = s, e
         return score, last
 
-    def learn(self, word: str) -> int:
+    def learn(self, word: str) -> None:
         """Remember a word's best segmentation, and by how much the second-best is worse (infinite without one)."""
-        edges, n = self.edges(word), len(word)
-        score, last = self.forward(n, edges)
-        back = [-np.inf] * n + [0.0]
-        for e in reversed(edges):
-            s = back[e[1]] + e[3]
-            if s > back[e[0]]:
-                back[e[0]] = s
-        path, on, at = [], set(), n
+        n = len(word)
+        best, second = [0.0] + [-np.inf] * n, [-np.inf] * (n + 1)
+        last: list[tuple] = [()] * (n + 1)
+        if self.single.issuperset(word):
+            found = ((e + 1 - k, e + 1, i, s) for e, (k, i, s) in self.automaton.iter(word))
+        else:
+            found = self.edges(word)
+        for start, end, ids, s in found:
+            x = best[start] + s
+            if x > best[end]:
+                y = second[start] + s
+                second[end] = best[end] if best[end] > y else y
+                best[end], last[end] = x, (start, ids)
+            elif x > second[end]:
+                second[end] = x
+        path, at = [], n
         while at:
-            path.append(last[at])
-            on.add(id(last[at]))
-            at = last[at][0]
-        # The second-best path holds some edge that isn't on the best one.
-        second = max((score[e[0]] + e[3] + back[e[1]] for e in edges if id(e) not in on), default=-np.inf)
-        for e in reversed(path):
-            self.ids.extend(e[2])
-        k = self.at[word] = len(self.best)
+            at, ids = last[at]
+            path.append(ids)
+        for ids in reversed(path):
+            self.ids.append(ids) if isinstance(ids, int) else self.ids.extend(ids)
         self.ends.append(len(self.ids))
-        self.best.append(score[n])
-        self.loss.append(max(0.0, score[n] - second))
-        return k
+        self.best.append(best[n])
+        self.loss.append(best[n] - second[n])
 
     def n_best(self, word: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
         """The ``n`` best (score, ids) of a word, best first: backward A* over its lattice."""
@@ -140,8 +155,7 @@ class Vocabulary:
         words = self.words.findall(self.model.normalize(text))
         if not words:
             return [(0.0, np.zeros(0, np.int32))]
-        get = self.at.get
-        k = np.fromiter((i if (i := get(w)) is not None else self.learn(w) for w in words), np.int64, len(words))
+        k = np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))
         ends, best, loss = np.frombuffer(self.ends, np.int64), np.frombuffer(self.best), np.frombuffer(self.loss)
         first, size = ends[k], ends[k + 1] - ends[k]
         place = np.cumsum(size) - size
@@ -199,7 +213,7 @@ class Vocabulary:
 
     def decode(self, ids) -> str:
         """The text of ids: space marks become spaces, byte pieces UTF-8, and the leading dummy space goes."""
-        text = b"".join(map(self.shown.__getitem__, ids)).decode("utf-8", "replace")
+        text = b"".join(self.shown[np.asarray(ids, np.int64)]).decode("utf-8", "replace")
         return text[1:] if self.dummy and text.startswith(" ") else text
 
 
@@ -210,6 +224,7 @@ def vocabulary(path: str) -> Vocabulary:
     """The task's vocabulary of a file."""
     if path not in _VOCABULARIES:
         _VOCABULARIES[path] = Vocabulary(path)
+    only_cache(("pieces", path), _VOCABULARIES[path]._forget)
     return _VOCABULARIES[path]
 
 
@@ -229,7 +244,7 @@ def encode(docs: DataFrame, path: str, n: int = 4, with_ids: bool = True,
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             text = text or ""
             for rank, (score, ids) in enumerate(v.encode(text, n), 1):
-                row = (doc, rank, score, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), v.decode(ids.tolist()) == text, ids)
+                row = (doc, rank, score, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), v.decode(ids) == text, ids)
                 for k, x in zip(names, row):
                     out[k].append(x)
         yield out
