@@ -16,25 +16,37 @@ from .common import stage
 
 #: Inverse document frequencies (natural logarithm) that a lexicon term may have.
 IDF_BAND = (2.0, 7.0)
-#: A subset holds one in so many terms; there are ``PER_RATE`` subsets of each rate.
-RATES, PER_RATE = (8, 32, 128, 512, 2048, 8192), 6
+#: A subset holds one in so many terms (powers of two); there are ``PER_RATE`` subsets of each rate.
+RATES, PER_RATE = tuple(1 << k for k in range(3, 14)), 5
 #: Lexicon terms that are broadcast at most; a larger lexicon is joined by a shuffle.
 BROADCAST_TERMS = 1_000_000
-_EMPTY = "-" * 8
+#: Hexadecimal digits of a part.
+_DIGITS = 6
+_EMPTY = "-" * _DIGITS
 
 
-def terms(text: Column) -> Column:
-    """Distinct hashed terms of a text."""
+def terms(text: Column, tag: int = 0) -> Column:
+    """Distinct hashed terms of a text; the lowest bit of each is ``tag``."""
     words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
+    return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w).bitwiseAND(F.lit(-2)).bitwiseOR(F.lit(tag))))
 
 
 def subset_mask(term: Column) -> Column:
-    """Bits of the subsets that a hashed term belongs to."""
-    mask = F.lit(0).cast("long")
-    for k in range(len(RATES) * PER_RATE):
-        chosen = F.pmod(F.xxhash64(term, F.lit(k)), F.lit(RATES[k // PER_RATE])) == 0
-        mask = mask.bitwiseOR(F.when(chosen, F.lit(1 << k).cast("long")).otherwise(F.lit(0).cast("long")))
+    """Bits of the subsets that a hashed term belongs to.
+
+    A subset of rate 2**b holds the terms that have b zero bits at the subset's place in a further hash of
+    theirs; a hash of 64 bits serves as many subsets as it has places for.
+    """
+    mask, bit, used, seed = F.lit(0).cast("long"), 0, 64, 0
+    for rate in RATES:
+        width = rate.bit_length() - 1
+        for _ in range(PER_RATE):
+            if used + width > 64:
+                seed, used = seed + 1, 0
+            place = F.lit(((1 << width) - 1 << used) - (1 << 64 if used + width == 64 else 0)).cast("long")
+            chosen = F.xxhash64(term, F.lit(seed)).bitwiseAND(place) == 0
+            mask = mask.bitwiseOR(F.when(chosen, F.lit(1 << bit).cast("long")).otherwise(F.lit(0).cast("long")))
+            bit, used = bit + 1, used + width
     return mask
 
 
@@ -52,17 +64,26 @@ def lexicon(docs: DataFrame, text_col: str = "text", band: tuple[float, float] =
     return stage(counted.where(idf.between(*band)).select("term", "mask"), "imatch-lexicon")
 
 
-def parts(found: Column, otherwise: Column) -> Column:
-    """Fingerprint parts of an array of (term, mask); ``otherwise`` alone where it is empty."""
-    ordered = F.sort_array(found)
+def with_parts(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Replaces each named array of (term, mask) by its fingerprint parts; by the given column alone where it is empty.
 
-    def part(k: int) -> Column:
-        own = F.transform(F.filter(ordered, lambda t: F.shiftright(t["mask"], k).bitwiseAND(F.lit(1)) == 1),
-                          lambda t: t["term"])
-        return F.when(F.size(own) == 0, F.lit(_EMPTY)).otherwise(F.substring(F.lpad(F.hex(F.xxhash64(own)), 16, "0"), 1, 8))
+    Terms are sorted once; each rate's are then sorted out before its subsets are hashed.
+    """
+    bits = {rate: range(i * PER_RATE, (i + 1) * PER_RATE) for i, rate in enumerate(RATES)}
 
-    return F.when(F.size(found) == 0, F.array(otherwise)).otherwise(
-        F.array(*[part(k) for k in range(len(RATES) * PER_RATE)]))
+    def within(array: Column, wanted) -> Column:
+        mask = F.lit(sum(1 << k for k in wanted)).cast("long")
+        return F.filter(array, lambda t: t["mask"].bitwiseAND(mask) != 0)
+
+    df = df.withColumns({c: F.sort_array(c) for c in columns})
+    df = df.withColumns({f"{c}_{rate}": within(F.col(c), wanted) for c in columns for rate, wanted in bits.items()})
+    none = F.xxhash64(F.array().cast("array<struct<term:bigint,mask:bigint>>"))  # the hash of no terms
+    for c, otherwise in columns.items():
+        hashes = F.array(*[F.xxhash64(within(F.col(f"{c}_{rate}"), [k])) for rate, wanted in bits.items() for k in wanted])
+        shown = F.transform(hashes, lambda h: F.when(h == none, F.lit(_EMPTY)).otherwise(
+            F.substring(F.lpad(F.hex(h), 16, "0"), 1, _DIGITS)))
+        df = df.withColumn(c, F.when(F.size(c) == 0, F.array(otherwise)).otherwise(shown))
+    return df.drop(*[f"{c}_{rate}" for c in columns for rate in RATES])
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -106,36 +127,38 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     rows = (docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
             .withColumn("key", F.coalesce("doc_id", F.lit(-(1 << 63)))).withColumn("th", F.xxhash64("text")))
     words = lexicon(rows, "text", band)
-    order = stage(successors(rows.select("doc_id", "key", "th", F.length("text").alias("n_chars"))), "imatch-next")
-    order = order.withColumn("row", F.monotonically_increasing_id())
+    order = successors(rows.select("doc_id", "key", "th", F.length("text").alias("n_chars")))
+    order = stage(order.withColumn("row", F.monotonically_increasing_id()), "imatch-next")
 
     texts = rows.select("key", "th", "text")
     unique = order.groupBy("key", "th").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
     texts = texts if unique else texts.dropDuplicates(["key", "th"])
-    after = texts.select(F.col("key").alias("next_key"), F.col("th").alias("next_th"), F.col("text").alias("next_text"))
-    filled = (order.join(after, ["next_key", "next_th"])
-              .withColumn("insert", F.expr("left(next_text, cast(floor(n_chars / 4) as int))")).drop("next_text"))
+    # Both joins meet the texts by the same columns, so Spark shuffles the texts once for the two.
+    wanted = order.select(F.col("key").alias("own_key"), F.col("th").alias("own_th"), "row", "n_chars",
+                          F.col("next_key").alias("key"), F.col("next_th").alias("th"))
+    filled = (wanted.join(texts, ["key", "th"])
+              .select(F.col("own_key").alias("key"), F.col("own_th").alias("th"), "row", "n_chars",
+                      F.expr("left(text, cast(floor(n_chars / 4) as int))").alias("insert")))
     edited = F.concat(F.expr("left(text, n_chars - cast(floor(n_chars / 4) as int))"), F.col("insert"))
     both = (texts.join(filled, ["key", "th"]).withColumn("edited", edited)
-            .withColumn("edited_sha256", F.sha2("edited", 256)).withColumn("sha256", F.sha2("text", 256)))
-
-    def tagged(tag: int, array: Column) -> Column:
-        return F.transform(array, lambda t: F.struct(F.lit(tag).alias("tag"), t.alias("term")))
+            .withColumn("edited_th", F.xxhash64("edited")).withColumn("sha", F.unhex(F.sha2("edited", 256))))
 
-    # The row with tag 2 keeps a document without lexicon terms.
-    every = F.concat(tagged(0, terms(F.col("text"))), tagged(1, terms(F.col("edited"))),
-                     F.array(F.struct(F.lit(2).alias("tag"), F.lit(None).cast("long").alias("term"))))
-    keys, carried = ["key", "th", "row"], ["doc_id", "n_chars", "next_key", "next_th", "sha256", "edited_sha256"]
+    # Terms of the text have tag 0, those of the edited text tag 1; a null keeps a document without lexicon terms.
+    every = F.concat(terms(F.col("text"), 0), terms(F.col("edited"), 1), F.array(F.lit(None).cast("long")))
+    keys, carried = ["key", "th", "row"], ["edited_th", "sha"]
     words = F.broadcast(words) if words.count() <= BROADCAST_TERMS else words
-    found = (both.select(*keys, *carried, F.inline(every)).join(words, "term", "left")
-             .where("tag = 2 or mask is not null"))
+    found = (both.select(*keys, *carried, F.explode(every).alias("tagged"))
+             .select("*", F.col("tagged").bitwiseAND(F.lit(-2)).alias("term"),
+                     F.col("tagged").bitwiseAND(F.lit(1)).alias("tag"))
+             .join(words, "term", "left").where("tagged is null or mask is not null"))
     pair = F.struct("term", "mask")
     marked = found.groupBy(*keys).agg(*[F.first(c).alias(c) for c in carried],
                                       F.collect_list(F.when(F.col("tag") == 0, pair)).alias("own"),
                                       F.collect_list(F.when(F.col("tag") == 1, pair)).alias("other"))
-    marked = stage(marked.select("key", "th", "doc_id", "n_chars", "next_key", "next_th", "edited_sha256",
-                                 parts(F.col("own"), F.col("sha256")).alias("fingerprint"),
-                                 parts(F.col("other"), F.col("edited_sha256")).alias("edited_fingerprint")), "imatch")
+    marked = with_parts(marked, {"own": F.hex("th"), "other": F.hex("edited_th")}).select(
+        *keys, F.lower(F.hex("sha")).alias("edited_sha256"), F.col("own").alias("fingerprint"),
+        F.col("other").alias("edited_fingerprint"))
+    marked = stage(marked.join(order, keys), "imatch")
     nexts = (marked.select(F.col("key").alias("next_key"), F.col("th").alias("next_th"),
                            F.col("fingerprint").alias("next_fingerprint")))
     nexts = nexts if unique else nexts.dropDuplicates(["next_key", "next_th"])
