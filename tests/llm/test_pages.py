@@ -137,6 +137,14 @@ def test_html(spark):
     assert htmltext.extract(pages.limit(0)).collect() == []
 
 
+def test_html_signatures_of_large_hashes(spark, monkeypatch):
+    """The vectors of a host's pages add up to more than a long holds."""
+    monkeypatch.setattr(htmltext, "_vector", lambda page, count: (1 << 63) - 1 - count)
+    rows = [("h", page(f"<article><p>text {i}</p></article>").encode()) for i in range(20)]
+    found = htmltext.templates(spark.createDataFrame(rows, "host string, html binary")).collect()
+    assert [r.main for r in found] == ["html/body/article"]
+
+
 def brute_top(rows, k):
     good = [(i, [int(np.floor(64 * float(x))) for x in v]) for i, v in rows
             if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]

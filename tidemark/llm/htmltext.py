@@ -8,8 +8,9 @@ classes too; the nested valid classes are the host's template.  What lies betwee
 slot.  The element of the template that holds most of the text in slots is the article, and every page
 gives the slots inside it, without those in menus, forms, notices and the like.
 
-The vectors are never gathered: a vector's signature is the sum over pages of a hash of (page, count), so classes
-come from one aggregate by (host, token), combined before the shuffle, whatever the size of a host.
+The vectors are never gathered: a vector's signature is the sum over pages of a hash of (page, count), a decimal of 38
+digits that no number of pages fills.  So classes come from one aggregate by (host, token), combined before the
+shuffle, whatever the size of a host.
 """
 
 from __future__ import annotations
@@ -18,7 +19,6 @@ import html
 import re
 from collections import Counter
 
-import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -215,6 +215,11 @@ def host_of(url):
     return F.lower(F.coalesce(F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1), F.lit("")))
 
 
+def _vector(page: int, count: int) -> int:
+    """Hash of a page's entry in an occurrence vector, of 63 bits."""
+    return xxhash.xxh64_intdigest(count.to_bytes(4, "little"), page) >> 1
+
+
 def templates(pages: DataFrame) -> DataFrame:
     """``host``, ``main``, ``template``: each host's article path and the paths of its template.
 
@@ -227,7 +232,7 @@ def templates(pages: DataFrame) -> DataFrame:
             for path, count, chars, barred, article in tokens(source.decode("utf-8", "replace")):
                 for k, v in (("host", host), ("path", path), ("count", count), ("chars", chars), ("barred", barred),
                              ("article", article),
-                             ("vector", np.uint64(xxhash.xxh64_intdigest(count.to_bytes(4, "little"), page) >> 16))):
+                             ("vector", _vector(page, count))):
                     out[k].append(v)
         yield out
 
@@ -235,7 +240,7 @@ def templates(pages: DataFrame) -> DataFrame:
                                                          "barred boolean, article boolean, vector long")
     token = found.groupBy("host", "path").agg(
         F.count(F.lit(1)).alias("pages"), F.count_if(F.col("count") == 1).alias("once"), F.sum("chars").alias("chars"),
-        F.bool_or("barred").alias("barred"), F.bool_or("article").alias("article"), F.sum("vector").alias("vector"))
+        F.bool_or("barred").alias("barred"), F.bool_or("article").alias("article"), F.sum(F.col("vector").cast("decimal(28,0)")).alias("vector"))
     token = stage(token, "html-tokens")
     hosts = token.groupBy("host").agg(F.max("pages").alias("n"))
     # Equivalence classes: tokens of one host whose vectors are the same.
