@@ -145,6 +145,21 @@ def test_html_signatures_of_large_hashes(spark, monkeypatch):
     assert [r.main for r in found] == ["html/body/article"]
 
 
+def test_html_copies_count_once(spark):
+    """A third of a host's rows are copies of a page of another layout."""
+    def body(i):
+        return f"<div class=box><p>Story {i} told at length</p><p>and ended {i}</p></div><div class=side>Side text {i}</div>"
+
+    rows = [(i, "http://h.example/", page(body(i))) for i in range(20)]
+    rows += [(100 + i, "http://h.example/", page("<section>Error, try again</section>")) for i in range(10)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in htmltext.extract(pages).collect()}
+    assert len(got) == 30
+    assert all(got[i] == f"Story {i} told at length\nand ended {i}" for i in range(20))
+    one = htmltext.distinct_pages(pages.selectExpr("'h' host", "cast(html as binary) html"))
+    assert one.count() == 21
+
+
 def brute_top(rows, k):
     good = [(i, [int(np.floor(64 * float(x))) for x in v]) for i, v in rows
             if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]

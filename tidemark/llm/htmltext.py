@@ -220,6 +220,19 @@ def _vector(page: int, count: int) -> int:
     return xxhash.xxh64_intdigest(count.to_bytes(4, "little"), page) >> 1
 
 
+def distinct_pages(pages: DataFrame) -> DataFrame:
+    """``host``, ``html``: one row for each host and html.
+
+    Hashes are counted first; only pages that recur on their host are then sorted and reduced, before and after the shuffle.
+    """
+    rows = pages.withColumn("hash", F.md5("html"))
+    copied = stage(rows.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("host", "hash"),
+                   "html-copied")
+    alone = rows.join(copied, ["host", "hash"], "left_anti")
+    again = rows.join(copied, ["host", "hash"], "left_semi").dropDuplicates(["host", "hash"])
+    return alone.select("host", "html").unionByName(again.select("host", "html"))
+
+
 def templates(pages: DataFrame) -> DataFrame:
     """``host``, ``main``, ``template``: each host's article path and the paths of its template.
 
@@ -236,7 +249,7 @@ def templates(pages: DataFrame) -> DataFrame:
                     out[k].append(v)
         yield out
 
-    found = map_arrow(pages.select("host", "html"), run, "host string, path string, count int, chars long, "
+    found = map_arrow(distinct_pages(pages.select("host", "html")), run, "host string, path string, count int, chars long, "
                                                          "barred boolean, article boolean, vector long")
     token = found.groupBy("host", "path").agg(
         F.count(F.lit(1)).alias("pages"), F.count_if(F.col("count") == 1).alias("once"), F.sum("chars").alias("chars"),
@@ -290,4 +303,4 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                      "page_id long, url string, text string, n_chars long")
 
 
-__all__ = ["extract", "host_of", "main_text", "own_main", "templates", "tokens", "walk"]
+__all__ = ["distinct_pages", "extract", "host_of", "main_text", "own_main", "templates", "tokens", "walk"]
