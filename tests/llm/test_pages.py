@@ -160,6 +160,25 @@ def test_html_copies_count_once(spark):
     assert one.count() == 21
 
 
+def test_html_text_of_the_template(spark):
+    """A text that stands on all pages of a host is template; one on few pages, or of few pages, is not."""
+    def body(i):
+        shared = "<p>Told in parts</p>" if i % 2 else ""
+        return (f"<article><h1>Head {i}</h1><p>Story {i} begins &amp; <b>goes on</b></p><div>Read our <b>offers</b> &amp; save</div>"
+                f"<p>the story {i} ends here</p>{shared}<p>You may  like\nthis site</p></article>")
+
+    rows = [(i, "http://h.example/", page(body(i))) for i in range(20)]
+    rows += [(100 + i, "http://two.example/", page(f"<article><p>Same</p><p>own {i}</p></article>")) for i in range(2)]
+    rows += [(200 + i, "http://links.example/", page(f"<div><p>Notice</p><a href=x>link {i}</a></div>")) for i in range(4)]
+    rows += [(300, "http://h.example/", page("<section><p>Other layout</p></section>"))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in htmltext.extract(pages).collect()}
+    for i in range(20):
+        told = "\nTold in parts" if i % 2 else ""
+        assert got[i] == f"Head {i}\nStory {i} begins & goes on\nthe story {i} ends here{told}"
+    assert got[100] == "Same\nown 0" and got[203] == "link 3" and got[300] == "Other layout"
+
+
 def brute_top(rows, k):
     good = [(i, [int(np.floor(64 * float(x))) for x in v]) for i, v in rows
             if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]

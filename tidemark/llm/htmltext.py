@@ -1,12 +1,14 @@
 """HTML extraction by equivalence-class template deduction.
 
-A page is cut into tokens: its tags, told apart by the path of elements around them, and pieces of text.
+A page is cut into tokens: its tags, told apart by the path of elements around them, and pieces of text (a
+block's, from one block-level tag or line break to the next), told apart by path and hash.
 For every host, a token's occurrence vector says how often it stands on each of the host's distinct pages.
-Tokens that share a vector form an equivalence class.  A class is valid if its tokens stand once on
-nearly all pages that have it, and nests if the elements around its tokens belong to valid
-classes too; the nested valid classes are the host's template.  What lies between template tokens is a
-slot.  The element of the template that holds most of the text in slots is the article, and every page
-gives the slots inside it, without those in menus, forms, notices and the like.
+Tokens that share a vector form an equivalence class.  A class is valid if it has two tokens at least (an element is
+two, its start and its end) and these stand once on nearly all of the host's pages.  An element nests if the elements
+around it belong to valid classes too; these elements and the text of valid classes are the host's template.  What lies
+between template tokens is a slot.  The element of the template that holds most of the text in slots is the article,
+and every page gives the slots inside it, without those in menus, forms, notices and the like.  Text in such elements
+is never given, so it makes no tokens.
 
 The vectors are never gathered: a vector's signature is the sum over pages of a hash of (page, count), a decimal of 38
 digits that no number of pages fills.  So classes come from one aggregate by (host, token), combined before the
@@ -18,6 +20,7 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter
+from collections.abc import Container, Iterable, Iterator
 
 import xxhash
 from pyspark.sql import DataFrame
@@ -27,6 +30,10 @@ from .common import map_arrow, stage
 
 #: Share of a host's distinct pages that have a template token at least.
 SUPPORT = 0.7
+#: Distinct pages that have a template's piece of text at least; what one or two pages say is never taken for template.
+TEXT_PAGES = 3
+#: Tokens of an equivalence class at least.
+CLASS_TOKENS = 2
 #: Share of the text in slots that the article element holds at least (an element that calls itself one: half of this).
 MAIN_SHARE = 0.6
 
@@ -151,57 +158,87 @@ def walk(source: str):
         yield "text", path, apart > 0, False, rest, links > 0
 
 
-def tokens(source: str) -> list[tuple[str, int, int, bool, bool]]:
-    """Distinct element paths of a page: (path, occurrences, characters of article text under it, barred, article).
+def pieces(events: list) -> Iterator[list[tuple[tuple[str, ...], str, bool]]]:
+    """Texts (path, text, in a link) of each block of a page, without what stands apart."""
+    current = []
+    for event, path, apart, _, text, link in events:
+        if event == "text":
+            if not apart:
+                current.append((path, text, link))
+        elif current:
+            yield current
+            current = []
+    if current:
+        yield current
 
-    Characters count under every path around them (the whole page's path is empty), but not inside links or elements
-    that stand apart.  Elements that stand apart, and single blocks of text, are barred from being the article.
+
+def _plain(texts: Iterable[str]) -> str:
+    return _SPACE.sub(" ", html.unescape("".join(texts))).strip()
+
+
+def piece_hash(path: tuple[str, ...], plain: str) -> int:
+    """Hash of a piece of text and the elements around it, as a signed long."""
+    return xxhash.xxh64_intdigest("\n".join(("/".join(path), plain)).encode("utf-8", "replace"), 9) - (1 << 63)
+
+
+def tokens(source: str) -> list[tuple[str, int | None, int, int, bool, bool]]:
+    """Distinct tokens of a page: (path, hash of a piece of text or None, occurrences, characters, barred, article).
+
+    An element has the characters of article text under it.  They count under every path around them (the whole page's
+    path is empty), but not inside links or elements that stand apart.  Elements that stand apart, and single blocks of
+    text, are barred from being the article.  A piece of text has its own characters, none inside links; pieces in
+    elements that stand apart are left out.
     """
     seen: Counter[tuple[str, ...]] = Counter({(): 1})
     chars: Counter[tuple[str, ...]] = Counter()
     kind: dict[tuple[str, ...], tuple[bool, bool]] = {}
-    for event, path, apart, article, text, link in walk(source):
+    texts: dict[tuple[tuple[str, ...], int], list[int]] = {}
+    events = list(walk(source))
+    for event, path, apart, article, _, _ in events:
         if event == "open":
             seen[path] += 1
             was = kind.get(path, (path[-1].partition(".")[0] in LEAVES, False))
             kind[path] = (was[0] or apart, was[1] or article)
-        elif event == "text" and not apart and not link:
-            size = len(_SPACE.sub(" ", text).strip())
+    for piece in pieces(events):
+        own = 0
+        for path, text, link in piece:
+            size = 0 if link else len(_SPACE.sub(" ", text).strip())
             if size:
+                own += size
                 for i in range(len(path) + 1):
                     chars[path[:i]] += size
-    return [("/".join(p), k, chars[p], *kind.get(p, (False, False))) for p, k in seen.items()]
+        plain, path = _plain(text for _, text, _ in piece), piece[0][0]
+        if plain:
+            count = texts.setdefault((path, piece_hash(path, plain)), [0, 0])
+            count[0] += 1
+            count[1] += own
+    named: dict[tuple[str, ...], str] = {p: "/".join(p) for p in seen}
+    return ([(named[p], None, k, chars[p], *kind.get(p, (False, False))) for p, k in seen.items()]
+            + [(named[p], h, k, c, False, False) for (p, h), (k, c) in texts.items()])
 
 
-def main_text(source: str, main: str | None) -> str:
+def main_text(source: str, main: str | None, fixed: Container[int] = ()) -> str:
     """Blocks of the page's article, joined by line feeds.
 
     ``main`` is the path of the article in the host's template; a page without it uses its own best
-    element.  White space in a block becomes one space, and character references are decoded.
+    element.  ``fixed`` has the hashes of the template's pieces of text, which are left out.  White space in
+    a block becomes one space, and character references are decoded.
     """
-    if main is None or main and not any(e == "open" and "/".join(p) == main for e, p, *_ in walk(source)):
+    events = list(walk(source))
+    if main is None or main and not any(e == "open" and "/".join(p) == main for e, p, *_ in events):
         main = own_main(tokens(source))
     root = tuple(main.split("/")) if main else ()
-    blocks, current = [], []
-
-    def flush() -> None:
-        block = _SPACE.sub(" ", html.unescape("".join(current))).strip()
-        current.clear()
-        if block:
+    blocks = []
+    for piece in pieces(events):
+        block = _plain(text for path, text, _ in piece if path[:len(root)] == root)
+        if block and not (fixed and piece_hash(piece[0][0], block) in fixed):
             blocks.append(block)
-
-    for event, path, apart, _, text, _ in walk(source):
-        if event != "text":
-            flush()
-        elif not apart and path[:len(root)] == root:
-            current.append(text)
-    flush()
     return "\n".join(blocks)
 
 
-def own_main(found: list[tuple[str, int, int, bool, bool]]) -> str:
+def own_main(found: list[tuple[str, int | None, int, int, bool, bool]]) -> str:
     """The article path by one page alone: the largest that calls itself one, or else the deepest with most of the text."""
-    usable = [(p, k, c, article) for p, k, c, barred, article in found if not barred and c]
+    usable = [(p, k, c, article) for p, piece, k, c, barred, article in found if piece is None and not barred and c]
     if not usable:
         return ""
     most = max(c for _, _, c, _ in usable)
@@ -234,44 +271,54 @@ def distinct_pages(pages: DataFrame) -> DataFrame:
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """``host``, ``main``, ``template``: each host's article path and the paths of its template.
+    """``host``, ``main``, ``template``, ``fixed``: each host's article path, and the paths of its template and its pieces
+    of text (path, piece, chars).
 
     ``pages`` has host and html (bytes).
     """
     def run(batch):
-        out = {k: [] for k in ("host", "path", "count", "chars", "barred", "article", "vector")}
+        out = {k: [] for k in ("host", "path", "piece", "count", "chars", "barred", "article", "vector")}
         for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
             page = xxhash.xxh64_intdigest(source, 3)
-            for path, count, chars, barred, article in tokens(source.decode("utf-8", "replace")):
-                for k, v in (("host", host), ("path", path), ("count", count), ("chars", chars), ("barred", barred),
-                             ("article", article),
-                             ("vector", _vector(page, count))):
+            for token in tokens(source.decode("utf-8", "replace")):
+                for k, v in zip(out, (host, *token, _vector(page, token[2]))):
                     out[k].append(v)
         yield out
 
-    found = map_arrow(distinct_pages(pages.select("host", "html")), run, "host string, path string, count int, chars long, "
-                                                         "barred boolean, article boolean, vector long")
-    token = found.groupBy("host", "path").agg(
+    found = map_arrow(distinct_pages(pages.select("host", "html")), run, "host string, path string, piece long, count int, "
+                                                         "chars long, barred boolean, article boolean, vector long")
+    token = found.groupBy("host", "path", "piece").agg(
         F.count(F.lit(1)).alias("pages"), F.count_if(F.col("count") == 1).alias("once"), F.sum("chars").alias("chars"),
-        F.bool_or("barred").alias("barred"), F.bool_or("article").alias("article"), F.sum(F.col("vector").cast("decimal(28,0)")).alias("vector"))
-    token = stage(token, "html-tokens")
+        F.bool_or("barred").alias("barred"), F.bool_or("article").alias("article"),
+        F.sum(F.col("vector").cast("decimal(28,0)")).alias("vector"))
+    token = stage(token.where(F.col("piece").isNull() | (F.col("once") >= TEXT_PAGES)), "html-tokens")
     hosts = token.groupBy("host").agg(F.max("pages").alias("n"))
+    token = token.join(hosts, "host").where(F.col("pages") >= SUPPORT * F.col("n"))
     # Equivalence classes: tokens of one host whose vectors are the same.
     classes = (token.groupBy("host", "vector")
-               .agg(F.min("pages").alias("on"), F.min("once").alias("once"), F.count(F.lit(1)).alias("size")))
-    valid = (classes.join(hosts, "host").where(F.col("on") >= SUPPORT * F.col("n"))
-             .where(F.col("once") >= SUPPORT * F.col("n")).select("host", "vector"))
-    # Nesting: all elements around a token must be of valid classes.  A host has few valid tokens, as each stands once
+               .agg(F.min("once").alias("once"), F.min("n").alias("n"),
+                    F.sum(F.when(F.col("piece").isNull(), 2).otherwise(1)).alias("size")))
+    valid = (classes.where(F.col("once") >= SUPPORT * F.col("n")).where(F.col("size") >= CLASS_TOKENS)
+             .select("host", "vector"))
+    # Nesting: all elements around an element must be of valid classes.  A host has few valid tokens, as each stands once
     # on most of its pages.
     def around(path):
         steps = F.split(path, "/")
         return F.transform(F.sequence(F.lit(1), F.size(steps)), lambda i: F.array_join(F.slice(steps, 1, i), "/"))
 
-    template = token.join(valid, ["host", "vector"]).groupBy("host").agg(F.collect_set("path").alias("valid")).select(
-        "host", F.filter("valid", lambda p: F.forall(around(p), lambda q: F.array_contains("valid", q))).alias("template"))
+    element, text = F.col("piece").isNull(), F.struct("path", "piece", "chars")
+    template = token.join(valid, ["host", "vector"]).groupBy("host").agg(
+        F.collect_set(F.when(element, F.col("path"))).alias("valid"),
+        F.collect_list(F.when(~element, text)).alias("fixed")).select(
+        "host", F.filter("valid", lambda p: F.forall(around(p), lambda q: F.array_contains("valid", q))).alias("template"),
+        "fixed")
     template = stage(template, "html-nested")
-    slots = (token.join(template, "host").where(F.expr("array_contains(template, path)"))
-             .where("not barred and chars > 0").drop("template"))
+    # Text in slots: an element's text but for the template's pieces in it.
+    inside = F.expr("""aggregate(filter(fixed, f -> path = '' or f.path = path or startswith(f.path, concat(path, '/'))),
+                                 0L, (a, f) -> a + f.chars)""")
+    slots = (token.where(element).join(template, "host").where(F.expr("array_contains(template, path)"))
+             .withColumn("chars", F.col("chars") - inside)
+             .where("not barred and chars > 0").drop("template", "fixed"))
     most = slots.groupBy("host").agg(F.max("chars").alias("most"))
     rated = slots.join(most, "host").withColumn(
         "rank", F.when(F.col("article") & (F.col("chars") >= MAIN_SHARE / 2 * F.col("most")),
@@ -279,7 +326,7 @@ def templates(pages: DataFrame) -> DataFrame:
         .when(F.col("chars") >= MAIN_SHARE * F.col("most"),
               F.struct(F.lit(1).alias("k"), F.lit(0).cast("long").alias("c"), F.length("path").alias("d"), "path")))
     best = rated.where("rank is not null").groupBy("host").agg(F.max("rank").alias("rank"))
-    return stage(best.select("host", F.col("rank.path").alias("main")).join(template, "host"), "html-templates")
+    return stage(template.join(best.select("host", F.col("rank.path").alias("main")), "host", "left"), "html-templates")
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -294,13 +341,13 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     found = templates(rows.select("host", "html"))
 
     def run(batch):
-        texts = [main_text(h.decode("utf-8", "replace"), m)
-                 for h, m in zip(batch.column("html").to_pylist(), batch.column("main").to_pylist())]
+        texts = [main_text(h.decode("utf-8", "replace"), m, frozenset(fixed or ()))
+                 for h, m, fixed in zip(*(batch.column(k).to_pylist() for k in ("html", "main", "fixed")))]
         yield {"page_id": batch.column("page_id"), "url": batch.column("url"), "text": texts,
                "n_chars": [len(t) for t in texts]}
 
-    return map_arrow(rows.join(found.select("host", "main"), "host", "left"), run,
+    return map_arrow(rows.join(found.select("host", "main", F.col("fixed.piece").alias("fixed")), "host", "left"), run,
                      "page_id long, url string, text string, n_chars long")
 
 
-__all__ = ["distinct_pages", "extract", "host_of", "main_text", "own_main", "templates", "tokens", "walk"]
+__all__ = ["distinct_pages", "extract", "host_of", "main_text", "own_main", "piece_hash", "pieces", "templates", "tokens", "walk"]
