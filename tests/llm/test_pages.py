@@ -179,6 +179,26 @@ def test_html_text_of_the_template(spark):
     assert got[100] == "Same\nown 0" and got[203] == "link 3" and got[300] == "Other layout"
 
 
+def test_html_class_names(spark):
+    """Class names hold slashes and dots, and siblings differ only in a later one."""
+    def body(i):
+        return (f"<div class='a b c main-x'><p>Story {i} told at some length</p><p>and ended {i}</p></div>"
+                f"<div class='a b c side-x'>Side {i}</div>")
+
+    rows = [(i, "http://h.example/", page(body(i))) for i in range(6)]
+    rows += [(100 + i, "http://slash.example/", page(f"<div class='w-2/3 p.4'><p>Long text {i} of the page</p><p>more {i}</p></div><div class=w-1/3>Side {i}</div>"))
+             for i in range(6)]
+    rows += [(200, "http://slash.example/", page("<section class='w-2/3'><div class='x/y'><p>Of its own layout</p><p>whole</p></div></section>"))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in htmltext.extract(pages).collect()}
+    assert all(got[i] == f"Story {i} told at some length\nand ended {i}" for i in range(6))
+    assert all(got[100 + i] == f"Long text {i} of the page\nmore {i}" for i in range(6))
+    assert got[200] == "Of its own layout\nwhole"
+    names = [htmltext._name("div", c) for c in ("a.b", "a b", "a/b", "a%2Fb", "x " * 99 + "y" * 99, "x " * 99 + "y" * 98 + "z")]
+    assert len(set(names)) == 6 and not any("/" in n for n in names) and max(map(len, names)) <= 3 + htmltext.NAME_CHARS
+    assert htmltext._name("div", "b a b") == htmltext._name("div", "a b")
+
+
 def brute_top(rows, k):
     good = [(i, [int(np.floor(64 * float(x))) for x in v]) for i, v in rows
             if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]

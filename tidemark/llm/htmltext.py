@@ -32,6 +32,8 @@ from .common import map_arrow, stage
 SUPPORT = 0.7
 #: Distinct pages that have a template's piece of text at least; what one or two pages say is never taken for template.
 TEXT_PAGES = 3
+#: Characters of class names that stand in a path as they are.
+NAME_CHARS = 64
 #: Tokens of an equivalence class at least.
 CLASS_TOKENS = 2
 #: Share of the text in slots that the article element holds at least (an element that calls itself one: half of this).
@@ -78,8 +80,20 @@ def _label(tag: str, attributes: dict[str, str]) -> tuple[str, bool, bool]:
     apart = (tag in ASIDE or role in ASIDE_ROLES or "hidden" in attributes
              or attributes.get("aria-hidden", "").lower() == "true"
              or (tag not in ("html", "body", "article", "main") and bool(ASIDE_WORDS.intersection(named))))
-    name = tag + "".join("." + w for w in sorted(set(attributes.get("class", "").split()))[:3])
-    return name, apart, article and not apart
+    return _name(tag, attributes.get("class", "")), apart, article and not apart
+
+
+def _name(tag: str, classes: str) -> str:
+    """The tag and all class names of an element; the separators "." and "/" are escaped in these.
+
+    Long names give way to their hash, behind a space, which no class name has.
+    """
+    if not classes:
+        return tag
+    name = "".join("." + w.replace("%", "%25").replace("/", "%2F").replace(".", "%2E") for w in sorted(set(classes.split())))
+    if len(name) > NAME_CHARS:
+        name = f". {xxhash.xxh3_128_hexdigest(name.encode('utf-8', 'replace'))}"
+    return tag + name
 
 
 def walk(source: str):
