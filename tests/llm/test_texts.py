@@ -222,6 +222,21 @@ def test_imatch(spark):
     assert imatch.fingerprint_documents(frame(spark, [(1, "alone here")])).first().near_next == 1.0
 
 
+def test_imatch_copies_keep_their_terms(spark):
+    """A text copied to a third of all rows and more is as like to its edited text as any other."""
+    import hashlib
+    rng = random.Random(5)
+    words = [f"w{k}" for k in range(400)]
+    rows = [(i, " ".join(rng.sample(words, 40))) for i in range(60)]
+    rows += [(100 + i, rows[0][1]) for i in range(40)]
+    got = {r.doc_id: r for r in imatch.fingerprint_documents(frame(spark, rows)).collect()}
+    assert len(got) == 100
+    assert all(len(r.fingerprint) == len(imatch.RATES) * imatch.PER_RATE for r in got.values())
+    assert got[100].fingerprint == got[0].fingerprint == got[139].fingerprint
+    assert got[139].edited_sha256 != hashlib.sha256(rows[0][1].encode()).hexdigest() and got[139].near_edited > 0
+    assert imatch.distinct_texts(frame(spark, rows)).count() == 60
+
+
 def test_imatch_fingerprint_is_of_sorted_distinct_terms(spark):
     """Order and repeats of terms, case and punctuation don't change a fingerprint."""
     rows = [(i, f"common w{i % 7} x{i % 5} y{i % 3} z{i}") for i in range(40)]

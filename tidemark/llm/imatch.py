@@ -1,7 +1,7 @@
 """I-Match fingerprints with randomised lexicons, in DataFrame functions only.
 
 Terms (runs of letters and digits, lower-cased, as 64-bit hashes) whose inverse document
-frequency lies in a band form the lexicon.  Each of several random subsets of it, drawn by hash
+frequency lies in a band form the lexicon.  Frequencies are over distinct texts, so copies don't push their own terms out.  Each of several random subsets of it, drawn by hash
 at falling rates, gives one part of a fingerprint: the hash of the document's sorted distinct terms
 in that subset.  Short documents find their terms in the dense subsets, and long ones keep some of
 the thin ones through an edit.  Likeness is the share of equal parts among those not empty in both.
@@ -50,14 +50,24 @@ def subset_mask(term: Column) -> Column:
     return mask
 
 
+def distinct_texts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``th``, ``text``: one row per text hash.
+
+    Hashes are counted first; only texts that recur are then sorted and reduced, before and after the shuffle.
+    """
+    rows = docs.select(F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
+    copied = stage(rows.groupBy("th").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("th"), "imatch-copied")
+    return rows.join(copied, "th", "left_anti").unionByName(rows.join(copied, "th", "left_semi").dropDuplicates(["th"]))
+
+
 def lexicon(docs: DataFrame, text_col: str = "text", band: tuple[float, float] = IDF_BAND) -> DataFrame:
     """``term``, ``mask`` of the terms in the band that belong to some subset.
 
-    A term in the band is in e**-band[1] of all documents or more, so there are at most e**band[1] times
-    the mean number of distinct terms a document has, however many documents there are.
+    A term in the band is in e**-band[1] of all distinct texts or more, so there are at most e**band[1] times
+    the mean number of distinct terms such a text has, however many there are.
     """
-    n = docs.count()
-    counted = (docs.select(F.explode(terms(F.col(text_col))).alias("term"))
+    n = docs.select(F.xxhash64(text_col).alias("th")).distinct().count()
+    counted = (distinct_texts(docs, text_col).select(F.explode(terms(F.col("text"))).alias("term"))
                .withColumn("mask", subset_mask(F.col("term"))).where("mask != 0")
                .groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.first("mask").alias("mask")))
     idf = F.log(F.lit(float(max(n, 1))) / F.col("df"))
