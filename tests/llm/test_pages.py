@@ -99,6 +99,21 @@ def test_warc_ranges_own_each_record_once(spark, tmp_dir):
             assert len(set(found)) == 60
 
 
+def test_warc_long_headers(spark, tmp_dir):
+    """Urls of any length are read back, and a read that loses a record fails."""
+    rng = random.Random(6)
+    noise = "".join(rng.choice("abcdefghij0123456789") for _ in range(400_000))
+    rows = [(1, "http://h/" + noise, "short"), (2, "http://h/" + "x" * 65_500, "page " * 50), (3, "http://h/" + noise, "page " * 50), (4, "http://h/4", "four")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    uri = "file://" + os.path.join(tmp_dir, "long")
+    got = warc.archive_round_trip(pages, uri, range_bytes=5000).collect()
+    assert sorted((r.page_id, r.payload_bytes, r.record_type) for r in got) == [(1, 5, "response"), (2, 250, "response"), (3, 250, "revisit"), (4, 4, "response")]
+    files = warc.write_archives(pages, uri + "2")
+    assert {r.record_id: r.url for r in warc.read_archives(spark, files).collect()} == {f"urn:page:{i}": u for i, u, _ in rows}
+    with pytest.raises(ValueError, match="records read of"):
+        warc.read_archives(spark, files.selectExpr("path", "bytes", "records + 1 as records"))
+
+
 def page(body, title="T"):
     return f"<!DOCTYPE html><html><head><title>{title}</title><script>var x='<p>no</p>';</script><style>p{{}}</style></head><body>{body}</body></html>"
 

@@ -17,7 +17,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyarrow import fs as pafs
@@ -35,7 +35,7 @@ RANGE_BYTES = 4 << 20
 REVISIT_BYTES = 100
 _MAGIC = b"\x1f\x8b\x08"
 _READ, _STEP = 1 << 18, 1 << 13
-#: A record's header block is no longer than this.
+#: Bytes of a member that are inflated first; a header block may be longer.
 _HEADER_BYTES = 1 << 16
 _REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -167,8 +167,8 @@ def _inflate(w: _Window, start: int, limit: int | None = None) -> tuple[bytes, i
 
 def _fields(block: bytes) -> tuple[dict[str, str], int] | None:
     """Header fields (lower-case names) and where the block after them begins; None if it isn't a WARC record."""
-    end = block.find(b"\r\n\r\n", 0, _HEADER_BYTES)
-    if not block.startswith(b"WARC/1.") or end < 0:
+    end = block.find(b"\r\n\r\n") if block.startswith(b"WARC/1.") else -1
+    if end < 0:
         return None
     lines = block[:end].decode("utf-8", "replace").split("\r\n")[1:]
     pairs = [line.partition(":") for line in lines]
@@ -197,14 +197,15 @@ def read_range(uri: str, start: int, end: int) -> Iterator[tuple[dict[str, str],
                 return
             w.drop_to(at)
             head = _inflate(w, at, _HEADER_BYTES)
-            if head is None or _fields(head[0]) is None:
+            if head is None or not head[0].startswith(b"WARC/1.") or (b"\r\n\r\n" in head[0] and _fields(head[0]) is None):
                 at += 1
                 continue
             whole = head if head[2] else _inflate(w, at)
-            if whole is None:  # cut off
+            found = whole and _fields(whole[0])
+            if not found:  # cut off, or a header without an end
                 at += 1
                 continue
-            fields, body = _fields(whole[0])
+            fields, body = found
             block = whole[0][body:body + int(fields["content-length"])]
             if len(block) == int(fields["content-length"]):
                 yield fields, block, at
@@ -219,12 +220,14 @@ def ranges(files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
             .select("path", "start", F.least("bytes", F.col("start") + range_bytes).alias("end")))
 
 
-def read_archives(spark: SparkSession, files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """Every response and revisit: ``path``, ``offset``, ``record_id``, ``url``, ``record_type``, ``refers_to``,
+def read_archives(spark: SparkSession, files: DataFrame, range_bytes: int = RANGE_BYTES,
+                  columns: Sequence[str] | None = None) -> DataFrame:
+    """Every response and revisit (``columns`` of it, by default all): ``path``, ``offset``, ``record_id``, ``url``, ``record_type``, ``refers_to``,
     ``payload`` (null for a revisit), ``payload_bytes`` and ``payload_digest`` of the full payload.
 
     The digest of a response is computed from what was read, and a mismatch with its header fails the
-    read; a revisit has the ones its record states.
+    read; a revisit has the ones its record states.  What was read is written to the shared scratch folder, and the
+    read fails where an archive gave another number of records than the manifest has.
     """
     def run(batch):
         for row in batch.to_pylist():
@@ -254,8 +257,16 @@ def read_archives(spark: SparkSession, files: DataFrame, range_bytes: int = RANG
     parts = dealt.count()
     if parts:
         dealt = dealt.repartition(parts)
-    return map_arrow(dealt, run, "path string, offset long, record_id string, url string, record_type string, "
+    read = map_arrow(dealt, run, "path string, offset long, record_id string, url string, record_type string, "
                                  "refers_to string, payload binary, payload_bytes long, payload_digest string")
+    wanted = read.columns if columns is None else list(columns)
+    read = stage(read.select(*dict.fromkeys(["path", *wanted])), "warc-read")
+    counts = read.groupBy("path").agg(F.count(F.lit(1)).alias("n"))
+    lost = (files.groupBy("path").agg(F.max("records").alias("records")).join(counts, "path", "left")
+            .where(F.coalesce("n", F.lit(0)) != F.col("records")).head(1))
+    if lost:
+        raise ValueError(f"{lost[0].n or 0} records read of {lost[0].records} in {lost[0].path}")
+    return read.select(*wanted)
 
 
 def archive_round_trip(pages: DataFrame, folder: str | None = None, range_bytes: int = RANGE_BYTES) -> DataFrame:
@@ -266,7 +277,7 @@ def archive_round_trip(pages: DataFrame, folder: str | None = None, range_bytes:
     """
     spark = pages.sparkSession
     files = write_archives(pages, folder or scratch_path(spark, "warc"))
-    read = read_archives(spark, files, range_bytes)
+    read = read_archives(spark, files, range_bytes, ("record_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
 
     def number(c):
         digits = F.regexp_extract(F.col(c), r"^urn:page:(-?\d+)$", 1)
