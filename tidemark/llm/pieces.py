@@ -7,8 +7,9 @@ the end: the Viterbi score of the prefix still open is an exact heuristic, so pa
 queue in the order of their total score.
 
 Where no piece of the vocabulary holds a space mark behind another character, no piece crosses such a
-place, and a text's lattice is a chain of its words' lattices.  Words are then searched once each; the N best of
-a text differ from its best in at most N - 1 words, those whose second-best loses least.
+place, and a text's lattice is a chain of its words' lattices.  Each distinct word then has one forward Viterbi pass that
+keeps its best segmentation and the loss of its second-best; the N best of a text differ from its best in at most N - 1
+words, those whose second-best loses least, and the backward search runs on these alone.
 """
 
 from __future__ import annotations
