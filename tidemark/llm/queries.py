@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import htmltext, imatch, packing, pieces, simhash, substring, topk, toxicity, urlfilter, warc
+from . import (htmltext, imatch, importance, linequality, merkle, packing, pieces, simhash, substring, topk, toxicity,
+               urlfilter, warc)
 from .common import table
 
 
@@ -65,5 +66,23 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op11_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base measures of each document, and whether it is kept once its host's common lines are gone."""
+    found = linequality.judge(table(spark, sf_dir, "documents"), host_col="source")
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+                        "kept")
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance weight, score and rank of each document against ``benchmark``; a quarter is drawn."""
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=25, seed=7)
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots, proof and tamper check of each document."""
+    return merkle.tampered_manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_toxicity, op3_url_filter, op4_warc, op5_packing, op6_imatch,
-                                   op7_simhash, op8_topk, op9_html, op10_substring)}
+                                   op7_simhash, op8_topk, op9_html, op10_substring, op11_line_quality, op12_importance,
+                                   op13_merkle)}
