@@ -231,3 +231,24 @@ def test_command_line_run(spark, tmp_dir, capsys):
                  "--group", "daily"], spark=spark)
     out = capsys.readouterr().out
     assert code == 0 and "custtable: loaded" in out and "PASS: 0 error(s)" in out
+
+
+def test_bad_records_are_stored_and_counted(spark, tmp_dir):
+    root = f"{tmp_dir}/landing"
+    landing(root)
+    changelog(root, F3)
+    write(f"{root}/{F2}/custtable/bad.csv", [line(901, 1, "Z1"), line(902, 1, "Z2", extra="more"),
+                                             line(903, 1, "Z3").replace("2023-12-31T23", "junk"), '"short"'])
+    cfg = LandingConfig(landing_root=root, store_root=f"{tmp_dir}/s", csv_range_bytes=200)     # files of any size alike
+    load_enums(spark, cfg)
+    rows = ingest_table(spark, cfg, "custtable")
+    assert rows["status"] == "loaded" and rows["bad_rows"] == 7          # four have a field that this model lacks
+    store = TableStore(spark, cfg.store_root)
+    bad = store.bad_records("custtable").collect()
+    assert {r["_folder"] for r in bad} == {F2} and {r["_run_id"] for r in bad} == {rows["run_id"]}
+    assert len(bad) == 7 and {r["_bad_record"] for r in bad} >= {
+        '"short"', line(902, 1, "Z2", extra="more"), "createdon=junk:59:59.1234567Z"}
+    assert {901, 902, 903} <= {r["recid"] for r in store.read("custtable").collect()}          # loaded as before
+    (skipped,) = ingest_all(spark, cfg, spark.createDataFrame([("custtable", "g")], "table_name string, processing_group string")).collect()
+    assert skipped["status"] == "skipped" and skipped["bad_rows"] is None
+    assert TableStore(spark, f"{tmp_dir}/none").bad_records("custtable").collect() == []

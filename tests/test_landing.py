@@ -61,6 +61,50 @@ def test_load_listing_follows_each_tables_mark(spark, tmp_dir):
     assert loadable_folders(spark, tmp_dir, {"cust": None}, None)["cust"] == [d(1), d(2), d(3), d(4)]
 
 
+def test_listing_finds_what_probes_find(spark, tmp_dir, monkeypatch):
+    import random
+    from tidemark.sources import landing
+    rng = random.Random(3)
+    folders = [f"2024-{m:02}-01T00.00.00Z" for m in range(1, 13)]
+    tables = [f"t{k}" for k in range(9)]
+    for f in folders:
+        touch(f"{tmp_dir}/{f}/model.json")
+        touch(f"{tmp_dir}/{f}/loose.csv")                                 # of no table
+        for t in tables:
+            what = rng.choice(["none", "csv", "CSV", "txt", "deep"])
+            if what != "none":
+                touch(f"{tmp_dir}/{f}/{t}/" + {"deep": "x/a.csv", "txt": "a.txt"}.get(what, f"a.{what}"))
+    build(tmp_dir)
+    for marks in ({t: rng.choice([None, *folders]) for t in tables} | {"absent": None}, {t: folders[6] for t in tables}):
+        for latest in (None, folders[9]):
+            monkeypatch.setattr(landing, "PROBES", 10 ** 9)
+            want = landing.loadable_folders(spark, tmp_dir, marks, latest)
+            monkeypatch.setattr(landing, "PROBES", 0)
+            monkeypatch.setattr(landing, "LISTED_FOLDERS", 5)             # several listings
+            assert landing.loadable_folders(spark, tmp_dir, marks, latest) == want
+            assert any(want.values())
+
+
+def test_requests_follow_the_folders(spark, tmp_dir, monkeypatch):
+    """Many tables and folders: no request of the driver per pair; the listing runs as a Spark job over the folders."""
+    from tidemark.sources import landing
+    folders = [f"2024-01-{k:02}T00.00.00Z" for k in range(1, 29)] + [f"2024-02-{k:02}T00.00.00Z" for k in range(1, 13)]
+    for f in folders:
+        touch(f"{tmp_dir}/{f}/t1/a.csv")
+    metrics = spark._jvm.org.apache.spark.metrics.source.HiveCatalogMetrics
+    jobs, files = metrics.METRIC_PARALLEL_LISTING_JOB_COUNT(), metrics.METRIC_FILES_DISCOVERED()
+
+    def listed(tables):
+        before = jobs.getCount(), files.getCount()
+        got = landing.loadable_folders(spark, tmp_dir, {f"t{k}": None for k in range(tables)}, None)
+        assert got["t1"] == folders and not any(v for t, v in got.items() if t != "t1")
+        return jobs.getCount() - before[0], files.getCount() - before[1]
+
+    monkeypatch.setattr(landing, "_probed", lambda *a: 1 / 0)
+    few, many = listed(2), listed(200)                  # 80 and 8,000 pairs
+    assert few == many and few[0] == 1 and few[1] == len(folders)
+
+
 def test_a_new_table_does_not_list_other_tables_history(spark, tmp_dir):
     """Only <folder>/<table> past the table's own mark is looked into, and no Spark task lists files."""
     import shutil

@@ -38,6 +38,8 @@ ENUM_SCHEMA_DDL = ("OptionSetName STRING, Option BIGINT, IsUserLocalizedLabel BO
                    "GlobalOptionSetName STRING, EntityName STRING, OptionName STRING")
 CHANGELOG_FILE = "Changelog/changelog.info"
 MODEL_FILE = "model.json"
+# Column of a record's text where it doesn't fit the model; no model has it.
+BAD_RECORD = "_bad_record"
 # -------------------------------------------------------------------------
 
 
@@ -64,6 +66,8 @@ class LandingConfig:
     # Codes of one enum attribute up to which its labels are part of the
     # projection; an attribute with more is decoded by a join.
     inline_enum_codes: int = 1_000
+    # CSV files over this size are cut between records and read by several tasks; 0: each file in one.
+    csv_range_bytes: int = 256 * 1024 * 1024
     # Write load-time stamps into stored rows.
     stamp_rows: bool = True
     # Store tables bucketed by the record key columns (merges then exchange

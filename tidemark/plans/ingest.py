@@ -23,7 +23,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.config import (CREATED_STAMP, ENUM_FILE, ENUM_TABLE, PROCESSED_STAMP,
+from tidemark.config import (BAD_RECORD, CREATED_STAMP, ENUM_FILE, ENUM_TABLE, PROCESSED_STAMP,
                              LandingConfig)
 from tidemark.functions.columns import find_column
 from tidemark.functions.enums import decode_enums
@@ -42,7 +42,8 @@ from tidemark.sources.tables import select_tables
 
 RUN_LOG_DDL = ("table STRING, status STRING, strategy STRING, folder_from STRING, folder_to STRING, "
                "folders BIGINT, source_rows BIGINT, inserted BIGINT, updated BIGINT, deleted BIGINT, "
-               "unchanged BIGINT, ignored BIGINT, rows_after BIGINT, run_id STRING, error STRING, warning STRING")
+               "unchanged BIGINT, ignored BIGINT, rows_after BIGINT, run_id STRING, error STRING, warning STRING, "
+               "bad_rows BIGINT")
 RUN_LOG_FIELDS = [f.split(" ")[0] for f in RUN_LOG_DDL.split(", ")]
 _UNSET = object()
 
@@ -73,9 +74,14 @@ def read_changes(spark: SparkSession, cfg: LandingConfig, table: str, folders: l
     """Scan one table's CSV files of the given landing folders, then
     ``prepare_changes``.  ``schema``: the table's model schema if known."""
     schema = schema if schema is not None else table_schema(spark, cfg, table)
+    return prepare_changes(scan_folders(spark, cfg, table, folders, schema).drop(BAD_RECORD), cfg, table, enums)
+
+
+def scan_folders(spark: SparkSession, cfg: LandingConfig, table: str, folders: list[str], schema) -> DataFrame:
+    """One table's rows of the given landing folders, with ``BAD_RECORD``."""
     root = cfg.landing_root.rstrip("/")
-    rows = read_entity_csv(spark, [f"{root}/{f}/{table}" for f in folders], schema)
-    return prepare_changes(rows, cfg, table, enums)
+    return read_entity_csv(spark, [f"{root}/{f}/{table}" for f in folders], schema,
+                           range_bytes=cfg.csv_range_bytes, bad_column=BAD_RECORD)
 
 
 def table_schemas(spark: SparkSession, cfg: LandingConfig, tables: list[str]) -> tuple[dict, dict[str, str]]:
@@ -127,7 +133,8 @@ def _by_key(df: DataFrame, key: str, buckets: int) -> DataFrame:
 
 def ingest_table(spark: SparkSession, cfg: LandingConfig, table: str, reload: bool = False,
                  store: TableStore | None = None, folders: list[str] | None = None,
-                 current=_UNSET, enums=_UNSET, schema=None, warning: str | None = None) -> dict:
+                 current=_UNSET, enums=_UNSET, schema=None, warning: str | None = None,
+                 batch: str | None = None) -> dict:
     """M1/M2: load one table; returns its run-log row (a dict).
 
     ``reload`` ignores the high-water mark, reads every closed folder and
@@ -149,9 +156,19 @@ def ingest_table(spark: SparkSession, cfg: LandingConfig, table: str, reload: bo
         schema, warning = schemas[table], warnings.get(table)
     if isinstance(schema, Exception):
         raise schema
-    changes = read_changes(spark, cfg, table, folders, enums, schema)
-    row = apply_changes(spark, cfg, store, table, changes, folders[0], folders[-1], len(folders), reload, current)
-    return row | {"warning": warning}
+    scanned, seen = scan_folders(spark, cfg, table, folders, schema), Observation()
+    rows = scanned.observe(seen, F.count(BAD_RECORD).alias("bad_rows")).drop(BAD_RECORD)
+    changes = prepare_changes(rows, cfg, table, enums)
+    row = apply_changes(spark, cfg, store, table, changes, folders[0], folders[-1], len(folders), reload, current,
+                        before_commit=lambda run_id: quarantine(store, table, scanned, run_id, seen.get["bad_rows"]),
+                        batch=batch)
+    return row | {"warning": warning, "bad_rows": seen.get["bad_rows"]}
+
+
+def quarantine(store: TableStore, table: str, scanned: DataFrame, run_id: str, bad_rows: int) -> None:
+    """Store the records of a load that don't fit the model.  Only a load that has some reads its files again."""
+    if bad_rows:
+        store.write_bad(table, scanned.where(F.col(BAD_RECORD).isNotNull()).select(FOLDER_COLUMN, BAD_RECORD), run_id)
 
 
 def enum_table(store: TableStore) -> DataFrame | None:
@@ -161,25 +178,29 @@ def enum_table(store: TableStore) -> DataFrame | None:
 
 def apply_changes(spark: SparkSession, cfg: LandingConfig, store: TableStore, table: str,
                   changes: DataFrame, folder_from: str | None, folder_to: str | None,
-                  folders: int | None = None, reload: bool = False, current=_UNSET) -> dict:
+                  folders: int | None = None, reload: bool = False, current=_UNSET, before_commit=None,
+                  batch: str | None = None) -> dict:
     """Stage the latest change per key, then replace (first load / reload) or
     merge into the stored table, and commit snapshot + high-water mark.
-    ``current``: the table's current snapshot if already read."""
+    ``current``: the table's current snapshot if already read; ``before_commit`` is called
+    with the run id once the changes have been read.  ``batch``: the streamed batch that this load is."""
     before = store.current(table) if current is _UNSET else current
     keys = [find_column(changes, k) for k in cfg.key]
     no_key = functools.reduce(operator.or_, [F.col(k).isNull() for k in keys if k is not None], F.lit(False))
     source, staged_path, seen, staged_bytes = stage_measured(changes, f"{table}-changes", null_keys=F.count_if(no_key))
     try:
-        load = _replace if before is None or reload else _merge
-        return load(spark, cfg, store, table, before, source, seen, staged_bytes,
+        load, run_id = _replace if before is None or reload else _merge, new_run_id()
+        if before_commit is not None:
+            before_commit(run_id)
+        return load(spark, cfg, store, table, before, source, seen, staged_bytes, batch,
                     dict(folder_from=folder_from, folder_to=folder_to, folders=folders, source_rows=seen["rows"],
-                         run_id=new_run_id()))
+                         run_id=run_id))
     finally:
         drop_path(spark, staged_path)
 
 
 def _replace(spark: SparkSession, cfg: LandingConfig, store: TableStore, table: str, before: Snapshot | None,
-             source: DataFrame, staged: dict, staged_bytes: int, common: dict) -> dict:
+             source: DataFrame, staged: dict, staged_bytes: int, batch: str | None, common: dict) -> dict:
     flag = find_column(source, cfg.delete_flag)
     state = source.filter(~is_delete(F.col(flag))) if flag else source
     if cfg.stamp_rows:
@@ -194,12 +215,12 @@ def _replace(spark: SparkSession, cfg: LandingConfig, store: TableStore, table:
     snapshot = store.write_snapshot(table, state, run_id, key, buckets)
     rows = seen.get["rows"]
     store.commit(table, snapshot, common["folder_to"], run_id, "replace", rows, None, buckets, key, after=before,
-                 schema=state.schema)
+                 schema=state.schema, batch=batch)
     return _run_row(table, "loaded", strategy="replace", inserted=rows, rows_after=rows, **common)
 
 
 def _merge(spark: SparkSession, cfg: LandingConfig, store: TableStore, table: str, before: Snapshot,
-           source: DataFrame, staged: dict, staged_bytes: int, common: dict) -> dict:
+           source: DataFrame, staged: dict, staged_bytes: int, batch: str | None, common: dict) -> dict:
     """The staged source carries no partitioning, so against a bucketed target
     only the source is exchanged (into the target's bucket count).  State and feed
     are one pass over one join, and the counts are observed by that pass."""
@@ -226,7 +247,7 @@ def _merge(spark: SparkSession, cfg: LandingConfig, store: TableStore, table: st
     changed = n["insert"] + n["update"] + n["delete"] > 0
     store.commit(table, snapshot, mark, run_id, "merge", rows, feed if changed else None,
                  buckets if rows else None, key if rows else None, after=before,
-                 schema=TableStore.state_columns(outputs).schema)
+                 schema=TableStore.state_columns(outputs).schema, batch=batch)
     return _run_row(table, "merged", strategy="shuffle", inserted=n["insert"], updated=n["update"], deleted=n["delete"],
                     unchanged=n["unchanged"], ignored=n["ignore"], rows_after=rows, **common)
 

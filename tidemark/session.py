@@ -7,6 +7,7 @@ except filling in a checkpoint folder when none is configured (tests).
 from __future__ import annotations
 
 import atexit
+import os
 import re
 import shutil
 import tempfile
@@ -65,6 +66,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Send this library's code to the executors, once for each Spark context (for the few steps that run Python there)."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tidemark_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    folder = tempfile.mkdtemp(prefix="tidemark-code-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    sc.addPyFile(shutil.make_archive(os.path.join(folder, "tidemark"), "zip", root, "tidemark"))
+    sc._tidemark_shipped = True
+
+
 _SCRATCH: list[str] = []
 
 
@@ -128,5 +141,5 @@ def local_path(path: str) -> str:
     return path[5:] if path.startswith("file:") else path
 
 
-__all__ = ["clear_scratch", "local_session", "ensure_checkpoint_dir", "scratch_path", "stage",
+__all__ = ["clear_scratch", "ship_code", "local_session", "ensure_checkpoint_dir", "scratch_path", "stage",
            "stage_measured", "path_size_bytes", "drop_path", "local_path"]

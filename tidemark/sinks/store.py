@@ -6,6 +6,7 @@ Layout below ``root`` (a shared folder on a cluster)::
     <table>/<run_id>/_kind=state/      snapshot of a merge
     <table>/<run_id>/_kind=changes/    change feed rows of that merge
     _log/table=<table>/                one parquet row per load
+    _bad/table=<table>/_run_id=<run>/  records of a load that didn't fit the model
 
 A load writes a *new* snapshot folder first and appends its log row last, so
 readers see either the old snapshot with the old high-water mark or the new
@@ -32,7 +33,8 @@ from tidemark.operators.merge import KIND
 
 LOG_DDL = ("snapshot STRING, changes STRING, lastload STRING, "
            "_sysProcessDateTime TIMESTAMP, run_id STRING, mode STRING, rows BIGINT, "
-           "buckets INT, bucket_key STRING, seq BIGINT, schema STRING")
+           "buckets INT, bucket_key STRING, seq BIGINT, schema STRING, batch STRING")
+BAD_DDL = "_folder STRING, _bad_record STRING, _run_id STRING"
 _UNKNOWN = object()
 
 
@@ -113,6 +115,11 @@ class TableStore:
         snap = self.current(table)
         return snap.lastload if snap else None
 
+    def has_batch(self, table: str, batch: str) -> bool:
+        """Whether a load of this streamed batch was committed."""
+        log = self._read_log(self._log_dir(table), LOG_DDL)
+        return log is not None and not log.filter(F.col("batch") == batch).isEmpty()
+
     def read(self, table: str, snapshot: Snapshot | None = None) -> DataFrame:
         """Current state of ``table``.  A bucketed snapshot is read through a
         catalog table declaring its bucketing, so joins and aggregations on
@@ -164,7 +171,17 @@ class TableStore:
             out = out.unionByName(f, allowMissingColumns=True)
         return out
 
+    def bad_records(self, table: str) -> DataFrame:
+        """Records of all committed loads that didn't fit the model: ``_folder``, ``_bad_record``, ``_run_id``."""
+        found, log = self._read_log(f"{self.root}/_bad/table={table}", BAD_DDL), self._read_log(self._log_dir(table), LOG_DDL)
+        if found is None or log is None:
+            return self.spark.createDataFrame([], BAD_DDL)
+        return found.join(log.select(F.col("run_id").alias("_run_id")), "_run_id", "left_semi")
+
     # -- writes -------------------------------------------------------------
+    def write_bad(self, table: str, records: DataFrame, run_id: str) -> None:
+        records.write.mode("error").parquet(f"{self.root}/_bad/table={table}/_run_id={run_id}")
+
     def write_snapshot(self, table: str, df: DataFrame, run_id: str,
                        bucket_key: str | None = None, buckets: int | None = None) -> str:
         """Write a new snapshot folder; bucketed by ``bucket_key`` (one column,
@@ -204,18 +221,19 @@ class TableStore:
     def commit(self, table: str, snapshot: str, lastload: str | None, run_id: str,
                mode: str, rows: int | None, changes: str | None = None,
                buckets: int | None = None, bucket_key: str | None = None, after=_UNKNOWN,
-               schema: StructType | None = None) -> None:
+               schema: StructType | None = None, batch: str | None = None) -> None:
         """Append the log row that makes ``snapshot`` current.
 
         Commits of a table are numbered; ``after`` is the snapshot this load
         started from (None for the first), read from the log if not given.
         ``schema`` is that of the snapshot's rows; readers then needn't look for it in files.
+        ``batch`` names the streamed batch that was loaded.
         """
         before = self.current(table) if after is _UNKNOWN else after
         seq = (before.seq if before is not None else 0) + 1
         now = _dt.datetime.now(_dt.timezone.utc)
         row = [(snapshot, changes, lastload, now, run_id, mode, rows, buckets, bucket_key, seq,
-                schema.json() if schema is not None else None)]
+                schema.json() if schema is not None else None, batch)]
         (self.spark.createDataFrame(row, LOG_DDL).coalesce(1)
          .write.mode("append").parquet(self._log_dir(table)))
 

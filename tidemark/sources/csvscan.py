@@ -1,8 +1,8 @@
 """CSV scans of exported change rows (operators A1, A2, T1, T12).
 
 Files are header-less RFC-4180 CSV with CRLF line ends; quoted fields may
-span lines, quotes are doubled.  Multi-line files cannot be split, so a scan
-is one task per file and parallelism comes from the number of files.
+span lines, quotes are doubled.  Spark reads a multi-line file in one task; files
+over a given size are first cut between records into part files (``csvsplit``).
 Timestamp and date columns are read as text and cast afterwards, which reads
 every fraction precision exactly and turns junk into NULL.
 """
@@ -13,10 +13,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DateType, StringType, StructField, StructType, TimestampNTZType,
+from pyspark.sql.types import (DateType, IntegerType, StringType, StructField, StructType, TimestampNTZType,
                                TimestampType)
 
 from tidemark.config import ENUM_SCHEMA_DDL
+from tidemark.sources.csvsplit import PART_FOLDER, Cut, cut_files
 
 # Reader options of the export format.
 ENTITY_CSV_OPTIONS = {
@@ -41,28 +42,65 @@ def _as_text(schema: StructType) -> StructType:
                        else StructField(f.name, f.dataType, True) for f in schema.fields])
 
 
-def cast_text_columns(df: DataFrame, schema: StructType) -> DataFrame:
-    """Cast the timestamp / date columns read as text to their model type."""
+def cast_text_columns(df: DataFrame, schema: StructType, bad_column: str | None = None) -> DataFrame:
+    """Cast the timestamp / date columns read as text to their model type.
+
+    ``bad_column``, where it is NULL, gets the columns whose text is no such value (``name=text; ...``).
+    """
     casts = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields
              if isinstance(f.dataType, (TimestampType, DateType))}
+    if bad_column and casts:
+        failed = [F.when(F.col(c).isNotNull() & cast.isNull(), F.concat(F.lit(f"{c}="), F.col(c)))
+                  for c, cast in casts.items()]
+        junk = F.concat_ws("; ", *failed)
+        casts[bad_column] = F.coalesce(bad_column, F.when(junk != "", junk))
     return df.withColumns(casts) if casts else df
 
 
+def csv_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """``path``, ``length`` of the CSV files in folders, files or globs; Spark lists them, and nothing is read."""
+    return (spark.read.format("binaryFile").option("pathGlobFilter", CSV_GLOB).load(list(paths))
+            .select("path", "length"))
+
+
 def read_entity_csv(spark: SparkSession, paths: Sequence[str] | str, schema: StructType,
-                    with_folder: bool = True) -> DataFrame:
+                    with_folder: bool = True, range_bytes: int = 0, bad_column: str | None = None) -> DataFrame:
     """A1: read change rows with the model schema.
 
     ``paths`` are table folders, files or globs; in folders only CSV files (any
     case of the extension) are read.  Files of every size go through Spark's
-    multi-line reader.  With ``with_folder`` the landing folder of each row
-    (second-to-last parent folder) is added as ``_folder``.
+    multi-line reader; with ``range_bytes``, files over it are first cut between
+    records, in parallel, and the reader gets the parts.  With ``with_folder`` the landing folder of each row
+    (second-to-last parent folder) is added as ``_folder``.  Records that don't fit the schema stay, with
+    NULL for what is missing or no value of its type; ``bad_column`` names a column that then holds
+    the record's text (too few or too many fields, numbers and flags) or the unreadable times.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    df = (spark.read.options(**ENTITY_CSV_OPTIONS).option("pathGlobFilter", CSV_GLOB)
-          .schema(_as_text(schema)).csv(paths))
-    if with_folder:
-        df = df.withColumn(FOLDER_COLUMN, F.element_at(F.split(F.col("_metadata.file_path"), "/"), -3))
-    return cast_text_columns(df, schema)
+    text = _as_text(schema)
+    large = []
+    if range_bytes:
+        found = csv_files(spark, paths).where(F.col("length") > range_bytes)
+        large = sorted(((r.path, r.length) for r in found.collect()))
+    cut = cut_files(spark, large, len(schema), range_bytes) if large else Cut()
+    at = F.col("_metadata.file_path")
+    options, fields = dict(ENTITY_CSV_OPTIONS), list(text.fields)
+    if bad_column:
+        options["columnNameOfCorruptRecord"] = bad_column
+        fields.append(StructField(bad_column, StringType(), True))
+    df = (spark.read.options(**options).option("pathGlobFilter", CSV_GLOB).schema(StructType(fields)).csv(paths))
+    folder = F.element_at(F.split(at, "/"), -3)
+    if cut.files:
+        df = df.where(~at.isin(cut.files))  # a filter of file names: Spark drops the files before it plans tasks
+    df = df.withColumn(FOLDER_COLUMN, folder) if with_folder else df
+    if cut.files:
+        names = F.array(*map(F.lit, cut.folders))
+        reader = (spark.read.options(**options).option("header", "true")
+                  .schema(StructType([*fields, StructField(PART_FOLDER, IntegerType())])))
+        for target in cut.parts:
+            rows = reader.csv(target).where(F.col(PART_FOLDER) >= 0)
+            rows = rows.withColumn(FOLDER_COLUMN, F.get(names, F.col(PART_FOLDER))) if with_folder else rows
+            df = df.unionByName(rows.drop(PART_FOLDER))
+    return cast_text_columns(df, schema, bad_column)
 
 
 def read_enum_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -93,9 +131,13 @@ def write_entity_csv(df: DataFrame, path: str, partitions: int | None = None) ->
     read one file per task, so files should stay split-sized)."""
     line = F.concat_ws(",", *[csv_field(F.col(f.name), f.dataType) for f in df.schema.fields])
     out = df.select(line.alias("value"))
-    out = out.repartition(partitions) if partitions else out
-    out.write.mode("error").option("lineSep", "\r\n").text(path)
-    spark = df.sparkSession
+    write_lines(out.repartition(partitions) if partitions else out, path)
+
+
+def write_lines(lines: DataFrame, path: str) -> None:
+    """Write finished records (one text column) as ``.csv`` files with CRLF row ends."""
+    lines.write.mode("error").option("lineSep", "\r\n").text(path)
+    spark = lines.sparkSession
     jvm = spark.sparkContext._jvm
     base = jvm.org.apache.hadoop.fs.Path(path)
     fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

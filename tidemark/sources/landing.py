@@ -1,11 +1,10 @@
 """Landing-folder planning (operators A4, A5, A8-A11).
 
 The landing root holds timestamp-named export folders, each with one
-sub-folder per table holding CSV files.  Instead of one storage call per
-folder and table over the whole history, the load job reads the root's folder
-names once and looks only into ``<folder>/<table>`` of the selected tables past
-their own marks; the CSV reader then gets table folders, not files.  The same
-rules over a DataFrame of file paths are filters and joins (``plan_loads``).
+sub-folder per table holding CSV files.  The load job reads the root's folder
+names once.  Few tables and folders past their marks are looked into directly; for many,
+each folder is listed once, in parallel, and the rules are filters and joins over the
+listed files (``plan_loads``).  The CSV reader then gets table folders, not files.
 Folder names compare as strings; both bounds are strict: a folder equal to the
 high-water mark was loaded, and the folder named by the changelog is still
 being written.
@@ -20,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import SYSTEM_FOLDERS
+from tidemark.sources.csvscan import CSV_GLOB
 
 
 def qualify(spark: SparkSession, path: str) -> str:
@@ -38,9 +38,10 @@ def list_folders(spark: SparkSession, root: str) -> list[str]:
     return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
 
 
-def landing_files(spark: SparkSession, root: str, folders: list[str] | None = None) -> DataFrame:
-    """Every file below ``root`` (or below the given top-level ``folders``):
-    ``path, folder, table, file_name, length``.
+def landing_files(spark: SparkSession, root: str, folders: list[str] | None = None,
+                  glob: str | None = None) -> DataFrame:
+    """Every file below ``root`` (or below the given top-level ``folders``), or those whose name fits ``glob``:
+    ``path, folder, table, file_name, depth, length``.
 
     ``folder`` is the first path level below the root, ``table`` the second
     (NULL for files directly inside a folder).  Only file metadata is read;
@@ -49,10 +50,11 @@ def landing_files(spark: SparkSession, root: str, folders: list[str] | None = No
     base = qualify(spark, root)
     paths = [root] if folders is None else [f"{root.rstrip('/')}/{f}" for f in folders]
     if not paths:
-        return spark.createDataFrame([], "path STRING, folder STRING, table STRING, file_name STRING, length BIGINT")
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .load(paths).select("path", "length"))
-    return files_from_paths(files, base)
+        return spark.createDataFrame([], "path STRING, folder STRING, table STRING, file_name STRING, depth INT, length BIGINT")
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return files_from_paths(reader.load(paths).select("path", "length"), base)
 
 
 def name_is_open(folder: str, mark: str | None, latest: str | None) -> bool:
@@ -60,19 +62,35 @@ def name_is_open(folder: str, mark: str | None, latest: str | None) -> bool:
     return folder not in SYSTEM_FOLDERS and (mark is None or folder > mark) and (latest is None or folder < latest)
 
 
+#: (table, folder) pairs up to which each is looked into directly; more are found by listing the folders.
+PROBES = 64
+#: Folders whose files are listed together; the driver holds the names of that many folders' CSV files.
+LISTED_FOLDERS = 1024
+
+
 def loadable_folders(spark: SparkSession, root: str, marks: Mapping[str, str | None],
                      latest: str | None, threads: int = 16) -> dict[str, list[str]]:
     """A8-A10 for the load job: ``{table: [folder, ...]}`` in folder order.
 
-    Only ``<folder>/<table>`` of the given tables is looked at, for folders past
-    that table's own mark, and only until a CSV file shows up.  The listing
-    calls are metadata requests of the driver; their number is (tables x folders
-    not yet loaded), whatever the files hold and however old the history is.
+    A daily load of a few tables looks into ``<folder>/<table>`` past each table's own mark, and only until a
+    CSV file shows up.  Where that would be many requests (many tables, or a long history to
+    load), every folder past the lowest mark is listed once instead, by Spark's parallel
+    listing, and the (table, folder) pairs are found by the rules over that listing.  The requests then follow
+    the folders and what lies in them, not tables times folders.
     """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     names = list_folders(spark, root)
     pairs = [(t, f) for t, mark in marks.items() for f in names if name_is_open(f, mark, latest)]
+    found = _probed(spark, root, pairs, threads) if len(pairs) <= PROBES else _listed(spark, root, marks, latest, names)
+    out: dict[str, list[str]] = {t: [] for t in marks}
+    for table, folder in sorted(found):
+        out[table].append(folder)
+    return out
+
+
+def _probed(spark: SparkSession, root: str, pairs: list[tuple[str, str]], threads: int) -> set[tuple[str, str]]:
+    """The (table, folder) pairs with a CSV file, one or two metadata requests of the driver each."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
 
     def has_csv(pair: tuple[str, str]) -> bool:
         path = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{pair[1]}/{pair[0]}")
@@ -86,12 +104,23 @@ def loadable_folders(spark: SparkSession, root: str, marks: Mapping[str, str | N
                 return True
         return False
 
-    out: dict[str, list[str]] = {t: [] for t in marks}
     with cf.ThreadPoolExecutor(max_workers=threads) as pool:
-        for (table, folder), found in zip(pairs, pool.map(has_csv, pairs)):
-            if found:
-                out[table].append(folder)
-    return out
+        return {pair for pair, found in zip(pairs, pool.map(has_csv, pairs)) if found}
+
+
+def _listed(spark: SparkSession, root: str, marks: Mapping[str, str | None], latest: str | None,
+            names: list[str]) -> set[tuple[str, str]]:
+    """The same pairs from a listing of every folder past the lowest mark."""
+    lowest = None if None in marks.values() else min(marks.values())
+    open_names = [f for f in names if name_is_open(f, lowest, latest)]
+    table_marks = spark.createDataFrame(list(marks.items()), "table STRING, lastload STRING")
+    found: set[tuple[str, str]] = set()
+    for k in range(0, len(open_names), LISTED_FOLDERS):
+        files = landing_files(spark, root, open_names[k:k + LISTED_FOLDERS], glob=CSV_GLOB)
+        planned = (files.filter(F.col("table").isNotNull() & (F.col("depth") == 3)).join(table_marks, "table")
+                   .filter(folder_is_open(F.col("folder"), F.col("lastload"), latest)))
+        found |= {(r["table"], r["folder"]) for r in planned.select("table", "folder").distinct().collect()}
+    return found
 
 
 def files_from_paths(files: DataFrame, base: str) -> DataFrame:
@@ -104,6 +133,7 @@ def files_from_paths(files: DataFrame, base: str) -> DataFrame:
         F.element_at(parts, 1).alias("folder"),
         F.when(depth >= 3, F.element_at(parts, 2)).alias("table"),
         F.element_at(parts, -1).alias("file_name"),
+        depth.alias("depth"),
         *[c for c in files.columns if c not in ("path",)])
 
 

@@ -1,5 +1,5 @@
-"""Streaming variant of the table load (file-source stream + foreachBatch merge)."""
+"""Streaming variant of the table load (stream of closed folders + foreachBatch load)."""
 
-from tidemark.streaming.landing_stream import stream_table, table_stream
+from tidemark.streaming.landing_stream import folder_stream, load_batch, stream_table
 
-__all__ = ["stream_table", "table_stream"]
+__all__ = ["folder_stream", "load_batch", "stream_table"]

@@ -27,6 +27,7 @@ from tidemark.functions.keys import guid_from_ids
 from tidemark.plans.ingest import ingest_all, load_enums
 from tidemark.session import drop_path, scratch_path
 from tidemark.sinks.store import TableStore
+from tidemark.streaming import stream_table
 from tidemark.sources.export import write_changelog, write_enums, write_folder, write_model
 
 # Fixed parameters of the scenario.
@@ -149,6 +150,16 @@ def two_run_load(spark: SparkSession, orders: DataFrame) -> DataFrame:
     return _state(spark, cfg, store, log)
 
 
+def stream_load(spark: SparkSession, orders: DataFrame) -> DataFrame:
+    """The two incremental loads as two runs of the folder stream; returns the state."""
+    cfg, store = _set_up(spark, orders)
+    for changelog in (F2, F3):
+        write_changelog(spark, cfg.landing_root, changelog)
+        load_enums(spark, cfg, store)
+        stream_table(spark, cfg, TABLE, store=store).awaitTermination()
+    return _state(spark, cfg, store, [])
+
+
 def reload_load(spark: SparkSession, orders: DataFrame) -> DataFrame:
     """A first load, then a reload of all closed folders; returns the state."""
     cfg, store = _set_up(spark, orders)

@@ -319,6 +319,15 @@ def oracle() -> dict[str, str]:
         "name_check_violations": (
             f"SELECT * FROM ({_customer('CASE WHEN p.c_acctbal >= 0 THEN p.c_name END')}) v "
             "WHERE NOT coalesce(customername <> '', false)"),
+        "csv_ranges": ("SELECT doc_id, CASE WHEN doc_id % 2 = 1 THEN replace(text, chr(10), chr(13) || chr(10)) "
+                       "ELSE text END AS text, lang, source, n_chars FROM documents"),
+        "csv_bad_rows": (
+            "WITH f AS (SELECT *, o_orderkey % 32 AS kind, '\"' || o_orderkey || '\"' AS a, '\"' || o_custkey || '\"' AS b, "
+            "'\"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%fZ') || '\"' AS c, '\"' || o_orderpriority || '\"' AS d FROM orders) "
+            "SELECT o_orderkey, CASE WHEN kind <> 3 THEN o_custkey END AS o_custkey, kind IN (1, 4) AS no_date, "
+            "CASE WHEN kind <> 1 THEN o_orderpriority END AS o_orderpriority, "
+            "CASE kind WHEN 1 THEN a || ',' || b WHEN 2 THEN a || ',' || b || ',' || c || ',' || d || ',\"more\"' "
+            "WHEN 3 THEN a || ',\"x1\",' || c || ',' || d WHEN 4 THEN 'o_orderdate=some day' END AS bad_record FROM f"),
         "csv_round_trip": ("SELECT doc_id, CASE WHEN doc_id % 2 = 1 THEN replace(text, chr(10), chr(13) || chr(10)) "
                            "ELSE text END AS text, lang, source, n_chars FROM documents"),
         "config_scan": (
@@ -334,6 +343,7 @@ def oracle() -> dict[str, str]:
             f"WHEN action = 'update' THEN 'update' ELSE 'keep' END AS written FROM ({_std_merge('joined')}) j "
             "WHERE action IN ('keep', 'unchanged', 'update', 'insert')"),
         "ingest_two_runs": TWO_RUNS,
+        "stream_state": TWO_RUNS,
         "reload_state": TWO_RUNS.replace(
             f"CASE WHEN o_orderstatus = 'O' THEN {F2_TS}",
             f"CASE WHEN o_orderstatus = 'O' OR (o_orderstatus = 'F' AND o_orderpriority = '3-MEDIUM') THEN {F2_TS}"),

@@ -10,8 +10,9 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
-from tidemark.config import LandingConfig
+from tidemark.config import BAD_RECORD, LandingConfig
 from tidemark.functions.enums import decode_enums, enum_case_text
 from tidemark.functions.keys import guid_from_ids, record_id_from_guid, repair_keys, table_id_from_guid
 from tidemark.functions.predicates import is_delete
@@ -21,7 +22,7 @@ from tidemark.operators.merge import ACTION, choose_strategy, merge
 from tidemark.operators.silver import (invoice_header_profile, invoice_line_profile,
                                        silver_customer as _silver_customer,
                                        silver_sales_invoice as _silver_sales_invoice, violations)
-from tidemark.sources.csvscan import read_entity_csv, write_entity_csv
+from tidemark.sources.csvscan import csv_field, csv_files, read_entity_csv, write_entity_csv, write_lines
 from tidemark.sources.landing import (changelog_folders, files_from_paths, plan_loads,
                                       table_folders, folder_is_open)
 from tidemark.sources.model import schema_catalog as _schema_catalog
@@ -349,6 +350,35 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_entity_csv(spark, f"{path}/*.csv", docs.schema, with_folder=False)
 
 
+def csv_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same texts read back with every file cut into sixteen ranges or more, at any line break of a text."""
+    docs = d.table(spark, sf_dir, "documents")
+    docs = docs.withColumn("text", F.when(F.col("doc_id") % 2 == 1, F.regexp_replace("text", "\n", "\r\n"))
+                           .otherwise(F.col("text")))
+    path = f"{scratch_path(spark, 'csv-ranges')}/folder/documents"
+    write_entity_csv(docs, path)
+    longest = csv_files(spark, [path]).agg(F.max("length")).head()[0] or 0
+    return read_entity_csv(spark, path, docs.schema, with_folder=False, range_bytes=max(4096, longest // 16))
+
+
+def csv_bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders exported with short, long and untypable records among them: what is read, and what is said to be bad."""
+    o = d.table(spark, sf_dir, "orders")
+    fields = [csv_field(F.col("o_orderkey"), LongType()), csv_field(F.col("o_custkey"), LongType()),
+              csv_field(F.col("o_orderdate"), o.schema["o_orderdate"].dataType), csv_field(F.col("o_orderpriority"), StringType())]
+    kind = F.col("o_orderkey") % 32
+    line = (F.when(kind == 1, F.concat_ws(",", *fields[:2])).when(kind == 2, F.concat_ws(",", *fields, F.lit('"more"')))
+            .when(kind == 3, F.concat_ws(",", fields[0], F.lit('"x1"'), *fields[2:]))
+            .when(kind == 4, F.concat_ws(",", *fields[:2], F.lit('"some day"'), fields[3])).otherwise(F.concat_ws(",", *fields)))
+    path = scratch_path(spark, "csv-bad")
+    write_lines(o.select(line.alias("value")), path)
+    schema = StructType([StructField("o_orderkey", LongType()), StructField("o_custkey", LongType()),
+                         StructField("o_orderdate", TimestampType()), StructField("o_orderpriority", StringType())])
+    rows = read_entity_csv(spark, path, schema, with_folder=False, bad_column=BAD_RECORD)
+    return rows.select("o_orderkey", "o_custkey", F.col("o_orderdate").isNull().alias("no_date"), "o_orderpriority",
+                       F.col(BAD_RECORD).alias("bad_record"))
+
+
 # --- M1-M6 end to end -------------------------------------------------------
 def ingest_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.workloads.flagship import two_run_load
@@ -361,6 +391,12 @@ def reload_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reload_load(spark, d.table(spark, sf_dir, "orders"))
 
 
+def stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """2.K: the same two loads by the stream of closed folders; the open folder isn't loaded."""
+    from tidemark.workloads.flagship import stream_load
+    return stream_load(spark, d.table(spark, sf_dir, "orders"))
+
+
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M3/M5: run logs of two runs over three tables, one without folders (A11) and one that fails."""
     from tidemark.workloads.flagship import two_run_logs
@@ -395,12 +431,15 @@ QUERIES = {
     "invoice_line_profile": invoice_line_profile_q,
     "name_check_violations": name_check_violations,
     "csv_round_trip": csv_round_trip,
+    "csv_ranges": csv_ranges,
+    "csv_bad_rows": csv_bad_rows,
     "ingest_two_runs": ingest_two_runs,
     "config_scan": config_scan,
     "load_stamps": load_stamps,
     "merge_stored_table": merge_stored_table,
     "reload_state": reload_state,
     "run_log": run_log,
+    "stream_state": stream_state,
     "silver_customer_unmatched_party": silver_customer_unmatched_party,
     "silver_view_build": silver_view_build,
     "stored_added_column": stored_added_column,
