@@ -258,3 +258,94 @@ def test_composite_key_bucketed_target_is_not_exchanged(spark, tmp_dir):
     assert _shuffle_records(out) <= 3
     got = {(r["k1"], r["k2"]): r["v"] for r in out.collect()}
     assert len(got) == 4000 and got[(1, 0)] == "y" and got[(5, 999)] == "z" and (2, 0) not in got
+
+
+def _stored_rows(spark, tmp_dir, n=4000, buckets=32, **options):
+    from tidemark.config import LandingConfig
+    from tidemark.plans.ingest import apply_changes
+    from tidemark.sinks.store import TableStore
+    cfg = LandingConfig("", f"{tmp_dir}/s", buckets=buckets, **options)
+    store = TableStore(spark, cfg.store_root)
+    rows = spark.range(n).selectExpr("id as RECID", "id % 7 as a", "cast(id as string) as b", "false as IsDelete", "1L as SinkModifiedOn")
+
+    def load(changes, folder):
+        return apply_changes(spark, cfg, store, "t", spark.createDataFrame(changes, S_DDL) if isinstance(changes, list) else changes,
+                             folder, folder)
+
+    load(rows, "f1")
+    return store, load, {k: (k % 7, str(k)) for k in range(n)}
+
+
+def _state(store):
+    return {r["RECID"]: (r["a"], r["b"]) for r in store.read("t").collect()}
+
+
+def test_small_change_sets_read_and_write_their_buckets_only(spark, tmp_dir):
+    import os
+    store, load, want = _stored_rows(spark, tmp_dir)
+    first = store.current("t")
+    row = load([(5, 1, "new", False, 2), (6, 0, "x", True, 2), (9_000, 3, "in", False, 2), (9_001, 3, "in", True, 2)], "f2")
+    assert row["strategy"] == "touched" and (row["inserted"], row["updated"], row["deleted"], row["ignored"]) == (1, 1, 1, 1)
+    want |= {5: (1, "new"), 9_000: (3, "in")}
+    del want[6]
+    snap = store.current("t")
+    assert row["rows_after"] == snap.rows == len(want) and _state(store) == want
+    # Written: the changes' buckets; the others' files are those of the first load, which the merge didn't read.
+    import json
+    new, old = json.loads(snap.layers)
+    assert 1 <= len(new["buckets"]) <= 4 and old == {"path": first.path, "buckets": None}
+    files = [p for p, _ in store.bucket_files(snap)]
+    assert len(files) == 32 and sum(first.path in p for p in files) == 32 - len(new["buckets"])
+    read = store.read_buckets(first, set(new["buckets"])).inputFiles()
+    assert len(read) == len(new["buckets"]) and all(os.path.basename(f).split("_")[-1][:5].isdigit() for f in read)
+
+    # A second small load goes over the first one's layer, a large one writes all again.
+    assert load([(5, 1, "newer", False, 3), (77, 0, "y", False, 3)], "f3")["strategy"] == "touched"
+    want |= {5: (1, "newer"), 77: (0, "y")}
+    assert _state(store) == want and len(json.loads(store.current("t").layers)) == 3
+    assert load([(k, 6, "all", False, 4) for k in range(300)], "f4")["strategy"] == "shuffle"
+    want |= {k: (6, "all") for k in range(300)}
+    assert _state(store) == want and store.current("t").layers is None and store.current("t").buckets == 32
+    assert len(store.bucket_files(store.current("t"))) == 32
+
+
+def test_touched_buckets_with_null_keys_deletes_and_new_columns(spark, tmp_dir):
+    store, load, want = _stored_rows(spark, tmp_dir, n=40, buckets=16, max_layers=3)
+    strategies = []
+    for k, (changes, effect) in enumerate([
+            ([(None, 1, "null", False, 2)], {None: (1, "null")}), ([(None, 2, "null", False, 3)], {None: (2, "null")}),
+            ([(None, 2, "null", True, 4)], {None: None}), ([(3, 3, "3", True, 5)], {3: None}), ([(3, 1, "back", False, 6)], {3: (1, "back")})]):
+        strategies.append(load(changes, f"g{k}")["strategy"])
+        want |= effect
+        assert _state(store) == {k: v for k, v in want.items() if v is not None}
+    assert strategies == ["touched", "touched", "shuffle", "touched", "touched"]      # three layers are the most
+    more = spark.createDataFrame([(4, 1, "4", False, 9, "c")], S_DDL + ", extra STRING")
+    assert load(more, "h")["strategy"] == "shuffle"
+    got = store.read("t").where("RECID in (4, 5)").select("RECID", "extra").collect()
+    assert sorted(map(tuple, got)) == [(4, "c"), (5, None)]
+
+
+def test_net_changes_lead_from_one_state_to_another(spark, tmp_dir):
+    store, load, _ = _stored_rows(spark, tmp_dir, n=30, buckets=8)
+    states = [_state(store)]
+    rng = random.Random(12)
+    for k in range(4):
+        keys = rng.sample([*range(36), None], 12)
+        load([(key, rng.randrange(4), rng.choice("xyz"), rng.random() < 0.4, 10 + k) for key in keys], f"n{k}")
+        states.append(_state(store))
+    for after in range(1, 5):
+        for upto in range(after, 6):
+            net = store.net_changes("t", ["RECID"], after, upto).collect()
+            kinds = {}
+            for r in net:
+                kinds.setdefault(r["RECID"], {})[r["_change_type"]] = (r["a"], r["b"])
+            state = dict(states[after - 1])
+            for key, kind in kinds.items():
+                assert set(kind) in ({"insert"}, {"delete"}, {"update_preimage", "update_postimage"})
+                assert kind.get("delete", kind.get("update_preimage")) == state.pop(key, None)
+                if "delete" not in kind:
+                    state[key] = kind.get("insert", kind.get("update_postimage"))
+            assert state == states[upto - 1]
+    store.replace("t", store.read("t").limit(1))
+    with pytest.raises(ValueError, match="reloaded"):
+        store.net_changes("t", ["RECID"], 2)

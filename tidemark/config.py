@@ -79,6 +79,10 @@ class LandingConfig:
     buckets: int = 0
     bucket_bytes: int = 128 * 1024 * 1024
     max_buckets: int = 65536
+    # A merge whose changes fall into this share of the buckets or less reads and writes
+    # only these; after ``max_layers`` such loads, or with more buckets touched, all are written again.
+    touched_share: float = 0.25
+    max_layers: int = 16
 
     @property
     def model_path(self) -> str:

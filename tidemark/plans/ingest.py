@@ -16,12 +16,14 @@ from __future__ import annotations
 import concurrent.futures as cf
 import datetime as _dt
 import functools
+import json
 import operator
 import traceback
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.config import (BAD_RECORD, CREATED_STAMP, ENUM_FILE, ENUM_TABLE, PROCESSED_STAMP,
                              LandingConfig)
@@ -219,37 +221,72 @@ def _replace(spark: SparkSession, cfg: LandingConfig, store: TableStore, table:
     return _run_row(table, "loaded", strategy="replace", inserted=rows, rows_after=rows, **common)
 
 
+def _bucket_of(key: str, buckets: int, types: dict) -> Column:
+    """The bucket that Spark's bucketed writer gives a row, by its key columns in their stored types."""
+    return F.pmod(F.hash(*[F.col(k).cast(types[k]) for k in key.split(",")]), F.lit(buckets))
+
+
+def _touched_buckets(cfg: LandingConfig, before: Snapshot, source: DataFrame, rows: int) -> set[int] | None:
+    """Buckets of the stored table that the changes fall into; None where rewriting all of it is as good."""
+    layers = len(json.loads(before.layers)) if before.layers else 1
+    # With more rows than buckets hardly a bucket is left out.
+    if not before.buckets or not before.schema or before.rows is None or rows > before.buckets or layers >= cfg.max_layers:
+        return None
+    stored = StructType.fromJson(json.loads(before.schema))
+    if any(find_column(source, k) != k for k in before.bucket_key.split(",")):
+        return None
+    types = {k: stored[k].dataType for k in before.bucket_key.split(",")}
+    bucket = _bucket_of(before.bucket_key, before.buckets, types)
+    found = {r[0] for r in source.select(bucket.alias("b")).distinct().collect()}  # no more than buckets
+    return found if len(found) <= cfg.touched_share * before.buckets else None
+
+
 def _merge(spark: SparkSession, cfg: LandingConfig, store: TableStore, table: str, before: Snapshot,
            source: DataFrame, staged: dict, staged_bytes: int, batch: str | None, common: dict) -> dict:
     """The staged source carries no partitioning, so against a bucketed target
     only the source is exchanged (into the target's bucket count).  State and feed
-    are one pass over one join, and the counts are observed by that pass."""
-    result = merge(store.read(table, before), source, cfg.key, cfg.delete_flag, cfg.excluded_meta,
-                   cfg.ignored_compare, stamp=cfg.stamp_rows, load_time=_dt.datetime.now(_dt.timezone.utc),
-                   null_keys=staged["null_keys"] > 0)
+    are one pass over one join, and the counts are observed by that pass.
+
+    Where the changes fall into few buckets, only these are read, joined and written; the new
+    snapshot takes the others from where they are."""
     key, buckets = before.bucket_key, before.buckets
-    want_key, want = _bucketing(cfg, source, path_size_bytes(spark, before.path) + staged_bytes)
+    stored_bytes = sum(n for _, n in store.bucket_files(before)) if before.layers else path_size_bytes(spark, before.path)
+    want_key, want = _bucketing(cfg, source, stored_bytes + staged_bytes)
     moves = bool(want) and (key != want_key or not max(want, 1) / 2 < (buckets or 0) < 2 * want)
+    touched = None if moves else _touched_buckets(cfg, before, source, staged["rows"])
+    target = store.read(table, before) if touched is None else store.state_columns(store.read_buckets(before, touched))
+    result = merge(target, source, cfg.key, cfg.delete_flag, cfg.excluded_meta,
+                   cfg.ignored_compare, stamp=cfg.stamp_rows, load_time=_dt.datetime.now(_dt.timezone.utc),
+                   null_keys=staged["null_keys"] > 0)
     seen = Observation()
     result.actions = result.actions.observe(
         seen, *[F.count_if(F.col(ACTION) == a).alias(a) for a in ACTIONS])
     outputs = result.outputs
-    if moves:
+    if touched is not None:
+        types = {k: outputs.schema[k].dataType for k in key.split(",")}
+        outputs = outputs.repartition(max(1, len(touched)), _bucket_of(key, buckets, types))
+    elif moves or before.layers:
         key, buckets = want_key, want
-        outputs = _by_key(outputs, key, buckets)
+        outputs = _by_key(outputs, key, buckets) if buckets else outputs
     run_id = common["run_id"]
     snapshot, feed = store.write_merge(table, outputs, run_id, key, buckets)
     n = {a: seen.get[a] for a in ACTIONS}
     rows = n["keep"] + n["unchanged"] + n["update"] + n["insert"]
+    layers = None
+    if touched is not None:
+        rows = before.rows + n["insert"] - n["delete"]
+        older = json.loads(before.layers) if before.layers else [{"path": before.path, "buckets": None}]
+        layers = json.dumps([{"path": snapshot, "buckets": sorted(touched)}, *older]) if rows else None
     # A late file of an older folder never moves the mark back.
     mark = max((m for m in (common["folder_to"], before.lastload) if m is not None), default=None)
     snapshot = snapshot if rows else _empty_state(store, table, outputs, run_id)
     changed = n["insert"] + n["update"] + n["delete"] > 0
     store.commit(table, snapshot, mark, run_id, "merge", rows, feed if changed else None,
                  buckets if rows else None, key if rows else None, after=before,
-                 schema=TableStore.state_columns(outputs).schema, batch=batch)
-    return _run_row(table, "merged", strategy="shuffle", inserted=n["insert"], updated=n["update"], deleted=n["delete"],
-                    unchanged=n["unchanged"], ignored=n["ignore"], rows_after=rows, **common)
+                 schema=TableStore.state_columns(outputs).schema, batch=batch, layers=layers)
+    return _run_row(table, "merged", strategy="shuffle" if touched is None else "touched", inserted=n["insert"],
+                    updated=n["update"], deleted=n["delete"], unchanged=n["unchanged"], ignored=n["ignore"],
+                    rows_after=rows, **common)
 
 
 def _empty_state(store: TableStore, table: str, outputs: DataFrame, run_id: str) -> str:

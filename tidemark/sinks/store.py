@@ -6,6 +6,10 @@ Layout below ``root`` (a shared folder on a cluster)::
     <table>/<run_id>/_kind=state/      snapshot of a merge
     <table>/<run_id>/_kind=changes/    change feed rows of that merge
     _log/table=<table>/                one parquet row per load
+
+A merge that touches few buckets writes only these; its snapshot then has layers: the new folder's buckets
+and, for all others, the folders of earlier loads.
+
     _bad/table=<table>/_run_id=<run>/  records of a load that didn't fit the model
 
 A load writes a *new* snapshot folder first and appends its log row last, so
@@ -22,6 +26,7 @@ import hashlib
 import json
 import re
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -33,7 +38,7 @@ from tidemark.operators.merge import KIND
 
 LOG_DDL = ("snapshot STRING, changes STRING, lastload STRING, "
            "_sysProcessDateTime TIMESTAMP, run_id STRING, mode STRING, rows BIGINT, "
-           "buckets INT, bucket_key STRING, seq BIGINT, schema STRING, batch STRING")
+           "buckets INT, bucket_key STRING, seq BIGINT, schema STRING, batch STRING, layers STRING")
 BAD_DDL = "_folder STRING, _bad_record STRING, _run_id STRING"
 _UNKNOWN = object()
 
@@ -54,6 +59,7 @@ class Snapshot:
     rows: int | None = None
     seq: int = 0
     schema: str | None = None  # of its rows, as JSON
+    layers: str | None = None  # folders and the buckets that each holds, newest first, as JSON; None: one folder
 
 
 class TableStore:
@@ -84,13 +90,13 @@ class TableStore:
     @staticmethod
     def _latest() -> Column:
         """The log row of the last commit: commits are numbered, clocks are not trusted."""
-        return F.max_by(F.struct("snapshot", "lastload", "run_id", "buckets", "bucket_key", "rows", "seq", "schema"),
+        return F.max_by(F.struct("snapshot", "lastload", "run_id", "buckets", "bucket_key", "rows", "seq", "schema", "layers"),
                         F.struct(F.coalesce("seq", F.lit(0)), "run_id")).alias("r")
 
     @staticmethod
     def _snapshot(table: str, r: Row) -> Snapshot:
         return Snapshot(table, r["snapshot"], r["lastload"], r["run_id"], r["buckets"], r["bucket_key"], r["rows"],
-                        r["seq"] or 0, r["schema"])
+                        r["seq"] or 0, r["schema"], r["layers"])
 
     def current(self, table: str) -> Snapshot | None:
         """Latest committed snapshot of ``table`` (A7/A13); None if never loaded."""
@@ -128,6 +134,8 @@ class TableStore:
         if snap is None:
             raise ValueError(f"table {table!r} has no snapshot in {self.root}")
         schema = StructType.fromJson(json.loads(snap.schema)) if snap.schema else None
+        if snap.layers:
+            return self.read_buckets(snap, None)
         if not snap.buckets:
             reader = self.spark.read.schema(schema) if schema is not None else self.spark.read
             return self.state_columns(reader.parquet(snap.path))
@@ -142,6 +150,32 @@ class TableStore:
                            f"SORTED BY ({keys}) INTO {int(snap.buckets)} BUCKETS LOCATION '{snap.path}'")
         return self.state_columns(self.spark.table(name))
 
+    def read_buckets(self, snap: Snapshot, buckets: set[int] | None) -> DataFrame:
+        """Rows of the given buckets of a bucketed snapshot (None: all), read from these buckets' files alone."""
+        schema = StructType.fromJson(json.loads(snap.schema))
+        files = [f for f, _ in self.bucket_files(snap, buckets)]
+        return self.spark.read.schema(schema).parquet(*files) if files else self.spark.createDataFrame([], schema)
+
+    def bucket_files(self, snap: Snapshot, buckets: set[int] | None = None) -> list[tuple[str, int]]:
+        """Paths and sizes of the files that hold a bucketed snapshot's rows: of each bucket the newest layer's."""
+        found, covered = [], set()
+        for layer in json.loads(snap.layers) if snap.layers else [{"path": snap.path, "buckets": None}]:
+            own = None if layer["buckets"] is None else set(layer["buckets"])
+            for path, size in self._files(layer["path"]):
+                bucket = int(re.search(r"_(\d+)(?:\..*)?$", path).group(1))  # Spark's file names end in the bucket's number
+                if bucket not in covered and (buckets is None or bucket in buckets) and (own is None or bucket in own):
+                    found.append((path, size))
+            covered |= own or set()
+        return found
+
+    def _files(self, folder: str) -> list[tuple[str, int]]:
+        """Data files of a folder; none where it was never made (a write without rows)."""
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        found = [(st.getPath().toString(), st.getLen()) for st in fs.listStatus(path)] if fs.exists(path) else []
+        return [(p, n) for p, n in found if p.endswith(".parquet")]
+
     @staticmethod
     def state_columns(df: DataFrame) -> DataFrame:
         """Without the feed's columns, which a merge's snapshot files hold as well."""
@@ -171,6 +205,37 @@ class TableStore:
             out = out.unionByName(f, allowMissingColumns=True)
         return out
 
+    def net_changes(self, table: str, keys: Sequence[str], after: int = 0, upto: int | None = None) -> DataFrame:
+        """What the loads after commit ``after``, up to ``upto``, have changed in all: at most one change per key.
+
+        A fold of the feeds: insert and update are an insert, insert and delete nothing, delete and insert an update, and
+        of several updates the first preimage and the last postimage count.  Applied to the state of commit
+        ``after`` it gives that of ``upto``.  Rows with a NULL key are one key, as in a merge.  A reload
+        in between has no feed to fold, so it is an error.
+        """
+        log = self._read_log(self._log_dir(table), LOG_DDL)
+        if log is None:
+            raise ValueError(f"table {table!r} has no loads in {self.root}")
+        loads = log.filter((F.col("seq") > after) & (F.lit(upto is None) | (F.col("seq") <= upto)))
+        loads = loads.select("run_id", "seq", "mode").collect()
+        if any(r["mode"] != "merge" and r["seq"] > 1 for r in loads):
+            raise ValueError(f"table {table!r} was reloaded after commit {after}: compare its snapshots instead")
+        feed, order = self.changes(table), self.spark.createDataFrame([(r["run_id"], r["seq"]) for r in loads],
+                                                                      "_run_id STRING, _seq BIGINT")
+        columns = [c for c in feed.columns if c not in ("_change_type", "_run_id")]
+        at = F.struct("_seq", F.col("_change_type") != "update_preimage")  # of an update the preimage comes first
+        row = F.struct(*columns, "_change_type")
+        ends = (feed.join(F.broadcast(order), "_run_id").groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys])
+                .agg(F.min_by(row, at).alias("first"), F.max_by(row, at).alias("last")))
+        was, stays = F.col("first._change_type") != "insert", F.col("last._change_type") != "delete"
+
+        def image(end: str, kind: str) -> Column:
+            return F.struct(*[F.col(f"{end}.{c}").alias(c) for c in columns], F.lit(kind).alias("_change_type"))
+
+        net = (F.when(was & stays, F.array(image("first", "update_preimage"), image("last", "update_postimage")))
+               .when(stays, F.array(image("last", "insert"))).when(was, F.array(image("first", "delete"))))
+        return ends.filter(was | stays).select(F.inline(net))
+
     def bad_records(self, table: str) -> DataFrame:
         """Records of all committed loads that didn't fit the model: ``_folder``, ``_bad_record``, ``_run_id``."""
         found, log = self._read_log(f"{self.root}/_bad/table={table}", BAD_DDL), self._read_log(self._log_dir(table), LOG_DDL)
@@ -221,19 +286,19 @@ class TableStore:
     def commit(self, table: str, snapshot: str, lastload: str | None, run_id: str,
                mode: str, rows: int | None, changes: str | None = None,
                buckets: int | None = None, bucket_key: str | None = None, after=_UNKNOWN,
-               schema: StructType | None = None, batch: str | None = None) -> None:
+               schema: StructType | None = None, batch: str | None = None, layers: str | None = None) -> None:
         """Append the log row that makes ``snapshot`` current.
 
         Commits of a table are numbered; ``after`` is the snapshot this load
         started from (None for the first), read from the log if not given.
         ``schema`` is that of the snapshot's rows; readers then needn't look for it in files.
-        ``batch`` names the streamed batch that was loaded.
+        ``batch`` names the streamed batch that was loaded; ``layers`` is there where a load wrote some buckets only.
         """
         before = self.current(table) if after is _UNKNOWN else after
         seq = (before.seq if before is not None else 0) + 1
         now = _dt.datetime.now(_dt.timezone.utc)
         row = [(snapshot, changes, lastload, now, run_id, mode, rows, buckets, bucket_key, seq,
-                schema.json() if schema is not None else None, batch)]
+                schema.json() if schema is not None else None, batch, layers)]
         (self.spark.createDataFrame(row, LOG_DDL).coalesce(1)
          .write.mode("append").parquet(self._log_dir(table)))
 

@@ -132,3 +132,9 @@ def invoice_tables(li: DataFrame, orders: DataFrame) -> tuple[DataFrame, DataFra
         "invoiceamount", F.col("invoiceamount").alias("invoiceamountmst"),
         "sumtax", F.col("sumtax").alias("sumtaxmst"), F.lit(COMPANY).alias("dataareaid"))
     return header, lines
+
+
+def third_batch(changes: DataFrame) -> DataFrame:
+    """Of the second batch, every fourth supplier's records sent again with more, and the next one's as deletes."""
+    again = second_batch(changes).filter(F.col("recversion") % 4 < 2)
+    return again.withColumns({"l_quantity": F.col("l_quantity") + 1, "IsDelete": F.col("recversion") % 4 == 1})

@@ -89,6 +89,21 @@ def _std_merge(output: str, null_key: str | None = None) -> str:
                      STATE_COLS, STATE_COLS, {}, COMPARE, output)
 
 
+def _net_changes() -> str:
+    ch, names = changes_sql(), ", ".join(STATE_COLS)
+    again = (f"SELECT * REPLACE (l_quantity + 1 AS l_quantity, recversion % 4 = 1 AS IsDelete) FROM ({ch}) c "
+             f"WHERE {SECOND} AND recversion % 4 < 2")
+    third = latest_sql(again)
+    merged = {o: merge_sql("SELECT * FROM s2", third, STATE_COLS, STATE_COLS, {}, COMPARE, o) for o in ("state", "changes")}
+    image = lambda s: ", ".join(f"{s}.{c} AS {c}" for c in STATE_COLS)
+    return f"""WITH s1 AS ({latest_sql(ch, FIRST, live_only=True)}), s2 AS ({_std_merge('state')}),
+s3 AS ({merged['state']}), touched AS (SELECT recid FROM ({_std_merge('changes')}) x UNION SELECT recid FROM ({merged['changes']}) y)
+SELECT {names}, 'insert' AS _change_type FROM s3 WHERE recid NOT IN (SELECT recid FROM s1)
+UNION ALL SELECT {names}, 'delete' FROM s1 WHERE recid NOT IN (SELECT recid FROM s3)
+UNION ALL SELECT {image('s1')}, 'update_preimage' FROM s1 JOIN s3 USING (recid) JOIN touched USING (recid)
+UNION ALL SELECT {image('s3')}, 'update_postimage' FROM s1 JOIN s3 USING (recid) JOIN touched USING (recid)"""
+
+
 def _added_column() -> str:
     ch = changes_sql()
     t_cols = [c for c in STATE_COLS if c != "l_tax"] + ["l_shipyear"]
@@ -337,6 +352,7 @@ def oracle() -> dict[str, str]:
         "stored_change_feed": (
             f"SELECT {', '.join(STATE_COLS)}, 'insert' AS _change_type FROM ({latest_sql(ch, FIRST, live_only=True)}) i "
             f"UNION ALL SELECT {', '.join(STATE_COLS)}, _change_type FROM ({_std_merge('changes')}) c"),
+        "net_changes": _net_changes(),
         "stored_added_column": _added_column(),
         "load_stamps": (
             "SELECT recid, true AS created_first, true AS within_run, CASE WHEN action = 'insert' THEN 'insert' "

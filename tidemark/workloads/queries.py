@@ -120,13 +120,13 @@ def changed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 STAMPS = ("_sysCreatedDateTime", "_sysProcessedDateTime")
 
 
-def _stored(spark, first: DataFrame, second: DataFrame) -> tuple[TableStore, list[dt.datetime]]:
-    """A store with table ``lineitem`` after a full load and a merge; the times before, between and after them."""
+def _stored(spark, *loads: DataFrame) -> tuple[TableStore, list[dt.datetime]]:
+    """A store with table ``lineitem`` after a full load and merges; the times before, between and after them."""
     cfg = LandingConfig(landing_root="", store_root=scratch_path(spark, "store"), key=d.CHANGE_KEY,
                         version_order=d.CHANGE_ORDER, excluded_meta=EXCLUDED)
     store, times = TableStore(spark, cfg.store_root), [dt.datetime.now(dt.timezone.utc)]
-    for folder, changes in (("f1", first), ("f2", second)):
-        apply_changes(spark, cfg, store, "lineitem", _source(changes), folder, folder)
+    for k, changes in enumerate(loads, 1):
+        apply_changes(spark, cfg, store, "lineitem", _source(changes), f"f{k}", f"f{k}")
         times.append(dt.datetime.now(dt.timezone.utc))
     return store, times
 
@@ -143,6 +143,13 @@ def stored_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, d.first_batch(ch), d.second_batch(ch))[0].changes("lineitem").drop(*STAMPS, "_run_id")
 
 
+def net_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B8 over a range: what the second and the third load changed in all, a change per record."""
+    ch = _changes(spark, sf_dir)
+    store, _ = _stored(spark, d.first_batch(ch), d.second_batch(ch), d.third_batch(ch))
+    return store.net_changes("lineitem", d.CHANGE_KEY, after=1).drop(*STAMPS)
+
+
 def stored_added_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B6/B7 through the store: a column that only the stored table has, one that only the changes have."""
     ch = _changes(spark, sf_dir)
@@ -444,6 +451,7 @@ QUERIES = {
     "silver_view_build": silver_view_build,
     "stored_added_column": stored_added_column,
     "stored_change_feed": stored_change_feed,
+    "net_changes": net_changes,
 }
 
 __all__ = ["QUERIES", "LandingConfig"]
