@@ -1,5 +1,7 @@
 """SentencePiece lattices, toxicity, packing and fingerprints."""
+import collections
 import itertools
+import math
 import random
 import zlib
 
@@ -100,6 +102,64 @@ def test_toxicity_held_out(spark):
     assert abs(clean.count() - sum(1 - y for _, y in labels)) < 10
 
 
+def plain_ftrl(rows, labels, alpha, beta, l1, l2, epochs, min_rows, seed):
+    """FTRL-proximal, a coordinate at a time."""
+    often = {f for f, n in collections.Counter(f for r in rows for f in r).items() if n >= min_rows} | {"intercept"}
+    z, n, w = collections.Counter(), collections.Counter(), {}
+
+    def weight(f):
+        bound = 0 if f == "intercept" else l1
+        if abs(z[f]) <= bound:
+            return 0.0
+        return -(z[f] - math.copysign(bound, z[f])) / ((beta + math.sqrt(n[f])) / alpha + l2)
+
+    order, draw = np.arange(len(rows)), np.random.RandomState(seed)
+    for _ in range(epochs):
+        draw.shuffle(order)
+        for i in order:
+            own = [f for f in [*rows[i], "intercept"] if f in often]
+            w = {f: weight(f) for f in own}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - labels[i]
+            for f in own:
+                rate = (math.sqrt(n[f] + g * g) - math.sqrt(n[f])) / alpha
+                z[f] += g - rate * w[f]
+                n[f] += g * g
+    return {f: x for f in often if (x := weight(f)) or f == "intercept"}
+
+
+def test_ftrl_against_a_plain_one():
+    rng = random.Random(8)
+    # Features that share their lowest 22 bits are told apart.
+    pool = [(rng.randrange(1 << 40) << 22) + (7 if k < 30 else rng.randrange(1 << 22)) for k in range(120)]
+    rows = [sorted(set(rng.choices(pool, k=12))) for _ in range(200)]
+    labels = np.array([float(bool({pool[0], pool[1], pool[40]} & set(r))) for r in rows])
+    model = toxicity.ftrl([np.array(r, np.uint64) for r in rows], labels, l1=0.7, min_rows=15, epochs=3)
+    want = plain_ftrl(rows, labels, 2.0, 1.0, 0.7, 1.0, 3, 15, 0)
+    assert np.isclose(model.intercept, want.pop("intercept"))
+    assert sorted(model.hashes.tolist()) == sorted(want) and 3 < len(want) < 110
+    assert np.allclose(model.weights, [want[h] for h in model.hashes.tolist()])
+
+
+def test_toxicity_features():
+    text = "One two, THREE two"
+    words = ["one", "two", "three", "two"]
+    assert len(toxicity.features(text)) == 4 + 4 + 3 + 2  # words, stems, pairs, pairs over one word
+    single = {w: toxicity.features(w) for w in words}
+    assert {h for f in single.values() for h in f.tolist()} <= set(toxicity.features(text).tolist())
+    assert len(np.unique(toxicity.features(text))) == 3 + 3 + 3 + 2
+
+
+def test_toxicity_fit_is_bounded(spark):
+    rows, labels = made_up(400)
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    docs = frame(spark, rows + [rows[0]] * 50)
+    whole = toxicity.fit(docs, marks)
+    assert np.allclose(whole.weights, toxicity.fit(frame(spark, rows), marks).weights)  # repeated rows count once
+    less = toxicity.fit(docs, marks, max_features=12_000)
+    assert 0 < len(less.hashes) and not np.array_equal(less.hashes, whole.hashes)
+    assert len(toxicity.fit(docs, marks, max_features=10).hashes) == 0
+
+
 def test_toxicity_without_labels(spark):
     rows, _ = made_up(10)
     for labels in ([], [(1, 0), (2, 0)]):
@@ -130,6 +190,24 @@ def test_chunks_tokenize_as_whole_texts():
     assert [g.tolist() for g in got] == [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_chunk_cache_is_bounded_in_bytes(monkeypatch):
+    from tokenizers import Tokenizer
+    monkeypatch.setattr(packing, "CACHE_BYTES", 3 << 20)
+    whole = Tokenizer.from_file(BYTE_BPE)
+    whole.encode_special_tokens = True
+    rng = random.Random(2)
+    long_chunk = "".join(rng.choice("abcdefgh") for _ in range(1 << 20))
+    texts = [" ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randrange(1, 12))) + rng.choice(["", ",", ".", "\n"])
+                      for _ in range(60_000)), long_chunk + "x " + long_chunk, "", "a b\nc, d."]
+    made = packing.ChunkTokenizer(BYTE_BPE)
+    sizes = []
+    for text in texts * 2:
+        assert made.encode([text])[0].tolist() == whole.encode(text, add_special_tokens=False).ids
+        sizes.append(made.at.bytes + 4 * made.ids.n)
+    most = packing.CACHE_BYTES + packing.GROUP_CHUNKS * 300 + 8 * len(long_chunk)
+    assert max(sizes) <= most
+
+
 def test_best_fit_and_bounds():
     rng = random.Random(9)
     for trial in range(60):
@@ -191,6 +269,26 @@ def test_packing(spark, monkeypatch):
     assert packing.pack_documents(frame(spark, []), BYTE_BPE).collect() == []
 
 
+def test_exchange_goes_on_with_many_buckets(spark, monkeypatch):
+    """Far more buckets than rounds of halving could bring to one: it ends at the bound or when large buckets save nothing."""
+    monkeypatch.setattr(packing, "BUCKET_ROWS", 16)
+    rng = random.Random(6)
+    rows = [(i, 0, 0, rng.randrange(1, 101), i) for i in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    got = packing.pack(df, 100).collect()
+    assert len(got) == len(rows) and {(r.doc_id, r.length) for r in got} == {(r[0], r[3]) for r in rows}
+    fill = collections.defaultdict(list)
+    for r in got:
+        fill[r.sequence_id].append((r.offset, r.length))
+    for places in fill.values():
+        places.sort()
+        assert [o for o, _ in places] == [sum(n for _, n in places[:k]) for k in range(len(places))]
+        assert sum(n for _, n in places) <= 100
+    bound = packing.lower_bound(np.bincount([r[3] for r in rows], minlength=101))
+    one = packing.best_fit(sorted((r[3] for r in rows), reverse=True), 100)[2]
+    assert bound <= len(fill) <= 1.1 * one  # full bins of small buckets stay as they are
+
+
 def test_imatch(spark):
     rng = random.Random(8)
     words = [f"{a}{b}{c}{d}" for a in "bcdfgklmnp" for b in ("an", "or", "ist", "el", "um") for c in ("", "en", "ly", "a") for d in "xyzw"]

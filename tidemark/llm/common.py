@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import os
 import shutil
 import tempfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,6 +49,7 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict]], sch
     target = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()  # what an earlier task in this worker has left
         for batch in batches:
             for part in slices(batch):
                 for cols in fn(part):
@@ -75,12 +78,31 @@ def only_cache(name: object, forget: Callable[[], None]) -> None:
     """Says which cache a task uses now; the one that another operator left in this worker is forgotten."""
     if _CACHE and _CACHE[0] != name:
         _CACHE[1]()
+        give_back()
     _CACHE[:] = [name, forget]
 
 
+def give_back() -> None:
+    """Hand freed memory of this worker back to the system, which the allocators would keep for later."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
+
+
+def free_name(wanted: str, taken: Iterable[str]) -> str:
+    """``wanted`` with as many underscores as set it apart from the names taken, in any case."""
+    names = {c.lower() for c in taken}
+    while wanted.lower() in names:
+        wanted += "_"
+    return wanted
+
+
 def as_bytes(name: str) -> Column:
     """A text column as UTF-8 bytes, null as empty."""
     return F.coalesce(F.col(name).cast("string").cast("binary"), F.lit(b""))
 
 
-__all__ = ["BATCH_BYTES", "as_bytes", "map_arrow", "only_cache", "ship", "slices", "stage", "table"]
+__all__ = ["BATCH_BYTES", "as_bytes", "free_name", "give_back", "map_arrow", "only_cache", "ship", "slices", "stage", "table"]

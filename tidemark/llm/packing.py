@@ -4,9 +4,9 @@ Pieces are dealt to buckets of bounded size and each bucket is packed by best-fi
 Dual-feasible functions give a lower bound on the bins a bucket needs: a bucket that uses no
 more is certified.  Buckets with a gap give out the documents of their bins that aren't full, and
 certified ones the documents of their emptiest bin (rounding slack, as the bounds of parts
-add up to more than the bound of the whole); these are dealt anew to fewer buckets and packed
-again.  That ends when the total meets the bound over all pieces, or when even one bucket of all that
-was given out saves no bin.
+add up to more than the bound of the whole); these are dealt anew to larger buckets and packed
+again.  That ends when the total meets the bound over all pieces, or when a round saves no bin with one bucket of all that
+was given out or, where that is too much for a task, with buckets of ``MAX_BUCKET_ROWS``.
 Only lengths and ids move; every piece's tokens stay where they are until sequences are built.
 """
 
@@ -25,10 +25,14 @@ from .common import map_arrow, only_cache, ship, stage
 
 #: Pieces in a bucket, about.
 BUCKET_ROWS = 2048
-#: Rounds of exchange at most.  A round has half as many buckets as the one before, or fewer, so buckets stay bounded.
-MAX_ROUNDS = 8
-#: Chunks of text whose ids a task remembers.
-CHUNK_CACHE = 1 << 20
+#: Buckets of the exchange are twice as large each round, up to this.
+MAX_BUCKET_ROWS = 1 << 18
+#: Bytes of chunks and their ids that a task remembers, about, and bytes that a chunk takes besides its text's.
+CACHE_BYTES = 128 << 20
+CHUNK_BYTES = 170
+#: Chunks that are encoded at once, and new ones that wait for it at most (of one text's group).
+ENCODE_CHUNKS = 1 << 13
+GROUP_CHUNKS = 1 << 16
 
 #: One space between two characters that aren't white space: the tokenizer never joins what
 #: stands before it to what follows, so a text may be encoded in these pieces.
@@ -42,13 +46,36 @@ class _Chunks(dict):
 
     def __init__(self):
         self.waiting: list = []
+        self.bytes = 0
 
     def __missing__(self, chunk):
         self[chunk] = k = len(self)
         self.waiting.append(chunk)
+        self.bytes += CHUNK_BYTES + (4 * len(chunk[0]) if isinstance(chunk, tuple) else 4 * len(chunk))
         return k
 
 
+class _Grown:
+    """An array that grows at its end, in place while there is room."""
+
+    def __init__(self, kind):
+        self.room, self.n = np.empty(1 << 10, kind), 0
+
+    def add(self, values: np.ndarray) -> int:
+        """Append; returns where the values begin."""
+        at, self.n = self.n, self.n + len(values)
+        if self.n > len(self.room):
+            more = np.empty(max(self.n, len(self.room) * 3 // 2), self.room.dtype)
+            more[:at] = self.room[:at]
+            self.room = more
+        self.room[at:self.n] = values
+        return at
+
+    @property
+    def all(self) -> np.ndarray:
+        return self.room[:self.n]
+
+
 class ChunkTokenizer:
     """Token ids of texts by a byte-level BPE file, remembering the ids of chunks between spaces.
 
@@ -63,7 +90,7 @@ class ChunkTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # in a text their strings are ordinary text
         self.feed = self._ids("\n")[0]
-        self.marks = {c: np.array(self._ids(c), np.uint32) for c in ",."}
+        self.marks = {c: ids[0] for c in ",." if len(ids := self._ids(c)) == 1}
         self._forget()
 
     def _ids(self, text: str) -> list[int]:
@@ -71,8 +98,7 @@ class ChunkTokenizer:
 
     def _forget(self) -> None:
         self.at = _Chunks()
-        self.ids = np.zeros(0, np.uint32)
-        self.first = self.size = np.zeros(0, np.int64)
+        self.ids, self.first, self.size = _Grown(np.uint32), _Grown(np.int64), _Grown(np.int32)
 
     @staticmethod
     def _cut(text: str) -> list:
@@ -88,64 +114,79 @@ class ChunkTokenizer:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        if len(self.at) > CHUNK_CACHE:
-            self._forget()
-        number = self.at.__getitem__
-        cut = [np.fromiter(map(number, chunks), np.int64, len(chunks)) for chunks in map(self._cut, texts)]
-        self._encode_waiting()
-        out = []
-        for k in cut:
-            first, size = self.first[k], self.size[k]
-            place = np.cumsum(size) - size
-            out.append(self.ids[np.repeat(first - place, size) + np.arange(size.sum())])
-        return out
+        out: list[list[np.ndarray]] = [[] for _ in texts]
+        numbered: list[tuple[int, np.ndarray]] = []
+
+        def give_ids() -> None:
+            self._encode_waiting()
+            for i, k in numbered:
+                first, size = self.first.all[k], self.size.all[k]
+                place = np.cumsum(size) - size
+                out[i].append(self.ids.all[np.repeat(first - place, size) + np.arange(size.sum())])
+            numbered.clear()
+
+        for i, text in enumerate(texts):
+            chunks = self._cut(text)
+            for a in range(0, len(chunks), GROUP_CHUNKS):
+                if self.at.bytes + 4 * self.ids.n > CACHE_BYTES:
+                    give_ids()
+                    self._forget()
+                part = chunks[a:a + GROUP_CHUNKS]
+                numbered.append((i, np.fromiter(map(self.at.__getitem__, part), np.int64, len(part))))
+                if len(self.at.waiting) > GROUP_CHUNKS:
+                    give_ids()
+        give_ids()
+        return [np.concatenate(x) if len(x) > 1 else x[0] if x else np.zeros(0, np.uint32) for x in out]
 
     def _encode_waiting(self) -> None:
-        """Give ids to the chunks that wait: put together from parts, or encoded many at once, a line each."""
-        known, done = len(self.first), 0
+        """Give ids to the chunks that wait: encoded many at once, a line each, or put together from parts."""
+        known, done = self.first.n, 0
         lines, line_of, apart = [], [], []
-        made: dict[int, tuple] = {}  # chunks that are a part and a mark behind it, or a line feed and a part
+        made_of: list[tuple] = []  # chunks that are a part and a mark behind it, or a line feed and a part
         while done < len(self.at.waiting):
             chunk = self.at.waiting[done]
             k, done = known + done, done + 1
             text = chunk[0] if isinstance(chunk, tuple) else chunk
             if len(text) > 1 and text[-1] in self.marks and text[-2].isalnum():
                 rest = text[:-1]
-                made[k] = (self.at[(rest,) if isinstance(chunk, tuple) else rest], text[-1])
+                made_of.append((k, self.at[(rest,) if isinstance(chunk, tuple) else rest], self.marks[text[-1]]))
             elif text[:1] == "\n" and not isinstance(chunk, tuple) and text[1:] and not text[1:2].isspace():
-                made[k] = (self.at[(text[1:],)], None)
+                made_of.append((k, self.at[(text[1:],)], -1))
             elif "\n" in text or text[:1].isspace() or not text:
                 apart.append((k, text if isinstance(chunk, tuple) else " " + text))
             else:
                 lines.append(text if isinstance(chunk, tuple) else " " + text)
                 line_of.append(k)
-        total = known + done
-        found: list[np.ndarray] = [None] * (total - known)
-        if lines:
-            ids = np.array(self._ids("\n".join(lines)), np.uint32)
-            ends = np.append(np.flatnonzero(ids == self.feed), len(ids)).tolist()
-            for k, a, b in zip(line_of, [0, *[e + 1 for e in ends]], ends):
-                found[k - known] = ids[a:b]
+        self.at.waiting = []
+        self.first.add(np.zeros(done, np.int64))
+        self.size.add(np.full(done, -1, np.int32))
+        first, size = self.first.all, self.size.all
+        for a in range(0, len(lines), ENCODE_CHUNKS):
+            ids = np.array(self._ids("\n".join(lines[a:a + ENCODE_CHUNKS])), np.uint32)
+            ends = np.append(np.flatnonzero(ids == self.feed), len(ids))
+            starts = np.append(0, ends[:-1] + 1)
+            k = line_of[a:a + ENCODE_CHUNKS]
+            first[k], size[k] = self.ids.add(ids) + starts, ends - starts
         for k, text in apart:
-            found[k - known] = np.array(self._ids(text), np.uint32)
-
-        feed = np.array([self.feed], np.uint32)
-
-        def of(k: int) -> np.ndarray:
-            if k < known:
-                return self.ids[self.first[k]:self.first[k] + self.size[k]]
-            if found[k - known] is None:
-                part, mark = made[k]
-                found[k - known] = np.concatenate((of(part), self.marks[mark]) if mark else (feed, of(part)))
-            return found[k - known]
-
-        for k in made:
-            of(k)
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        self.first = np.concatenate((self.first, len(self.ids) + np.cumsum(sizes) - sizes))
-        self.size = np.concatenate((self.size, sizes))
-        self.ids = np.concatenate((self.ids, *found)).astype(np.uint32)
-        self.at.waiting.clear()
+            ids = np.array(self._ids(text), np.uint32)
+            first[k], size[k] = self.ids.add(ids), len(ids)
+        while len(made_of):
+            k, part, mark = np.array(made_of, np.int64).T
+            ready = size[part] >= 0
+            self._put_together(k[ready], part[ready], mark[ready])
+            made_of = [m for m, r in zip(made_of, ready.tolist()) if not r]
+
+    def _put_together(self, k: np.ndarray, part: np.ndarray, mark: np.ndarray) -> None:
+        """Ids of chunks ``k``: those of ``part`` with a mark's id behind, or a line feed's (mark -1) in front."""
+        first, size = self.first.all, self.size.all
+        n = size[part].astype(np.int64)
+        at = np.cumsum(n + 1) - n - 1
+        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        ids = np.empty(len(within) + len(k), np.uint32)
+        front = mark < 0
+        ids[np.repeat(at + front, n) + within] = self.ids.all[np.repeat(first[part], n) + within]
+        ids[np.where(front, at, at + n)] = np.where(front, self.feed, mark)
+        first[k], size[k] = self.ids.add(ids) + at, n + 1
 
 
 _TOKENIZERS: dict[str, ChunkTokenizer] = {}
@@ -248,7 +289,7 @@ def _pack(rows: DataFrame, capacity: int, buckets: int, turn: int) -> DataFrame:
         fill = np.bincount(where, weights=sizes, minlength=bins).astype(np.int64)
         bound = lower_bound(np.bincount(sizes, minlength=capacity + 1))
         gives = fill < capacity if bins > bound else np.arange(bins) == np.argmin(fill)
-        ids = (turn << 58) + (rows["bucket"][0].as_py() << 18) + np.array(where, np.int64)
+        ids = (turn << 53) + (rows["bucket"][0].as_py() << 22) + np.array(where, np.int64)
         return (rows.drop_columns(["bucket"]).append_column("sequence_id", pa.array(ids))
                 .append_column("offset", pa.array(offset, pa.int64()))
                 .append_column("gives", pa.array(gives[where])))
@@ -276,22 +317,21 @@ def pack(rows: DataFrame, capacity: int = 2048) -> DataFrame:
     buckets = -(-int(counts.sum()) // BUCKET_ROWS)
     done, pool = [], stage(_pack(rows, capacity, buckets, 0), "packing")
     total = pool.agg(F.count_if(F.col("offset") == 0)).head()[0]
-    for turn in range(1, MAX_ROUNDS):
-        if total <= bound:
-            break
+    turn, bucket_rows = 0, BUCKET_ROWS
+    while total > bound:
+        turn, bucket_rows = turn + 1, min(2 * bucket_rows, MAX_BUCKET_ROWS)
         given = pool.where("gives")
         n, used = given.agg(F.count(F.lit(1)), F.count_if(F.col("offset") == 0)).head()
         if not n:
             break
-        fewer = min(-(-n // BUCKET_ROWS), max(1, buckets // 2))
-        again = stage(_pack(given.select(*columns[:5]), capacity, fewer, turn), "packing")
+        buckets = -(-n // bucket_rows)
+        again = stage(_pack(given.select(*columns[:5]), capacity, buckets, turn), "packing")
         saved = used - again.agg(F.count_if(F.col("offset") == 0)).head()[0]
         if saved > 0:
             done.append(pool.where("not gives"))
             pool, total = again, total - saved
-        elif fewer == 1:
-            break  # all that was given out, packed as one, needs as many bins
-        buckets = fewer
+        elif buckets == 1 or bucket_rows == MAX_BUCKET_ROWS:
+            break
     for part in done:
         pool = pool.unionByName(part)
     return pool.select(*columns)
@@ -302,7 +342,8 @@ def pack_documents(docs: DataFrame, path: str, length: int = 2048, end_id: int =
     """Tokenise and pack: one row per piece with doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     Null and empty texts are the single end token; null ids are kept; repeated rows are packed
-    each on their own; other columns are ignored; an empty table gives no rows.
+    each on their own; pieces of equal length are placed in the order of id, piece and checksum; other
+    columns are ignored; an empty table gives no rows.
     """
     return pack(stage(pieces(docs, path, length, end_id, False, id_col, text_col), "pieces"), length)
 

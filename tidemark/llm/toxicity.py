@@ -5,8 +5,8 @@ them, and four-letter word stems; each counts once a text.  The model is fitted
 rates and L1, which leaves weights only for features that keep recurring in one class.  Those
 few thousand (hash, weight) pairs are broadcast, and every text is scored where it lies.
 
-The fit uses a bounded sample: at most ``class_rows`` labelled rows of each class, those with the
-smallest hashed ids.  Where the bound thins one class more than the other, the intercept is
+The fit uses a bounded sample: at most ``class_rows`` labelled documents of each class, those with the
+smallest hashed ids, and at most ``max_features`` features of theirs.  Where the bound thins one class more than the other, the intercept is
 corrected by the two classes' known sizes.
 """
 
@@ -19,15 +19,15 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import only_cache, ship
+from .common import map_arrow, only_cache, ship, slices
 
 WORD = re.compile(r"[^\W_]+")
 STEM = 4
 #: Words whose hashes a task remembers.
-WORD_CACHE = 1 << 18
+WORD_CACHE = 1 << 16
 #: Size of the table that sorts out most features without a weight before the exact look-up.
 SIEVE = 1 << 20
 #: A text is toxic from this score on.
@@ -89,16 +89,28 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(total, -30, 30))))
 
 
-def ftrl(rows: list[np.ndarray], labels: np.ndarray, alpha: float = 2.0, beta: float = 1.0, l1: float = 4.0,
-         l2: float = 1.0, epochs: int = 4, min_rows: int = 3, seed: int = 0) -> Model:
-    """FTRL-proximal over rows of distinct feature hashes; features in under ``min_rows`` rows are left out."""
-    counts = np.zeros(1 << 22, np.int32)
-    low = np.uint64((1 << 22) - 1)
+def frequent(rows: list[np.ndarray], min_rows: int) -> np.ndarray:
+    """Sorted features that are in at least ``min_rows`` of the rows (each of distinct features); drops others in place."""
+    counts, low = np.zeros(1 << 22, np.int32), np.uint64((1 << 22) - 1)
     for r in rows:
         counts[r & low] += 1
-    rows = [r[counts[r & low] >= min_rows] for r in rows]
-    hashes = np.unique(np.concatenate(rows)) if rows else np.zeros(0, np.uint64)
-    rows = [np.searchsorted(hashes, r) for r in rows]
+    for i, r in enumerate(rows):  # a place's count is no less than its features'
+        rows[i] = r[counts[r & low] >= min_rows]
+    found = np.concatenate(rows) if rows else np.zeros(0, np.uint64)
+    hashes, counts = np.unique(found, return_counts=True)
+    return hashes[counts >= min_rows]
+
+
+def ftrl(rows: list[np.ndarray], labels: np.ndarray, alpha: float = 2.0, beta: float = 1.0, l1: float = 4.0,
+         l2: float = 1.0, epochs: int = 4, min_rows: int = 3, seed: int = 0) -> Model:
+    """FTRL-proximal over rows of distinct feature hashes; features in under ``min_rows`` rows are left out.
+
+    ``rows`` is used up: its arrays become the features' numbers.
+    """
+    hashes = frequent(rows, min_rows)
+    for i, r in enumerate(rows):
+        at = np.searchsorted(hashes, r)
+        rows[i] = at[hashes[np.minimum(at, len(hashes) - 1)] == r].astype(np.int32) if len(hashes) else at[:0]
     z, n = np.zeros(len(hashes) + 1), np.zeros(len(hashes) + 1)  # the last is the intercept, without L1
     order, draw = np.arange(len(rows)), np.random.RandomState(seed)
 
@@ -126,11 +138,13 @@ def ftrl(rows: list[np.ndarray], labels: np.ndarray, alpha: float = 2.0, beta: f
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "toxic", class_rows: int = 4096) -> Model:
-    """Fit on at most ``class_rows`` labelled rows of each class.
+        label_col: str = "toxic", class_rows: int = 4096, max_features: int = 1 << 25) -> Model:
+    """Fit on at most ``class_rows`` labelled documents of each class, and ``max_features`` features of theirs.
 
     Labels join on the id; null ids and labels take no part, and an id labelled both ways counts
-    as toxic.  Without rows of both classes the model has no weights, and its intercept is the share of
+    as toxic.  Of several rows with one id the text of smallest hash counts.  Features are made where the texts lie; the fit takes
+    the sample's documents in the order of their ids' hashes until one would pass ``max_features``.  Without rows of
+    both classes the model has no weights, and its intercept is the share of
     toxic labels (one half without labels).
     """
     marked = (labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y"))
@@ -138,40 +152,60 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = marked.join(docs.select(F.col(id_col).cast("long").alias("doc_id")).distinct(), "doc_id", "left_semi")
     sizes = {r.y: r.n for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(sizes) < 2:
-        share = (sizes.get(1, 0) + 1) / (sum(sizes.values()) + 2)
-        return Model(np.zeros(0, np.uint64), np.zeros(0), float(np.log(share / (1 - share))))
+        return _without_weights(sizes)
     # The ids with the smallest hashes: about twice as many pass the bound as are taken, whatever the labels' number.
     place = F.shiftrightunsigned(F.xxhash64("doc_id"), 1)
-    near = F.lit(False)
+    chosen = None
     for y, n in sizes.items():
-        near = near | ((F.col("y") == y) & (place <= int((1 << 63) * min(1.0, 2 * class_rows / n)) - 1))
-    rank = F.row_number().over(Window.partitionBy("y").orderBy(place, "doc_id"))
-    chosen = known.where(near).withColumn("rank", rank).where(F.col("rank") <= class_rows)  # at most 2 * class_rows rows
+        near = known.where((F.col("y") == y) & (place <= int((1 << 63) * min(1.0, 2 * class_rows / n)) - 1))
+        first = near.orderBy(place, "doc_id").limit(class_rows)
+        chosen = first if chosen is None else chosen.unionByName(first)  # at most 2 * class_rows ids
     sample = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-              .join(F.broadcast(chosen), "doc_id").repartition(1)
-              .sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "text").select("text", "y"))
+              .join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y")
+              .agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")))
+
+    def distinct_features(batch):
+        _use_cache()
+        found = [np.unique(features(text)).view(np.int64) for text in batch.column("text").to_pylist()]
+        yield {"doc_id": batch.column("doc_id"), "y": batch.column("y"), "features": found}
 
-    rows, labels_of = [], []
+    made = (map_arrow(sample, distinct_features, "doc_id long, y int, features array<long>")
+            .repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id").select("y", "features"))
 
     def train(batches):
-        _use_cache()
+        rows, labels_of, held = [], [], 0
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                rows.append(np.unique(features(text)))
-            labels_of.extend(batch.column(1).to_pylist())
+            for part in slices(batch):
+                found = part.column(1)
+                ends = found.offsets.to_numpy()
+                values = found.values.to_numpy()
+                for y, a, b in zip(part.column(0).to_pylist(), ends[:-1].tolist(), ends[1:].tolist()):
+                    if held is not None and held + b - a <= max_features:
+                        held += b - a
+                        rows.append(values[a:b].view(np.uint64).copy())
+                        labels_of.append(y)
+                    else:
+                        held = None
+        taken = [labels_of.count(y) for y in (0, 1)]
         m = ftrl(rows, np.array(labels_of, float))
         yield pa.RecordBatch.from_pydict({"hashes": pa.array([m.hashes.view(np.int64)], pa.list_(pa.int64())),
                                           "weights": pa.array([m.weights], pa.list_(pa.float64())),
-                                          "intercept": pa.array([m.intercept], pa.float64())})
+                                          "intercept": pa.array([m.intercept], pa.float64()),
+                                          "taken": pa.array([taken], pa.list_(pa.int32()))})
 
-    ship(docs.sparkSession)
-    got = sample.mapInArrow(train, "hashes array<long>, weights array<double>, intercept double").first()
-    taken = {y: min(k, class_rows) for y, k in sizes.items()}
-    shift = np.log(sizes[1] / sizes[0]) - np.log(taken[1] / taken[0])
+    got = made.mapInArrow(train, "hashes array<long>, weights array<double>, intercept double, taken array<int>").first()
+    if min(got.taken) == 0:
+        return _without_weights(sizes)
+    shift = np.log(sizes[1] / sizes[0]) - np.log(got.taken[1] / got.taken[0])
     return Model(np.array(got.hashes, np.int64).view(np.uint64), np.array(got.weights, float),
                  got.intercept + float(shift))
 
 
+def _without_weights(sizes: dict[int, int]) -> Model:
+    share = (sizes.get(1, 0) + 1) / (sum(sizes.values()) + 2)
+    return Model(np.zeros(0, np.uint64), np.zeros(0), float(np.log(share / (1 - share))))
+
+
 def scorer(df: DataFrame, model: Model):
     """A column function from a text column to its score, with the model broadcast."""
     ship(df.sparkSession)
