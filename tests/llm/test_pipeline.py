@@ -22,6 +22,27 @@ def test_stages(spark):
     assert len(cp.run(spark, FOLDER).collect()) == len(packed)
 
 
+#: Names that the stages use for columns of their own.
+INTERNAL = ("fp", "th", "root", "key", "row", "k_id", "k_th", "__kept_words", "kept", "new", "changed_key", "chosen_key", "sha", "copy",
+            "first", "n_words", "n_removed", "kept_sha256", "ranges", "start", "windows", "anchor", "run", "recurring", "anchors", "y",
+            "features", "rank", "score", "piece", "length", "ids_crc32", "sequence_id", "offset", "bucket", "gives", "component_id",
+            "node", "u", "v", "w", "n", "i", "a", "b", "k", "r", "none", "KEY", "Row")
+
+
+def test_stages_take_every_name_of_their_own(spark):
+    from pyspark.sql import functions as F
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(40)
+    own = [n for n in INTERNAL if n not in ("KEY", "Row")]
+    odd = docs.select("*", *[F.lit(n).alias(n) for n in own])
+    upper = docs.select("*", F.lit(1).alias("KEY"), F.lit(2).alias("Row"))
+    for kept in (odd, upper):
+        for _, step in cp.STAGES[:-1]:
+            before, kept = kept, stage(step(spark, kept, FOLDER), "test")
+            assert kept.columns == before.columns
+        assert kept.count() > 20 and kept.drop(*docs.columns).distinct().count() == 1
+        assert cp.STAGES[-1][1](spark, kept, FOLDER).select("doc_id").distinct().count() == kept.count()
+
+
 def test_stages_take_nulls_extra_columns_and_no_rows(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(60)
     odd = docs.selectExpr("*", "'a' as fp", "1 as th", "2 as root").unionByName(spark.createDataFrame(

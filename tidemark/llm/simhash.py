@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, map_arrow, stage
+from .common import as_bytes, free_name, map_arrow, stage
 from .components import components
 
 #: Classes in a bucket up to which its pairs are compared; larger ones take the exact pivot way.
@@ -138,13 +138,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = stage(near_duplicates(docs, id_col, text_col, shingle, max_distance, seed).select("doc_id", "th", "root"),
                   "simhash-found")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")
-    chosen = found.groupBy("root").agg(F.min(order).alias("r")).select(F.col("r.doc_id").alias("k_id"),
-                                                                        F.col("r.th").alias("k_th"))
+    chosen = found.groupBy("root").agg(F.min(order).alias("r")).select("r.doc_id", "r.th")
     repeated = not found.groupBy("doc_id", "th").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
-    mark = "__text_hash"
-    while mark in docs.columns:
-        mark += "_"
-    hashed = docs.withColumn(mark, F.xxhash64(as_bytes(text_col)))
-    kept = hashed.join(chosen, (F.col(mark) == F.col("k_th")) & F.col(id_col).cast("long").eqNullSafe(F.col("k_id")),
-                       "left_semi")
-    return (kept.dropDuplicates([id_col, mark]) if repeated else kept).drop(mark)
+    row, key = free_name("row", docs.columns), free_name("key", docs.columns)
+    key_of = F.struct(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(as_bytes(text_col)).alias("th"))
+    # The documents' own columns stay in one struct, so that no name of theirs meets one of the join's.
+    rows = docs.select(key_of.alias(key), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row))
+    keys = chosen.select(F.struct("doc_id", "th").alias("chosen_key"))
+    kept = rows.join(keys, F.col(key).eqNullSafe(F.col("chosen_key")), "left_semi")
+    return (kept.dropDuplicates([key]) if repeated else kept).select(f"{row}.*")

@@ -30,13 +30,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, map_arrow, only_cache, stage
+from .common import as_bytes, free_name, map_arrow, only_cache, stage
 
 #: Odd base of the polynomial hashes (mod 2**64) and its inverse.
 BASE = 0x9E3779B97F4A7C15
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
 #: Distinct words whose hashes a task remembers.
-WORD_CACHE = 1 << 18
+WORD_CACHE = 1 << 17
 
 
 class WordHashes(dict):
@@ -264,17 +264,19 @@ def cut_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     and a row that loses all its words stays with an empty text.
     """
     found = deduplicate(docs, id_col, text_col, window, phrase)
-    changed = (found.where("kept is not null").select(F.col("doc_id").alias("k_id"), F.col("th").alias("k_th"), "kept")
-               .dropDuplicates(["k_id", "k_th"]).withColumnRenamed("kept", "__kept_words"))
-    hashed = F.xxhash64(as_bytes(text_col))
-    joined = docs.join(changed, (F.col(id_col).cast("long") == F.col("k_id")) & (hashed == F.col("k_th")), "left")
-    new = F.col("__kept_words")
+    changed = (found.where("kept is not null").select(F.struct("doc_id", "th").alias("changed_key"), "kept")
+               .dropDuplicates(["changed_key"]).select("changed_key", F.struct("kept").alias("new")))
+    row, key = free_name("row", docs.columns), free_name("key", docs.columns)
+    key_of = F.struct(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(as_bytes(text_col)).alias("th"))
+    # The documents' own columns stay in one struct, so that no name of theirs meets one of the join's.
+    rows = docs.select(key_of.alias(key), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row))
+    joined = rows.join(changed, F.col(key) == F.col("changed_key"), "left")
     columns = []
     for c in docs.columns:
-        own = docs[c]
+        own, kept = F.col(row)[c], F.col("new")["kept"]
         if c == text_col:
-            own = F.coalesce(new, own)
+            own = F.coalesce(kept, own)
         elif size_col is not None and c == size_col:
-            own = F.when(new.isNull(), own).otherwise(F.length(new)).cast(docs.schema[c].dataType)
+            own = F.when(kept.isNull(), own).otherwise(F.length(kept)).cast(docs.schema[c].dataType)
         columns.append(own.alias(c))
     return joined.select(*columns)
