@@ -210,11 +210,11 @@ def test_merkle(spark, n):
     assert n < 64 or {r[-1] for r in want} == {True, False}
 
 
-def test_merkle_levels_between_are_not_stored(spark, monkeypatch):
+def test_merkle_levels_between_are_not_stored(spark):
     from pyspark.sql import functions as F
     nodes = spark.range(5000).select(F.lit("a").alias("g"), F.col("id").alias("idx"), F.sha2(F.col("id").cast("string"), 256).alias("digest"),
                                      F.lit(13).alias("height"), F.lit("p").alias("payload"))
-    stored = merkle.build(nodes, "test")
+    stored = merkle.build(nodes, 5000, 13, "test")
     assert [s.count() for s in stored] == [5000, 79, 2, 1]
 
 

@@ -18,6 +18,8 @@ from .ranking import numbered
 
 #: Levels between two stored ones.
 LEVELS = 6
+#: Nodes that a task takes at least, so that the few nodes of upper levels don't lie in many small files.
+TASK_NODES = 50_000
 #: Columns that a leaf digests, in this order.
 LEAF_COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
 
@@ -37,6 +39,11 @@ def leaf(values: list[Column]) -> Column:
     return _digest(F.concat(*map(_field, values)))
 
 
+def _few(df: DataFrame, nodes: int) -> DataFrame:
+    """``df``, made from ``nodes`` nodes, in as many tasks as these are worth."""
+    return df.coalesce(nodes // TASK_NODES + 1)
+
+
 def _above(row: Column) -> Column:
     """The level above a row of nodes: digests of every two, the last alone where their number is odd."""
     return F.transform(F.sequence(F.lit(0), F.expr("0") + ((F.size(row) - 1) / 2).cast("int")),
@@ -51,20 +58,20 @@ def _subtrees(nodes: DataFrame, level: int) -> DataFrame:
     return grouped.withColumn("steps", F.least(F.lit(LEVELS), F.col("height") - level))
 
 
-def build(nodes: DataFrame, label: str) -> list[DataFrame]:
+def build(nodes: DataFrame, n: int, height: int, label: str) -> list[DataFrame]:
     """The stored levels of every tree, lowest first.
 
     ``nodes`` has g (the tree), idx (place from 0), digest, payload (any struct that stays with it) and
-    height (levels above the leaves: 0 for a lone leaf).
+    height (levels above the leaves: 0 for a lone leaf); ``n`` is their number, ``height`` the largest.
     """
     stored = [nodes]
-    top = nodes.agg(F.max("height")).head()[0] or 0
-    for level in range(0, top, LEVELS):
+    for level in range(0, height, LEVELS):
         trees = _subtrees(stored[-1].select("g", "idx", "digest", "height", F.lit(None).cast("string").alias("payload")),
                           level)
         risen = F.aggregate(F.sequence(F.lit(1), F.col("steps")), F.col("members.digest"), lambda row, _: _above(row))
-        stored.append(stage(trees.select("g", F.col("up").alias("idx"), F.get(risen, 0).alias("digest"), "height",
-                                         F.lit(None).cast("string").alias("payload")), f"{label}-{level + LEVELS}"))
+        risen = trees.select("g", F.col("up").alias("idx"), F.get(risen, 0).alias("digest"), "height",
+                             F.lit(None).cast("string").alias("payload"))
+        stored.append(stage(_few(risen, n >> level), f"{label}-{level + LEVELS}"))
     return stored
 
 
@@ -77,7 +84,7 @@ def tops(stored: list[DataFrame]) -> DataFrame:
     return found
 
 
-def proofs(stored: list[DataFrame], above: DataFrame, label: str) -> DataFrame:
+def proofs(stored: list[DataFrame], n: int, above: DataFrame, label: str) -> DataFrame:
     """payload, digest, path and note of every leaf: path has its siblings and the side they stand on, lowest first.
 
     ``above`` has g, path (the part of the proofs over each tree's top) and a note that all
@@ -106,7 +113,7 @@ def proofs(stored: list[DataFrame], above: DataFrame, label: str) -> DataFrame:
             own = F.transform(F.sequence(F.lit(0), F.col("steps") - 1), step)
             paths = paths.unionByName(member.select("g", "m.idx", "m.digest", "m.payload",
                                                     F.concat(own, "rest").alias("path"), "note"))
-        start = stage(paths, f"{label}-paths-{level}") if k else paths
+        start = stage(_few(paths, n >> level), f"{label}-paths-{level}") if k else paths
     return start.select("payload", "digest", "path", "note")
 
 
@@ -147,21 +154,23 @@ def manifest(docs: DataFrame, id_col: str = "doc_id", group_col: str = "lang", c
     placed, sizes = numbered(leaves, ["doc_id", "digest", "row"], "merkle-order", "g")
     placed = (placed.join(sizes.select("g", _height(F.col("n")).alias("height")), "g")
               .select("g", "idx", "digest", "height", F.struct("doc_id", "tampered").alias("payload")))
-    stored = build(placed, "merkle")
+    placed = stage(placed, "merkle-placed")
+    n, n_groups, height = placed.agg(F.count(F.lit(1)), F.count_if(F.col("idx") == 0), F.max("height")).head()
+    stored = build(placed, n, height or 0, "merkle")
 
     # The groups' tops are the leaves of one more tree.
-    groups, size = numbered(stage(tops(stored), "merkle-tops"), ["g"], "merkle-groups")
-    n_groups = size.agg(F.sum("n")).head()[0] or 0
-    trunk = build(groups.select(F.lit("").alias("g"), "idx", "digest", F.lit((max(n_groups, 1) - 1).bit_length()).alias("height"),
-                                F.struct("g").alias("payload")), "merkle-trunk")
+    groups, _ = numbered(stage(_few(tops(stored), n_groups), "merkle-tops"), ["g"], "merkle-groups")
+    height = (max(n_groups, 1) - 1).bit_length()
+    groups = groups.select(F.lit("").alias("g"), "idx", "digest", F.lit(height).alias("height"), F.struct("g").alias("payload"))
+    trunk = build(stage(_few(groups, n_groups), "merkle-trunk"), n_groups, height, "merkle-trunk")
     root = tops(trunk).select(F.lit("").alias("g"), F.col("digest").alias("note"),
                               F.expr("cast(array() as array<struct<sibling: string, left: boolean>>)").alias("path"))
-    over = stage(proofs(trunk, root, "merkle-trunk").select(
-        "payload.g", "path", F.struct(F.col("digest").alias("subroot"), F.col("note").alias("root")).alias("note")),
-        "merkle-over")
+    over = proofs(trunk, n_groups, root, "merkle-trunk").select(
+        "payload.g", "path", F.struct(F.col("digest").alias("subroot"), F.col("note").alias("root")).alias("note"))
+    over = stage(_few(over, n_groups), "merkle-over")
 
     folded = fold(F.coalesce("payload.tampered", "digest"), F.col("path"))
-    return (proofs(stored, over, "merkle")
+    return (proofs(stored, n, over, "merkle")
             .select("payload.doc_id", F.col("digest").alias("leaf"), "note.subroot", "note.root",
                     proof_digest(F.col("path")).alias("proof_sha256"), folded.alias("folded_root"))
             .withColumn("verified", F.col("folded_root") == F.col("root")))

@@ -25,10 +25,10 @@ def numbered(df: DataFrame, order: list[Column | str], label: str, group: str |
     parts = dealt.groupBy(*by, part).agg(F.min(seq).alias(first), F.count(F.lit(1)).alias(n_part))
     # A row per task and group: the window's input grows with the tasks, not with the rows.
     before = Window.partitionBy(*by).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    parts = stage(parts.withColumn(below, F.coalesce(F.sum(n_part).over(before), F.lit(0))), label + "-parts")
+    parts = parts.withColumn(below, F.coalesce(F.sum(n_part).over(before), F.lit(0)))
     rows = (dealt.join(parts.drop(n_part), [*by, part])
             .withColumn("idx", F.col(seq) - F.col(first) + F.col(below)).select(*df.columns, "idx"))
-    return rows, parts.groupBy(*by).agg(F.sum(n_part).alias("n"))
+    return rows, dealt.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
 
 
 def _free_names(df: DataFrame, *wanted: str) -> dict[str, str]:
