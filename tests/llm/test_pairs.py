@@ -147,6 +147,46 @@ def test_substring(spark):
     assert substring.deduplicate(frame(spark, [])).collect() == []
 
 
+def test_automaton_decides(spark):
+    """Windows are found by the automaton's occurrences: all that recur with its phrases, none without them."""
+    rng = random.Random(21)
+    texts = [[b"w%d" % rng.randrange(40) for _ in range(rng.randrange(60, 160))] for _ in range(30)]
+    for t in texts[10:]:
+        t[30:55] = rng.choice(texts[:10])[10:35]
+    hashes = substring.WordHashes()
+    values = [hashes.of(t) for t in texts]
+    window, phrase = 20, 4
+    carried = [set(substring.anchor_phrases(v, window, phrase)) for v in values]
+    often = {p for p in set().union(*carried) if sum(p in c for c in carried) > 1}
+
+    def located(phrases):
+        automaton = substring.automaton_of(phrases)
+        found = {}
+        for k, v in enumerate(values):
+            for anchor, _, start, own in substring.runs(v, automaton, window, phrase):
+                for i, h in enumerate(own.tolist()):
+                    found.setdefault((anchor, h), set()).add((k, start + i))
+        return {frozenset(places) for places in found.values() if len({k for k, _ in places}) > 1}
+
+    every = {}
+    for k, t in enumerate(texts):
+        for i in range(len(t) - window + 1):
+            every.setdefault(tuple(t[i:i + window]), set()).add((k, i))
+    want = {frozenset(p) for p in every.values() if len({k for k, _ in p}) > 1}
+    assert located(often) == want and len(want) > 30
+    assert located(set().union(*carried)) == want           # more phrases change nothing
+    assert located(set()) == set()
+    some = located(set(sorted(often)[::2]))
+    assert some < want
+    # Every occurrence is found, also where it is no anchor.
+    one = sorted(often)[0]
+    automaton = substring.automaton_of([one])
+    for v in values:
+        numbers = v.astype("<u4").tobytes()
+        assert substring.occurrences(automaton, v, phrase).tolist() == [
+            i for i in range(len(v) - phrase + 1) if numbers[4 * i:4 * (i + phrase)] == one]
+
+
 def test_anchor_is_the_windows_own(spark):
     """Equal windows have equal anchors wherever they stand."""
     rng = random.Random(2)

@@ -8,12 +8,14 @@ the operator finds recurring passages first:
    windows have equal anchors, and neighbouring windows mostly share one, so only one
    phrase in about twenty is an anchor.  Documents of equal words are one class.
 2. *Confirm*: anchors in two or more documents recur (one aggregate, combined before the
-   shuffle).
-3. *Locate*: documents with recurring anchors are streamed in bounded groups; each
-   group compiles an Aho-Corasick automaton of the recurring phrases its documents carry, and
-   the automaton finds every occurrence in them.  The automata are thus sharded with the documents:
-   none grows with the corpus, and a very common phrase is one pattern of each.
-4. *Compare*: windows under one located anchor form a run.  Equal runs are settled by one row
+   shuffle).  The phrases themselves, as 32-bit numbers of their words, go on.
+3. *Locate*: all documents that have such phrases are streamed in bounded groups; each
+   group compiles an Aho-Corasick automaton over words of the recurring phrases its documents carry, and
+   the automaton finds every occurrence in them, whether it is an anchor there or not.  The automata are thus sharded with the
+   documents: none grows with the corpus, and a very common phrase is one pattern of each.  A document without a recurring phrase has no
+   window that recurs.
+4. *Compare*: a window belongs to the occurrence inside it with the smallest phrase hash; where the window recurs that is its
+   anchor, wherever it stands.  Windows without an occurrence are left alone.  Windows under one occurrence form a run.  Equal runs are settled by one row
    per run; only runs of anchors that occur with several different surroundings
    are compared window by window.
 
@@ -23,6 +25,7 @@ Runs and windows are compared by (anchor, 64-bit hash) under two independent has
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterable
 
 import ahocorasick
 import numpy as np
@@ -110,66 +113,96 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def scan(docs: DataFrame, window: int, phrase: int) -> DataFrame:
-    """Per row: its id, text hash, number of words, SHA-256 of the words, distinct anchors."""
+    """Per row: its id, text hash, number of words, SHA-256 of the words, distinct anchor phrases (32 bits a word)."""
     def run(batch):
         counts, shas, anchors = [], [], []
         for text in batch.column("text").to_pylist():
             words = text.split()
             counts.append(len(words))
             shas.append(hashlib.sha256(b" ".join(words)).hexdigest())
-            at, grams = anchor_positions(word_hashes(words), window, phrase) if len(words) >= window else ([], None)
-            anchors.append(np.unique(_signed(grams[np.unique(at)])) if len(at) else [])
+            anchors.append(anchor_phrases(word_hashes(words), window, phrase) if len(words) >= window else [])
         yield {"doc_id": batch.column("doc_id"), "th": batch.column("th"), "n_words": counts, "sha": shas,
                "anchors": anchors}
 
-    return map_arrow(docs, run, "doc_id long, th long, n_words long, sha string, anchors array<long>")
+    return map_arrow(docs, run, "doc_id long, th long, n_words long, sha string, anchors array<binary>")
+
+
+def anchor_phrases(values: np.ndarray, window: int, phrase: int) -> list[bytes]:
+    """The distinct anchors of a text's windows, as the words' 32-bit numbers one after the other."""
+    at, _ = anchor_positions(values, window, phrase)
+    words = np.lib.stride_tricks.sliding_window_view(values.astype("<u4"), phrase)[np.unique(at)]
+    return sorted({w.tobytes() for w in words})
+
+
+def automaton_of(phrases: Iterable[bytes]) -> ahocorasick.Automaton:
+    """An automaton that finds every occurrence of the phrases; its characters are the bytes of the words' numbers."""
+    found = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+    for k, p in enumerate(phrases):
+        found.add_word(p.decode("latin-1"), k)
+    found.make_automaton()
+    return found
+
+
+def occurrences(automaton: ahocorasick.Automaton, values: np.ndarray, phrase: int) -> np.ndarray:
+    """Sorted places in a text (of word hashes) where a phrase of the automaton begins."""
+    if not len(automaton):
+        return np.zeros(0, np.int64)
+    numbers = values.astype("<u4").tobytes().decode("latin-1")
+    behind = np.fromiter((end for end, _ in automaton.iter(numbers)), np.int64) + 1
+    return behind[behind % 4 == 0] // 4 - phrase  # others begin within a word
+
+
+def chosen_occurrences(hits: np.ndarray, grams: np.ndarray, windows: int, width: int) -> np.ndarray:
+    """For each window the place of the occurrence inside with the smallest phrase hash (the leftmost of equal ones); -1 without any.
+
+    ``width`` is the number of phrases in a window.  Of a window that recurs this is its anchor, as every
+    anchor of its text that recurs is a phrase of the automaton.
+    """
+    order = hits[np.lexsort((hits, grams[hits]))]
+    rank = np.full(len(grams), len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    padded = np.full(-(-len(grams) // width) * width, len(order), np.int64)
+    padded[:len(grams)] = rank
+    blocks = padded.reshape(-1, width)
+    left = np.minimum.accumulate(blocks, axis=1).ravel()
+    right = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
+    best = np.minimum(right[:windows], left[width - 1:width - 1 + windows])
+    return np.append(order, -1)[best]
+
+
+def runs(values: np.ndarray, automaton: ahocorasick.Automaton, window: int, phrase: int) -> list[tuple]:
+    """(anchor, run hash, first window, hashes of its windows) of each run of windows under one occurrence."""
+    n = len(values) - window + 1
+    hits = occurrences(automaton, values, phrase) if n > 0 else np.zeros(0, np.int64)
+    if not len(hits):
+        return []
+    grams = _mixed(span_hashes(values, phrase))
+    at = chosen_occurrences(hits, grams, n, window - phrase + 1)
+    hashes = span_hashes(_mixed(values), window)
+    edges = np.flatnonzero(np.diff(at)) + 1
+    found = []
+    for a, b in zip([0, *edges.tolist()], [*edges.tolist(), n]):
+        if at[a] >= 0:
+            own = hashes[a:b]
+            found.append((int(_signed(grams[at[a]:at[a] + 1])[0]),
+                          xxhash.xxh64_intdigest(own.tobytes(), 1) - (1 << 63), a, _signed(own)))
+    return found
 
 
 def locate(docs: DataFrame, window: int, phrase: int) -> DataFrame:
-    """Every run of windows whose anchor is one of the document's recurring phrases.
+    """Runs of windows under an occurrence of a recurring phrase, of texts with the ``recurring`` phrases of theirs.
 
-    Per run: the document, anchor, run hash, first window and the hashes of its windows.
+    Each group of texts (a slice of a batch) has an automaton of all its recurring phrases: a shard whose size
+    the slice bounds.  It is run over every text of the group, and its occurrences decide.
     """
     def run(batch):
-        texts = [t.split() for t in batch.column("text").to_pylist()]
-        hashed = [word_hashes(words) for words in texts]
-        found = [anchor_positions(v, window, phrase) for v in hashed]
-        automaton = ahocorasick.Automaton()
-        for words, (at, grams), wanted in zip(texts, found, batch.column("recurring").to_pylist()):
-            keys = np.unique(at)
-            keys = keys[np.isin(_signed(grams[keys]), np.array(wanted, np.int64))]
-            for p in keys.tolist():
-                automaton.add_word((b" " + b" ".join(words[p:p + phrase]) + b" ").decode("latin-1"), p)
-        automaton.make_automaton()
+        automaton = automaton_of({p for own in batch.column("recurring").to_pylist() for p in own})
         cols = {k: [] for k in ("doc_id", "th", "anchor", "run", "start", "windows")}
         ids, ths = batch.column("doc_id").to_pylist(), batch.column("th").to_pylist()
-        for k, (words, values, (at, grams)) in enumerate(zip(texts, hashed, found)):
-            if not len(at) or not len(automaton):
-                continue
-            joined = b" ".join(words).decode("latin-1")  # one character a byte
-            # Of each occurrence the automaton gives the last character, the space after the phrase.
-            ends = np.fromiter((e for e, _ in automaton.iter(" " + joined + " ")), np.int64)
-            if not len(ends):
-                continue
-            lengths = np.fromiter(map(len, words), np.int64, len(words))
-            after = np.cumsum(lengths + 1)  # place of the space after each word
-            hit = np.zeros(len(grams), bool)
-            hit[np.searchsorted(after, ends) - phrase + 1] = True
-            edges = np.flatnonzero(np.diff(at)) + 1
-            firsts = np.concatenate(([0], edges))
-            lasts = np.concatenate((edges, [len(at)]))
-            keep = hit[at[firsts]]
-            if not keep.any():
-                continue
-            windows = span_hashes(_mixed(values), window)
-            for a, b in zip(firsts[keep].tolist(), lasts[keep].tolist()):
-                run_windows = windows[a:b]
-                cols["doc_id"].append(ids[k])
-                cols["th"].append(ths[k])
-                cols["anchor"].append(int(_signed(grams[at[a]:at[a] + 1])[0]))
-                cols["run"].append(xxhash.xxh64_intdigest(run_windows.tobytes(), 1) - (1 << 63))
-                cols["start"].append(a)
-                cols["windows"].append(_signed(run_windows))
+        for k, text in enumerate(batch.column("text").to_pylist()):
+            for anchor, own, start, windows in runs(word_hashes(text.split()), automaton, window, phrase):
+                for name, value in zip(cols, (ids[k], ths[k], anchor, own, start, windows)):
+                    cols[name].append(value)
         yield cols
 
     return map_arrow(docs, run, "doc_id long, th long, anchor long, run long, start int, windows array<long>")
@@ -185,12 +218,11 @@ def removed_ranges(docs: DataFrame, window: int, phrase: int) -> tuple[DataFrame
                  "substring-base")
     # One row per class and anchor: copies of a whole document need no automaton.
     kinds = (long_enough.groupBy("sha").agg(F.min(F.struct("doc_id", "th", "anchors")).alias("k"))
-             .select("sha", "k.doc_id", "k.th", F.explode("k.anchors").alias("anchor")))
+             .select("k.doc_id", "k.th", F.explode("k.anchors").alias("phrase")))
     kinds = stage(kinds, "substring-anchors")
-    recurring = (kinds.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
-                 .where("a < b").select("anchor"))
-    wanted = (kinds.join(recurring, "anchor").groupBy("doc_id", "th")
-              .agg(F.first("sha").alias("sha"), F.collect_list("anchor").alias("recurring")))
+    recurring = (kinds.groupBy("phrase").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
+                 .where("a < b").select("phrase"))
+    wanted = kinds.join(recurring, "phrase").groupBy("doc_id", "th").agg(F.collect_list("phrase").alias("recurring"))
     texts = stage(docs.join(wanted, ["doc_id", "th"]).dropDuplicates(["doc_id", "th"]), "substring-texts")
 
     runs = stage(locate(texts, window, phrase), "substring-runs")
@@ -242,14 +274,14 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             out["n_removed"].append(len(words) - len(kept))
             out["new_sha"].append(hashlib.sha256(rest).hexdigest())
             out["kept"].append(rest.decode("utf-8", "replace"))
-        yield out | {k: batch.column(k) for k in ("doc_id", "sha")}
+        yield out | {k: batch.column(k) for k in ("doc_id", "th")}
 
-    changed = map_arrow(texts.select("doc_id", "th", "sha", "text").join(ranges, ["doc_id", "th"]), cut,
-                        "doc_id long, sha string, n_removed long, new_sha string, kept string")
+    changed = map_arrow(texts.select("doc_id", "th", "text").join(ranges, ["doc_id", "th"]), cut,
+                        "doc_id long, th long, n_removed long, new_sha string, kept string")
     changed = stage(changed, "substring-changed")
     empty = hashlib.sha256(b"").hexdigest()
     gone = F.col("copy")
-    return (base.join(changed, ["doc_id", "sha"], "left")
+    return (base.join(changed, ["doc_id", "th"], "left")
             .select("doc_id", "th", "n_words",
                     F.when(gone, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
                     F.when(gone, F.lit(empty)).otherwise(F.coalesce("new_sha", "sha")).alias("kept_sha256"),
