@@ -57,6 +57,44 @@ def test_trees_learn_from_labels(spark):
     assert sum((r.verdict == "block") == (r.page_id % 3 == 0) for r in got) / len(got) > 0.95
 
 
+def test_labels_are_not_in_their_own_features(spark):
+    """Suffixes with allowed and blocked urls: the rate says nothing of a row's label, so lexical features decide."""
+    rng = random.Random(7)
+    rows = []
+    for i in range(1500):
+        bad = i % 2 == 0
+        rows.append((i, f"http://h{rng.randrange(400)}.{'example.net' if not bad else 'shop.net'}/{'en' if not bad else 'x'}/"
+                        + ("a" * 30 + f"/{rng.randrange(9**9)}?q={i}" if bad else "about")))
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    rated = urlfilter.featured(pages)
+    rates = {(r.label, r.suffix): r for r in rated.groupBy("label", "suffix").agg({"suffix_rate": "avg"}).collect()}
+    one, other = (rates[y, "net"]["avg(suffix_rate)"] for y in (0.0, 1.0))
+    assert abs(one - other) < 0.02
+    # The rates are those of other folds' labels.
+    all_rows = rated.collect()
+    for r in all_rows[:40]:
+        others = [x.label for x in all_rows if x.suffix == r.suffix and x.fold != r.fold]
+        base = sum(x.label for x in all_rows) / len(all_rows)
+        assert r.suffix_rate == pytest.approx((sum(others) + 20 * base) / (len(others) + 20))
+    sample = urlfilter.sample_rows(rated, urlfilter.class_sizes(rated))
+    model = urlfilter.fit_trees(sample)
+    weight = dict(zip(urlfilter.FEATURES, model.featureImportances.toArray()))
+    assert sum(w for f, w in weight.items() if f not in urlfilter.RATES) > 0.5
+    assert "Window" not in sample._jdf.queryExecution().executedPlan().toString()
+    right, common = urlfilter.held_out_accuracy(pages)
+    assert right > 0.98 and common < 0.6
+
+
+def test_rules_over_the_whole_table(spark):
+    folder = "/root/testdata/sf0.01/pages.parquet"
+    urls = duckdb.sql(f"SELECT page_id, url FROM '{folder}'").fetchall()
+    got = urlfilter.judge(spark.read.parquet(folder)).collect()
+    want = {i: brute_url(u) for i, u in urls}
+    assert {r.page_id: (r.host, r.path, r.rule) for r in got} == want and len(got) == len(urls)
+    verdicts = dict(urlfilter.RULES)
+    assert all(r.verdict == verdicts[r.rule] for r in got if r.rule) and any(r.rule for r in got)
+
+
 def test_warc_round_trip(spark, tmp_dir):
     rng = random.Random(1)
     big = "".join(rng.choice("abcdefghij <>&é") for _ in range(200_000))
