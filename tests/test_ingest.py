@@ -252,3 +252,70 @@ def test_bad_records_are_stored_and_counted(spark, tmp_dir):
     (skipped,) = ingest_all(spark, cfg, spark.createDataFrame([("custtable", "g")], "table_name string, processing_group string")).collect()
     assert skipped["status"] == "skipped" and skipped["bad_rows"] is None
     assert TableStore(spark, f"{tmp_dir}/none").bad_records("custtable").collect() == []
+
+
+def test_a_hanging_table_is_stopped_and_the_others_commit(spark, tmp_dir, monkeypatch):
+    import time
+
+    from pyspark.sql import functions as F
+    from tidemark.plans import ingest
+    root = f"{tmp_dir}/landing"
+    landing(root)
+    changelog(root, F2)
+    write(f"{root}/{F1}/slow/a.csv", [line(1, 1, "S")])
+    doc = json.load(open(f"{root}/model.json"))
+    doc["entities"].append({"name": "slow", "attributes": doc["entities"][0]["attributes"]})
+    json.dump(doc, open(f"{root}/model.json", "w"))
+    cfg = LandingConfig(landing_root=root, store_root=f"{tmp_dir}/s", table_seconds=25)
+    load_enums(spark, cfg)
+    prepare, pools = ingest.prepare_changes, {}
+
+    @F.udf("boolean")
+    def wait(_):
+        time.sleep(300)
+        return True
+
+    def hanging(rows, cfg, table, enums):
+        pools[table] = spark.sparkContext.getLocalProperty("spark.scheduler.pool")
+        out = prepare(rows, cfg, table, enums)
+        return out.where(wait("recid")) if table == "slow" else out
+
+    monkeypatch.setattr(ingest, "prepare_changes", hanging)
+    began = time.time()
+    config = spark.createDataFrame([("custtable", "g"), ("slow", "g")], "table_name string, processing_group string")
+    log = {r["table"]: r for r in ingest_all(spark, cfg, config).collect()}
+    assert time.time() - began < 120
+    assert log["custtable"]["status"] == "loaded" and log["slow"]["status"] == "failed"
+    assert log["slow"]["error"].startswith("stopped after 25 s")
+    store = TableStore(spark, cfg.store_root)
+    assert store.exists("custtable") and not store.exists("slow")
+    assert pools == {"custtable": "custtable", "slow": "slow"}
+    assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
+
+
+def test_nothing_is_committed_once_stopped(spark, tmp_dir):
+    import threading
+
+    from tidemark.plans.ingest import apply_changes
+    cfg = LandingConfig(landing_root="", store_root=f"{tmp_dir}/s")
+    store, stopped = TableStore(spark, cfg.store_root), threading.Event()
+    stopped.set()
+    rows = spark.sql("SELECT 1L AS RECID, false AS IsDelete")
+    with pytest.raises(RuntimeError, match="stopped"):
+        apply_changes(spark, cfg, store, "t", rows, "f", "f", stopped=stopped)
+    assert not store.exists("t")
+
+
+def test_enum_attributes_with_many_codes(spark):
+    """Over the limit an attribute is joined, with the same labels as in one projection."""
+    from tidemark.functions.enums import decode_enums
+    enums = spark.range(50).selectExpr("explode(array('a', 'b', 'c')) AS OptionSetName", "id AS Option", "'t' AS EntityName",
+                                       "concat(OptionSetName, id % 7) AS OptionName", "id")
+    enums = enums.where("OptionSetName <> 'c' or id < 3")
+    enums = enums.unionByName(enums.selectExpr("OptionSetName", "Option", "EntityName", "'zz' AS OptionName", "id"))
+    rows = spark.range(300).selectExpr("id", "cast(id % 60 AS INT) AS A", "if(id % 5 = 0, NULL, id % 53) AS b", "id % 4 AS c")
+    one = sorted(map(tuple, decode_enums(rows, enums, "t").collect()))
+    joined = decode_enums(rows, enums, "t", inline_codes=10)
+    assert sorted(map(tuple, joined.collect())) == one and joined.columns == rows.columns
+    assert joined._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter") == 2
+    assert one[3] == (3, "a3", "b3", None) and one[61] == (61, "a1", "b1", "c1") and one[5][2] is None

@@ -68,6 +68,8 @@ class LandingConfig:
     inline_enum_codes: int = 1_000
     # CSV files over this size are cut between records and read by several tasks; 0: each file in one.
     csv_range_bytes: int = 256 * 1024 * 1024
+    # Seconds after which ``ingest_all`` stops a table's load; 0: no limit.
+    table_seconds: float = 3600
     # Write load-time stamps into stored rows.
     stamp_rows: bool = True
     # Store tables bucketed by the record key columns (merges then exchange

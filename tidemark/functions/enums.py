@@ -31,28 +31,30 @@ def enum_lookup(enums: DataFrame, entity: str | None = None) -> DataFrame:
 def decode_enums(df: DataFrame, enums: DataFrame, entity: str, inline_codes: int = 1_000) -> DataFrame:
     """Replace each enum column of ``entity`` by its label (type string).
 
-    One small job collects the labels of attributes with at most ``inline_codes``
-    codes; all their columns are then decoded in one projection.
+    The attributes' codes are counted first; the labels of attributes with at most ``inline_codes``
+    codes are then collected, and all their columns decoded in one projection.  Larger attributes are joined.
     """
     lookup = enum_lookup(enums, entity)
     own = enums.filter((F.col("EntityName") == entity) & F.col("OptionName").isNotNull())
-    codes, pairs = F.collect_set("Option"), F.collect_set(F.struct("Option", "OptionName"))  # of one attribute
-    found = (own.groupBy(F.col("OptionSetName").alias("attribute"))
-             .agg(F.when(F.size(codes) <= inline_codes, pairs).alias("labels")).collect())
-    columns = {find_column(df, r["attribute"]): r for r in found if find_column(df, r["attribute"]) is not None}
+    # Counted by (attribute, code) first: however many codes an attribute has, no task gets them all.
+    counts = own.groupBy(F.col("OptionSetName").alias("attribute")).agg(F.count_distinct("Option").alias("codes")).collect()
+    columns = {r["attribute"]: (find_column(df, r["attribute"]), r["codes"] <= inline_codes) for r in counts}
+    columns = {a: c for a, c in columns.items() if c[0] is not None}
+    small = [a for a, (_, inline) in columns.items() if inline]
+    labels = {a: {} for a in small}
+    if small:
+        for r in lookup.filter(F.col("attribute").isin(small) & F.col("code").isNotNull()).collect():
+            labels[r["attribute"]][r["code"]] = r["label"]
     decoded = {}
-    for name, r in columns.items():
-        if r["labels"] is not None:
-            least = dict(sorted(((p["Option"], p["OptionName"]) for p in r["labels"] if p["Option"] is not None),
-                                key=lambda p: p[1], reverse=True))  # of several labels the smallest stays
-            labels = [F.lit(x) for p in least.items() for x in p]
-            decoded[name] = (F.try_element_at(F.create_map(*labels), F.col(name).cast("bigint")) if labels
-                             else F.lit(None).cast("string"))
+    for attribute, found in labels.items():
+        name, pairs = columns[attribute][0], [F.lit(x) for p in sorted(found.items()) for x in p]
+        decoded[name] = (F.try_element_at(F.create_map(*pairs), F.col(name).cast("bigint")) if pairs
+                         else F.lit(None).cast("string"))
     out = df.withColumns(decoded) if decoded else df
-    for i, (name, r) in enumerate(columns.items()):
-        if r["labels"] is None:
+    for i, (attribute, (name, inline)) in enumerate(sorted(columns.items())):
+        if not inline:
             code, label = f"__enum_code_{i}", f"__enum_label_{i}"
-            side = lookup.filter(F.col("attribute") == r["attribute"]).select(
+            side = lookup.filter(F.col("attribute") == attribute).select(
                 F.col("code").alias(code), F.col("label").alias(label))
             joined = out.join(side, F.col(name) == F.col(code), "left")
             out = joined.select(*[F.col(label).alias(c) if c == name else F.col(c) for c in out.columns])

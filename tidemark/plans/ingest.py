@@ -18,9 +18,11 @@ import datetime as _dt
 import functools
 import json
 import operator
+import threading
 import traceback
 from collections.abc import Iterable
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -136,7 +138,7 @@ def _by_key(df: DataFrame, key: str, buckets: int) -> DataFrame:
 def ingest_table(spark: SparkSession, cfg: LandingConfig, table: str, reload: bool = False,
                  store: TableStore | None = None, folders: list[str] | None = None,
                  current=_UNSET, enums=_UNSET, schema=None, warning: str | None = None,
-                 batch: str | None = None) -> dict:
+                 batch: str | None = None, stopped: threading.Event | None = None) -> dict:
     """M1/M2: load one table; returns its run-log row (a dict).
 
     ``reload`` ignores the high-water mark, reads every closed folder and
@@ -163,7 +165,7 @@ def ingest_table(spark: SparkSession, cfg: LandingConfig, table: str, reload: bo
     changes = prepare_changes(rows, cfg, table, enums)
     row = apply_changes(spark, cfg, store, table, changes, folders[0], folders[-1], len(folders), reload, current,
                         before_commit=lambda run_id: quarantine(store, table, scanned, run_id, seen.get["bad_rows"]),
-                        batch=batch)
+                        batch=batch, stopped=stopped)
     return row | {"warning": warning, "bad_rows": seen.get["bad_rows"]}
 
 
@@ -181,7 +183,7 @@ def enum_table(store: TableStore) -> DataFrame | None:
 def apply_changes(spark: SparkSession, cfg: LandingConfig, store: TableStore, table: str,
                   changes: DataFrame, folder_from: str | None, folder_to: str | None,
                   folders: int | None = None, reload: bool = False, current=_UNSET, before_commit=None,
-                  batch: str | None = None) -> dict:
+                  batch: str | None = None, stopped: threading.Event | None = None) -> dict:
     """Stage the latest change per key, then replace (first load / reload) or
     merge into the stored table, and commit snapshot + high-water mark.
     ``current``: the table's current snapshot if already read; ``before_commit`` is called
@@ -194,13 +196,26 @@ def apply_changes(spark: SparkSession, cfg: LandingConfig, store: TableStore, ta
         load, run_id = _replace if before is None or reload else _merge, new_run_id()
         if before_commit is not None:
             before_commit(run_id)
-        return load(spark, cfg, store, table, before, source, seen, staged_bytes, batch,
+        return load(spark, cfg, _Guarded(store, stopped), table, before, source, seen, staged_bytes, batch,
                     dict(folder_from=folder_from, folder_to=folder_to, folders=folders, source_rows=seen["rows"],
                          run_id=run_id))
     finally:
         drop_path(spark, staged_path)
 
 
+class _Guarded(TableStore):
+    """The store of a load that may be stopped: it doesn't commit after that."""
+
+    def __init__(self, store: TableStore, stopped: threading.Event | None):
+        super().__init__(store.spark, store.root)
+        self.stopped = stopped
+
+    def commit(self, *args, **kw) -> None:
+        if self.stopped is not None and self.stopped.is_set():
+            raise RuntimeError("the load was stopped before its commit")
+        super().commit(*args, **kw)
+
+
 def _replace(spark: SparkSession, cfg: LandingConfig, store: TableStore, table: str, before: Snapshot | None,
              source: DataFrame, staged: dict, staged_bytes: int, batch: str | None, common: dict) -> dict:
     flag = find_column(source, cfg.delete_flag)
@@ -299,8 +314,10 @@ def ingest_all(spark: SparkSession, cfg: LandingConfig, config: DataFrame,
                parallelism: int = 4) -> DataFrame:
     """M3/M4/M5: load every selected table; a failure is recorded, not raised.
 
-    Tables are independent Spark jobs; with ``parallelism`` > 1 they are
-    submitted from that many driver threads and run concurrently.
+    Tables are independent: with ``parallelism`` > 1 they are loaded from that many driver threads at once.  A
+    table's jobs carry a tag of its own, and run in a scheduler pool of its name (which counts where
+    ``spark.scheduler.mode`` is FAIR).  A table that takes longer than ``cfg.table_seconds`` has its jobs
+    cancelled by the tag, is recorded as failed and commits nothing; the others go on.
     """
     store = TableStore(spark, cfg.store_root)
     selected = select_tables(config, processing_group, table_names)
@@ -310,17 +327,37 @@ def ingest_all(spark: SparkSession, cfg: LandingConfig, config: DataFrame,
     enums = store.read(ENUM_TABLE, snaps[ENUM_TABLE]) if cfg.decode_enums and ENUM_TABLE in snaps else None
     with_files = [t for t in tables if plan.get(t)]
     schemas, warnings = table_schemas(spark, cfg, with_files) if with_files else ({}, {})
+    sc, run = spark.sparkContext, new_run_id()
 
     def one(t: str) -> dict:
+        tag, stopped = f"tidemark-{run}-{t}", threading.Event()
+
+        def stop() -> None:
+            stopped.set()
+            sc.cancelJobsWithTag(tag)
+
+        limit = threading.Timer(cfg.table_seconds, stop) if cfg.table_seconds else None
+        sc.addJobTag(tag)
+        sc.setLocalProperty("spark.scheduler.pool", t)
         try:
+            if limit:
+                limit.daemon = True
+                limit.start()
             return ingest_table(spark, cfg, t, reload, store, plan.get(t, []), snaps.get(t), enums,
-                                schemas.get(t), warnings.get(t))
+                                schemas.get(t), warnings.get(t), stopped=stopped)
         except Exception as e:  # noqa: BLE001 - the run log carries the failure
-            return _run_row(t, "failed", error=f"{type(e).__name__}: {e}\n{traceback.format_exc()}")
+            late = f"stopped after {cfg.table_seconds} s: " if stopped.is_set() else ""
+            return _run_row(t, "failed", error=f"{late}{type(e).__name__}: {e}\n{traceback.format_exc()}")
+        finally:
+            if limit:
+                limit.cancel()
+            sc.removeJobTag(tag)
+            sc.setLocalProperty("spark.scheduler.pool", None)
 
     if parallelism > 1 and len(tables) > 1:
         with cf.ThreadPoolExecutor(max_workers=parallelism) as pool:
-            rows = list(pool.map(one, tables))
+            # Each table's thread starts from the caller's properties.
+            rows = list(pool.map(lambda t: inheritable_thread_target(spark)(lambda: one(t))(), tables))
     else:
         rows = [one(t) for t in tables]
     return spark.createDataFrame([tuple(r[f] for f in RUN_LOG_FIELDS) for r in rows], RUN_LOG_DDL)
