@@ -232,6 +232,18 @@ def test_html_text_of_the_template(spark):
     assert got[100] == "Same\nown 0" and got[203] == "link 3" and got[300] == "Other layout"
 
 
+def test_html_words_in_longer_names_take_nothing(spark):
+    """A listed word in a name that says more is no sign of an aside; alone, or with a word of place, it is."""
+    def body(i):
+        return (f"<article><h1>Head {i}</h1><section id='header-files'><p>Files {i} with headers</p></section>"
+                f"<div class='form-factor'>Factor {i}</div><p class='social-history'>History {i}</p>"
+                f"<div class='share-buttons'>Share {i}</div><div class='lead ad-300'>Ad {i}</div><p id=related-posts>More {i}</p></article>")
+
+    pages = spark.createDataFrame([(i, "http://h.example/", page(body(i))) for i in range(8)], "page_id long, url string, html string")
+    for r in htmltext.extract(pages).collect():
+        assert r.text == f"Head {r.page_id}\nFiles {r.page_id} with headers\nFactor {r.page_id}\nHistory {r.page_id}"
+
+
 def test_html_class_names(spark):
     """Class names hold slashes and dots, and siblings differ only in a later one."""
     def body(i):

@@ -51,6 +51,8 @@ ASIDE_WORDS = frozenset("""ad ads advert adverts advertisement advertising banne
     consent cookie cookies disqus footer footnotes form header masthead menu modal nav navbar navigation newsletter notice
     notices popup promo promoted promotion related replies responses share sharing sidebar social sponsor sponsored
     subscribe toolbar widget""".split())
+ASIDE_PLACES = frozenset("""area bar block bottom box buttons container fixed global icons inner inline item items left links list
+    main outer page posts primary right secondary section site sticky top wrap wrapper""".split())
 ARTICLE_WORDS = frozenset("article content entry main post story".split())
 ASIDE_ROLES = frozenset("banner navigation complementary contentinfo search form dialog alert alertdialog menu menubar".split())
 LEAVES = frozenset("""address blockquote caption dd dl dt figcaption h1 h2 h3 h4 h5 h6 hgroup legend li ol option p pre
@@ -73,16 +75,22 @@ def _attributes(source: str) -> dict[str, str]:
 
 def _label(tag: str, attributes: dict[str, str]) -> tuple[str, bool, bool]:
     """An element's name in paths, whether it stands apart from an article, and whether it calls itself one."""
-    named = [w.lower() for k in ("class", "id") for w in _WORDS.findall(attributes.get(k, ""))]
+    names = [_WORDS.findall(n.lower()) for k in ("class", "id") for n in attributes.get(k, "").split()]
+    named = [w for words in names for w in words]
     role = attributes.get("role", "").lower()
     article = tag in ("article", "main") or role in ("article", "main") or (
         tag in ("div", "section") and bool(ARTICLE_WORDS.intersection(named)))
     apart = (tag in ASIDE or role in ASIDE_ROLES or "hidden" in attributes
              or attributes.get("aria-hidden", "").lower() == "true"
-             or (tag not in ("html", "body", "article", "main") and bool(ASIDE_WORDS.intersection(named))))
+             or (tag not in ("html", "body", "article", "main") and any(map(_says_aside, names))))
     return _name(tag, attributes.get("class", "")), apart, article and not apart
 
 
+def _says_aside(words: list[str]) -> bool:
+    """Whether a class or id says nothing but that an element stands apart: "cookie-notice" does, "header-files" doesn't."""
+    return bool(ASIDE_WORDS.intersection(words)) and ASIDE_PLACES.issuperset(w for w in words if w not in ASIDE_WORDS)
+
+
 def _name(tag: str, classes: str) -> str:
     """The tag and all class names of an element; the separators "." and "/" are escaped in these.
 
