@@ -3,6 +3,7 @@ import collections
 import itertools
 import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -320,6 +321,76 @@ def test_imatch(spark):
     assert imatch.fingerprint_documents(frame(spark, [(1, "alone here")])).first().near_next == 1.0
 
 
+def plain_imatch(rows, band):
+    """Fingerprints and likenesses of rows (id, text) in order, from the rule: {id: (parts, edited parts, near edited, near next)}."""
+    import xxhash
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    number = lambda x, seed: xxhash.xxh64_intdigest((x & (1 << 64) - 1).to_bytes(8, "little"), seed)
+
+    def terms(text):
+        return {signed(xxhash.xxh64_intdigest(w, 42)) & ~1 for w in re.findall(r"[^\W_]+", text.lower())}
+
+    def subsets(term):
+        found, used, seed, places = [], 64, 0, []
+        for b in range(3, 14):
+            for _ in range(imatch.PER_RATE):
+                if used + b > 64:
+                    seed, used = seed + 1, 0
+                places.append((seed, used, b))
+                used += b
+        for k, (seed, used, b) in enumerate(places):
+            h = xxhash.xxh64_intdigest(seed.to_bytes(4, "little"), number(term, 42))
+            if not h >> used & (1 << b) - 1:
+                found.append(k)
+        return found
+
+    texts = {t for _, t in rows}
+    df = collections.Counter(x for t in texts for x in terms(t))
+    lexicon = {x: own for x, n in df.items() if band[0] <= math.log(len(texts) / n) <= band[1] and (own := subsets(x))}
+
+    def parts(text):
+        own = sorted(x for x in terms(text) if x in lexicon)
+        if not own:
+            return [f"{xxhash.xxh64_intdigest(text, 42):016X}".lstrip("0") or "0"]
+        out = []
+        for k in range(11 * imatch.PER_RATE):
+            h = 42
+            for x in own:
+                if k in lexicon[x]:
+                    h = number(sum(1 << b for b in lexicon[x]), number(x, h))
+            out.append("-" * 6 if h == 42 else f"{h:016X}"[:6])
+        return out
+
+    def like(a, b):
+        pairs = [(x, y) for x, y in zip(a, b) if (x, y) != ("-" * 6, "-" * 6)]
+        return 1.0 if a == b else 0.0 if len(a) != len(b) else sum(x == y for x, y in pairs) / len(pairs)
+
+    out = {}
+    for k, (i, t) in enumerate(rows):
+        after, n = rows[(k + 1) % len(rows)][1], len(t) // 4
+        own, edited = parts(t), parts(t[:len(t) - n] + after[:n])
+        out[i] = own, edited, like(own, edited), like(own, parts(after))
+    return out
+
+
+@pytest.mark.parametrize("broadcast", [imatch.BROADCAST_TERMS, 0])
+def test_imatch_against_the_rule(spark, monkeypatch, broadcast):
+    """Fingerprints and likenesses by a broadcast lexicon, and by one that is joined."""
+    monkeypatch.setattr(imatch, "BROADCAST_TERMS", broadcast)
+    rng = random.Random(5)
+    words = [f"w{k}x" for k in range(400)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(0, 90)))) for i in range(60)]
+    rows += [(70, rows[4][1]), (71, ""), (72, "only unknown here"), (73, rows[5][1] + " more")]
+    band = (0.5, 3.5)
+    want = plain_imatch(rows, band)
+    for r in imatch.fingerprint_documents(frame(spark, rows), band=band).collect():
+        parts, edited, near_edited, near_next = want[r.doc_id]
+        assert [p.upper() for p in r.fingerprint] == [p.upper() for p in parts]
+        assert [p.upper() for p in r.edited_fingerprint] == [p.upper() for p in edited]
+        assert r.near_edited == pytest.approx(near_edited) and r.near_next == pytest.approx(near_next)
+    assert sum(len(p) > 1 for p, *_ in want.values()) > 40 and any(0 < w[2] < 1 for w in want.values())
+
+
 def test_imatch_copies_keep_their_terms(spark):
     """A text copied to a third of all rows and more is as like to its edited text as any other."""
     import hashlib

@@ -156,10 +156,13 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     # Terms of the text have tag 0, those of the edited text tag 1; a null keeps a document without lexicon terms.
     every = F.concat(terms(F.col("text"), 0), terms(F.col("edited"), 1), F.array(F.lit(None).cast("long")))
     keys, carried = ["key", "th", "row"], ["edited_th", "sha"]
-    words = F.broadcast(words) if words.count() <= BROADCAST_TERMS else words
+    term = F.col("tagged").bitwiseAND(F.lit(-2))
+    if words.count() <= BROADCAST_TERMS:
+        words = F.broadcast(words)
+    else:  # nulls would meet in one task: each gets an odd number, which no term is
+        term = F.coalesce(term, F.xxhash64(*keys).bitwiseOR(F.lit(1)))
     found = (both.select(*keys, *carried, F.explode(every).alias("tagged"))
-             .select("*", F.col("tagged").bitwiseAND(F.lit(-2)).alias("term"),
-                     F.col("tagged").bitwiseAND(F.lit(1)).alias("tag"))
+             .select("*", term.alias("term"), F.col("tagged").bitwiseAND(F.lit(1)).alias("tag"))
              .join(words, "term", "left").where("tagged is null or mask is not null"))
     pair = F.struct("term", "mask")
     marked = found.groupBy(*keys).agg(*[F.first(c).alias(c) for c in carried],
