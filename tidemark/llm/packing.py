@@ -28,7 +28,7 @@ BUCKET_ROWS = 2048
 #: Buckets of the exchange are twice as large each round, up to this.
 MAX_BUCKET_ROWS = 1 << 18
 #: Bytes of chunks and their ids that a task remembers, about, and bytes that a chunk takes besides its text's.
-CACHE_BYTES = 128 << 20
+CACHE_BYTES = 256 << 20
 CHUNK_BYTES = 170
 #: Chunks that are encoded at once, and new ones that wait for it at most (of one text's group).
 ENCODE_CHUNKS = 1 << 13
