@@ -133,6 +133,25 @@ def state_files(store):
     return glob.glob(store.current("t").path.replace("file:", "") + "/*.parquet")
 
 
+def test_bucket_count_follows_the_rows_in_memory(spark, tmp_dir):
+    """Rows that are stored in next to no bytes, as they are alike, still take memory where a bucket is joined and sorted."""
+    store, load = loader(spark, tmp_dir, bucket_memory=100_000)
+    rows = lambda a, b, text: spark.range(a, b).select(F.col("id").alias("RECID"), F.lit(text).alias("a"),
+                                                       F.lit(False).alias("IsDelete"))
+    load(rows(0, 50, "x"), "f1")
+    assert store.current("t").buckets == 8 and store.current("t").text_bytes == 50
+    load(rows(0, 20_000, "x"), "f2")                               # the numbers of the rows decide
+    many = store.current("t")
+    assert many.buckets >= 16 and many.rows == 20_000 and many.text_bytes == 20_000
+    load(rows(20_000, 20_100, "y" * 100_000), "f3")                # and the lengths of their texts, however well packed
+    long = store.current("t")
+    assert long.buckets >= 128 and long.text_bytes == 20_000 + 100 * 100_000
+    load(rows(0, 1, "zz"), "f4")                                   # the stored rows count, not those that come
+    last = store.current("t")
+    assert last.buckets == long.buckets and last.text_bytes == long.text_bytes + 1
+    assert sorted(r["RECID"] for r in store.read("t").collect()) == list(range(20_100))
+
+
 def test_merges_keep_one_file_per_bucket_and_join_once(spark, tmp_dir, monkeypatch):
     from tidemark.plans import ingest
     store, load = loader(spark, tmp_dir)

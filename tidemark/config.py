@@ -74,12 +74,15 @@ class LandingConfig:
     stamp_rows: bool = True
     # Store tables bucketed by the record key columns (merges then exchange
     # only the change set).  ``buckets`` = 0 sizes the bucket count at every load:
-    # a power of two giving about ``bucket_bytes`` of stored data per bucket; a
+    # a power of two giving at most ``bucket_bytes`` of stored data and ``bucket_memory``
+    # bytes of rows as tasks hold them (a bucket is joined and sorted by one task, and
+    # stored files may be many times smaller than their rows) per bucket; a
     # merge changes it when it is off by a factor of two.  ``max_buckets`` stays
     # below Spark's own limit (spark.sql.sources.bucketing.maxBuckets).
     bucketed: bool = True
     buckets: int = 0
     bucket_bytes: int = 128 * 1024 * 1024
+    bucket_memory: int = 64 * 1024 * 1024
     max_buckets: int = 65536
     # A merge whose changes fall into this share of the buckets or less reads and writes
     # only these; after ``max_layers`` such loads, or with more buckets touched, all are written again.

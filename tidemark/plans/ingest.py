@@ -25,7 +25,7 @@ from collections.abc import Iterable
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BinaryType, StringType, StructType
 
 from tidemark.config import (BAD_RECORD, CREATED_STAMP, ENUM_FILE, ENUM_TABLE, PROCESSED_STAMP,
                              LandingConfig)
@@ -35,7 +35,7 @@ from tidemark.functions.keys import repair_keys
 from tidemark.functions.predicates import is_delete
 from tidemark.functions.timestamps import parse_sink_columns
 from tidemark.operators.latest import latest_change
-from tidemark.operators.merge import ACTION, ACTIONS, merge
+from tidemark.operators.merge import ACTION, ACTIONS, STATE_ACTIONS, merge
 from tidemark.session import drop_path, path_size_bytes, stage_measured
 from tidemark.sinks.store import Snapshot, TableStore, new_run_id
 from tidemark.sources.csvscan import FOLDER_COLUMN, read_enum_csv, read_entity_csv
@@ -116,15 +116,29 @@ def prepare_changes(rows: DataFrame, cfg: LandingConfig, table: str, enums: Data
     return latest.drop(FOLDER_COLUMN, *cfg.excluded_meta)
 
 
-def _bucketing(cfg: LandingConfig, source: DataFrame, stored_bytes: int) -> tuple[str | None, int | None]:
-    """Bucket columns (the record key, comma-joined) and count for ``stored_bytes``."""
+def _text_bytes(schema: StructType, prefix: str = "", where: Column | None = None) -> Column:
+    """Sum of the bytes of all texts, which a row holds beside its columns' eight bytes each (of the rows ``where``)."""
+    sizes = [F.coalesce(F.octet_length(F.col(f"`{prefix}{f.name}`")), F.lit(0)).cast("long") for f in schema.fields
+             if isinstance(f.dataType, (StringType, BinaryType))]
+    size = functools.reduce(operator.add, sizes, F.lit(0).cast("long"))
+    return F.coalesce(F.sum(size if where is None else F.when(where, size)), F.lit(0).cast("long"))
+
+
+def _in_memory(rows: int, schema: StructType, text_bytes: int) -> int:
+    """Bytes that tasks hold for so many rows, about."""
+    return rows * 8 * (len(schema.fields) + 2) + text_bytes
+
+
+def _bucketing(cfg: LandingConfig, source: DataFrame, stored_bytes: int,
+               held_bytes: int) -> tuple[str | None, int | None]:
+    """Bucket columns (the record key, comma-joined) and count for ``stored_bytes``, of which tasks hold ``held_bytes``."""
     keys = [find_column(source, k) for k in cfg.key]
     if not cfg.bucketed or None in keys:
         return None, None
     key = ",".join(keys)
     if cfg.buckets:
         return key, cfg.buckets
-    need = max(1, -(-stored_bytes // cfg.bucket_bytes))
+    need = max(1, -(-stored_bytes // cfg.bucket_bytes), -(-held_bytes // cfg.bucket_memory))
     n = 8
     while n < need and n < cfg.max_buckets:
         n *= 2
@@ -191,7 +205,8 @@ def apply_changes(spark: SparkSession, cfg: LandingConfig, store: TableStore, ta
     before = store.current(table) if current is _UNSET else current
     keys = [find_column(changes, k) for k in cfg.key]
     no_key = functools.reduce(operator.or_, [F.col(k).isNull() for k in keys if k is not None], F.lit(False))
-    source, staged_path, seen, staged_bytes = stage_measured(changes, f"{table}-changes", null_keys=F.count_if(no_key))
+    source, staged_path, seen, staged_bytes = stage_measured(changes, f"{table}-changes", null_keys=F.count_if(no_key),
+                                                              text_bytes=_text_bytes(changes.schema))
     try:
         load, run_id = _replace if before is None or reload else _merge, new_run_id()
         if before_commit is not None:
@@ -224,15 +239,16 @@ def _replace(spark: SparkSession, cfg: LandingConfig, store: TableStore, table:
         now = F.lit(_dt.datetime.now(_dt.timezone.utc))
         state = state.withColumns({CREATED_STAMP: now, PROCESSED_STAMP: now})
     seen = Observation()
-    state = state.observe(seen, F.count(F.lit(1)).alias("rows"))
-    key, buckets = _bucketing(cfg, source, staged_bytes)
+    texts = _text_bytes(state.schema)
+    state = state.observe(seen, F.count(F.lit(1)).alias("rows"), texts.alias("text_bytes"))
+    key, buckets = _bucketing(cfg, source, staged_bytes, _in_memory(staged["rows"], state.schema, staged["text_bytes"]))
     if buckets:
         state = _by_key(state, key, buckets)
     run_id = common["run_id"]
     snapshot = store.write_snapshot(table, state, run_id, key, buckets)
     rows = seen.get["rows"]
     store.commit(table, snapshot, common["folder_to"], run_id, "replace", rows, None, buckets, key, after=before,
-                 schema=state.schema, batch=batch)
+                 schema=state.schema, batch=batch, text_bytes=seen.get["text_bytes"])
     return _run_row(table, "loaded", strategy="replace", inserted=rows, rows_after=rows, **common)
 
 
@@ -266,7 +282,10 @@ def _merge(spark: SparkSession, cfg: LandingConfig, store: TableStore, table: st
     snapshot takes the others from where they are."""
     key, buckets = before.bucket_key, before.buckets
     stored_bytes = sum(n for _, n in store.bucket_files(before)) if before.layers else path_size_bytes(spark, before.path)
-    want_key, want = _bucketing(cfg, source, stored_bytes + staged_bytes)
+    stored = StructType.fromJson(json.loads(before.schema)) if before.schema else source.schema
+    held = (_in_memory(before.rows or 0, stored, before.text_bytes or 0)
+            + _in_memory(staged["rows"], source.schema, staged["text_bytes"]))
+    want_key, want = _bucketing(cfg, source, stored_bytes + staged_bytes, held)
     moves = bool(want) and (key != want_key or not max(want, 1) / 2 < (buckets or 0) < 2 * want)
     touched = None if moves else _touched_buckets(cfg, before, source, staged["rows"])
     target = store.read(table, before) if touched is None else store.state_columns(store.read_buckets(before, touched))
@@ -274,8 +293,11 @@ def _merge(spark: SparkSession, cfg: LandingConfig, store: TableStore, table: st
                    cfg.ignored_compare, stamp=cfg.stamp_rows, load_time=_dt.datetime.now(_dt.timezone.utc),
                    null_keys=staged["null_keys"] > 0)
     seen = Observation()
+    state = result.state.schema
     result.actions = result.actions.observe(
-        seen, *[F.count_if(F.col(ACTION) == a).alias(a) for a in ACTIONS])
+        seen, *[F.count_if(F.col(ACTION) == a).alias(a) for a in ACTIONS],
+        _text_bytes(state, "__pre_").alias("texts_before"),
+        _text_bytes(state, "__post_", F.col(ACTION).isin(*STATE_ACTIONS)).alias("texts_after"))
     outputs = result.outputs
     if touched is not None:
         types = {k: outputs.schema[k].dataType for k in key.split(",")}
@@ -287,9 +309,10 @@ def _merge(spark: SparkSession, cfg: LandingConfig, store: TableStore, table: st
     snapshot, feed = store.write_merge(table, outputs, run_id, key, buckets)
     n = {a: seen.get[a] for a in ACTIONS}
     rows = n["keep"] + n["unchanged"] + n["update"] + n["insert"]
-    layers = None
+    layers, texts = None, seen.get["texts_after"]
     if touched is not None:
         rows = before.rows + n["insert"] - n["delete"]
+        texts += (before.text_bytes or 0) - min(seen.get["texts_before"], before.text_bytes or 0)
         older = json.loads(before.layers) if before.layers else [{"path": before.path, "buckets": None}]
         layers = json.dumps([{"path": snapshot, "buckets": sorted(touched)}, *older]) if rows else None
     # A late file of an older folder never moves the mark back.
@@ -298,7 +321,7 @@ def _merge(spark: SparkSession, cfg: LandingConfig, store: TableStore, table: st
     changed = n["insert"] + n["update"] + n["delete"] > 0
     store.commit(table, snapshot, mark, run_id, "merge", rows, feed if changed else None,
                  buckets if rows else None, key if rows else None, after=before,
-                 schema=TableStore.state_columns(outputs).schema, batch=batch, layers=layers)
+                 schema=TableStore.state_columns(outputs).schema, batch=batch, layers=layers, text_bytes=texts)
     return _run_row(table, "merged", strategy="shuffle" if touched is None else "touched", inserted=n["insert"],
                     updated=n["update"], deleted=n["delete"], unchanged=n["unchanged"], ignored=n["ignore"],
                     rows_after=rows, **common)

@@ -38,7 +38,7 @@ from tidemark.operators.merge import KIND
 
 LOG_DDL = ("snapshot STRING, changes STRING, lastload STRING, "
            "_sysProcessDateTime TIMESTAMP, run_id STRING, mode STRING, rows BIGINT, "
-           "buckets INT, bucket_key STRING, seq BIGINT, schema STRING, batch STRING, layers STRING")
+           "buckets INT, bucket_key STRING, seq BIGINT, schema STRING, batch STRING, layers STRING, text_bytes BIGINT")
 BAD_DDL = "_folder STRING, _bad_record STRING, _run_id STRING"
 _UNKNOWN = object()
 
@@ -60,6 +60,7 @@ class Snapshot:
     seq: int = 0
     schema: str | None = None  # of its rows, as JSON
     layers: str | None = None  # folders and the buckets that each holds, newest first, as JSON; None: one folder
+    text_bytes: int | None = None  # of its rows' texts, uncompressed
 
 
 class TableStore:
@@ -90,13 +91,14 @@ class TableStore:
     @staticmethod
     def _latest() -> Column:
         """The log row of the last commit: commits are numbered, clocks are not trusted."""
-        return F.max_by(F.struct("snapshot", "lastload", "run_id", "buckets", "bucket_key", "rows", "seq", "schema", "layers"),
+        return F.max_by(F.struct("snapshot", "lastload", "run_id", "buckets", "bucket_key", "rows", "seq", "schema", "layers",
+                                 "text_bytes"),
                         F.struct(F.coalesce("seq", F.lit(0)), "run_id")).alias("r")
 
     @staticmethod
     def _snapshot(table: str, r: Row) -> Snapshot:
         return Snapshot(table, r["snapshot"], r["lastload"], r["run_id"], r["buckets"], r["bucket_key"], r["rows"],
-                        r["seq"] or 0, r["schema"], r["layers"])
+                        r["seq"] or 0, r["schema"], r["layers"], r["text_bytes"])
 
     def current(self, table: str) -> Snapshot | None:
         """Latest committed snapshot of ``table`` (A7/A13); None if never loaded."""
@@ -286,19 +288,21 @@ class TableStore:
     def commit(self, table: str, snapshot: str, lastload: str | None, run_id: str,
                mode: str, rows: int | None, changes: str | None = None,
                buckets: int | None = None, bucket_key: str | None = None, after=_UNKNOWN,
-               schema: StructType | None = None, batch: str | None = None, layers: str | None = None) -> None:
+               schema: StructType | None = None, batch: str | None = None, layers: str | None = None,
+               text_bytes: int | None = None) -> None:
         """Append the log row that makes ``snapshot`` current.
 
         Commits of a table are numbered; ``after`` is the snapshot this load
         started from (None for the first), read from the log if not given.
         ``schema`` is that of the snapshot's rows; readers then needn't look for it in files.
         ``batch`` names the streamed batch that was loaded; ``layers`` is there where a load wrote some buckets only.
+        ``text_bytes`` are those of the rows' texts; the next load sizes its buckets by them.
         """
         before = self.current(table) if after is _UNKNOWN else after
         seq = (before.seq if before is not None else 0) + 1
         now = _dt.datetime.now(_dt.timezone.utc)
         row = [(snapshot, changes, lastload, now, run_id, mode, rows, buckets, bucket_key, seq,
-                schema.json() if schema is not None else None, batch, layers)]
+                schema.json() if schema is not None else None, batch, layers, text_bytes)]
         (self.spark.createDataFrame(row, LOG_DDL).coalesce(1)
          .write.mode("append").parquet(self._log_dir(table)))
 
