@@ -1,3 +1,5 @@
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,3 +84,29 @@ def test_silver_job_from_bronze_store(spark, tmp_dir):
     with pytest.raises(Exception, match="name_check"):
         build_silver_views(spark, bronze, silver, refresh=True)
     assert sorted(r["accountnum"] for r in silver.read("silver_customer").collect()) == ["A", "B"]  # unchanged
+
+
+def test_dealt_invoices_are_not_moved_again_by_their_join(spark):
+    from tidemark.workloads.derive import invoice_tables
+    li = spark.createDataFrame(
+        [(o, n, 5 * n, 1, float(n), 10.25 * n, 0.01 * n, dt.datetime(2024, 1, 1 + n % 2) if n != 3 else None)
+         for o in [*range(40), None] for n in (1, 2, 3, 4, 4)],
+        "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, "
+        "l_tax double, l_shipdate timestamp_ntz")
+    orders = spark.createDataFrame([(o, o % 7 if o % 5 else None) for o in [*range(35), 3, 4]], "o_orderkey long, o_custkey long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans, rows = [], []
+        for dealt in (True, False):
+            out = silver_sales_invoice(*invoice_tables(li, orders, dealt))
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            plans.append([x for x in plan.splitlines() if "Exchange" in x])
+            rows.append(sorted(map(str, out.collect())))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # The lines twice, the orders and the sums once each: the last two of them narrow, before names and texts are made.
+    assert len(plans[0]) == 4 and len(plans[1]) == 5
+    assert not any("hashpartitioning(invoiceid" in x for x in plans[0])
+    assert sum("hashpartitioning(invoiceid" in x for x in plans[1]) == 2
+    assert rows[0] == rows[1] and len(rows[0]) == 35 * 4 + 2 * 4

@@ -328,14 +328,14 @@ def name_check_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return violations(_silver_customer(*parts, check=False), F.col("customername") != F.lit(""))
 
 
-def _invoices(spark, sf_dir):
-    return d.invoice_tables(d.table(spark, sf_dir, "lineitem"), d.table(spark, sf_dir, "orders"))
+def _invoices(spark, sf_dir, dealt=False):
+    return d.invoice_tables(d.table(spark, sf_dir, "lineitem"), d.table(spark, sf_dir, "orders"), dealt)
 
 
 def silver_sales_invoice(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust, group, party = _customer_parts(spark, sf_dir, F.col("c_name"))
     customers = customer_rows(cust.withColumn("accountnum", F.col("party").cast("string")), group, party)
-    return _silver_sales_invoice(*_invoices(spark, sf_dir), customers)
+    return _silver_sales_invoice(*_invoices(spark, sf_dir, dealt=True), customers)
 
 
 def invoice_header_profile_q(spark: SparkSession, sf_dir: str) -> DataFrame:
