@@ -147,6 +147,32 @@ def test_substring(spark):
     assert substring.deduplicate(frame(spark, [])).collect() == []
 
 
+def test_substring_frees_what_it_has_used(spark, monkeypatch):
+    """Of the staged steps only what the result is read from stays on disk, and no shuffle files of their writes."""
+    import os
+    import time
+
+    from tidemark import session
+
+    def shuffles():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(k).getName() for k in range(files.size()) if files.apply(k).getName().startswith("shuffle_")}
+
+    monkeypatch.setattr(session, "_SCRATCH", [])
+    before = shuffles()
+    passage = " ".join(f"p{k}" for k in range(30))
+    out = substring.deduplicate(frame(spark, [(k, f"a{k} {passage} b{k}") for k in range(20)]), window=12, phrase=4)
+    left = [p.rsplit("/", 1)[-1].rsplit("-", 1)[0] for p in session._SCRATCH if os.path.exists(session.local_path(p))]
+    assert sorted(left) == ["tidemark-substring-base", "tidemark-substring-changed"]
+    for _ in range(50):                                            # executors remove them on their own
+        if shuffles() <= before:
+            break
+        time.sleep(0.2)
+    assert shuffles() <= before
+    assert spark.conf.get(session._END_SHUFFLES, None) in (None, "false")
+    assert sorted((r.doc_id, r.n_removed) for r in out.collect()) == [(0, 0), *((k, 30) for k in range(1, 20))]
+
+
 def test_automaton_decides(spark):
     """Windows are found by the automaton's occurrences: all that recur with its phrases, none without them."""
     rng = random.Random(21)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from tidemark.session import stage
+from tidemark.session import stage, unstage
 
 #: Bytes of text a batch handed to Python holds at most (a single longer text makes its own batch).
 BATCH_BYTES = 8 << 20
@@ -105,4 +105,4 @@ def as_bytes(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string").cast("binary"), F.lit(b""))
 
 
-__all__ = ["BATCH_BYTES", "as_bytes", "free_name", "give_back", "map_arrow", "only_cache", "ship", "slices", "stage", "table"]
+__all__ = ["BATCH_BYTES", "as_bytes", "free_name", "give_back", "map_arrow", "only_cache", "ship", "slices", "stage", "table", "unstage"]

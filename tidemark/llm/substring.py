@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, free_name, map_arrow, only_cache, stage
+from .common import as_bytes, free_name, map_arrow, only_cache, stage, unstage
 
 #: Odd base of the polynomial hashes (mod 2**64) and its inverse.
 BASE = 0x9E3779B97F4A7C15
@@ -209,7 +209,7 @@ def locate(docs: DataFrame, window: int, phrase: int) -> DataFrame:
 
 
 def removed_ranges(docs: DataFrame, window: int, phrase: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Scan rows, texts with recurring phrases, and the word ranges to remove of the latter."""
+    """Scan rows, texts with recurring phrases, and the word ranges to remove of the latter (each staged)."""
     scanned = stage(scan(docs, window, phrase), "substring-scan")
     long_enough = scanned.where((F.col("n_words") >= window) & F.col("doc_id").isNotNull())
     firsts = long_enough.groupBy("sha").agg(F.min("doc_id").alias("first"))
@@ -219,11 +219,16 @@ def removed_ranges(docs: DataFrame, window: int, phrase: int) -> tuple[DataFrame
     # One row per class and anchor: copies of a whole document need no automaton.
     kinds = (long_enough.groupBy("sha").agg(F.min(F.struct("doc_id", "th", "anchors")).alias("k"))
              .select("k.doc_id", "k.th", F.explode("k.anchors").alias("phrase")))
-    kinds = stage(kinds, "substring-anchors")
-    recurring = (kinds.groupBy("phrase").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
+    anchors = stage(kinds, "substring-anchors")
+    unstage(scanned)
+    recurring = (anchors.groupBy("phrase").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
                  .where("a < b").select("phrase"))
-    wanted = kinds.join(recurring, "phrase").groupBy("doc_id", "th").agg(F.collect_list("phrase").alias("recurring"))
+    # Staged apart from the texts' and the windows' joins: no job holds the shuffles of both on disk.
+    wanted = stage(anchors.join(recurring, "phrase").groupBy("doc_id", "th").agg(F.collect_list("phrase").alias("recurring")),
+                   "substring-wanted")
+    unstage(anchors)
     texts = stage(docs.join(wanted, ["doc_id", "th"]).dropDuplicates(["doc_id", "th"]), "substring-texts")
+    unstage(wanted)
 
     runs = stage(locate(texts, window, phrase), "substring-runs")
     kinds = runs.groupBy("anchor", "run").agg(F.min("doc_id").alias("first"))
@@ -237,13 +242,14 @@ def removed_ranges(docs: DataFrame, window: int, phrase: int) -> tuple[DataFrame
                  .where(F.col("first") == F.col("doc_id"))
                  .select("doc_id", "th", "anchor", "start", F.posexplode("windows").alias("i", "w")))
     open_runs = stage(open_runs, "substring-windows")
-    heads = (open_runs.groupBy("anchor", "w").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
-             .where("a < b").select("anchor", "w", "a"))
+    heads = stage(open_runs.groupBy("anchor", "w").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
+                  .where("a < b").select("anchor", "w", "a"), "substring-heads")
     single = (open_runs.join(heads, ["anchor", "w"]).where(F.col("a") < F.col("doc_id"))
               .select("doc_id", "th", (F.col("start") + F.col("i")).alias("start"),
                       (F.col("start") + F.col("i") + window).alias("end")))
-    ranges = (whole.unionByName(single).groupBy("doc_id", "th")
-              .agg(F.collect_list(F.struct("start", "end")).alias("ranges")))
+    ranges = stage(whole.unionByName(single).groupBy("doc_id", "th")
+                   .agg(F.collect_list(F.struct("start", "end")).alias("ranges")), "substring-ranges")
+    unstage(runs, kinds, open_runs, heads)
     return base, texts, ranges
 
 
@@ -279,6 +285,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     changed = map_arrow(texts.select("doc_id", "th", "text").join(ranges, ["doc_id", "th"]), cut,
                         "doc_id long, th long, n_removed long, new_sha string, kept string")
     changed = stage(changed, "substring-changed")
+    unstage(texts, ranges)
     empty = hashlib.sha256(b"").hexdigest()
     gone = F.col("copy")
     return (base.join(changed, ["doc_id", "th"], "left")

@@ -79,6 +79,8 @@ def ship_code(spark: SparkSession) -> None:
 
 
 _SCRATCH: list[str] = []
+#: Spark's setting that removes the shuffle files of a query at its end.
+_END_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -104,11 +106,31 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
     Cuts lineage (a lost executor re-reads files instead of recomputing
     upstream shuffles) and gives the optimizer exact file-size statistics.
+    The write's shuffle files go when it has ended, not when the driver comes to collect garbage.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    before = spark.conf.get(_END_SHUFFLES, None)
+    spark.conf.set(_END_SHUFFLES, "true")
+    try:
+        df.write.mode("error").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_END_SHUFFLES)
+        else:
+            spark.conf.set(_END_SHUFFLES, before)
+    out = spark.read.parquet(path)
+    out.staged_path = path
+    return out
+
+
+def unstage(*frames: DataFrame) -> None:
+    """Remove what was staged as these frames (as ``stage`` returned them): all that is made of them has been staged itself."""
+    for df in frames:
+        path = df.staged_path
+        if path in _SCRATCH:
+            _SCRATCH.remove(path)
+        drop_path(df.sparkSession, path)
 
 
 def stage_measured(df: DataFrame, label: str, **metrics: Column) -> tuple[DataFrame, str, dict, int]:
@@ -141,5 +163,5 @@ def local_path(path: str) -> str:
     return path[5:] if path.startswith("file:") else path
 
 
-__all__ = ["clear_scratch", "ship_code", "local_session", "ensure_checkpoint_dir", "scratch_path", "stage",
+__all__ = ["clear_scratch", "ship_code", "local_session", "ensure_checkpoint_dir", "scratch_path", "stage", "unstage",
            "stage_measured", "path_size_bytes", "drop_path", "local_path"]
