@@ -42,7 +42,8 @@ _ROWS = pa.schema([("folder_no", pa.int32()), ("k", pa.int32()), ("value", pa.bi
 _TEXT = rb'[^"]*+(?:""[^"]*+)*+'  # inside quotes
 _FIELD = rb'(?:"' + _TEXT + rb'"[ \t]*+|[^",\n][^,\n]*+)?'
 _WHOLE = rb"(?:" + _FIELD + rb",)*+" + _FIELD + rb"\Z"
-_OPEN = rb"(?:" + _FIELD + rb',)*+"' + _TEXT + rb"\Z"
+_CLEAN = rb'(?:"' + _TEXT + rb'"[ \t]*+|[^",\n]++)?'  # behind a quote within a plain field it isn't sure that the next one opens
+_OPEN = rb"(?:" + _CLEAN + rb',)*+"' + _TEXT + rb"\Z"
 #: Of a line by the state at its start: what ends it between records, and what ends it inside quotes.
 _LINES = ((re.compile(_WHOLE), re.compile(_OPEN)),
           (re.compile(_TEXT + rb'"[ \t]*+(?:\Z|,' + _WHOLE + rb")"),
